@@ -65,29 +65,29 @@ def monitoring_checks(load: str = "consumption_mw", score: str = "quality_score"
                       min_rows: int = 10_000, min_base: float = 10_000) -> list[Check]:
     return [
         Check("silver_volume_total", lambda: F.count(F.lit(1)), ">=", min_rows, "critical"),
-        Check("global_quality_score", lambda: F.coalesce(mean_of(score), F.lit(0.0)), ">=", 0.6),
-        Check("consumption_null_rate", lambda: null_rate(load), "<=", 0.30),
-        Check("consumption_range", lambda: out_of_range_rate(load, low, high), "<=", 0.01),
-        Check("distinct_years", lambda: F.count_distinct(year), ">=", 1, "critical"),
-        Check("base_source_level", lambda: F.coalesce(mean_of(base_source), F.lit(0.0)), ">=", min_base),
+        Check("score_qualite_global", lambda: F.coalesce(mean_of(score), F.lit(0.0)), ">=", 0.6),
+        Check("taux_null_consommation", lambda: null_rate(load), "<=", 0.30),
+        Check("plage_consommation_global", lambda: out_of_range_rate(load, low, high), "<=", 0.01),
+        Check("annees_distinctes", lambda: F.count_distinct(year), ">=", 1, "critical"),
+        Check("coherence_nucleaire", lambda: F.coalesce(mean_of(base_source), F.lit(0.0)), ">=", min_base),
     ]
 
 
 def monitoring_daily_checks(min_days: int = 100) -> list[Check]:
-    return [Check("daily_rows", lambda: F.count(F.lit(1)), ">=", min_days, "critical")]
+    return [Check("agg_daily_calcules", lambda: F.count(F.lit(1)), ">=", min_days, "critical")]
 
 
 def monitoring_monthly_checks() -> list[Check]:
-    return [Check("monthly_rows", lambda: F.count(F.lit(1)), ">=", 1)]
+    return [Check("agg_monthly_calcules", lambda: F.count(F.lit(1)), ">=", 1)]
 
 
 def monitoring_run_checks() -> list[Check]:
-    return [Check("recorded_runs", lambda: F.count(F.lit(1)), ">=", 1)]
+    return [Check("pipeline_runs_enregistres", lambda: F.count(F.lit(1)), ">=", 1)]
 
 
 def recent_duplicate_checks(count: str = "n") -> list[Check]:
     """For a table of keys with their row count, such as `rows_per_key` gives."""
-    return [Check("recent_duplicates", lambda: F.count(F.when(F.col(count) > 1, 1)), "<=", 0)]
+    return [Check("doublons_recents", lambda: F.count(F.when(F.col(count) > 1, 1)), "<=", 0)]
 
 
 def rows_per_key(df: DataFrame, keys: Sequence[str], since: Column | None = None) -> DataFrame:
@@ -97,7 +97,7 @@ def rows_per_key(df: DataFrame, keys: Sequence[str], since: Column | None = None
 
 def daily_stream_checks(load: str = "consumption_mw", score: str = "quality_score") -> list[Check]:
     return [
-        Check("day_completeness", lambda: F.count(F.lit(1)), ">=", 40),
+        Check("completude_24h", lambda: F.count(F.lit(1)), ">=", 40),
         Check("null_consumption", lambda: null_rate(load), "<=", 0.05),
         Check("avg_quality_score", lambda: mean_of(score), ">=", 0.75),
     ]
