@@ -1 +1,5 @@
-"""DataFrame -> DataFrame operators; none of them runs an action."""
+"""DataFrame -> DataFrame operators.
+
+They run no action, but for order statistics (`order.select_ranks` and what uses it), which
+need three small counting jobs, and the quality gate, which reads its one-row verdict.
+"""

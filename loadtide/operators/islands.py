@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timeaxis import DAY, floor_div, micros
-from .order import order_statistic
+from .order import select_ranks
 
 
 def _gap_buckets(df: DataFrame, time: str, gap: int, keys: Sequence[str]) -> DataFrame:
@@ -100,7 +100,6 @@ def steps(df: DataFrame, time: str, keys: Sequence[str] = (), chunk: int = 28 *
 def median_step(df: DataFrame, time: str, chunk: int = 28 * DAY) -> DataFrame:
     """Median time between neighbouring rows, in seconds, exact at any size."""
     gaps = steps(df, time, (), chunk)
-    low = order_statistic(gaps, F.col("step_us"), lambda n: F.floor((n - 1) / 2))
-    high = order_statistic(gaps, F.col("step_us"), lambda n: F.floor(n / 2))
-    return low.withColumnRenamed("value", "low").select(
-        ((F.col("low") + high.scalar()) / 2 / 1_000_000).alias("median_step_s"))
+    low, high = select_ranks(gaps, F.col("step_us"), [lambda n: F.floor((n - 1) / 2), lambda n: F.floor(n / 2)])
+    middle = None if low is None else (low + high) / 2 / 1_000_000
+    return df.sparkSession.range(1).select(F.lit(middle).cast("double").alias("median_step_s"))

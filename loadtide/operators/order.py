@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,51 +11,58 @@ from pyspark.sql import functions as F
 from ..functions.timeaxis import DAY, floor_div, micros
 from .lookback import with_row_index
 
-_DIGIT = 1 << 20
+_BITS = 20
 
 
-def _nth_group(counts: DataFrame, rank: Column) -> DataFrame:
-    """From (digit, n): the digit that holds the given 0-based rank, and the rank left inside it."""
-    running = counts.withColumn("upto", F.sum("n").over(Window.orderBy("digit")))
-    hit = (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank)
-    return running.filter(hit).select("digit", (rank - (F.col("upto") - F.col("n"))).alias("left"))
+def select_ranks(df: DataFrame, value: Column, ranks: Sequence[Callable[[Column], Column]]) -> list[int | None]:
+    """The values at the given 0-based ranks (functions of the row count) of non-negative whole numbers.
 
-
-def order_statistic(df: DataFrame, value: Column, rank: Callable[[Column], Column]) -> DataFrame:
-    """The `rank(n)`-th smallest (0-based) of n non-negative whole numbers, as one row (`value`).
-
-    Radix selection: three counting passes over 20-bit digits. Each pass aggregates in the map
-    tasks to at most 2**20 counts, whatever the number of rows and however many are equal.
+    Radix selection in three counting jobs over 20-bit digits. Each job aggregates in the map
+    tasks to at most 2**20 counts per rank, however many rows there are and however many are
+    equal, and hands the driver one row per rank. Nulls do not count; no rows give None.
     """
-    v = df.select(value.cast("long").alias("v")).filter("v is not null")
-    total = v.agg(F.count(F.lit(1)).alias("n"))
-    digits = [F.shiftright("v", 40), F.shiftright("v", 20) % _DIGIT, F.col("v") % _DIGIT]
-
-    top = _nth_group(v.groupBy(digits[0].alias("digit")).agg(F.count(F.lit(1)).alias("n")),
-                     rank(total.scalar()).cast("long"))
-    d0, r0 = top.select("digit").scalar(), top.select("left").scalar()
-    mid = _nth_group(v.filter(digits[0] == d0).groupBy(digits[1].alias("digit")).agg(F.count(F.lit(1)).alias("n")), r0)
-    d1, r1 = mid.select("digit").scalar(), mid.select("left").scalar()
-    low = _nth_group(v.filter((digits[0] == d0) & (digits[1] == d1))
-                     .groupBy(digits[2].alias("digit")).agg(F.count(F.lit(1)).alias("n")), r1)
-    return low.select(((d0 * _DIGIT + d1) * _DIGIT + F.col("digit")).alias("value"))
-
-
-def prefix_cutoff(df: DataFrame, time: str, size: Callable[[Column], Column]) -> DataFrame:
-    """Time of the `size(n)`-th row in time order, as one row (`cutoff`)."""
-    nth = order_statistic(df, micros(time), lambda n: F.greatest(size(n).cast("long"), F.lit(1)) - 1)
-    return nth.select(F.timestamp_micros("value").alias("cutoff"))
+    rows = df.select(value.cast("long").alias("v")).filter("v is not null")
+    found = [0] * len(ranks)
+    left: list[Column] = []
+    for shift in (2 * _BITS, _BITS, 0):
+        prefix = F.shiftright("v", shift + _BITS)
+        digit = F.shiftright("v", shift) % (1 << _BITS)
+        first = shift == 2 * _BITS
+        within = rows if first else rows.filter(prefix.isin(sorted(set(found))))
+        counts = within.groupBy(prefix.alias("prefix"), digit.alias("digit")).agg(F.count(F.lit(1)).alias("n"))
+        side = Window.partitionBy("prefix")
+        running = counts.select("*", (F.sum("n").over(side.orderBy("digit")) - F.col("n")).alias("below"),
+                                F.sum("n").over(side).alias("total"))
+        if first:
+            left = [r(F.col("total")).cast("long") for r in ranks]
+        inside = [(F.col("prefix") == p) & (F.col("below") <= r) & (r < F.col("below") + F.col("n"))
+                  for p, r in zip(found, left)]
+        hits = running.filter(reduce(lambda a, b: a | b, inside)).select(
+            "digit", *[F.when(i, r - F.col("below")).alias(f"r{k}") for k, (i, r) in enumerate(zip(inside, left))]).collect()
+        if not hits:
+            return [None] * len(ranks)
+        for k in range(len(ranks)):
+            hit = next(h for h in hits if h[f"r{k}"] is not None)
+            found[k] = (found[k] << _BITS) | hit.digit
+            left[k] = F.lit(hit[f"r{k}"])
+    return list(found)
+
+
+def prefix_cutoff(df: DataFrame, time: str, size: Callable[[Column], Column]) -> Column:
+    """Time of the `size(n)`-th row in time order, as a constant the scan can filter by."""
+    nth = select_ranks(df, micros(time), [lambda n: F.greatest(size(n).cast("long"), F.lit(1)) - 1])[0]
+    return F.timestamp_micros(F.lit(nth).cast("long"))
 
 
 def time_prefix(df: DataFrame, time: str, size: Callable[[Column], Column]) -> DataFrame:
     """Rows up to that cutoff; rows that share the cutoff time all stay."""
-    return df.filter(F.col(time) <= prefix_cutoff(df, time, size).scalar())
+    return df.filter(F.col(time) <= prefix_cutoff(df, time, size))
 
 
 def time_split(df: DataFrame, time: str, ratio: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """Training rows up to the cutoff of the first `ratio` of the rows, test rows after it."""
     cutoff = prefix_cutoff(df, time, lambda n: F.floor(n * F.lit(ratio)))
-    return df.filter(F.col(time) <= cutoff.scalar()), df.filter(F.col(time) > cutoff.scalar())
+    return df.filter(F.col(time) <= cutoff), df.filter(F.col(time) > cutoff)
 
 
 def every_nth(df: DataFrame, time: str, max_points: int | None = None, step: int | None = None,

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..fixed import FEATURE_COLUMNS
 from ..functions.measures import all_present
-from ..operators.order import prefix_cutoff, time_split
+from ..operators.order import time_prefix, time_split
 from ..operators.regression import error_metrics
 from ..operators.select import available
 from ..sources.scratch import checkpoint_dir, fresh_path
@@ -121,9 +121,8 @@ def learning_curve(train: DataFrame, test: DataFrame, features: Sequence[str], l
     forest = estimators(label, settings)["RandomForest"]
     rows = []
     for fraction in settings.curve_fractions:
-        cutoff = prefix_cutoff(ready, time, lambda n, f=fraction: F.greatest(
-            F.floor(n * F.lit(f)), F.least(n, F.lit(settings.curve_min_rows)))).first().cutoff
-        part = ready.filter(F.col(time) <= F.lit(cutoff))
+        part = time_prefix(ready, time, lambda n, f=fraction: F.greatest(
+            F.floor(n * F.lit(f)), F.least(n, F.lit(settings.curve_min_rows))))
         model = fit(part, features, forest)
         rows.append((fraction, part.count(), score(model, part, label)["rmse"], score(model, test, label)["rmse"]))
     return train.sparkSession.createDataFrame(
