@@ -104,7 +104,7 @@ def _(spark, sf):
 @query("share_pct", f"""
     WITH {S0} SELECT b30, CASE WHEN load > 0 THEN (coalesce(view, 0) + coalesce(click, 0) + coalesce(signup, 0)) / load * 100 END
         AS renewable_pct, CASE WHEN load > 0 THEN purchase / load * 100 END AS base_pct FROM s0""",
-       doubles="renewable_pct base_pct", digits=4)
+       doubles="renewable_pct base_pct")
 def _(spark, sf):
     return mix(spark, sf).select("b30", m.share_pct(["view", "click", "signup"], "load").alias("renewable_pct"),
                                  m.plain_share_pct("purchase", "load").alias("base_pct"))
@@ -112,7 +112,7 @@ def _(spark, sf):
 
 @query("forecast_error", f"""
     WITH {S0} SELECT b30, load - view AS error, CASE WHEN load > 0 THEN abs(load - view) / load * 100 END AS error_pct FROM s0""",
-       doubles="error error_pct", digits=4)
+       doubles="error error_pct")
 def _(spark, sf):
     return mix(spark, sf).select("b30", m.forecast_error("load", "view").alias("error"),
                                  m.forecast_error_pct("load", "view").alias("error_pct"))
@@ -134,7 +134,7 @@ def _(spark, sf):
     SELECT b30, completeness_before, ((signup IS NOT NULL)::INT + (purchase IS NOT NULL)::INT + (filled IS NOT NULL)::INT
         + (click IS NOT NULL)::INT + (error IS NOT NULL)::INT) / 5 AS completeness_after,
         CASE WHEN load > 0 THEN purchase / load * 100 END AS share, load - filled AS err FROM f""",
-       doubles="completeness_before completeness_after share err", digits=4)
+       doubles="completeness_before completeness_after share err")
 def _(spark, sf):
     """Score before and after filling one source, with share and error."""
     from loadtide.operators.impute import fill_gaps

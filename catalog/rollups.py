@@ -272,13 +272,13 @@ _BY_TIME = _SILVER_SQL.format(
     tail="WINDOW f AS (ORDER BY datetime RANGE BETWEEN INTERVAL 86399999999 MICROSECOND PRECEDING AND CURRENT ROW)")
 
 
-@query("silver_by_time", f"WITH {FEATURE_SQL} {_BY_TIME}", doubles=_SILVER_NUM, digits=5)
+@query("silver_by_time", f"WITH {FEATURE_SQL} {_BY_TIME}", doubles=_SILVER_NUM, digits=7)
 def _(spark, sf):
     """Raw to clean table with all features; lags and rolling columns by time."""
     return layers.silver(national(spark, sf), SERIES, columns=_SILVER)
 
 
-@query("silver_by_rows", f"WITH {FEATURE_SQL} {_BY_ROWS}", doubles=_SILVER_NUM, digits=5)
+@query("silver_by_rows", f"WITH {FEATURE_SQL} {_BY_ROWS}", doubles=_SILVER_NUM, digits=7)
 def _(spark, sf):
     """The same with lags and rolling columns by rows inside the year."""
     return layers.silver(national(spark, sf), SERIES, by_time=False, columns=_SILVER)
@@ -304,4 +304,4 @@ _GOLD_SQL = f"""WITH {FEATURE_SQL} SELECT CAST(datetime AS DATE) AS date, year(d
 def _(spark, sf):
     """Clean table to the 27 daily columns."""
     daily, _ = layers.gold(layers.silver(national(spark, sf), SERIES))
-    return daily
+    return daily.drop("off_peak_mean_mw")

@@ -119,7 +119,7 @@ def _(spark, sf):
 @query("rolling_rows", f"""
     WITH {S0} SELECT b30, avg(load) OVER w AS mean, stddev_samp(load) OVER w AS std
     FROM s0 WINDOW w AS (PARTITION BY year(b30) ORDER BY b30 ROWS BETWEEN 48 PRECEDING AND CURRENT ROW)""",
-       doubles="mean std")
+       doubles="mean std", digits=7)
 def _(spark, sf):
     return lookback.row_windows(mix(spark, sf).select("b30", "load"), "b30", {
         "mean": Rolling("load", 48, "mean"), "std": Rolling("load", 48, "std")}, period=F.year("b30")).drop("load")
@@ -129,7 +129,7 @@ def _(spark, sf):
     WITH {S0} SELECT b30, avg(load) OVER h6 AS mean_6h, CASE WHEN count(load) OVER d7 >= 72 THEN avg(load) OVER d7 END AS mean_7d
     FROM s0 WINDOW h6 AS (ORDER BY b30 RANGE BETWEEN INTERVAL 21599999999 MICROSECOND PRECEDING AND CURRENT ROW),
     d7 AS (ORDER BY b30 RANGE BETWEEN INTERVAL 604799999999 MICROSECOND PRECEDING AND CURRENT ROW)""",
-       doubles="mean_6h mean_7d")
+       doubles="mean_6h mean_7d", digits=7)
 def _(spark, sf):
     return lookback.time_windows(mix(spark, sf).select("b30", "load"), "b30", {
         "mean_6h": Rolling("load", 6 * HOUR), "mean_7d": Rolling("load", 7 * DAY, min_count=72)}).drop("load")
@@ -140,7 +140,7 @@ def _(spark, sf):
     FROM (SELECT * FROM u0) x LEFT JOIN (SELECT user_id AS pu, b30 + INTERVAL 24 HOUR AS pb, load FROM u0) p
       ON p.pu = x.user_id AND p.pb = x.b30
     WINDOW w AS (PARTITION BY user_id ORDER BY b30 RANGE BETWEEN INTERVAL 86399999999 MICROSECOND PRECEDING AND CURRENT ROW)
-    """.replace("avg(load)", "avg(x.load)").replace("count(load)", "count(x.load)"), doubles="mean_24h lag_24h")
+    """.replace("avg(load)", "avg(x.load)").replace("count(load)", "count(x.load)"), doubles="mean_24h lag_24h", digits=7)
 def _(spark, sf):
     """Last-day mean and day-before value of every user, in one shuffle."""
     return lookback.time_windows(user_series(spark, sf).select("user_id", "b30", "load"), "b30", {
@@ -151,7 +151,7 @@ def _(spark, sf):
 @query("rolling_exclude_current", f"""
     WITH {S0} SELECT b30, avg(load) OVER w AS mean, stddev_samp(load) OVER w AS std FROM s0
     WINDOW w AS (ORDER BY b30 RANGE BETWEEN INTERVAL 86399999999 MICROSECOND PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING)""",
-       doubles="mean std")
+       doubles="mean std", digits=7)
 def _(spark, sf):
     """Last-day statistics without the current value, as a model may use them."""
     return lookback.time_windows(mix(spark, sf).select("b30", "load"), "b30", {
