@@ -173,19 +173,19 @@ def _months(spark, sf):
 
 
 @query("monthly_energy_mean", f"WITH {_MONTHS} SELECT CAST(r.p AS DATE) AS period, m.label, raw_twh AS total_twh FROM m JOIN r USING (label)",
-       doubles="total_twh")
+       doubles="total_twh", digits=9)
 def _(spark, sf):
     return _months(spark, sf)[0]
 
 
-@query("month_inner", f"WITH {_MONTHS} SELECT label, raw_twh, clean_twh FROM m", doubles="raw_twh clean_twh")
+@query("month_inner", f"WITH {_MONTHS} SELECT label, raw_twh, clean_twh FROM m", doubles="raw_twh clean_twh", digits=9)
 def _(spark, sf):
     return compare.month_inner(*_months(spark, sf))
 
 
 @query("monthly_compare", f"""
     WITH {_MONTHS} SELECT label, raw_twh, clean_twh, gap_pct, abs(gap_pct) >= 1 AS annotate, abs(gap_pct) >= 3 AS explain FROM g""",
-       doubles="raw_twh clean_twh gap_pct")
+       doubles="raw_twh clean_twh gap_pct", digits=9)
 def _(spark, sf):
     return compare.monthly_compare(*_months(spark, sf))
 
@@ -193,7 +193,7 @@ def _(spark, sf):
 @query("monthly_gap_summary", f"""
     WITH {_MONTHS}, w AS (SELECT * FROM g WHERE gap_pct <> 0 ORDER BY abs(gap_pct) DESC, label LIMIT 1)
     SELECT (SELECT avg(abs(gap_pct)) FROM g) AS mean_abs_gap_pct, label AS max_gap_month, gap_pct AS max_gap_pct, raw_twh, clean_twh,
-           abs(gap_pct) >= 3 AS explain FROM w""", doubles="mean_abs_gap_pct max_gap_pct raw_twh clean_twh")
+           abs(gap_pct) >= 3 AS explain FROM w""", doubles="mean_abs_gap_pct max_gap_pct raw_twh clean_twh", digits=9)
 def _(spark, sf):
     return compare.monthly_gap_summary(compare.monthly_compare(*_months(spark, sf)))
 

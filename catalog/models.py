@@ -1 +1,212 @@
-"""Registered queries."""
+"""Prediction errors, rankings, bias curves, and model fits on the half-hour series."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from loadtide.fixed import FEATURE_COLUMNS
+from loadtide.functions.timeaxis import HOUR
+from loadtide.operators import regression
+from loadtide.operators.lookback import Lag, time_windows
+from loadtide.operators.select import available
+from loadtide.plans import layers, training
+from loadtide.sources.scratch import fresh_path
+
+from .base import S0, U0, mix, query, user_series
+from .rollups import CLEAN_SQL, SERIES, national
+
+LABEL, TIME = "consumption_mw", "datetime"
+
+
+def naive(spark, sf):
+    """Half-hour load with the value of a day before as its prediction."""
+    return time_windows(mix(spark, sf).select("b30", "load"), "b30", {"predicted": Lag("load", 24 * HOUR)})
+
+
+NAIVE = f"{S0}, p AS (SELECT s0.b30, s0.load, q.load AS predicted FROM s0 LEFT JOIN s0 q ON q.b30 = s0.b30 - INTERVAL 24 HOUR)"
+_METRICS = """sqrt(avg(power(load - predicted, 2))) AS rmse, avg(abs(load - predicted)) AS mae,
+    avg(abs(load - predicted) / load) FILTER (load > 0) * 100 AS mape_pct,
+    1 - sum(power(load - predicted, 2)) / (var_pop(load) FILTER (predicted IS NOT NULL) * count(predicted)) AS r2"""
+
+
+@query("naive_baseline", f"WITH {NAIVE} SELECT * FROM p", doubles="load predicted")
+def _(spark, sf):
+    return naive(spark, sf)
+
+
+@query("evaluate", f"WITH {NAIVE} SELECT {_METRICS} FROM p", doubles="rmse mae mape_pct r2")
+def _(spark, sf):
+    return regression.evaluate(naive(spark, sf), "load", "predicted")
+
+
+@query("evaluate_by_user", f"""
+    WITH {U0}, p AS (SELECT u0.user_id, u0.b30, u0.load, q.load AS predicted FROM u0 JOIN u0 q ON q.user_id = u0.user_id
+        AND q.b30 = u0.b30 - INTERVAL 24 HOUR)
+    SELECT user_id, sqrt(avg(power(load - predicted, 2))) AS rmse, avg(abs(load - predicted)) AS mae FROM p GROUP BY 1""",
+       doubles="rmse mae")
+def _(spark, sf):
+    """Errors of every user's day-before prediction."""
+    pairs = time_windows(user_series(spark, sf).select("user_id", "b30", "load"), "b30",
+                         {"predicted": Lag("load", 24 * HOUR)}, ["user_id"], chunk=240 * HOUR).filter("predicted IS NOT NULL")
+    return regression.evaluate(pairs, "load", "predicted", ["user_id"]).select("user_id", "rmse", "mae")
+
+
+@query("prediction_metrics", f"""WITH {NAIVE} SELECT {_METRICS.replace('FILTER (load > 0)', 'FILTER (load <> 0)')} FROM p""",
+       doubles="rmse mae mape_pct r2")
+def _(spark, sf):
+    return regression.evaluate(naive(spark, sf), "load", "predicted", positive_only=False)
+
+
+@query("naive_metrics", f"WITH {NAIVE} SELECT count(predicted) AS n, {_METRICS} FROM p", doubles="rmse mae mape_pct r2")
+def _(spark, sf):
+    m = regression.error_metrics("load", "predicted")
+    return naive(spark, sf).agg(F.count("predicted").alias("n"), *[c.alias(n) for n, c in m.items()])
+
+
+@query("error_band", f"""
+    WITH {NAIVE}, e AS (SELECT *, load - predicted AS error FROM p WHERE predicted IS NOT NULL)
+    SELECT *, abs(error) <= (SELECT 2 * sqrt(avg(error * error)) FROM e) AS in_band, CASE WHEN error > 0 THEN 'under' ELSE 'over' END
+        AS direction FROM e""", doubles="load predicted error")
+def _(spark, sf):
+    return regression.error_band(naive(spark, sf), "load", "predicted")
+
+
+@query("segment_mae", f"""
+    WITH {U0}, p AS (SELECT user_id, b30, load, n * 30.0::DOUBLE AS predicted FROM u0),
+    t AS (SELECT *, CASE WHEN b30 - lag(b30) OVER w > INTERVAL 24 HOUR THEN 1 ELSE 0 END AS b FROM p WINDOW w AS (PARTITION BY user_id ORDER BY b30)),
+    s AS (SELECT *, sum(b) OVER (PARTITION BY user_id ORDER BY b30 ROWS UNBOUNDED PRECEDING) AS segment_id FROM t)
+    SELECT user_id, segment_id, count(*) AS n, min(b30) AS segment_start, max(b30) AS segment_end, avg(abs(load - predicted)) AS mae
+    FROM s GROUP BY 1, 2""", doubles="mae", ints="segment_id")
+def _(spark, sf):
+    """Mean error of every contiguous block of every user's predictions."""
+    preds = user_series(spark, sf).withColumn("predicted", F.col("n") * 30.0).drop("n")
+    return regression.segment_mae(preds, "b30", "load", "predicted", keys=["user_id"])
+
+
+LAGS = {"LinearRegression": 24, "GradientBoosting": 48, "RandomForest": 1, "lag_168": 168}
+_MODELS = f"""{S0}, metrics AS (""" + " UNION ALL ".join(
+    f"SELECT '{n}' AS model_name, {_METRICS}, {h}.0::DOUBLE AS train_time_s FROM (SELECT s0.b30, s0.load, q.load AS predicted FROM s0 "
+    f"LEFT JOIN s0 q ON q.b30 = s0.b30 - INTERVAL {h} HOUR) p{h}" for n, h in LAGS.items()) + ")"
+
+
+def lag_models(spark, sf):
+    """Errors of predictors with several lags, in one pass."""
+    wide = time_windows(mix(spark, sf).select("b30", "load"), "b30", {n: Lag("load", h * HOUR) for n, h in LAGS.items()})
+    tall = wide.select("load", F.inline(F.array(*[
+        F.struct(F.lit(n).alias("model_name"), F.lit(float(h)).alias("train_time_s"), F.col(n).alias("predicted"))
+        for n, h in LAGS.items()])))
+    m = regression.error_metrics("load", "predicted")
+    return tall.groupBy("model_name", "train_time_s").agg(*[c.alias(n) for n, c in m.items()])
+
+
+@query("model_ranking", f"""
+    WITH {_MODELS} SELECT model_name, CASE model_name WHEN 'LinearRegression' THEN 'Régression linéaire' WHEN 'RandomForest' THEN
+        'Forêt aléatoire' WHEN 'GradientBoosting' THEN 'Gradient Boosting' ELSE replace(model_name, '_', ' ') END AS label,
+        rmse, mae, mape_pct, r2, row_number() OVER (ORDER BY rmse) AS rank, (rmse / min(rmse) OVER () - 1) * 100 AS delta_rmse_pct,
+        rmse / min(rmse) OVER () * 100 AS rmse_pct_of_best, (1 - r2) / greatest(1 - max(r2) OVER (), 1e-6) * 100 AS r2_gap_pct,
+        rmse = min(rmse) OVER () AS best_rmse, mae = min(mae) OVER () AS best_mae, mape_pct = min(mape_pct) OVER () AS best_mape,
+        r2 = max(r2) OVER () AS best_r2 FROM metrics""", doubles="rmse mae mape_pct r2 delta_rmse_pct rmse_pct_of_best r2_gap_pct")
+def _(spark, sf):
+    return regression.model_ranking(lag_models(spark, sf))
+
+
+@query("model_narrative", f"""
+    WITH {_MODELS}, b AS (SELECT * FROM metrics ORDER BY rmse LIMIT 1), w AS (SELECT * FROM metrics ORDER BY rmse DESC LIMIT 1),
+    l AS (SELECT * FROM metrics WHERE model_name = 'LinearRegression'), g AS (SELECT * FROM metrics WHERE model_name = 'GradientBoosting')
+    SELECT b.model_name AS best_model, CASE WHEN l.rmse > b.rmse THEN l.model_name ELSE w.model_name END AS reference_model,
+        (1 - b.rmse / CASE WHEN l.rmse > b.rmse THEN l.rmse ELSE w.rmse END) * 100 AS error_reduction_pct,
+        (g.rmse / b.rmse - 1) * 100 AS boosting_delta_pct, g.train_time_s / greatest(b.train_time_s, 0.1) AS boosting_time_ratio
+    FROM b, w, l, g""", doubles="error_reduction_pct boosting_delta_pct boosting_time_ratio")
+def _(spark, sf):
+    return regression.model_narrative(lag_models(spark, sf))
+
+
+@query("curve_optimum", f"""
+    WITH {_MODELS} SELECT arg_min(train_time_s, rmse) AS train_fraction, CAST(arg_min(train_time_s, rmse) AS BIGINT) AS train_rows,
+        min(rmse) AS rmse_validation, min(rmse) - arg_min(mae, rmse) AS gap FROM metrics""", doubles="train_fraction rmse_validation gap")
+def _(spark, sf):
+    curve = lag_models(spark, sf).select(
+        F.col("train_time_s").alias("train_fraction"), F.col("train_time_s").cast("long").alias("train_rows"),
+        F.col("mae").alias("rmse_train"), F.col("rmse").alias("rmse_validation"))
+    return regression.curve_optimum(curve)
+
+
+@query("loess_bias", f"""
+    WITH {S0}, d AS (SELECT load AS x, view AS y FROM s0 WHERE load IS NOT NULL AND view IS NOT NULL),
+    b AS (SELECT min(x) AS lo, max(x) AS hi, count(*) AS n, least(greatest(floor(count(*) * 0.08), 3), count(*) - 1)::BIGINT AS k FROM d),
+    g AS (SELECT i AS grid_index, lo + i * ((hi - lo) / 299) AS x0, k FROM b, range(300) t(i)),
+    h AS (SELECT grid_index, x0, greatest(list_sort(list(abs(x - x0)))[any_value(k) + 1], 1e-9) AS h FROM g, d GROUP BY 1, 2),
+    w AS (SELECT grid_index, x0, x - x0 AS u, y, power(greatest(1 - power(abs(x - x0) / h, 3), 0), 3) AS w FROM h, d),
+    s AS (SELECT grid_index, x0, sum(w) AS sw, sum(w * u) / sum(w) AS um, sum(w * y) / sum(w) AS ym FROM w GROUP BY 1, 2),
+    c AS (SELECT w.grid_index, w.x0, any_value(ym) AS ym, any_value(um) AS um, sum(w * (u - um) * (y - ym)) AS num,
+          sum(w * (u - um) * (u - um)) AS den FROM w JOIN s USING (grid_index) GROUP BY 1, 2)
+    SELECT grid_index, x0 AS x, CASE WHEN den < 1e-12 THEN ym ELSE ym - num / den * um END AS y FROM c""",
+       doubles="x y", digits=5)
+def _(spark, sf):
+    """Smooth curve of one source against the load."""
+    return regression.loess(mix(spark, sf), "load", "view")
+
+
+# Fits on the clean series. The rolling columns leave out the value being predicted.
+def features(spark, sf):
+    rows = layers.engineer(layers.clean(national(spark, sf), SERIES), SERIES, exclude_current=True)
+    return training.materialize(training.load_training(rows, LABEL))
+
+
+@query("load_training", f"""
+    WITH {CLEAN_SQL} SELECT a.datetime, a.consumption_mw, b.consumption_mw AS lag_24h_mw FROM clean a JOIN clean b
+    ON b.datetime = a.datetime - INTERVAL 24 HOUR WHERE a.consumption_mw IS NOT NULL AND b.consumption_mw IS NOT NULL""",
+       doubles="consumption_mw lag_24h_mw")
+def _(spark, sf):
+    rows = layers.engineer(layers.clean(national(spark, sf), SERIES), SERIES)
+    return training.load_training(rows, LABEL).select(TIME, LABEL, "lag_24h_mw")
+
+
+@query("assemble_features")
+def _(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+
+    v = training.assemble_features(features(spark, sf))
+    return v.select(TIME, F.size(vector_to_array("features")).alias("n_features"))
+
+
+@query("split_summary")
+def _(spark, sf):
+    train, test = training.split(features(spark, sf), TIME)
+    return training.split_summary(train, test, TIME)
+
+
+def split_features(spark, sf):
+    rows = features(spark, sf)
+    names = available(rows, FEATURE_COLUMNS)
+    return (*training.split(rows, TIME), names)
+
+
+@query("fit_models")
+def _(spark, sf):
+    """All four models fitted, scored and compared."""
+    train, test, names = split_features(spark, sf)
+    return training.train_and_compare(train, test, names, LABEL, training.model_path(spark)).drop("train_time_s")
+
+
+@query("select_best")
+def _(spark, sf):
+    """The best of the linear model and the tree, saved, loaded again and scored."""
+    from pyspark.ml import PipelineModel
+
+    train, test, names = split_features(spark, sf)
+    path = fresh_path(spark, "models")
+    rows = []
+    for kind in ("LinearRegression", "DecisionTree"):
+        model = training.fit(train, names, training.estimators(LABEL)[kind])
+        model.write().overwrite().save(f"{path}/{kind}")
+        rows.append((kind, training.score(model, test, LABEL)["rmse"]))
+    training.select_best(spark.createDataFrame(rows, "model_name string, rmse double"), path)
+    return training.score_export(PipelineModel.load(f"{path}/best"), test, TIME, LABEL)
+
+
+@query("learning_curve")
+def _(spark, sf):
+    train, test, names = split_features(spark, sf)
+    few = training.ModelSettings(curve_fractions=(0.5, 1.0), forest_trees=10, forest_depth=5)
+    return training.learning_curve(train, test, names, LABEL, TIME, few)

@@ -81,7 +81,7 @@ def _(spark, sf):
         AS season, consumption_mean_mw, consumption_total_twh, trading_days, CASE WHEN lag(year) OVER w = year - 1
         THEN (consumption_total_twh / lag(consumption_total_twh) OVER w - 1) * 100 END AS consumption_yoy_pct
     FROM s WINDOW w AS (PARTITION BY month ORDER BY year)""",
-       doubles="consumption_mean_mw consumption_total_twh consumption_yoy_pct", ints="season", digits=5)
+       doubles="consumption_mean_mw consumption_total_twh consumption_yoy_pct", ints="season", digits=7)
 def _(spark, sf):
     daily, monthly = layers.gold(orders(spark, sf).drop("year", "month"),
                                  DailySpec(time="o_orderdate", load="o_totalprice", sources={}, exchanges=None))
@@ -298,7 +298,7 @@ _GOLD_SQL = f"""WITH {FEATURE_SQL} SELECT CAST(datetime AS DATE) AS date, year(d
     FROM feat GROUP BY 1, 2, 3, 4, 5, 6"""
 
 
-@query("gold_daily", _GOLD_SQL, ints="season", digits=5, doubles="""consumption_mean_mw consumption_min_mw consumption_max_mw
+@query("gold_daily", _GOLD_SQL, ints="season", digits=7, doubles="""consumption_mean_mw consumption_min_mw consumption_max_mw
     consumption_std_mw consumption_total_gwh forecast_mape_pct forecast_mae_mw nuclear_mean_mw wind_mean_mw solar_mean_mw
     hydro_mean_mw renewable_share_pct nuclear_share_pct co2_mean_gkwh co2_min_gkwh co2_max_gkwh quality_score_mean peak_consumption_mw""")
 def _(spark, sf):
