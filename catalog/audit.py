@@ -10,7 +10,10 @@ from loadtide.operators import audit, quality
 from .base import O0, orders, query, table
 
 AS_OF = "2001-08-01"
-NOW = F.lit(AS_OF)
+
+
+def now():
+    return F.lit(AS_OF).cast("timestamp")
 
 RUNS = """runs AS (SELECT o_orderkey AS run_id, o_orderpriority AS dag_id,
     CASE o_orderstatus WHEN 'F' THEN 'failed' WHEN 'O' THEN 'success' ELSE 'running' END AS status, o_orderdate AS started_at,
@@ -90,20 +93,20 @@ def _(spark, sf):
     WITH {CHECKS} SELECT round(100.0::DOUBLE * count(*) FILTER (passed) / nullif(count(*), 0), 1) AS pass_rate_pct FROM checks
     WHERE checked_at >= TIMESTAMP '{AS_OF}' - INTERVAL 30 DAY""", doubles="pass_rate_pct", digits=1)
 def _(spark, sf):
-    return audit.pass_rate(checks(spark, sf), NOW.cast("timestamp"))
+    return audit.pass_rate(checks(spark, sf), now())
 
 
 @query("recent_failures", f"""
     WITH {RUNS} SELECT count(*) AS failures FROM runs WHERE status IN ('failed', 'error')
     AND started_at >= TIMESTAMP '{AS_OF}' - INTERVAL 7 DAY""")
 def _(spark, sf):
-    return audit.recent_failures(runs(spark, sf), NOW.cast("timestamp"))
+    return audit.recent_failures(runs(spark, sf), now())
 
 
 @query("recent_failed_checks", f"""
     WITH {CHECKS} SELECT * FROM checks WHERE NOT passed AND checked_at >= TIMESTAMP '{AS_OF}' - INTERVAL 48 HOUR""")
 def _(spark, sf):
-    return audit.recent_failed_checks(checks(spark, sf), NOW.cast("timestamp"), hours=48)
+    return audit.recent_failed_checks(checks(spark, sf), now(), hours=48)
 
 
 @query("best_per_run", f"WITH {METRICS} SELECT run_id, min(rmse) AS rmse, max(trained_at) AS trained_at FROM metrics GROUP BY 1",
@@ -158,7 +161,7 @@ def _(spark, sf):
         quality.Check("rows", lambda: F.count(F.lit(1)), ">=", 1, "critical"),
         quality.Check("null_price", lambda: quality.null_rate("o_totalprice"), "<=", 0)], "orders")
     path = fresh_path(spark, "audit")
-    publish_append(audit.check_rows(results, "run-1", "audit", NOW.cast("timestamp")), path)
+    publish_append(audit.check_rows(results, "run-1", "audit", now()), path)
     return read_table(spark, path).select("check_name", "expected_value", "actual_value", "passed")
 
 
@@ -168,4 +171,4 @@ def _(spark, sf):
 def _(spark, sf):
     """Metrics rounded the way they are stored."""
     latest = audit.latest_run_rows(metrics(spark, sf))
-    return audit.metric_rows(latest, "r", NOW).select("model_name", "rmse", "mape_pct", "r2")
+    return audit.metric_rows(latest, "r", now()).select("model_name", "rmse", "mape_pct", "r2")

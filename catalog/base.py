@@ -20,15 +20,20 @@ SLOT = 30 * MINUTE
 
 
 def query(name: str, sql: str | None = None, doubles: str = "", ints: str = "", digits: int = 6):
-    """Register a query. `doubles` are rounded and `ints` made 64-bit on both sides."""
+    """Register a query. `doubles` are rounded and `ints` made 64-bit on both sides.
+
+    A name may carry its own number of digits, as in "total:9".
+    """
+    places = {c.partition(":")[0]: int(c.partition(":")[2] or digits) for c in doubles.split()}
+
     def add(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return plain(fn(spark, sf_dir), doubles.split(), digits)
+            return plain(fn(spark, sf_dir), places)
 
-        run.__name__, run.__doc__ = name, fn.__doc__
+        run.__name__, run.__doc__, run.__module__ = name, fn.__doc__, fn.__module__
         QUERIES[name] = run
         if sql is not None:
-            same = [f"round({c}, {digits}) + 0.0 AS {c}" for c in doubles.split()]
+            same = [f"round({c}, {d}) + 0.0 AS {c}" for c, d in places.items()]
             same += [f"CAST({c} AS BIGINT) AS {c}" for c in ints.split()]
             ORACLES[name] = f"SELECT * REPLACE ({', '.join(same)}) FROM ({sql.strip()})" if same else sql.strip()
         return fn
@@ -36,12 +41,12 @@ def query(name: str, sql: str | None = None, doubles: str = "", ints: str = "",
     return add
 
 
-def plain(df: DataFrame, doubles: list[str], digits: int) -> DataFrame:
+def plain(df: DataFrame, doubles: dict[str, int]) -> DataFrame:
     """64-bit integers, times without zone, rounded doubles: what the SQL side returns."""
     def shape(f: T.StructField):
         c = F.col(f.name)
         if f.name in doubles:
-            c = F.round(c.cast("double"), digits) + F.lit(0.0)
+            c = F.round(c.cast("double"), doubles[f.name]) + F.lit(0.0)
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("long")
         elif isinstance(f.dataType, T.TimestampType):

@@ -1 +1,138 @@
-"""Registered queries."""
+"""Reading Latin-1 files that Spark first writes from the given tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from loadtide.fixed import HEADER_LABELS
+from loadtide.operators import quality
+from loadtide.sources import files, messages, tsv
+from loadtide.sources.scratch import fresh_path
+
+from .base import S0, events, mix, orders, query, table
+
+# Headings of the written files, one of them outside the map.
+HEADINGS = ("Périmètre", "Nature", "Date", "Heures", "Consommation", "Nucléaire", "Eolien", "Solaire", " Stockage batterie", "Taux de Co2",
+            "Code Région")
+
+
+def write_lines(lines: DataFrame, heading: str, path: str, group: Column) -> None:
+    """Text files with a heading, one folder per group, lines ordered by `rank`."""
+    (lines.withColumn("g", group).repartition("g").sortWithinPartitions("g", "rank", "line")
+     .select("g", F.col("line").alias(heading)).write.partitionBy("g")
+     .options(header=True, sep="\u0001", quote="", escape="", encoding="ISO-8859-1", emptyValue="",
+              ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path))
+
+
+def number(c: str, missing: str) -> Column:
+    """Decimal comma, or a mark for a missing value."""
+    return F.coalesce(F.replace(F.format_string("%.6f", c), F.lit("."), F.lit(",")), F.lit(missing))
+
+
+def measure_lines(spark, sf) -> str:
+    """Writes the half-hour mix as measures files, with lines that must be dropped; gives the folder."""
+    s = mix(spark, sf)
+    day, clock = F.date_format("b30", "yyyy-MM-dd"), F.date_format("b30", "HH:mm")
+    row = F.concat_ws("\t", F.lit("France"), F.lit("Données définitives"), day, clock, number("load", "ND"), number("purchase", "ND"),
+                      number("view", "-"), number("click", ""), number("signup", "n/a"), number("error", "ND"), F.lit("Île"))
+    good = s.select("b30", row.alias("line"), F.lit(1).alias("rank"))
+    odd = F.inline(F.array(*[F.struct(F.lit(line).alias("line"), F.lit(rank).alias("rank")) for line, rank in (
+        ("  ", 1), ("a\tb", 1), ("France\tx\t\t00:00\t5", 1), ("France\tx\t2024-1-5\t00:00\t5", 1), ("France\tx\tDate\tHeures\t5", 1),
+        ("L'exploitant ne pourra être tenu responsable", 2), ("France\tx\t2031-01-01\t00:00\t5", 3))]))
+    days = s.groupBy(F.to_date("b30").cast("timestamp").alias("b30")).agg(F.count(F.lit(1)).alias("n")).select("b30", odd)
+    path = fresh_path(spark, "measures")
+    write_lines(good.unionByName(days), "\t".join(HEADINGS), path, F.date_format("b30", "yyyy-MM-dd"))
+    return path
+
+
+@query("read_tsv_latin1", f"""
+    WITH {S0} SELECT 'France' AS perimeter, 'Données définitives' AS nature, b30 AS datetime, load AS consumption_mw, purchase AS nuclear_mw,
+        view AS wind_mw, click AS solar_mw, signup AS battery_storage_mw, error AS co2_rate, NULL::DOUBLE AS gas_mw, 'Île' AS "code_région" FROM s0""",
+       doubles="consumption_mw nuclear_mw wind_mw solar_mw battery_storage_mw co2_rate gas_mw")
+def _(spark, sf):
+    """Latin-1 files with decimal commas, missing-value marks, odd lines and a footer, back to typed rows."""
+    lines = tsv.read_lines(spark, measure_lines(spark, sf))
+    return tsv.read_measures(lines, extra=["code_région"]).select(
+        "perimeter", "nature", "datetime", "consumption_mw", "nuclear_mw", "wind_mw", "solar_mw", "battery_storage_mw", "co2_rate",
+        "gas_mw", "code_région")
+
+
+@query("stop_at_marker", f"""
+    WITH {S0} SELECT CAST(b30 AS DATE) AS day, count(*) + 5 AS lines, 0 AS after_footer FROM s0 GROUP BY 1""", ints="lines after_footer")
+def _(spark, sf):
+    """Lines kept per daily file: the footer and what follows it are gone."""
+    lines = tsv.read_lines(spark, measure_lines(spark, sf))
+    kept = tsv.stop_at_marker(lines, tsv.file_layout(lines, HEADER_LABELS, "ne pourra"))
+    day = F.regexp_extract("path", r"g=(\d{4}-\d{2}-\d{2})", 1).cast("date")
+    late = F.col("line").contains("2031-01-01") | F.col("line").contains("ne pourra")
+    return kept.groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("lines"), F.count(F.when(late, 1)).alias("after_footer"))
+
+
+@query("reject_rows", """
+    WITH d AS (SELECT count(DISTINCT CAST(ts AS DATE)) AS n FROM events)
+    SELECT unnest(['blank', 'short', 'no_date', 'bad_date', 'repeated_heading']) AS reason, n FROM d""")
+def _(spark, sf):
+    """Dropped lines by reason: each daily file has one of every kind."""
+    lines = tsv.read_lines(spark, measure_lines(spark, sf))
+    return tsv.reject_counts(lines).groupBy("reason").agg(F.sum("n").alias("n"))
+
+
+@query("read_calendar", """
+    SELECT DISTINCT strftime(o_orderdate, '%Y-%m-%d') AS date, CASE dayofyear(o_orderdate) % 3 WHEN 0 THEN 'BLEU' WHEN 1 THEN 'BLANC'
+        ELSE 'VERT' END AS tempo_color, CAST(o_orderdate AS DATE) AS date_parsed FROM orders""")
+def _(spark, sf):
+    """Two-column calendar files, colours in any case."""
+    turn = F.dayofyear("o_orderdate") % 3
+    colour = F.when(turn == 0, "bleu").when(turn == 1, " Blanc ").otherwise("VERT")
+    days = table(spark, sf, "orders").select(
+        "o_orderdate", F.concat_ws("\t", F.date_format("o_orderdate", "yyyy-MM-dd"), colour).alias("line"), F.lit(1).alias("rank")).distinct()
+    junk = days.groupBy(F.date_trunc("year", "o_orderdate").alias("o_orderdate")).agg(F.lit("no tab here").alias("line"), F.lit(1).alias("rank"))
+    path = fresh_path(spark, "calendar")
+    write_lines(days.unionByName(junk), "Date\tType de jour", path, F.year("o_orderdate"))
+    return tsv.read_calendar(tsv.read_lines(spark, path)).select("date", "tempo_color", "date_parsed")
+
+
+@query("invalid_colours", """
+    SELECT DISTINCT CAST(o_orderdate AS DATE) AS day, 'VERT' AS colour FROM orders WHERE dayofyear(o_orderdate) % 3 = 2""")
+def _(spark, sf):
+    turn = F.dayofyear("o_orderdate") % 3
+    days = table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("day"), F.when(turn == 0, "BLEU").when(turn == 1, "BLANC")
+                                             .otherwise("VERT").alias("colour")).distinct()
+    return tsv.invalid_colours(days, ("BLEU", "BLANC", "ROUGE"), "colour")
+
+
+@query("select_files", """
+    SELECT CASE o_orderstatus WHEN 'F' THEN 'annual' WHEN 'O' THEN 'current' ELSE 'calendar' END AS route, count(*) AS n FROM orders GROUP BY 1
+    UNION ALL SELECT NULL, count(*) FROM customer""")
+def _(spark, sf):
+    """Routes of file names made from the tables; a name of no known kind has none."""
+    s = F.col("o_orderstatus")
+    kind = F.when(s == "F", "x_Annuel-Definitif_").when(s == "O", "x_En-cours-TR_").otherwise("x_tempo_")
+    names = table(spark, sf, "orders").select(F.concat(kind, F.col("o_orderkey").cast("string"), F.lit(".xls")).alias("name"))
+    other = table(spark, sf, "customer").select(F.concat("c_name", F.lit(".xls")).alias("name"))
+    return names.unionAll(other).groupBy(files.route("name").alias("route")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("file_inventory", f"""
+    WITH {S0} SELECT CAST(b30 AS DATE) AS day, count(*) AS n_rows, min(b30) AS min_time, max(b30) AS max_time, '2024' AS years FROM s0 GROUP BY 1""")
+def _(spark, sf):
+    """Rows, time span and years of each written file, from its parsed records."""
+    records = tsv.read_measures(tsv.read_lines(spark, measure_lines(spark, sf)))
+    by_file = quality.source_inventory(records.withColumn("source_file", F.to_date("datetime")))
+    return by_file.withColumnRenamed("source_file", "day")
+
+
+FIELDS = [("event_id", "bigint"), ("event_type", "string"), ("value", "double"), ("ts", "timestamp"), ("k", "int")]
+
+
+@query("export_stream_parquet", """
+    SELECT event_id, event_type, CASE WHEN event_type <> 'error' THEN value END AS value, ts, NULL::BIGINT AS k FROM events""", doubles="value")
+def _(spark, sf):
+    """JSON messages to typed Parquet: unusable and absent values become null, the rest of the row stays."""
+    e = table(spark, sf, "events")
+    value = F.when(F.col("event_type") == "error", "broken").otherwise(F.col("value").cast("string"))
+    text = F.to_json(F.struct("event_id", "event_type", value.alias("value"), F.col("ts").cast("string").alias("ts")))
+    path = fresh_path(spark, "export")
+    messages.export_parquet(e.select(text.alias("value")), FIELDS, path)
+    return spark.read.parquet(path)

@@ -76,7 +76,7 @@ def _(spark, sf):
     t AS (SELECT *, CASE WHEN b30 - lag(b30) OVER w > INTERVAL 24 HOUR THEN 1 ELSE 0 END AS b FROM p WINDOW w AS (PARTITION BY user_id ORDER BY b30)),
     s AS (SELECT *, sum(b) OVER (PARTITION BY user_id ORDER BY b30 ROWS UNBOUNDED PRECEDING) AS segment_id FROM t)
     SELECT user_id, segment_id, count(*) AS n, min(b30) AS segment_start, max(b30) AS segment_end, avg(abs(load - predicted)) AS mae
-    FROM s GROUP BY 1, 2""", doubles="mae", ints="segment_id")
+    FROM s GROUP BY 1, 2""", doubles="mae:8", ints="segment_id")
 def _(spark, sf):
     """Mean error of every contiguous block of every user's predictions."""
     preds = user_series(spark, sf).withColumn("predicted", F.col("n") * 30.0).drop("n")

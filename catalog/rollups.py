@@ -81,7 +81,7 @@ def _(spark, sf):
         AS season, consumption_mean_mw, consumption_total_twh, trading_days, CASE WHEN lag(year) OVER w = year - 1
         THEN (consumption_total_twh / lag(consumption_total_twh) OVER w - 1) * 100 END AS consumption_yoy_pct
     FROM s WINDOW w AS (PARTITION BY month ORDER BY year)""",
-       doubles="consumption_mean_mw consumption_total_twh consumption_yoy_pct", ints="season", digits=7)
+       doubles="consumption_mean_mw:5 consumption_total_twh:9 consumption_yoy_pct", ints="season")
 def _(spark, sf):
     daily, monthly = layers.gold(orders(spark, sf).drop("year", "month"),
                                  DailySpec(time="o_orderdate", load="o_totalprice", sources={}, exchanges=None))

@@ -1 +1,125 @@
-"""Registered queries."""
+"""Streaming jobs over the given events, replayed as files and run until everything is read."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from loadtide.sources.messages import to_messages
+from loadtide.sources.scratch import fresh_path
+from loadtide.streaming import bronze, produce, windows
+
+from .base import DEC, query, table
+
+FIELDS = [("event_id", "bigint"), ("event_type", "string"), ("value", "double"), ("ts", "timestamp"), ("datetime", "string")]
+DAYS = [("date", "string"), ("tempo_color", "string")]
+
+
+def records(spark, sf):
+    """Events as measure records of annual and current files."""
+    name = F.when(F.col("event_type").isin("click", "view"), "m_En-cours-TR.xls").otherwise("m_Annuel_2024.xls")
+    return table(spark, sf, "events").select(
+        "event_id", "event_type", "value", "ts", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ssXXX").alias("datetime"), name.alias("source_file"))
+
+
+def calendar(spark, sf):
+    return table(spark, sf, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("date"), F.lit("BLEU").alias("tempo_color"),
+                                             F.lit("m_tempo.xls").alias("source_file")).distinct()
+
+
+@query("produce_records", """
+    SELECT CASE WHEN event_type IN ('click', 'view') THEN 'realtime' ELSE 'raw' END AS topic, strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%SZ')
+        AS key, event_id FROM events UNION ALL SELECT DISTINCT 'calendar', strftime(ts, '%Y-%m-%d'), NULL FROM events""")
+def _(spark, sf):
+    """Keyed JSON messages, routed to three topics by file name."""
+    out = produce.produce_records(records(spark, sf), calendar(spark, sf))
+    return out.select("topic", "key", F.get_json_object("value", "$.event_id").cast("long").alias("event_id"))
+
+
+@query("sent_counts", """
+    SELECT CASE WHEN event_type IN ('click', 'view') THEN 'realtime' ELSE 'raw' END AS topic, count(*) AS sent FROM events GROUP BY 1
+    UNION ALL SELECT 'calendar', count(DISTINCT CAST(ts AS DATE)) FROM events""")
+def _(spark, sf):
+    return produce.sent_counts(produce.produce_records(records(spark, sf), calendar(spark, sf)))
+
+
+def landed(spark, sf) -> str:
+    """Sends the messages as files, drains them twice into typed tables, and gives the folder."""
+    work = fresh_path(spark, "stream")
+    sent = produce.produce_records(records(spark, sf), calendar(spark, sf))
+    placed = sent.select("topic", F.lit(0).alias("partition"), F.xxhash64("value").alias("offset"), "key", "value")
+    produce.send(placed, f"{work}/messages")
+    topics = {"raw": FIELDS, "realtime": FIELDS, "calendar": DAYS}
+    for _ in range(2):
+        stream = bronze.read_messages(spark, f"{work}/messages")
+        bronze.consume_to_bronze(stream, f"{work}/bronze", f"{work}/checkpoint", "2024-02-01", topics)
+    return f"{work}/bronze"
+
+
+@query("consume_to_bronze", """
+    SELECT event_id, event_type, value, ts, CASE WHEN event_type IN ('click', 'view') THEN 'realtime' ELSE 'raw' END AS kafka_topic,
+        DATE '2024-02-01' AS run_date FROM events""", doubles="value")
+def _(spark, sf):
+    """Messages drained into one typed table per topic; draining again finds nothing new."""
+    path = landed(spark, sf)
+    rows = spark.read.parquet(f"{path}/raw").unionByName(spark.read.parquet(f"{path}/realtime"))
+    return rows.select("event_id", "event_type", "value", "ts", "kafka_topic", "run_date")
+
+
+@query("route_by_topic", "SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS date, 'BLEU' AS tempo_color, 'calendar' AS kafka_topic FROM events")
+def _(spark, sf):
+    """Calendar messages keep their colour: every topic has its own schema."""
+    return spark.read.parquet(f"{landed(spark, sf)}/calendar").select("date", "tempo_color", "kafka_topic")
+
+
+def doubled(spark, sf) -> tuple[str, object]:
+    """Events written twice, as a source that replays itself."""
+    path = fresh_path(spark, "replay")
+    e = table(spark, sf, "events").select("event_id", "ts", "event_type", F.col("value").cast("decimal(18,2)").alias("value"))
+    e.write.parquet(f"{path}/a")
+    e.write.mode("append").parquet(f"{path}/a")
+    return path, e.schema
+
+
+def collected(spark, stream, path: str, mode: str = "append"):
+    """Runs a stream into Parquet until nothing is left, and reads the result."""
+    def land(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{path}/out/batch={batch_id}")
+
+    windows.drain(stream, f"{path}/checkpoint", land, mode)
+    return spark.read.parquet(f"{path}/out").drop("batch")
+
+
+@query("stream_dedupe", "SELECT event_id, ts, event_type, value FROM events", doubles="value")
+def _(spark, sf):
+    """Exactly one row per event though every event arrives twice."""
+    path, schema = doubled(spark, sf)
+    stream = windows.replay_source(spark, f"{path}/a", schema)
+    return collected(spark, windows.stream_dedupe(stream, "ts", ["event_id"], "60 days"), path)
+
+
+_DAYS = f"""SELECT CAST(ts AS DATE) AS date, CAST(sum({DEC}) AS DOUBLE) / count(*) AS load_mean, min(value) AS load_min, max(value) AS load_max,
+    sum({DEC})::DOUBLE AS load_total, count(*) AS n, hour(arg_min(ts, (-value, ts))) AS peak_hour, max(value) AS peak_value FROM events GROUP BY 1"""
+
+
+@query("stream_daily_rollup", _DAYS, doubles="load_mean load_min load_max load_total peak_value")
+def _(spark, sf):
+    """Daily windows of the whole stream equal the daily roll-up of the table."""
+    path = fresh_path(spark, "daily")
+    e = table(spark, sf, "events").select("ts", F.col("value").cast("decimal(18,2)").alias("value"))
+    e.write.parquet(f"{path}/a")
+    stream = windows.replay_source(spark, f"{path}/a", e.schema)
+    return collected(spark, windows.stream_daily_rollup(stream, "ts", "value"), path, "complete")
+
+
+@query("stream_upsert", _DAYS, doubles="load_mean load_min load_max load_total peak_value")
+def _(spark, sf):
+    """Days kept up to date in a table, file by file."""
+    path = fresh_path(spark, "days")
+    e = table(spark, sf, "events").select("ts", F.col("value").cast("decimal(18,2)").alias("value"), "event_type")
+    for t in ("click", "view"):
+        e.filter(F.col("event_type") == t).write.mode("append").parquet(f"{path}/a")
+    e.filter(~F.col("event_type").isin("click", "view")).write.mode("append").parquet(f"{path}/a")
+    stream = windows.replay_source(spark, f"{path}/a", e.schema, files_per_trigger=2)
+    days = windows.stream_daily_rollup(stream, "ts", "value").withColumn("month", F.month("date"))
+    windows.stream_upsert(days, f"{path}/table", f"{path}/checkpoint", ["date"], ["month"])
+    return spark.read.parquet(f"{path}/table").drop("month")

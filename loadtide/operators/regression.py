@@ -77,7 +77,8 @@ def model_ranking(metrics: DataFrame, labels: Mapping[str, str] = MODEL_LABELS)
 def model_narrative(metrics: DataFrame, linear: str = "linear", boosted: str = "gradient") -> DataFrame:
     """Error reduction of the best model against the linear one (or the worst), and what boosting costs."""
     def first(like: str, col: str) -> Column:
-        return F.min(F.when(F.lower("model_name").contains(like), F.struct("rmse", col)))[col]
+        hit = F.when(F.lower("model_name").contains(like), F.struct(F.col("rmse").alias("by"), F.col(col).alias("wanted")))
+        return F.min(hit)["wanted"]
 
     r = metrics.agg(
         F.min(F.struct("rmse", "model_name", "train_time_s")).alias("best"), F.max(F.struct("rmse", "model_name")).alias("worst"),

@@ -15,13 +15,16 @@ MEASURE_MESSAGE = [*[(c, "string") for c in TEXT_COLUMNS], ("datetime", "string"
                    *[(c, "double") for c in MEASURE_COLUMNS], ("source_file", "string"), ("ingested_at", "string")]
 CALENDAR_MESSAGE = [("date", "string"), ("tempo_color", "string"), ("source_file", "string"), ("ingested_at", "string")]
 
+# Full precision: Spark's own JSON default stops at milliseconds.
+TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
 
 def to_messages(df: DataFrame, topic: str | Column, key: Sequence[str] = ("datetime", "date")) -> DataFrame:
     """Rows as (topic, key, value): the key is the first of the key columns that is set."""
     keys = [F.col(k).cast("string") for k in key if k in df.columns]
     name = F.lit(topic) if isinstance(topic, str) else topic
     return df.select(name.alias("topic"), F.coalesce(*keys, F.lit("")).alias("key"),
-                     F.to_json(F.struct(*df.columns)).alias("value"))
+                     F.to_json(F.struct(*df.columns), {"timestampFormat": TIMESTAMP_FORMAT}).alias("value"))
 
 
 def typed_records(messages: DataFrame, fields: Sequence[tuple[str, str]], value: str = "value",

@@ -21,13 +21,13 @@ def read_lines(spark: SparkSession, path: str | Sequence[str], encoding: str = "
     numbers, because heading and footer are looked up by place in a second pass.
     """
     checkpoint_dir(spark)
-    reader = spark.read.option("encoding", encoding).option("recursiveFileLookup", "true")
+    reader = spark.read.option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return (reader.text(path if isinstance(path, str) else list(path)).select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("source_file"),
         F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"),
-        F.rtrim(F.col("value"), F.lit("\r\n")).alias("line")).checkpoint())
+        F.rtrim(F.decode(F.col("value").cast("binary"), encoding), F.lit("\r\n")).alias("line")).checkpoint())
 
 
 def canonical_name(label: Column, labels: Mapping[str, str]) -> Column:
