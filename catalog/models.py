@@ -156,7 +156,7 @@ def features(spark, sf):
 @query("load_training", f"""
     WITH {CLEAN_SQL} SELECT a.datetime, a.consumption_mw, b.consumption_mw AS lag_24h_mw FROM clean a JOIN clean b
     ON b.datetime = a.datetime - INTERVAL 24 HOUR WHERE a.consumption_mw IS NOT NULL AND b.consumption_mw IS NOT NULL""",
-       doubles="consumption_mw lag_24h_mw")
+       doubles="consumption_mw:8 lag_24h_mw:8")
 def _(spark, sf):
     rows = layers.engineer(layers.clean(national(spark, sf), SERIES), SERIES)
     return training.load_training(rows, LABEL).select(TIME, LABEL, "lag_24h_mw")

@@ -103,9 +103,6 @@ def _(spark, sf):
     return publish.read_table(spark, path)
 
 
-_TYPED = {"forecast_error_pct": "DECIMAL(6,3)", "nuclear_share_pct": "DECIMAL(6,3)", "rolling": "DECIMAL(10,2)"}
-
-
 @query("publish_typed", """
     SELECT o_orderkey, CAST(CASE WHEN abs(round(o_totalprice / 150, 3)) < 1000 THEN round(o_totalprice / 150, 3) END AS DOUBLE) AS pct,
         CAST(CASE WHEN round(o_totalprice / 10) <= 32767 THEN round(o_totalprice / 10) END AS BIGINT) AS small FROM orders""",
@@ -126,8 +123,8 @@ def _(spark, sf):
 
 
 @query("publish_silver_typed", f"""
-    WITH {FEATURE_SQL} SELECT datetime, CAST(round(consumption_mw, 2) AS DOUBLE) AS consumption_mw,
-        CASE WHEN abs(nuclear_share_pct) < 999.9995 THEN round(nuclear_share_pct, 3) END AS nuclear_share_pct, quality_score FROM feat""",
+    WITH {FEATURE_SQL} SELECT datetime, CAST(round(CAST(consumption_mw AS DECIMAL(38,12)), 2) AS DOUBLE) AS consumption_mw,
+        CASE WHEN abs(nuclear_share_pct) < 999.9995 THEN CAST(round(CAST(nuclear_share_pct AS DECIMAL(38,12)), 3) AS DOUBLE) END AS nuclear_share_pct, quality_score FROM feat""",
        doubles="consumption_mw:2 nuclear_share_pct:3 quality_score:3")
 def _(spark, sf):
     """The clean table in warehouse types."""

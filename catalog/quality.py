@@ -29,11 +29,11 @@ _POST = _rows("f", "silver",
               ("null_consumption_rate", "count(*) FILTER (consumption_mw IS NULL) / count(*)", "<=", 0.05, "critical", ""),
               ("avg_quality_score", "avg(quality_score)", ">=", 0.75, "warning", ""),
               ("year_coverage_gaps", _GAP, "<=", 0, "critical", "No year missing between the first and the last"))
-_POST_DAILY = _rows("(SELECT DISTINCT CAST(datetime AS DATE) FROM f)", "daily", ("gold_daily_count", "count(*)", ">=", 30, "critical", ""))
+_POST_DAILY = _rows("(SELECT DISTINCT CAST(ts AS DATE) FROM events)", "daily", ("gold_daily_count", "count(*)", ">=", 30, "critical", ""))
 
 
 def _silver(spark, sf):
-    return layers.silver(national(spark, sf), SERIES)
+    return layers.derive(layers.clean(national(spark, sf), SERIES), SERIES)
 
 
 def _days(spark, sf):
@@ -59,7 +59,7 @@ _MON = _rows("f", "silver",
               "<=", 0.01, "warning", ""),
              ("annees_distinctes", "count(DISTINCT year)", ">=", 1, "critical", ""),
              ("coherence_nucleaire", "avg(nuclear_mw)", ">=", 100, "warning", ""))
-_MON += " UNION ALL " + _rows("(SELECT DISTINCT CAST(datetime AS DATE) FROM f)", "daily",
+_MON += " UNION ALL " + _rows("(SELECT DISTINCT CAST(ts AS DATE) FROM events)", "daily",
                               ("agg_daily_calcules", "count(*)", ">=", 100, "critical", ""))
 _MON += " UNION ALL " + _rows("(SELECT DISTINCT year(ts), month(ts) FROM events)", "monthly",
                               ("agg_monthly_calcules", "count(*)", ">=", 1, "warning", ""))

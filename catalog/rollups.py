@@ -21,7 +21,7 @@ PROFILE = DailySpec(time="b30", load="load", sources={}, exchanges=None, imputed
     WITH {S0} SELECT CAST(b30 AS DATE) AS day, avg(load) AS mean, min(load) AS min, max(load) AS max, stddev_samp(load) AS std,
         sum(load) * 0.5 / 1000 AS energy, count(*) AS n, count(*) FILTER (error IS NULL) AS imputed,
         hour(arg_min(b30, (-load, b30))) AS peak_hour, max(load) AS peak_value FROM s0 GROUP BY 1""",
-       doubles="mean min max std energy peak_value")
+       doubles="mean min max std energy:10 peak_value")
 def _(spark, sf):
     """Flagship: raw events to half-hour mix, flagged and filled, then one row per day with its peak."""
     s = impute.flag_missing(mix(spark, sf), ["error"])
@@ -225,16 +225,16 @@ def _(spark, sf):
 
 
 # The clean layer on the half-hour mix: total as load, event types as sources.
-SERIES = SeriesSpec(low=20.0, high=2500.0)
+SERIES = SeriesSpec(low=200.0, high=1200.0)
 
 
 def national(spark, sf):
     """The mix under the column names of a load table; the load is missing where there were no purchases."""
     s = mix(spark, sf)
-    total = sum((F.coalesce(F.col(t), F.lit(0.0)) for t in ("signup", "view", "click", "error")), F.col("purchase"))
-    return s.select(F.col("b30").alias("datetime"), total.alias("consumption_mw"), F.col("purchase").alias("nuclear_mw"),
+    load = F.when(F.col("purchase").isNotNull(), F.col("load") * 6)
+    return s.select(F.col("b30").alias("datetime"), load.alias("consumption_mw"), F.col("purchase").alias("nuclear_mw"),
                     F.col("view").alias("wind_mw"), F.col("click").alias("solar_mw"), F.col("signup").alias("hydro_mw"),
-                    F.col("error").alias("co2_rate"), (F.col("load") * 6).alias("forecast_j1_mw"))
+                    F.col("error").alias("co2_rate"), (F.col("load") * 5 + F.col("view") / 10).alias("forecast_j1_mw"))
 
 
 def _fill(c):
@@ -242,10 +242,9 @@ def _fill(c):
             f"first_value({c} IGNORE NULLS) OVER (PARTITION BY year(datetime) ORDER BY datetime ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS {c}")
 
 
-CLEAN_SQL = f"""{S0}, raw AS (SELECT b30 AS datetime, purchase + coalesce(signup, 0) + coalesce(view, 0) + coalesce(click, 0) + coalesce(error, 0)
-        AS consumption_mw, purchase AS nuclear_mw, view AS wind_mw, click AS solar_mw, signup AS hydro_mw, error AS co2_rate,
-        load * 6 AS forecast_j1_mw FROM s0),
-    kept AS (SELECT *, consumption_mw IS NULL AS is_interpolated FROM raw WHERE consumption_mw IS NULL OR consumption_mw BETWEEN 20 AND 2500),
+CLEAN_SQL = f"""{S0}, raw AS (SELECT b30 AS datetime, CASE WHEN purchase IS NOT NULL THEN load * 6 END AS consumption_mw, purchase AS nuclear_mw,
+        view AS wind_mw, click AS solar_mw, signup AS hydro_mw, error AS co2_rate, load * 5 + view / 10 AS forecast_j1_mw FROM s0),
+    kept AS (SELECT *, consumption_mw IS NULL AS is_interpolated FROM raw WHERE consumption_mw IS NULL OR consumption_mw BETWEEN 200 AND 1200),
     clean AS (SELECT datetime, {_fill('consumption_mw')}, {_fill('nuclear_mw')}, {_fill('wind_mw')}, {_fill('solar_mw')},
         hydro_mw, co2_rate, forecast_j1_mw, is_interpolated FROM kept)"""
 FEATURE_SQL = f"""{CLEAN_SQL}, feat AS (SELECT *, consumption_mw - forecast_j1_mw AS forecast_error_mw,

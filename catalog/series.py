@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loadtide.functions.timeaxis import DAY, HOUR, MINUTE, SECOND
+from loadtide.functions.timeaxis import DAY, HOUR, MINUTE
 from loadtide.operators import dedupe, impute, islands, lookback, order, select
 from loadtide.operators.lookback import Lag, Rolling
 
@@ -198,11 +198,12 @@ def _(spark, sf):
     return islands.flag_runs(flagged, "b30", "imputed", chunk=5 * DAY)
 
 
-@query("median_step", """
-    WITH d AS (SELECT epoch_us(ts) - lag(epoch_us(ts)) OVER (ORDER BY ts) AS s FROM events)
+@query("median_step", f"""
+    WITH {U0}, d AS (SELECT epoch_us(b30) - lag(epoch_us(b30)) OVER (PARTITION BY user_id ORDER BY b30) AS s FROM u0)
     SELECT quantile_cont(s, 0.5) / 1000000 AS median_step_s FROM d WHERE s IS NOT NULL""", doubles="median_step_s", digits=5)
 def _(spark, sf):
-    return islands.median_step(table(spark, sf, "events"), "ts", chunk=2 * DAY)
+    """Median time between neighbouring half hours of the users' series."""
+    return islands.median_step(user_series(spark, sf), "b30", ["user_id"])
 
 
 @query("every_nth", """
@@ -210,14 +211,14 @@ def _(spark, sf):
     SELECT event_id, ts FROM t WHERE i % greatest(n // 400, 1) = 0""")
 def _(spark, sf):
     """About 400 evenly spaced events."""
-    return order.every_nth(table(spark, sf, "events").select("event_id", "ts"), "ts", max_points=400, chunk=600 * SECOND)
+    return order.every_nth(table(spark, sf, "events").select("event_id", "ts"), "ts", max_points=400)
 
 
 @query("every_sixth", f"""
     WITH {S0}, t AS (SELECT b30, load, row_number() OVER (ORDER BY b30) - 1 AS i FROM s0)
     SELECT b30, load FROM t WHERE i % 6 = 0""", doubles="load")
 def _(spark, sf):
-    return order.every_nth(mix(spark, sf).select("b30", "load"), "b30", step=6, chunk=30 * DAY)
+    return order.every_nth(mix(spark, sf).select("b30", "load"), "b30", step=6, chunk=DAY, block=360 * DAY)
 
 
 @query("time_prefix", """

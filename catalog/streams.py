@@ -121,5 +121,5 @@ def _(spark, sf):
     e.filter(~F.col("event_type").isin("click", "view")).write.mode("append").parquet(f"{path}/a")
     stream = windows.replay_source(spark, f"{path}/a", e.schema, files_per_trigger=2)
     days = windows.stream_daily_rollup(stream, "ts", "value").withColumn("month", F.month("date"))
-    windows.stream_upsert(days, f"{path}/table", f"{path}/checkpoint", ["date"], ["month"])
+    windows.stream_upsert(days, f"{path}/table", f"{path}/checkpoint", ["date"], ["month"], partition_from_key=True)
     return spark.read.parquet(f"{path}/table").drop("month")

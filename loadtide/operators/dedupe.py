@@ -4,22 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.timeaxis import col, micros, slot_start
+from ..functions.timeaxis import micros, slot_start
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """The row of each key that comes first in `order` (ascending, nulls first; negate to turn round).
 
-    An aggregate, not a window: copies of a key are cut down in the map tasks, so a
-    key that holds a large part of the table never lands in one task as rows.
+    `row_number() = 1` makes Spark put a group limit before the shuffle as well: every map
+    task sends one row per key at most, so a key that holds much of the table stays harmless.
     """
-    rest = [c for c in df.columns if c not in keys]
-    best = F.min(F.struct(*[col(o).alias(f"o{i}") for i, o in enumerate(order)], F.struct(*rest).alias("row")))
-    return df.groupBy(*keys).agg(best.alias("__best")).select(
-        *[F.col(c) if c in keys else F.col(f"__best.row.{c}").alias(c) for c in df.columns])
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("__rank", first).filter("__rank = 1").drop("__rank")
 
 
 def keep_last_in_slot(df: DataFrame, time: str, width: int, keys: Sequence[str] = (),

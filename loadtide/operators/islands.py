@@ -1,4 +1,9 @@
-"""Gaps, contiguous segments and runs in an ordered series."""
+"""Gaps, contiguous segments and runs in an ordered series.
+
+Gaps and segments take raw rows, however crowded. Runs and steps order the rows inside time
+chunks, so they take a series with one row per key and slot (see `rollup.resample`): a chunk
+then holds chunk / cadence rows at most.
+"""
 
 from __future__ import annotations
 
@@ -97,9 +102,9 @@ def steps(df: DataFrame, time: str, keys: Sequence[str] = (), chunk: int = 28 *
     return (work.join(ends, [*keys, "__chunk"]).select(*keys, step.alias("step_us")).filter("step_us is not null"))
 
 
-def median_step(df: DataFrame, time: str, chunk: int = 28 * DAY) -> DataFrame:
+def median_step(df: DataFrame, time: str, keys: Sequence[str] = (), chunk: int = 28 * DAY) -> DataFrame:
     """Median time between neighbouring rows, in seconds, exact at any size."""
-    gaps = steps(df, time, (), chunk)
+    gaps = steps(df, time, keys, chunk)
     low, high = select_ranks(gaps, F.col("step_us"), [lambda n: F.floor((n - 1) / 2), lambda n: F.floor(n / 2)])
     middle = None if low is None else (low + high) / 2 / 1_000_000
     return df.sparkSession.range(1).select(F.lit(middle).cast("double").alias("median_step_s"))

@@ -70,16 +70,30 @@ def time_windows(df: DataFrame, time: str, features: Mapping[str, Lag | Rolling]
 
 
 def with_row_index(df: DataFrame, order: Sequence[str | Column], keys: Sequence[str], chunk: Column,
-                   name: str = "row_index") -> DataFrame:
+                   name: str = "row_index", per_block: int | None = None) -> DataFrame:
     """Exact 0-based position of each row inside its key, in `order`.
 
     `chunk` is a whole number that never falls along `order` (such as the day). Rows are
     numbered inside each chunk; the chunk's offset is a running sum over one row per chunk.
+    Where rows can crowd, take fine chunks (such as the second) and let `per_block` of them
+    form a block: the running sum then goes over blocks first and over chunks inside a block.
     """
     work = df.withColumn("__chunk", chunk)
     sizes = work.groupBy(*keys, "__chunk").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, "__chunk", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+
+    def below(frame: DataFrame, group: Sequence[str], by: str, out: str) -> DataFrame:
+        before = Window.partitionBy(*group).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+        return frame.withColumn(out, F.coalesce(F.sum("__n").over(before), F.lit(0)))
+
+    if per_block is None:
+        offsets = below(sizes, keys, "__chunk", "__offset").drop("__n")
+    else:
+        sizes = sizes.withColumn("__block", floor_div(F.col("__chunk"), per_block))
+        blocks = sizes.groupBy(*keys, "__block").agg(F.sum("__n").alias("__n"))
+        starts = below(blocks, keys, "__block", "__start").drop("__n")
+        inner = below(sizes, [*keys, "__block"], "__chunk", "__inner").drop("__n")
+        offsets = inner.join(starts, [*keys, "__block"]).select(
+            *keys, "__chunk", (F.col("__start") + F.col("__inner")).alias("__offset"))
     inside = Window.partitionBy(*keys, "__chunk").orderBy(*order)
     return (work.join(offsets, [*keys, "__chunk"])
             .withColumn(name, F.col("__offset") + F.row_number().over(inside) - 1)

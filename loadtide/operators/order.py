@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.timeaxis import DAY, floor_div, micros
+from ..functions.timeaxis import DAY, SECOND, floor_div, micros
 from .lookback import with_row_index
 
 _BITS = 20
@@ -66,9 +66,9 @@ def time_split(df: DataFrame, time: str, ratio: float = 0.8) -> tuple[DataFrame,
 
 
 def every_nth(df: DataFrame, time: str, max_points: int | None = None, step: int | None = None,
-              chunk: int = DAY) -> DataFrame:
+              chunk: int = SECOND, block: int = DAY, tie_break: Sequence[str | Column] = ()) -> DataFrame:
     """Every n-th row in time order: a given `step`, or the one that leaves about `max_points` rows."""
-    indexed = with_row_index(df, [time], (), floor_div(micros(time), chunk), "__pos")
+    indexed = with_row_index(df, [time, *tie_break], (), floor_div(micros(time), chunk), "__pos", block // chunk)
     if step is None:
         n = df.agg(F.count(F.lit(1))).scalar()
         stride = F.greatest(F.floor(n / max_points), F.lit(1)).cast("long")

@@ -128,7 +128,7 @@ def loess(df: DataFrame, x: str, y: str, frac: float = 0.08, points: int = 300,
 
     # Positions of the sorted values: rank of each distinct value by weight.
     sorted_rows = counted.select("x", "p", F.explode(F.sequence(F.lit(1), F.col("c").cast("int"))).alias("copy"))
-    placed = with_row_index(sorted_rows, ["x", "copy"], (), cell.cast("long"), "pos")
+    placed = with_row_index(sorted_rows, ["x", "copy"], (), cell.cast("long"), "pos", 1 << 10)
     starts = placed.select((F.col("pos") + F.col("p.k")).alias("pos"), F.col("x").alias("a"))
     runs = starts.join(placed.select("pos", F.col("x").alias("b"), "p"), "pos")
     index = F.sequence(F.lit(0), F.lit(points - 1))

@@ -58,14 +58,8 @@ def clean(df: DataFrame, spec: SeriesSpec = SeriesSpec(), priority: Sequence[str
     return fill_gaps(flagged, spec.time, available(flagged, spec.fill), spec.keys, F.year(spec.time))
 
 
-def engineer(df: DataFrame, spec: SeriesSpec = SeriesSpec(), by_time: bool = True,
-             exclude_current: bool = False) -> DataFrame:
-    """Calendar, cyclic, lag, rolling, share, error and score columns.
-
-    Lags and the 24 h statistics are by time and cross year ends; with `by_time` off they count
-    rows inside a year (2, 48 and 336 rows; 49 rows with the current one). `exclude_current`
-    keeps the value being predicted out of the rolling columns.
-    """
+def derive(df: DataFrame, spec: SeriesSpec = SeriesSpec()) -> DataFrame:
+    """Columns that need nothing but their own row: calendar, cyclic, share, error, score."""
     parts = calendar_parts(spec.time)
     sin, cos = cyclic(parts["hour"], 24)
     have = set(df.columns)
@@ -80,21 +74,36 @@ def engineer(df: DataFrame, spec: SeriesSpec = SeriesSpec(), by_time: bool = Tru
     if spec.forecast in have:
         new["forecast_error_mw"] = forecast_error(spec.load, spec.forecast)
         new["forecast_error_pct"] = forecast_error_pct(spec.load, spec.forecast)
-    shaped = df.select(*[c for c in df.columns if c not in new], *[e.alias(n) for n, e in new.items()])
+    return df.select(*[c for c in df.columns if c not in new], *[e.alias(n) for n, e in new.items()])
+
+
+def look_back(df: DataFrame, spec: SeriesSpec = SeriesSpec(), by_time: bool = True,
+              exclude_current: bool = False) -> DataFrame:
+    """Lag and rolling columns.
 
+    They are by time and cross year ends; with `by_time` off they count rows inside a year
+    (2, 48 and 336 rows; 49 rows with the current one). `exclude_current` keeps the value being
+    predicted out of the rolling columns.
+    """
     keep = not exclude_current
     if by_time:
-        return time_windows(shaped, spec.time, {
+        return time_windows(df, spec.time, {
             "lag_1h_mw": Lag(spec.load, HOUR), "lag_24h_mw": Lag(spec.load, 24 * HOUR),
             "lag_168h_mw": Lag(spec.load, 168 * HOUR),
             "rolling_24h_mean": Rolling(spec.load, 24 * HOUR, "mean", include_current=keep),
             "rolling_24h_std": Rolling(spec.load, 24 * HOUR, "std", include_current=keep)}, spec.keys)
-    return row_windows(shaped, spec.time, {
+    return row_windows(df, spec.time, {
         "lag_1h_mw": Lag(spec.load, 2), "lag_24h_mw": Lag(spec.load, 48), "lag_168h_mw": Lag(spec.load, 336),
         "rolling_24h_mean": Rolling(spec.load, 48, "mean", include_current=keep),
         "rolling_24h_std": Rolling(spec.load, 48, "std", include_current=keep)}, spec.keys, F.year(spec.time))
 
 
+def engineer(df: DataFrame, spec: SeriesSpec = SeriesSpec(), by_time: bool = True,
+             exclude_current: bool = False) -> DataFrame:
+    """All features. The look-back shuffle carries the input columns only; the rest follows after it."""
+    return derive(look_back(df, spec, by_time, exclude_current), spec)
+
+
 def silver(raw: DataFrame, spec: SeriesSpec = SeriesSpec(), by_time: bool = True,
            columns: Sequence[str] | None = SILVER_COLUMNS) -> DataFrame:
     out = engineer(clean(raw, spec), spec, by_time)

@@ -119,11 +119,12 @@ def _in_partitions(partitions: list, columns: Sequence[str]) -> Column:
 
 
 def publish_upsert(batch: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str],
-                   touch: str | None = None) -> None:
+                   touch: str | None = None, partition_from_key: bool = False) -> None:
     """Insert new rows and update old ones by key, rewriting only the partitions involved.
 
     Involved are the partitions the batch writes to and those that hold old rows of its keys, so
-    a row whose partition changes leaves its old one. The new content is staged before anything
+    a row whose partition changes leaves its old one. Where the partition follows from the key
+    (month of the time, say) rows cannot move, and the search for old rows is left out. The new content is staged before anything
     is replaced: if the job dies on the way, running it again gives the same table. An empty
     batch changes nothing.
     """
@@ -137,9 +138,10 @@ def publish_upsert(batch: DataFrame, path: str, keys: Sequence[str], partition_b
         _write(batch, path, "append", partition_by)
         return
     target = spark.read.parquet(path)
-    old = target.join(batch.select(*keys), list(keys), "left_semi").select(*partition_by)
-    involved = batch.select(*partition_by).unionByName(old).distinct()
-    parts = involved.collect()  # partition names of one batch: folder names, not rows
+    involved = batch.select(*partition_by)
+    if not partition_from_key:
+        involved = involved.unionByName(target.join(batch.select(*keys), list(keys), "left_semi").select(*partition_by))
+    parts = involved.distinct().collect()  # partition names of one batch: folder names, not rows
     result = upserted(target.filter(_in_partitions(parts, partition_by)), batch, keys)
     staged = _stage(result, "upsert")
     fresh = spark.read.schema(target.schema).parquet(staged)

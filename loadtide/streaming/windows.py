@@ -40,9 +40,10 @@ def drain(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], N
 
 
 def stream_upsert(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str],
-                  partition_by: Sequence[str]) -> None:
+                  partition_by: Sequence[str], partition_from_key: bool = False) -> None:
     """Changed rows of each batch upserted by key; replaying a batch changes nothing."""
-    drain(stream, checkpoint, lambda batch, _: publish_upsert(batch, path, keys, partition_by))
+    drain(stream, checkpoint, lambda batch, _: publish_upsert(
+        batch, path, keys, partition_by, partition_from_key=partition_from_key))
 
 
 def replay_source(spark: SparkSession, path: str, schema, files_per_trigger: int | None = None) -> DataFrame:
