@@ -43,24 +43,23 @@ def query(name: str, sql: str | None = None, doubles: str = "", ints: str = "",
 
 def plain(df: DataFrame, doubles: dict[str, int]) -> DataFrame:
     """64-bit integers, times without zone, rounded doubles: what the SQL side returns."""
-    def shape(f: T.StructField):
-        c = F.col(f.name)
+    def shape(f: T.StructField) -> str:
         if f.name in doubles:
-            c = F.round(c.cast("double"), doubles[f.name]) + F.lit(0.0)
-        elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
-            c = c.cast("long")
-        elif isinstance(f.dataType, T.TimestampType):
-            c = c.cast("timestamp_ntz")
-        return c.alias(f.name)
+            return f"round(double(`{f.name}`), {doubles[f.name]}) + 0.0D AS `{f.name}`"
+        if isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
+            return f"bigint(`{f.name}`) AS `{f.name}`"
+        if isinstance(f.dataType, T.TimestampType):
+            return f"CAST(`{f.name}` AS timestamp_ntz) AS `{f.name}`"
+        return f"`{f.name}`"
 
-    return df.select(*[shape(f) for f in df.schema])
+    return df.selectExpr(*[shape(f) for f in df.schema])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table, with zone-less times as instants."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return df.select(*[F.col(f.name).cast("timestamp").alias(f.name) if isinstance(f.dataType, T.TimestampNTZType)
-                       else F.col(f.name) for f in df.schema])
+    return df.selectExpr(*[f"timestamp({f.name}) AS {f.name}" if isinstance(f.dataType, T.TimestampNTZType) else f.name
+                           for f in df.schema])
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +74,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, sf_dir: str, keys: tuple[str, ...] = ()) -> DataFrame:
     """Half-hour series: mean value as load, one total per event type (null where there was none)."""
-    totals = {t: F.sum(F.when(F.col("event_type") == t, F.col("value"))).cast("double") for t in TYPES}
+    totals = {t: F.expr(f"double(sum(value) FILTER (WHERE event_type = '{t}'))") for t in TYPES}
     return resample(events(spark, sf_dir), "ts", SLOT, {"load": mean_of("value"), **totals}, keys, "b30")
 
 

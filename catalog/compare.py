@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from loadtide.functions.timeaxis import MINUTE
 from loadtide.operators import compare, profile
 from loadtide.operators.impute import fill_gaps
+from loadtide.sources.scratch import materialize
 
 from .base import B30, DEC, O0, S0, TYPES, events, mix, orders, query, table
 
@@ -24,7 +25,7 @@ def clean_series(spark, sf):
     from loadtide.operators.dedupe import keep_last_in_slot
     from loadtide.operators.select import range_filter_nullable
 
-    last = keep_last_in_slot(raw_readings(spark, sf), "ts", 30 * MINUTE)
+    last = materialize(keep_last_in_slot(raw_readings(spark, sf), "ts", 30 * MINUTE))
     kept = range_filter_nullable(last, {"load": (LOW, HIGH)})
     capped = F.when(F.col("load") > 200, F.col("load") * 0.9).when(F.col("load") > 150, F.col("load") * 0.97).otherwise(F.col("load"))
     flagged = kept.select("ts", capped.alias("load"), F.col("load").isNull().alias("is_interpolated"))

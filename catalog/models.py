@@ -10,7 +10,7 @@ from loadtide.operators import regression
 from loadtide.operators.lookback import Lag, time_windows
 from loadtide.operators.select import available
 from loadtide.plans import layers, training
-from loadtide.sources.scratch import fresh_path
+from loadtide.sources.scratch import fresh_path, materialize
 
 from .base import S0, U0, mix, query, user_series
 from .rollups import CLEAN_SQL, SERIES, national
@@ -144,13 +144,13 @@ def _(spark, sf):
        doubles="x y", digits=5)
 def _(spark, sf):
     """Smooth curve of one source against the load."""
-    return regression.loess(mix(spark, sf), "load", "view")
+    return regression.loess(materialize(mix(spark, sf)), "load", "view")
 
 
 # Fits on the clean series. The rolling columns leave out the value being predicted.
 def features(spark, sf):
     rows = layers.engineer(layers.clean(national(spark, sf), SERIES), SERIES, exclude_current=True)
-    return training.materialize(training.load_training(rows, LABEL))
+    return materialize(training.load_training(rows, LABEL))
 
 
 @query("load_training", f"""

@@ -6,10 +6,10 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from loadtide.operators import quality, select
+from loadtide.operators import quality
 from loadtide.plans import layers
 
-from .base import DEC, O0, events, mix, orders, query, table
+from .base import orders, query, table
 from .rollups import CLEAN_SQL, FEATURE_SQL, SERIES, national
 
 _ROW = ("SELECT '{name}' AS check_name, '{table}' AS table_name, '{sev}' AS severity, '{op}' AS operator, {thr}::DOUBLE AS threshold, "
@@ -32,18 +32,19 @@ _POST = _rows("f", "silver",
 _POST_DAILY = _rows("(SELECT DISTINCT CAST(ts AS DATE) FROM events)", "daily", ("gold_daily_count", "count(*)", ">=", 30, "critical", ""))
 
 
-def _silver(spark, sf):
-    return layers.derive(layers.clean(national(spark, sf), SERIES), SERIES)
+def _silver(series):
+    return layers.derive(layers.clean(series, SERIES), SERIES)
 
 
-def _days(spark, sf):
-    return national(spark, sf).select(F.to_date("datetime").alias("date")).distinct()
+def _days(series):
+    return series.select(F.to_date("datetime").alias("date")).distinct()
 
 
 def post(spark, sf):
+    series = national(spark, sf)
     return quality.union_results(
-        quality.run_checks(_silver(spark, sf), quality.post_load_checks(), "silver"),
-        quality.run_checks(_days(spark, sf), quality.post_load_daily_checks(), "daily"))
+        quality.run_checks(_silver(series), quality.post_load_checks(), "silver"),
+        quality.run_checks(_days(series), quality.post_load_daily_checks(), "daily"))
 
 
 @query("quality_post", f"{_F} {_POST} UNION ALL {_POST_DAILY}", doubles="value")
@@ -72,10 +73,11 @@ _MON += " UNION ALL " + _rows("orders", "runs", ("pipeline_runs_enregistres", "c
 def monitoring(spark, sf):
     recent = quality.rows_per_key(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"],
                                   F.col("l_shipdate") >= F.lit("2001-06-01").cast("timestamp"))
-    months = events(spark, sf).select(F.year("ts").alias("y"), F.month("ts").alias("m")).distinct()
+    series = national(spark, sf)
+    months = series.select(F.year("datetime").alias("y"), F.month("datetime").alias("m")).distinct()
     return quality.union_results(
-        quality.run_checks(_silver(spark, sf), quality.monitoring_checks(low=100, high=1500, min_base=100), "silver"),
-        quality.run_checks(_days(spark, sf), quality.monitoring_daily_checks(), "daily"),
+        quality.run_checks(_silver(series), quality.monitoring_checks(low=100, high=1500, min_base=100), "silver"),
+        quality.run_checks(_days(series), quality.monitoring_daily_checks(), "daily"),
         quality.run_checks(months, quality.monitoring_monthly_checks(), "monthly"),
         quality.run_checks(recent, quality.recent_duplicate_checks(), "lines"),
         quality.run_checks(table(spark, sf, "orders"), quality.monitoring_run_checks(), "runs"))
@@ -97,7 +99,7 @@ def _day_sql(day, name):
 @query("quality_daily", f"{_F} {_day_sql('2024-01-15', 'full day')} UNION ALL {_day_sql('2025-06-01', 'empty day')}", doubles="value")
 def _(spark, sf):
     """Day checks on a day with data and on one without (no data is neither a pass nor a zero)."""
-    s = _silver(spark, sf)
+    s = _silver(national(spark, sf))
     return quality.union_results(*[
         quality.run_checks(quality.on_day(s, "datetime", d), quality.daily_stream_checks(), n)
         for d, n in ((date(2024, 1, 15), "full day"), (date(2025, 6, 1), "empty day"))])

@@ -11,6 +11,7 @@ from loadtide.operators import impute, rollup, select
 from loadtide.operators.rollup import DailySpec
 from loadtide.plans import layers
 from loadtide.plans.layers import SeriesSpec
+from loadtide.sources.scratch import materialize
 
 from .base import DEC, O0, S0, U0, events, mix, orders, query, table, user_series
 
@@ -229,8 +230,11 @@ SERIES = SeriesSpec(low=200.0, high=1200.0)
 
 
 def national(spark, sf):
-    """The mix under the column names of a load table; the load is missing where there were no purchases."""
-    s = mix(spark, sf)
+    """The mix under the column names of a load table; the load is missing where there were no purchases.
+
+    The series is computed once: cleaning reads it twice, and it is far smaller than the events.
+    """
+    s = materialize(mix(spark, sf))
     load = F.when(F.col("purchase").isNotNull(), F.col("load") * 6)
     return s.select(F.col("b30").alias("datetime"), load.alias("consumption_mw"), F.col("purchase").alias("nuclear_mw"),
                     F.col("view").alias("wind_mw"), F.col("click").alias("solar_mw"), F.col("signup").alias("hydro_mw"),

@@ -20,7 +20,8 @@ def fill_gaps(df: DataFrame, time: str, columns: Sequence[str], keys: Sequence[s
 
     The series is cut into time chunks. Each chunk is filled by itself; what it needs from
     outside (last value before it, first value after it) comes from a table with one row per
-    chunk. So a long series spreads over many tasks instead of one.
+    chunk. So a long series spreads over many tasks instead of one. The input is read twice:
+    hand in a written table or a checkpoint where computing it is dear.
     """
     work = df.withColumn("__us", micros(time))
     group = list(keys)

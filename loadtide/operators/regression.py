@@ -111,29 +111,29 @@ def loess(df: DataFrame, x: str, y: str, frac: float = 0.08, points: int = 300,
     sorted order, so that distance is the least, over all runs of k+1 consecutive values, of the
     larger distance to the run's two ends. Runs come from an equi-join of the sorted values with
     themselves k places on; their least distances and the weighted sums are aggregates over the
-    grid, combined in the map tasks. Nothing is collected and no group holds the data.
-    Fewer than four rows are returned as they are (grid_index counts them).
+    grid, combined in the map tasks. No task or group holds the data. One job reads the
+    extremes and the count; the input is read three more times. Fewer than four rows are
+    returned as they are (grid_index counts them).
     """
     data = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).filter(
         "x is not null and y is not null")
-    s = data.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count(F.lit(1)).alias("n")).select(
-        "lo", "hi", "n", F.least(F.greatest(F.floor(F.col("n") * frac), F.lit(3)), F.col("n") - 1).alias("k"),
-        ((F.col("hi") - F.col("lo")) / (points - 1)).alias("step"))
-    p = s.select(F.struct("*")).scalar()
-
-    counted = data.groupBy("x").agg(F.count(F.lit(1)).alias("c"), F.sum("y").alias("sy")).withColumn("p", p)
-    counted = counted.filter("p.n >= 4")
-    cell = F.when(F.col("p.hi") > F.col("p.lo"),
-                  F.floor((F.col("x") - F.col("p.lo")) / (F.col("p.hi") - F.col("p.lo")) * (1 << 20))).otherwise(F.lit(0))
-
-    # Positions of the sorted values: rank of each distinct value by weight.
-    sorted_rows = counted.select("x", "p", F.explode(F.sequence(F.lit(1), F.col("c").cast("int"))).alias("copy"))
-    placed = with_row_index(sorted_rows, ["x", "copy"], (), cell.cast("long"), "pos", 1 << 10)
-    starts = placed.select((F.col("pos") + F.col("p.k")).alias("pos"), F.col("x").alias("a"))
-    runs = starts.join(placed.select("pos", F.col("x").alias("b"), "p"), "pos")
-    index = F.sequence(F.lit(0), F.lit(points - 1))
-    reach = (runs.select("a", "b", "p", F.explode(index).alias("grid_index"))
-             .withColumn("x0", F.col("p.lo") + F.col("grid_index") * F.col("p.step"))
+    s = data.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count(F.lit(1)).alias("n")).first()
+    if s.n < 4:
+        return data.select((F.row_number().over(Window.orderBy("x", "y")) - 1).cast("int").alias("grid_index"), "x", "y")
+    lo, hi = F.lit(s.lo), F.lit(s.hi)
+    k = min(max(int(frac * s.n), 3), s.n - 1)
+    step = (hi - lo) / (points - 1)
+    grid = F.sequence(F.lit(0), F.lit(points - 1))
+
+    # Positions of the sorted values. Equal ones are counted together first, then unrolled.
+    counted = data.groupBy("x").agg(F.count(F.lit(1)).alias("c"), F.sum("y").alias("sy"))
+    cell = F.when(hi > lo, F.floor((F.col("x") - lo) / (hi - lo) * (1 << 20))).otherwise(F.lit(0)).cast("long")
+    unrolled = counted.select("x", F.explode(F.sequence(F.lit(1), F.col("c").cast("int"))).alias("copy"))
+    placed = with_row_index(unrolled, ["x", "copy"], (), cell, "pos", 1 << 10)
+    starts = placed.select((F.col("pos") + k).alias("pos"), F.col("x").alias("a"))
+    runs = starts.join(placed.select("pos", F.col("x").alias("b")), "pos")
+    reach = (runs.select("a", "b", F.explode(grid).alias("grid_index"))
+             .withColumn("x0", lo + F.col("grid_index") * step)
              .groupBy("grid_index", "x0")
              .agg(F.greatest(F.min(F.greatest(F.abs(F.col("x0") - F.col("a")), F.abs(F.col("x0") - F.col("b")))),
                              F.lit(1e-9)).alias("h")))
@@ -148,10 +148,8 @@ def loess(df: DataFrame, x: str, y: str, frac: float = 0.08, points: int = 300,
         F.sum(F.col("w") * F.col("c")).alias("sw"), F.sum(F.col("w") * F.col("c") * F.col("u")).alias("su"),
         F.sum(F.col("w") * F.col("c") * F.col("u") * F.col("u")).alias("suu"),
         F.sum(F.col("w") * F.col("sy")).alias("swy"), F.sum(F.col("w") * F.col("u") * F.col("sy")).alias("suy"),
-        F.min(F.struct(F.abs("u").alias("d"), "x", (F.col("sy") / F.col("c")).alias("y"))).alias("near"))
+        F.min_by(F.col("sy") / F.col("c"), F.struct(F.abs("u"), F.col("x"))).alias("near"))
     um, ym = F.col("su") / F.col("sw"), F.col("swy") / F.col("sw")
     den, num = F.col("suu") - F.col("su") * um, F.col("suy") - F.col("su") * ym
-    fit = (F.when(F.col("sw") < tiny, F.col("near.y")).when(den < tiny, ym).otherwise(ym - F.try_divide(num, den) * um))
-    few = (data.withColumn("p", p).filter("p.n < 4")
-           .select((F.row_number().over(Window.orderBy("x", "y")) - 1).cast("int").alias("grid_index"), "x", "y"))
-    return sums.select("grid_index", F.col("x0").alias("x"), fit.alias("y")).unionAll(few)
+    fit = F.when(F.col("sw") < tiny, F.col("near")).when(den < tiny, ym).otherwise(ym - F.try_divide(num, den) * um)
+    return sums.select("grid_index", F.col("x0").alias("x"), fit.alias("y"))

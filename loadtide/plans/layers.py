@@ -17,6 +17,7 @@ from ..operators.impute import fill_gaps
 from ..operators.lookback import Lag, Rolling, row_windows, time_windows
 from ..operators.rollup import DailySpec, daily_rollup, monthly_rollup
 from ..operators.select import available, available_columns, cast_numeric, range_filter_nullable, require_not_null
+from ..sources.scratch import materialize
 
 
 @dataclass(frozen=True)
@@ -43,13 +44,22 @@ def source_priority(df: DataFrame) -> list[str | Column]:
         order.append(F.when(settled, 0).when(F.lower("nature").contains("consolid"), 1).otherwise(2))
     if "ingested_at" in df.columns:
         order.append(-F.unix_micros(F.col("ingested_at").try_cast("timestamp")))
-    return [*order, *available(df, ["source_file"]), *[c for c in df.columns if c != "source_file"]]
+    return [*order, *available(df, ["source_file"]), *[c for c in df.columns if c not in ("source_file", "nature", "ingested_at")]]
 
 
-def clean(df: DataFrame, spec: SeriesSpec = SeriesSpec(), priority: Sequence[str | Column] | None = None) -> DataFrame:
-    """Timed rows only, one per key and time, load in range or missing, numbers typed, flagged and filled."""
+def clean(df: DataFrame, spec: SeriesSpec = SeriesSpec(), priority: Sequence[str | Column] | None = None,
+          cut: bool = False) -> DataFrame:
+    """Timed rows only, one per key and time, load in range or missing, numbers typed, flagged and filled.
+
+    Filling reads the de-duplicated rows twice. `cut` writes them once to the checkpoint folder
+    instead of computing them again; worth it when `df` is dear to compute.
+    """
     timed = require_not_null(df, spec.time)
-    single = keep_first(timed, [*spec.keys, spec.time], priority or source_priority(timed))
+    keys = [*spec.keys, spec.time]
+    rest = [o for o in (priority or source_priority(timed)) if not (isinstance(o, str) and o in keys)]
+    single = keep_first(timed, keys, rest or keys)
+    if cut:
+        single = materialize(single)
     typed = cast_numeric(single, MEASURE_COLUMNS)
     ranged = range_filter_nullable(typed, {spec.load: (spec.low, spec.high)})
     scored = available(ranged, spec.score)
@@ -105,8 +115,8 @@ def engineer(df: DataFrame, spec: SeriesSpec = SeriesSpec(), by_time: bool = Tru
 
 
 def silver(raw: DataFrame, spec: SeriesSpec = SeriesSpec(), by_time: bool = True,
-           columns: Sequence[str] | None = SILVER_COLUMNS) -> DataFrame:
-    out = engineer(clean(raw, spec), spec, by_time)
+           columns: Sequence[str] | None = SILVER_COLUMNS, cut: bool = False) -> DataFrame:
+    out = engineer(clean(raw, spec, cut=cut), spec, by_time)
     return available_columns(out, [*spec.keys, *columns]) if columns else out
 
 

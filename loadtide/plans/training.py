@@ -17,7 +17,7 @@ from ..functions.measures import all_present
 from ..operators.order import time_prefix, time_split
 from ..operators.regression import error_metrics
 from ..operators.select import available
-from ..sources.scratch import checkpoint_dir, fresh_path
+from ..sources.scratch import fresh_path, materialize
 
 
 @dataclass(frozen=True)
@@ -50,12 +50,6 @@ def assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a checkpoint in the shared folder; it outlives lost executors."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def split(df: DataFrame, time: str, ratio: float = 0.8) -> tuple[DataFrame, DataFrame]:
     train, test = time_split(df, time, ratio)
     return materialize(train), materialize(test)

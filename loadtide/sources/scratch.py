@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -24,6 +24,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute a frame once and cut its lineage with a checkpoint in that folder.
+
+    For a frame that is read more than once and costs more to compute than to write, such as
+    a resampled series. It outlives lost executors.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path nothing has written to yet, below that folder."""
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
