@@ -22,10 +22,15 @@ def parse_number(cell: str | Column, nulls: Iterable[str] = NULL_CELLS) -> Colum
 
 
 def event_time(date: str | Column, time: str | Column, source_tz: str = "UTC") -> Column:
-    """Instant from `yyyy-MM-dd` and `HH:mm` text given in `source_tz`; no time means midnight."""
+    """Instant from `yyyy-MM-dd` and `HH:mm` text given in `source_tz`; no time means midnight.
+
+    The text is read at a fixed offset, so the session's zone plays no part. A local time that
+    occurs twice (end of summer time) is taken as the first of the two.
+    """
     clock = F.coalesce(F.nullif(F.trim(col(time)), F.lit("")), F.lit("00:00"))
-    local = F.try_to_timestamp(F.concat_ws(" ", col(date), clock), F.lit("yyyy-MM-dd HH:mm"))
-    return local if source_tz == "UTC" else F.to_utc_timestamp(local, source_tz)
+    text = F.concat_ws(" ", col(date), clock, F.lit("+00:00"))
+    wall = F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm XXX"))
+    return wall if source_tz == "UTC" else F.to_utc_timestamp(wall, source_tz)
 
 
 def parse_instant(text: str | Column) -> Column:
