@@ -170,12 +170,36 @@ def _(spark, sf):
     return v.select(TIME, F.size(vector_to_array("features")).alias("n_features"))
 
 
-@query("split_summary")
+_SPLIT = f"""WITH {CLEAN_SQL}, f AS (SELECT a.datetime FROM clean a JOIN clean b ON b.datetime = a.datetime - INTERVAL 24 HOUR
+        WHERE a.consumption_mw IS NOT NULL AND b.consumption_mw IS NOT NULL),
+    i AS (SELECT datetime, row_number() OVER (ORDER BY datetime) AS i, count(*) OVER () AS n FROM f),
+    s AS (SELECT datetime, datetime <= (SELECT max(datetime) FROM i WHERE i <= greatest(floor(n * 0.8), 1)) AS train FROM f)"""
+
+
+@query("split_summary", f"""
+    {_SPLIT} SELECT count(*) FILTER (train) AS n_train, count(*) FILTER (NOT train) AS n_test, min(datetime) FILTER (train) AS train_start,
+        max(datetime) FILTER (train) AS train_end, min(datetime) FILTER (NOT train) AS test_start, max(datetime) FILTER (NOT train)
+        AS test_end FROM s""")
 def _(spark, sf):
     train, test = training.split(features(spark, sf), TIME)
     return training.split_summary(train, test, TIME)
 
 
+@query("materialize_split", f"{_SPLIT} SELECT datetime, CASE WHEN train THEN 'train' ELSE 'test' END AS part FROM s")
+def _(spark, sf):
+    """Both parts of the split, written once and read back."""
+    train, test = training.split(features(spark, sf), TIME)
+    return train.select(TIME, F.lit("train").alias("part")).unionAll(test.select(TIME, F.lit("test").alias("part")))
+
+
+@query("score_export")
+def _(spark, sf):
+    """Actual and predicted values of the linear model on the test rows, in time order."""
+    train, test, names = split_features(spark, sf)
+    model = training.fit(train, names, training.estimators(LABEL)["LinearRegression"])
+    return training.score_export(model, test, TIME, LABEL)
+
+
 def split_features(spark, sf):
     rows = features(spark, sf)
     names = available(rows, FEATURE_COLUMNS)

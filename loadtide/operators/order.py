@@ -15,19 +15,19 @@ _BITS = 20
 
 
 def select_ranks(df: DataFrame, value: Column, ranks: Sequence[Callable[[Column], Column]]) -> list[int | None]:
-    """The values at the given 0-based ranks (functions of the row count) of non-negative whole numbers.
+    """The values at the given 0-based ranks (functions of the row count) of whole numbers.
 
     Radix selection in three counting jobs over 20-bit digits. Each job aggregates in the map
-    tasks to at most 2**20 counts per rank, however many rows there are and however many are
+    tasks to a bounded number of counts per rank, however many rows there are and however many are
     equal, and hands the driver one row per rank. Nulls do not count; no rows give None.
     """
     rows = df.select(value.cast("long").alias("v")).filter("v is not null")
     found = [0] * len(ranks)
     left: list[Column] = []
     for shift in (2 * _BITS, _BITS, 0):
-        prefix = F.shiftright("v", shift + _BITS)
-        digit = F.shiftright("v", shift) % (1 << _BITS)
         first = shift == 2 * _BITS
+        prefix = F.lit(0).cast("long") if first else F.shiftright("v", shift + _BITS)
+        digit = F.shiftright("v", shift) if first else F.pmod(F.shiftright("v", shift), F.lit(1 << _BITS).cast("long"))
         within = rows if first else rows.filter(prefix.isin(sorted(set(found))))
         counts = within.groupBy(prefix.alias("prefix"), digit.alias("digit")).agg(F.count(F.lit(1)).alias("n"))
         side = Window.partitionBy("prefix")

@@ -106,7 +106,14 @@ def publish_merge(batch: DataFrame, path: str, keys: Sequence[str], time: str |
     _require_unique(batch, keys)
     if path_exists(spark, path):
         target = spark.read.parquet(path)
-        staged = _stage(new_rows(target, batch, keys, time), "merge")
+        if time is not None and time in keys:
+            span = batch.agg(F.min(time).alias("low"), F.max(time).alias("high"))
+            low, high = span.select(F.unix_micros("low"), F.unix_micros("high")).first()
+            if low is None:
+                return
+            # Constants, so that the target's files are skipped by their statistics.
+            target = target.filter(F.col(time).between(F.timestamp_micros(F.lit(low)), F.timestamp_micros(F.lit(high))))
+        staged = _stage(new_rows(target, batch, keys), "merge")
         _write(spark.read.schema(batch.schema).parquet(staged), path, "append", partition_by)
         delete_path(spark, staged)
     else:

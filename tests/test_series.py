@@ -118,7 +118,7 @@ def test_median_step(series):
 
 
 def test_select_ranks_with_ties_and_far_values(spark):
-    values = [5] * 700 + [0, 1, 2, 3] + [2**50 + i for i in range(50)]
+    values = [5] * 700 + [-(2**45), -1, 2, 3] + [2**50 + i for i in range(50)]
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v bigint")
     picks = [0, 3, 4, 400, 703, 704, 753]
     got = order.select_ranks(df, F.col("v"), [lambda n, p=p: F.lit(p) for p in picks])
