@@ -19,7 +19,7 @@ def fill_gaps(df: DataFrame, time: str, columns: Sequence[str], keys: Sequence[s
     """Own value, else the last one before, else the first one after, inside each key and period.
 
     The series is cut into time chunks. Each chunk is filled by itself; what it needs from
-    outside (last value before it, first value after it) comes from a table with one row per
+    outside (last value before it, first value of the period) comes from a table with one row per
     chunk. So a long series spreads over many tasks instead of one. The input is read twice:
     hand in a written table or a checkpoint where computing it is dear.
     """
@@ -37,19 +37,19 @@ def fill_gaps(df: DataFrame, time: str, columns: Sequence[str], keys: Sequence[s
         *[F.min_by(c, when_set(c)).alias(f"__first_{c}") for c in columns])
     over_chunks = Window.partitionBy(*group).orderBy("__chunk")
     before = over_chunks.rowsBetween(Window.unboundedPreceding, -1)
-    after = over_chunks.rowsBetween(1, Window.unboundedFollowing)
+    whole = over_chunks.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     carried = ends.select(
         *group, "__chunk",
         *[F.last(f"__last_{c}", True).over(before).alias(f"__prev_{c}") for c in columns],
-        *[F.first(f"__first_{c}", True).over(after).alias(f"__next_{c}") for c in columns])
+        *[F.first(f"__first_{c}", True).over(whole).alias(f"__next_{c}") for c in columns])
 
+    # A row with nothing before it takes the first value of its whole period, so no frame looks
+    # forward (Spark walks such a frame to its end again for every row).
     inside = Window.partitionBy(*group, "__chunk").orderBy("__us")
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    onward = inside.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     joined = work.join(carried, [*group, "__chunk"], "left")
     filled = {
-        c: F.coalesce(F.last(c, True).over(upto), F.col(f"__prev_{c}"),
-                      F.first(c, True).over(onward), F.col(f"__next_{c}"))
+        c: F.coalesce(F.last(c, True).over(upto), F.col(f"__prev_{c}"), F.col(f"__next_{c}"))
         for c in columns
     }
     return joined.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
