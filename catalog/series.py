@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from loadtide.functions.timeaxis import DAY, HOUR, MINUTE
 from loadtide.operators import dedupe, impute, islands, lookback, order, select
 from loadtide.operators.lookback import Lag, Rolling
+from loadtide.sources.scratch import materialize
 
 from .base import B30, DEC, S0, TYPES, U0, events, mix, query, table, user_series
 
@@ -238,7 +239,7 @@ def _(spark, sf):
     SELECT cutoff, count(*) FILTER (b30 <= cutoff) AS n_train, count(*) FILTER (b30 > cutoff) AS n_test,
            min(b30) FILTER (b30 > cutoff) AS test_start FROM s0, c GROUP BY 1""")
 def _(spark, sf):
-    s = mix(spark, sf).select("b30")
+    s = materialize(mix(spark, sf).select("b30"))
     train, test = order.time_split(s, "b30")
     row = train.agg(F.max("b30").alias("cutoff"), F.count(F.lit(1)).alias("n_train"))
     return row.select("cutoff", "n_train", test.agg(F.count(F.lit(1))).scalar().alias("n_test"),

@@ -19,7 +19,8 @@ def select_ranks(df: DataFrame, value: Column, ranks: Sequence[Callable[[Column]
 
     Radix selection in three counting jobs over 20-bit digits. Each job aggregates in the map
     tasks to a bounded number of counts per rank, however many rows there are and however many are
-    equal, and hands the driver one row per rank. Nulls do not count; no rows give None.
+    equal, and hands the driver one row per rank. Nulls do not count; no rows give None. The
+    input is read three times: hand in a written or materialised frame where it is dear.
     """
     rows = df.select(value.cast("long").alias("v")).filter("v is not null")
     found = [0] * len(ranks)

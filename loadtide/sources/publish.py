@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.measures import overflow, warehouse_cast
-from ..operators.dedupe import duplicate_keys
+from ..operators.dedupe import count_duplicates
 from ..operators.select import available
 from .layers import write_partitioned
 from .scratch import delete_path, fresh_path, path_exists
@@ -66,13 +66,15 @@ def _stage(df: DataFrame, name: str) -> str:
     return staged
 
 
-def _require_unique(df: DataFrame, keys: Sequence[str]) -> None:
-    missing = [k for k in keys if k not in df.columns]
+def _count_unique(batch: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of a batch whose keys are all there and different, else an error."""
+    missing = [k for k in keys if k not in batch.columns]
     if missing:
         raise ValueError(f"key columns missing from the batch: {missing}")
-    repeated = duplicate_keys(df, keys).limit(1).count()
-    if repeated:
-        raise ValueError(f"keys {list(keys)} repeat inside the batch")
+    found = count_duplicates(batch, keys).first()
+    if found.duplicated_keys:
+        raise ValueError(f"{found.duplicated_keys} of the keys {list(keys)} repeat inside the batch")
+    return found.rows
 
 
 def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str], time: str | None = None) -> DataFrame:
@@ -96,28 +98,31 @@ def upserted(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFr
     kept = [c for c in target.columns if c not in batch.columns]
     if kept:
         batch = batch.join(target.select(*keys, *kept), list(keys), "left")
-    return stays.select(*target.columns).unionByName(batch.select(*target.columns))
+    return stays.select(*target.columns).unionAll(
+        batch.select(*[F.col(f.name).cast(f.dataType) for f in target.schema]))
 
 
 def publish_merge(batch: DataFrame, path: str, keys: Sequence[str], time: str | None = None,
                   partition_by: Sequence[str] = ()) -> None:
-    """Insert the rows whose key is absent."""
-    spark = batch.sparkSession
-    _require_unique(batch, keys)
-    if path_exists(spark, path):
-        target = spark.read.parquet(path)
+    """Insert the rows whose key is absent. An empty batch changes nothing."""
+    batch = batch.persist()
+    try:
+        if not _count_unique(batch, keys):
+            return
+        if not path_exists(batch.sparkSession, path):
+            _write(batch, path, "append", partition_by)
+            return
+        target = batch.sparkSession.read.parquet(path)
         if time is not None and time in keys:
             span = batch.agg(F.min(time).alias("low"), F.max(time).alias("high"))
             low, high = span.select(F.unix_micros("low"), F.unix_micros("high")).first()
-            if low is None:
-                return
             # Constants, so that the target's files are skipped by their statistics.
             target = target.filter(F.col(time).between(F.timestamp_micros(F.lit(low)), F.timestamp_micros(F.lit(high))))
         staged = _stage(new_rows(target, batch, keys), "merge")
-        _write(spark.read.schema(batch.schema).parquet(staged), path, "append", partition_by)
-        delete_path(spark, staged)
-    else:
-        _write(batch, path, "append", partition_by)
+        _write(batch.sparkSession.read.schema(batch.schema).parquet(staged), path, "append", partition_by)
+        delete_path(batch.sparkSession, staged)
+    finally:
+        batch.unpersist()
 
 
 def _in_partitions(partitions: list, columns: Sequence[str]) -> Column:
@@ -135,15 +140,23 @@ def publish_upsert(batch: DataFrame, path: str, keys: Sequence[str], partition_b
     is replaced: if the job dies on the way, running it again gives the same table. An empty
     batch changes nothing.
     """
-    spark = batch.sparkSession
-    _require_unique(batch, keys)
-    if batch.isEmpty():
-        return
     if touch:
         batch = batch.withColumn(touch, F.current_timestamp())
-    if not path_exists(spark, path):
-        _write(batch, path, "append", partition_by)
-        return
+    batch = batch.persist()
+    try:
+        if not _count_unique(batch, keys):
+            return
+        if path_exists(batch.sparkSession, path):
+            _replace_partitions(batch, path, keys, partition_by, partition_from_key)
+        else:
+            _write(batch, path, "append", partition_by)
+    finally:
+        batch.unpersist()
+
+
+def _replace_partitions(batch: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str],
+                        partition_from_key: bool) -> None:
+    spark = batch.sparkSession
     target = spark.read.parquet(path)
     involved = batch.select(*partition_by)
     if not partition_from_key:
@@ -156,7 +169,8 @@ def publish_upsert(batch: DataFrame, path: str, keys: Sequence[str], partition_b
     write_partitioned(fresh, path, partition_by, "overwrite", dynamic=True)
     for p in parts:
         if tuple(p) not in left:
-            delete_path(spark, path + "".join(f"/{c}={p[c]}" for c in partition_by))
+            names = [f"{c}={'__HIVE_DEFAULT_PARTITION__' if p[c] is None else p[c]}" for c in partition_by]
+            delete_path(spark, "/".join([path, *names]))
     delete_path(spark, staged)
 
 
