@@ -77,7 +77,8 @@ def warehouse_cast(c: str | Column, kind) -> Column:
     """Rounding cast into NUMERIC(p, s) or a named type; a value that does not fit becomes null."""
     if isinstance(kind, tuple):
         precision, scale = kind
-        return col(c).try_cast(f"decimal({precision},{scale})")
+        # First to 12 decimals: 0.125 off by the last bit of a double still rounds up, as in a warehouse.
+        return F.round(col(c).try_cast("decimal(38,12)"), scale).try_cast(f"decimal({precision},{scale})")
     if kind in ("smallint", "int"):
         return F.round(col(c)).try_cast(kind)
     return col(c).try_cast(kind)
