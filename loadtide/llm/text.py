@@ -30,6 +30,11 @@ def words(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, WS + "+"))
 
 
+def chars(text: Column) -> Column:
+    """The characters of a text of ASCII characters."""
+    return F.filter(F.split(text, ""), lambda c: c != "")
+
+
 def word_count(text: Column) -> Column:
     return F.size(words(text)).cast("long")
 
