@@ -1,4 +1,4 @@
 """Loads all modules that register queries."""
 
-from . import line_rules, mixing, secrets  # noqa: F401
+from . import line_rules, mixing, secrets, syncmers  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
