@@ -18,7 +18,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .registry import query, stored, table
+from .registry import partitions, query, stored, table
 from .text import permuted_index, text_of, word_count
 
 
@@ -50,7 +50,7 @@ def targets(sizes: Sequence[int], weights: Sequence[int], share: float, cap: flo
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5, cap: float = 2.0, block_words: int = 64,
-        shard_slots: int = 1 << 16, seed: str = "mix", max_sources: int = 10_000) -> Mixture:
+        shard_slots: int = 1 << 14, seed: str = "mix", max_sources: int = 10_000) -> Mixture:
     """Mix all documents (doc_id, text, source).
 
     Sources are a short list by nature (their weights are settings): more than `max_sources` raise
@@ -71,11 +71,10 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5,
     goal = targets([r["size"] for r in per_source], weights, share, cap)
     blocks = [-(-r["size"] // block_words) for r in per_source]
     sources = F.broadcast(spark.createDataFrame(
-        [(i, r["source"], r["size"], goal[i]) for i, r in enumerate(per_source)],
-        "source_no int, source string, source_size bigint, target double"))
-    buckets = min(100_000, max(1, sum(r["n"] for r in per_source) // 2_000))
+        [(i, r["source"], r["size"], goal[i], min(1_000_000, 1 + r["n"] // 500)) for i, r in enumerate(per_source)],
+        "source_no int, source string, source_size bigint, target double, buckets int"))
     keyed = (base.join(sources, base["source"].eqNullSafe(sources["source"]))
-             .select(base["*"], "source_no", "source_size", "target").withColumn("bucket", F.pmod("h", F.lit(buckets))))
+             .select(base["*"], "source_no", "source_size", "target", F.pmod("h", "buckets").alias("bucket")))
     starts = keyed.groupBy("source_no", "bucket").agg(F.sum("size").alias("size")).selectExpr(
         "source_no", "bucket", "sum(size) OVER (PARTITION BY source_no ORDER BY bucket) - size AS base")
     placed = stored(
@@ -90,11 +89,11 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5,
                           f"least(off + size, (block + 1) * {block_words}) - greatest(off, block * {block_words}) AS words"))
     slots = _slots(spark, goal, blocks, cap, block_words, shard_slots, seed)
     taken = (slots.groupBy("source_no", "block").agg(F.count(F.lit(1)).alias("times"))
-             .join(pieces, ["source_no", "block"])
+             .join(pieces.hint("merge"), ["source_no", "block"])
              .groupBy("source_no", "off").agg(
                  F.sum(F.col("words") * F.col("times")).alias("taken"),
                  F.max(F.when(F.col("block") == F.expr(f"off div {block_words}"), F.col("times"))).alias("copies")))
-    documents = (placed.join(taken, ["source_no", "off"], "left")
+    documents = (placed.join(taken.hint("merge"), ["source_no", "off"], "left")
                  .select("doc_id", "source", "h", "size", "source_size", "target",
                          F.when(F.col("size") > 0, F.coalesce("copies", F.lit(0))).otherwise(F.lit(0)).alias("copies"),
                          F.when(F.col("size") > 0, F.coalesce("taken", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("taken")))
@@ -125,7 +124,8 @@ def _slots(spark, goal: list[float], blocks: list[int], cap: float, block_words:
                                    - F.floor(F.col("n_slots") * F.col("low") + F.col("start"))).cast("bigint")))
     counted = drawn.selectExpr("*", "sum(drawn) OVER (PARTITION BY source_no ORDER BY shard) - drawn AS first").selectExpr(
         "*", f"least(first + drawn, {most} * n) AS stop").where("stop > first")
-    numbered = counted.select("shard", "source_no", "n", F.explode(F.sequence("first", F.col("stop") - 1)).alias("slot"))
+    # few rows that each become many: dealt out by number, so that they aren't put together again
+    numbered = counted.repartition(4 * partitions(spark), "shard", "source_no").select("shard", "source_no", "n", F.explode(F.sequence("first", F.col("stop") - 1)).alias("slot"))
     block = permuted_index(F.col("slot") % F.col("n"), F.col("n"), lambda half, i: F.xxhash64(
         F.lit(seed), F.col("source_no"), F.floor(F.col("slot") / F.col("n")), i, half))
     return numbered.select("shard", "slot", "source_no", block.alias("block"))
