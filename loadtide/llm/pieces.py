@@ -23,7 +23,7 @@ from itertools import chain
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .registry import query, table
+from .registry import query, ship, table
 
 SPACE = "▁"
 NEVER = float("-inf")
@@ -184,6 +184,7 @@ def encode(docs: DataFrame, model_file: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) for every row; the model file's bytes travel to the workers."""
     with open(model_file, "rb") as f:
         model = f.read()
+    ship(docs.sparkSession)
 
     def run(batches):
         import pyarrow as pa
@@ -209,6 +210,7 @@ def token_ids(docs: DataFrame, model_file: str) -> DataFrame:
     """(doc_id, ids): the ids themselves."""
     with open(model_file, "rb") as f:
         model = f.read()
+    ship(docs.sparkSession)
 
     def run(batches):
         import pyarrow as pa

@@ -1,4 +1,4 @@
 """Loads all modules that register queries."""
 
-from . import line_rules, mixing, pieces, pii, secrets, syncmers  # noqa: F401
+from . import line_rules, mixing, pieces, pii, records, secrets, syncmers  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import io
+import re
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+import loadtide
 from loadtide.sources.scratch import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +46,31 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def partitions(spark: SparkSession) -> int:
     """The session's number of shuffle partitions, which grows with the cluster and the input."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+_shipped: set[str] = set()
+
+
+def file_system(uri: str):
+    """(Arrow file system, path) of an address; a plain path is a local one."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(uri if re.match(r"[a-z0-9]+:/", uri) else f"file://{uri}")
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the session's Python workers, once, by way of the shared scratch folder."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root, out = Path(loadtide.__file__).parent, io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, str(f.relative_to(root.parent)))
+    target = fresh_path(spark, "code") + ".zip"
+    system, path = file_system(target)
+    system.create_dir(path.rpartition("/")[0], recursive=True)
+    with system.open_output_stream(path) as f:
+        f.write(out.getvalue())
+    sc.addPyFile(target if re.match(r"[a-z0-9]+:/", target) else f"file://{path}")
+    _shipped.add(sc.applicationId)
