@@ -44,7 +44,7 @@ def _anchor_hashes(text: Column, k: int) -> Column:
 
 def sketch(text: Column, k: int = 5, size: int = 128) -> Column:
     """The `size` smallest distinct anchor hashes in ascending order."""
-    return F.slice(F.array_sort(F.array_distinct(_anchor_hashes(text, k))), 1, size)
+    return F.slice(F.sort_array(F.array_distinct(_anchor_hashes(text, k))), 1, size)
 
 
 def likeness(a: Column, b: Column, size: int = 128) -> Column:
