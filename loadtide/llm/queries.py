@@ -1,4 +1,4 @@
 """Loads all modules that register queries."""
 
-from . import html_main, line_rules, mixing, near_dedup, pieces, pii, records, secrets, syncmers  # noqa: F401
+from . import html_main, line_rules, lm_scoring, mixing, near_dedup, pieces, pii, records, secrets, syncmers  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
