@@ -4,7 +4,10 @@
    band keys. Texts with the same set are one class from here on.
 2. Classes that share a band key are candidates. They are not all paired: in every bucket each class is compared with one
    hub, and classes that turn out linked are joined to a component. After some such rounds, with another hub each, only
-   classes of different components are still paired. Pairs inside a component could change nothing.
+   classes of different components are still paired; pairs inside a component could change nothing. Buckets of up to
+   `small` classes are paired whole. The classes of larger ones (say, thousands of variants of a text, many of which aren't
+   similar enough) are paired where their rarest shingles meet: two sets that reach the threshold share a shingle among
+   the first few of each, in any common order (prefix filter), so no link is lost.
 3. A pair's signatures are compared batch by batch. The pair is dropped as soon as the posterior chance (uniform
    prior) that its similarity reaches the threshold falls below `miss`. Survivors are verified on their whole sets.
 4. Links are contracted to components by repeated minimum labels, in Spark.
@@ -193,7 +196,37 @@ def components(links: DataFrame) -> DataFrame:
     return links.sparkSession.createDataFrame([], "node binary, label binary") if label is None else label
 
 
-def groups(docs: DataFrame, threshold: float = 0.8, size: int = 5, miss: float = 1e-6, hub_rounds: int = 2) -> DataFrame:
+def _by_rare_shingles(nodes: DataFrame, texts: DataFrame, threshold: float, size: int) -> DataFrame:
+    """Pairs (a, b) of nodes (key, n, label, least) of different labels whose prefixes share a shingle.
+
+    `least` is the smallest set size of a possible partner. Shingles are ordered by the number of nodes that have
+    them. Those of one node only come first and meet nothing, so only their number counts.
+    """
+    ship(nodes.sparkSession)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
+                s = shingles(text, size).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([key] * len(s), pa.binary()), pa.array(s)], names=["key", "s"])
+
+    held = stored(texts.join(nodes.select("key"), "key", "left_semi").mapInArrow(run, "key binary, s long"), "shingles")
+    common = held.groupBy("s").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    ranked = held.join(common, "s").selectExpr("key", "s", "row_number() OVER (PARTITION BY key ORDER BY df, s) AS place",
+                                               "count(*) OVER (PARTITION BY key) AS n_common")
+    length = F.col("n") - F.ceil(threshold / (1 + threshold) * (F.col("n") + F.col("least")) - 1e-9) + 1
+    first = stored(ranked.join(nodes, "key").where(F.col("place") <= length - (F.col("n") - F.col("n_common"))).select("s", "key", "n", "label"), "prefixes")
+    meeting = first.groupBy("s").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("s")
+    left = first.join(meeting, "s", "left_semi")
+    right = left.select("s", F.col("key").alias("key2"), F.col("n").alias("n2"), F.col("label").alias("label2"))
+    return (left.join(right, "s").where((F.col("key") < F.col("key2")) & (F.col("label") != F.col("label2"))
+                                        & (F.least("n", "n2") >= threshold * F.greatest("n", "n2") - 1e-9))
+            .select(F.col("key").alias("a"), F.col("key2").alias("b")))
+
+
+def groups(docs: DataFrame, threshold: float = 0.8, size: int = 5, miss: float = 1e-6, hub_rounds: int = 2, small: int = 16) -> DataFrame:
     """(doc_id, h, n, label): every row with its text's hash, size of its set, and its component's label (null: no set)."""
     members = stored(signatures(docs, threshold, size), "members")
     classes = stored(members.where("key IS NOT NULL").groupBy("key").agg(
@@ -212,13 +245,23 @@ def groups(docs: DataFrame, threshold: float = 0.8, size: int = 5, miss: float =
         if step:  # only buckets that still hold several components
             mixed = now.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("bucket")
             now = stored(now.join(mixed, "bucket", "left_semi"), "buckets")
-        other = now.select("bucket", F.col("key").alias("key2"), F.col("n").alias("n2"), F.col("label").alias("label2"))
+        near = (F.col("label") != F.col("label2")) & (F.least("n", "n2") >= threshold * F.greatest("n", "n2") - 1e-9)
         if step < hub_rounds:
-            hub = F.min_by(F.struct("key", "n", "label"), F.xxhash64(F.lit(step), "key")).alias("hub")
+            hub = F.min_by(F.struct("key", "n", "label"), F.xxhash64(F.lit(step), "bucket", "key")).alias("hub")
             other = now.groupBy("bucket").agg(hub).select(
                 "bucket", F.col("hub.key").alias("key2"), F.col("hub.n").alias("n2"), F.col("hub.label").alias("label2"))
-        pairs = (now.join(other, "bucket").where((F.col("label") != F.col("label2")) & (F.least("n", "n2") >= threshold * F.greatest("n", "n2") - 1e-9))
-                 .select(F.least("key", "key2").alias("a"), F.greatest("key", "key2").alias("b")).distinct())
+            pairs = now.join(other, "bucket").where(near).select(F.least("key", "key2").alias("a"), F.greatest("key", "key2").alias("b"))
+        else:
+            sizes = now.groupBy("bucket").agg(F.count(F.lit(1)).alias("c"), F.collect_set("n").alias("sizes"))
+            now = now.join(sizes, "bucket")
+            few = now.where(F.col("c") <= small)
+            other = few.select("bucket", F.col("key").alias("key2"), F.col("n").alias("n2"), F.col("label").alias("label2"))
+            pairs = few.join(other, "bucket").where(near & (F.col("key") < F.col("key2"))).select(F.col("key").alias("a"), F.col("key2").alias("b"))
+            least = F.array_min(F.filter("sizes", lambda x: x >= threshold * F.col("n") - 1e-9))
+            nodes = stored(now.where(F.col("c") > small).select("key", "n", "label", least.alias("least"))
+                           .groupBy("key", "n", "label").agg(F.min("least").alias("least")), "nodes")
+            pairs = pairs.unionByName(_by_rare_shingles(nodes, texts, threshold, size))
+        pairs = pairs.distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
@@ -264,7 +307,22 @@ def deduplicated(docs: DataFrame, threshold: float = 0.8, size: int = 5, **setti
             .unionByName(all_rows.where(~empty).select(*columns)))
 
 
-@query("op8_near_dedup")
+_SQL = """
+WITH RECURSIVE docs AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+     sets AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: w[i:i + 4]) END) AS s FROM docs),
+     sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+     shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+     links AS (SELECT x, y FROM shared JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * i >= 85 * (a.n + b.n - i)),
+     reach AS (SELECT doc_id, doc_id AS r FROM docs UNION SELECT reach.doc_id, y FROM reach JOIN links ON r = x),
+     least AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+SELECT docs.doc_id, coalesce(n, 0) AS n_shingles, component_id, docs.doc_id = component_id AS kept
+FROM docs LEFT JOIN sizes USING (doc_id) JOIN least USING (doc_id)
+"""
+
+
+@query("op8_near_dedup", _SQL)
 def op8_near_dedup(spark, sf_dir):
     """Groups of documents linked by a similarity of 0.85 or more."""
     return near_duplicates(table(spark, sf_dir, "documents"), threshold=0.85)
