@@ -32,7 +32,7 @@ NEVER = float("-inf")
 class PrefixTable:
     """Encoder for one model. `keep` bounds the table of strings encoded before."""
 
-    def __init__(self, model: bytes, keep: int = 300_000):
+    def __init__(self, model: bytes, keep: int = 1_000_000):
         import ahocorasick
         import sentencepiece
 
