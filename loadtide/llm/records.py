@@ -132,39 +132,71 @@ class Encoder:
     beside a space, or with a special token's string, go to the library whole.
     """
 
-    def __init__(self, model: str, keep: int = 400_000):
+    def __init__(self, model: str, keep: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(model)
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # ids of a space and the word
         self.keep = keep
         self.width = 2 if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        by_words = '"pre_tokenizer":{"type":"ByteLevel","add_prefix_space":false' in re.sub(r"\s", "", model) and '"normalizer":null' in re.sub(r"\s", "", model)
-        self.whole = re.compile("|".join([r" \s|\s ", *map(re.escape, special)]) if by_words else "")
+        plain = re.sub(r"\s", "", model)
+        by_words = '"pre_tokenizer":{"type":"ByteLevel","add_prefix_space":false' in plain and '"normalizer":null' in plain
+        self.whole = re.compile("|".join([r" \s|\s | $", *map(re.escape, special)]) if by_words else "")
+        # in a byte-level vocabulary a token has a character for each of its bytes
+        self.lengths = np.array([len(self.library.id_to_token(i) or "") for i in range(self.library.get_vocab_size(with_added_tokens=True))])
 
     def _bytes(self, ids) -> bytes:
         return np.asarray(ids, f"<u{self.width}").tobytes()
 
+    def _encode_words(self, words: list[str]) -> None:
+        """Ids of many words from one call: each word's ids end where their bytes do."""
+        for s in range(0, len(words), 20_000):
+            some = words[s:s + 20_000]
+            ids = np.array(self.library.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids)
+            sizes = np.fromiter((len(w) if w.isascii() else len(w.encode()) for w in some), np.int64, len(some)) + 1
+            stops = ((np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum(sizes)) + 1) * self.width).tolist()
+            data, start = self._bytes(ids), 0
+            for w, stop in zip(some, stops):
+                self.known[w] = data[start:stop]
+                start = stop
+
     def _fill(self, missing: set[str]) -> None:
-        """Encode words not seen before; a full stop or comma after a letter is a word of its own."""
-        ends = {w: w[:-1] for w in missing if len(w) > 2 and w[-1] in ".," and w[-2].isalpha()}
-        plain = [w for w in ({w for w in missing if w not in ends} | set(ends.values()) | {".", ","}) if w not in self.known]
-        for w, e in zip(plain, self.library.encode_batch_fast(plain, add_special_tokens=False)):
-            self.known[w] = self._bytes(e.ids)
+        """Encode words not seen before; a full stop or comma after a letter is encoded apart."""
+        known = self.known
+        ends = {w: w[:-1] for w in missing if len(w) > 1 and w[-1] in ".," and w[-2].isalpha()}
+        self._encode_words([w for w in {*missing.difference(ends), *ends.values()} if w not in known])
         for w, base in ends.items():
-            self.known[w] = self.known[base] + self.known[w[-1]]
+            known[w] = known[base] + self.stops[w[-1]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text as little-endian numbers of `width` bytes."""
-        split = [None if self.whole.search(t) else [w if i == 0 else " " + w for i, w in enumerate(t.split(" "))] for t in texts]
         if len(self.known) > self.keep:
             self.known.clear()
-        known = self.known
-        missing = {w for words in split if words for w in words if w not in known}
+        self.stops = {c: self._bytes(self.library.encode(c, add_special_tokens=False).ids) for c in ".,"}
+        get, out, late = self.known.get, [None] * len(texts), []
+        whole, heads, missing = [], [], set()
+        for i, t in enumerate(texts):
+            if self.whole.search(t):
+                whole.append(i)
+                continue
+            words = t.split(" ")
+            heads.append((i, words.pop(0)))
+            found = list(map(get, words))
+            if None in found:
+                late.append((i, words))
+                missing.update([w for w, f in zip(words, found) if f is None])
+            else:
+                out[i] = b"".join(found)
         self._fill(missing)
-        whole = iter(self.library.encode_batch_fast([t for t, s in zip(texts, split) if s is None], add_special_tokens=False))
-        return [self._bytes(next(whole).ids) if s is None else b"".join([known[w] for w in s]) for s in split]
+        for i, words in late:
+            out[i] = b"".join(map(get, words))
+        alone = self.library.encode_batch_fast([h for _, h in heads] + [texts[i] for i in whole], add_special_tokens=False)
+        for (i, _), e in zip(heads, alone):
+            out[i] = self._bytes(e.ids) + out[i]
+        for i, e in zip(whole, alone[len(heads):]):
+            out[i] = self._bytes(e.ids)
+        return out
 
 
 _loaded: dict[bytes, Encoder] = {}
