@@ -33,7 +33,7 @@ from .registry import partitions, query, ship, stored, table
 
 START = 0  # the context of first words
 BITS = 48
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 700_000
 _ROW = "part long, kind int, block long, a binary, b binary, c binary, d binary, e binary"
 
 
@@ -43,7 +43,7 @@ class Words(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) >= 500_000:
+        if len(self) >= 400_000:
             self.clear()
         h = self[word] = (xxhash.xxh64_intdigest(word) >> (64 - BITS)) or 1
         return h
@@ -100,14 +100,30 @@ def _blocks(batches, limit: int = BLOCK_WORDS):
                 number, ids, lengths, hashes, n = number + 1, [], [], [], 0
     if ids:
         yield number, ids, np.array(lengths), np.concatenate(hashes)
+    _words.clear()
 
 
-def _contexts(lengths: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """The word before each word, START for the first ones."""
-    u = np.empty_like(w)
-    u[1:] = w[:-1]
-    u[(np.cumsum(lengths) - lengths)[lengths > 0]] = START
-    return u
+def _before(lengths: np.ndarray, values: np.ndarray, start) -> np.ndarray:
+    """The value of the word before each word, `start` for first words."""
+    out = np.empty_like(values)
+    out[1:] = values[:-1]
+    out[(np.cumsum(lengths) - lengths)[lengths > 0]] = start
+    return out
+
+
+class Hot:
+    """Frequent words: their places in the ascending list from 1, 0 for other words."""
+
+    def __init__(self, words: np.ndarray):
+        self.words = words
+        self.maybe = np.zeros(1 << 16, bool)
+        self.maybe[(words & np.uint64(0xFFFF)).astype(np.int64)] = True
+
+    def places(self, w: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(w), np.uint32)
+        some = np.flatnonzero(self.maybe[(w & np.uint64(0xFFFF)).astype(np.int64)])
+        out[some] = _look(self.words, np.arange(1, len(self.words) + 1, dtype=np.uint32), w[some])
+        return out
 
 
 def _rows(rows: list[tuple]) -> "object":
@@ -167,18 +183,17 @@ def _hot_words(counts: DataFrame, least: float) -> tuple[np.ndarray, np.ndarray]
 
 def _hot_pairs(docs: DataFrame, hot: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of hot words with that count or more as (context's place) * number of hot words + (word's place), and their counts."""
-    size = np.uint64(max(1, len(hot)))
+    size, known = max(1, len(hot)), Hot(hot)
 
     def run(batches):
         import pyarrow as pa
 
         for _, _, lengths, w in _blocks(batches):
-            u = _contexts(lengths, w)
-            places = np.arange(1, len(hot) + 1, dtype=np.uint64)
-            x, y = _look(hot, places, u), _look(hot, places, w)
+            y = known.places(w)
+            x = _before(lengths, y, known.places(np.array([START], np.uint64))[0])
             both = (x > 0) & (y > 0)
-            code, n = np.unique((x[both] - np.uint64(1)) * size + y[both] - np.uint64(1), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(code.astype(np.int64)), pa.array(n)], names=["code", "n"])
+            code, n = np.unique((x[both].astype(np.int64) - 1) * size + y[both] - 1, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], names=["code", "n"])
 
     rows = sorted(docs.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).where(F.col("n") >= least).collect())
     return np.array([r["code"] for r in rows], np.uint64), np.array([r["n"] for r in rows], np.uint64)
@@ -188,13 +203,13 @@ def score(docs: DataFrame, alpha: float = 0.4, min_count: int = 2, hot: int = 20
     """(doc_id, n_words, log10_score, mean_log10) for every row of docs (doc_id, text)."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    parts = 2 * partitions(spark)
+    parts = 4 * partitions(spark)
     counts = stored(word_counts(docs, parts), "words")
     total = counts.agg(F.sum("total")).first()[0] or 0
     least = max(1.0, total / hot)
     hot_w, hot_n = _hot_words(counts, least)
     pair_codes, pair_n = _hot_pairs(docs, hot_w, max(least, min_count))
-    size = np.uint64(max(1, len(hot_w)))
+    size, known = max(1, len(hot_w)), Hot(hot_w)
     log_total, log_alpha = math.log10(max(1, total)), math.log10(alpha)
 
     def explode(batches):
@@ -202,10 +217,12 @@ def score(docs: DataFrame, alpha: float = 0.4, min_count: int = 2, hot: int = 20
         import pyarrow as pa
 
         for number, ids, lengths, v in _blocks(batches):
-            u, doc = _contexts(lengths, v), np.repeat(np.arange(len(lengths), dtype=np.uint64), lengths)
-            places = np.arange(1, len(hot_w) + 1, dtype=np.uint64)
-            x, y = _look(hot_w, places, u), _look(hot_w, places, v)
-            n = np.where((x > 0) & (y > 0), _look(pair_codes, pair_n, (x - np.uint64(1)) * size + y - np.uint64(1)), np.uint64(0))
+            doc = np.repeat(np.arange(len(lengths), dtype=np.uint64), lengths)
+            y = known.places(v)
+            x = _before(lengths, y, known.places(np.array([START], np.uint64))[0])
+            n = np.zeros(len(v), np.uint64)
+            both = np.flatnonzero((x > 0) & (y > 0))
+            n[both] = _look(pair_codes, pair_n, (x[both].astype(np.uint64) - np.uint64(1)) * np.uint64(size) + y[both] - np.uint64(1))
             done = n > 0
             sums = np.zeros(len(lengths))
             if done.any():
@@ -214,11 +231,11 @@ def score(docs: DataFrame, alpha: float = 0.4, min_count: int = 2, hot: int = 20
             null = np.array([i is None for i in ids])
             yield _rows([(number % parts, 0, number, np.array([i or 0 for i in ids], np.int64).tobytes(), np.packbits(null).tobytes(),
                           planes(lengths.astype(np.uint32)), sums.tobytes(), None)])
-            u, v, doc = u[~done], v[~done], doc[~done]
-            if not len(v):
+            if not len(v) or done.all():
                 continue
-            names, code = np.unique(np.concatenate([u, v]), return_inverse=True)
-            cu, cv = code[:len(u)].astype(np.uint64), code[len(u):].astype(np.uint64)
+            names, code = np.unique(np.append(v, np.uint64(START)), return_inverse=True)
+            code = code.astype(np.uint64)
+            cv, cu, doc = code[:-1][~done], _before(lengths, code[:-1], code[-1])[~done], doc[~done]
             d, k = np.uint64(len(lengths)), np.uint64(len(names))
             entry, times = np.unique((cv * k + cu) * d + doc, return_counts=True)
             pair, first, n_docs = np.unique(entry // d, return_index=True, return_counts=True)
