@@ -44,7 +44,7 @@ class Words(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) >= 500_000:
+        if len(self) >= 300_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
