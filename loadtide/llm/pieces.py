@@ -18,8 +18,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import chain
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +32,7 @@ NEVER = float("-inf")
 class PrefixTable:
     """Encoder for one model. `keep` bounds the table of strings encoded before."""
 
-    def __init__(self, model: bytes, keep: int = 1_000_000):
+    def __init__(self, model: bytes, keep: int = 700_000):
         import ahocorasick
         import sentencepiece
 
@@ -50,7 +50,9 @@ class PrefixTable:
                 self.automaton.add_word(p, (i, len(p)))
         self.automaton.make_automaton()
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.known: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.known: dict[str, bytes] = {}  # ids as numbers of `kind`
+        self.kind = np.dtype("<u2" if n <= 1 << 16 else "<u4")
+        self.decimal = [str(i) for i in range(n)]
         self.keep = keep
 
     def history(self, s: str) -> tuple[list[float], list[str], list[str]]:
@@ -78,7 +80,7 @@ class PrefixTable:
         """
         found = self.pairs.get((a, b))
         if found is None:
-            if len(self.pairs) >= 1_000_000:
+            if len(self.pairs) >= 400_000:
                 self.pairs.clear()
             found = self.pairs[a, b] = self._follows(a, b)
         return found
@@ -121,23 +123,25 @@ class PrefixTable:
         ids.reverse()
         return ids
 
-    def lookup(self, s: str) -> tuple[tuple[int, ...], str]:
-        """(ids, ids in decimal and joined by commas) of a string."""
+    def lookup(self, s: str) -> bytes:
+        """Ids of a string."""
         found = self.known.get(s)
         if found is not None:
             return found
         if len(s) > 2 and s[-1] in ".,;:!?" and s[-2:] not in self.side_by_side:  # no entry for each form of a word
-            a, b = self.lookup(s[:-1]), self.lookup(s[-1])
-            return a[0] + b[0], f"{a[1]},{b[1]}"
-        ids = tuple(self.encode_string(s))
-        found = (ids, ",".join(map(str, ids)))
+            return self.lookup(s[:-1]) + self.lookup(s[-1])
+        found = np.array(self.encode_string(s), self.kind).tobytes()
         if len(s) <= 64:
             if len(self.known) >= self.keep:
                 self.known.clear()
             self.known[s] = found
         return found
 
-    def parts(self, text: str) -> Iterator[tuple[tuple[int, ...], str]]:
+    def encode(self, text: str) -> list[int]:
+        """Ids of a whole text."""
+        return np.frombuffer(b"".join(self.parts(text)), self.kind).tolist()
+
+    def parts(self, text: str) -> Iterator[bytes]:
         """The encodings of the strings that the text falls into, in order."""
         if not text:
             return
@@ -190,13 +194,13 @@ def encode(docs: DataFrame, model_file: str) -> DataFrame:
         import pyarrow as pa
 
         coder = _table(model)
+        decimal = coder.decimal.__getitem__
         for batch in batches:
             counts, sums, texts = [], [], []
             for text in batch.column("text").to_pylist():
-                parts = list(coder.parts(text or ""))
-                ids = list(chain.from_iterable([p[0] for p in parts]))
+                ids = coder.encode(text or "")
                 counts.append(len(ids))
-                sums.append(hashlib.sha256(",".join([p[1] for p in parts]).encode()).hexdigest())
+                sums.append(hashlib.sha256(",".join(map(decimal, ids)).encode()).hexdigest())
                 texts.append(hashlib.sha256(coder.library.decode(ids).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(sums, pa.string()), pa.array(texts, pa.string())],
@@ -217,7 +221,7 @@ def token_ids(docs: DataFrame, model_file: str) -> DataFrame:
 
         coder = _table(model)
         for batch in batches:
-            ids = [list(chain.from_iterable(p[0] for p in coder.parts(t or ""))) for t in batch.column("text").to_pylist()]
+            ids = [coder.encode(t or "") for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids array<int>")
