@@ -7,7 +7,7 @@
    classes of different components are still paired; pairs inside a component could change nothing. Buckets of up to
    `small` classes are paired whole. The classes of larger ones (say, thousands of variants of a text, many of which aren't
    similar enough) are paired where their rarest shingles meet: two sets that reach the threshold share a shingle among
-   the first few of each, in any common order (prefix filter), so no link is lost.
+   the first few of each, in any common order, and enough must follow (prefix and position filter), so no link is lost.
 3. A pair's signatures are compared batch by batch. The pair is dropped as soon as the posterior chance (uniform
    prior) that its similarity reaches the threshold falls below `miss`. Survivors are verified on their whole sets.
 4. Links are contracted to components by repeated minimum labels, in Spark.
@@ -217,11 +217,14 @@ def _by_rare_shingles(nodes: DataFrame, texts: DataFrame, threshold: float, size
     ranked = held.join(common, "s").selectExpr("key", "s", "row_number() OVER (PARTITION BY key ORDER BY df, s) AS place",
                                                "count(*) OVER (PARTITION BY key) AS n_common")
     length = F.col("n") - F.ceil(threshold / (1 + threshold) * (F.col("n") + F.col("least")) - 1e-9) + 1
-    first = stored(ranked.join(nodes, "key").where(F.col("place") <= length - (F.col("n") - F.col("n_common"))).select("s", "key", "n", "label"), "prefixes")
+    first = stored(ranked.join(nodes, "key").where(F.col("place") <= length - (F.col("n") - F.col("n_common")))
+                   .select("s", "key", "n", "label", (F.col("n") - F.col("n_common") + F.col("place")).alias("place")), "prefixes")
     meeting = first.groupBy("s").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("s")
     left = first.join(meeting, "s", "left_semi")
-    right = left.select("s", F.col("key").alias("key2"), F.col("n").alias("n2"), F.col("label").alias("label2"))
-    return (left.join(right, "s").where((F.col("key") < F.col("key2")) & (F.col("label") != F.col("label2"))
+    right = left.select("s", F.col("key").alias("key2"), F.col("n").alias("n2"), F.col("label").alias("label2"), F.col("place").alias("place2"))
+    overlap = F.ceil(threshold / (1 + threshold) * (F.col("n") + F.col("n2")) - 1e-9)  # of two sets that reach the threshold
+    possible = 1 + F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2"))  # if this is the first shingle they share
+    return (left.join(right, "s").where((F.col("key") < F.col("key2")) & (F.col("label") != F.col("label2")) & (possible >= overlap)
                                         & (F.least("n", "n2") >= threshold * F.greatest("n", "n2") - 1e-9))
             .select(F.col("key").alias("a"), F.col("key2").alias("b")))
 
