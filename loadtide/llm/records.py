@@ -132,7 +132,7 @@ class Encoder:
     beside a space, or with a special token's string, go to the library whole.
     """
 
-    def __init__(self, model: str, keep: int = 1_000_000):
+    def __init__(self, model: str, keep: int = 550_000):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(model)
@@ -153,9 +153,11 @@ class Encoder:
         """Ids of many words from one call: each word's ids end where their bytes do."""
         for s in range(0, len(words), 20_000):
             some = words[s:s + 20_000]
-            ids = np.array(self.library.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids)
-            sizes = np.fromiter((len(w) if w.isascii() else len(w.encode()) for w in some), np.int64, len(some)) + 1
-            stops = ((np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum(sizes)) + 1) * self.width).tolist()
+            line = " " + " ".join(some)
+            ids = np.array(self.library.encode_batch_fast([line], add_special_tokens=False)[0].ids)
+            line = np.frombuffer(line.encode(), np.uint8)
+            ends = np.append(np.flatnonzero(line == 32)[1:], len(line))  # no word has a space in it
+            stops = ((np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1) * self.width).tolist()
             data, start = self._bytes(ids), 0
             for w, stop in zip(some, stops):
                 self.known[w] = data[start:stop]
@@ -184,13 +186,17 @@ class Encoder:
             heads.append((i, words.pop(0)))
             found = list(map(get, words))
             if None in found:
-                late.append((i, words))
-                missing.update([w for w, f in zip(words, found) if f is None])
+                gaps = [k for k, f in enumerate(found) if f is None]
+                names = [words[k] for k in gaps]
+                late.append((i, found, gaps, names))
+                missing.update(names)
             else:
                 out[i] = b"".join(found)
         self._fill(missing)
-        for i, words in late:
-            out[i] = b"".join(map(get, words))
+        for i, found, gaps, names in late:
+            for k, w in zip(gaps, names):
+                found[k] = get(w)
+            out[i] = b"".join(found)
         alone = self.library.encode_batch_fast([h for _, h in heads] + [texts[i] for i in whole], add_special_tokens=False)
         for (i, _), e in zip(heads, alone):
             out[i] = self._bytes(e.ids) + out[i]
@@ -253,8 +259,8 @@ def write_records(docs: DataFrame, path: str, tokenizer_file: str, end_id: int =
         now = None
         for batch in batches:
             tail = np.asarray([end_id], f"<u{coder.width}").tobytes()
-            for s in range(0, batch.num_rows, 1000):
-                piece = batch.slice(s, 1000)
+            for s in range(0, batch.num_rows, 400):
+                piece = batch.slice(s, 400)
                 ids = [b + tail for b in coder.encode([t or "" for t in piece.column("text").to_pylist()])]
                 head = bytes([coder.width])
                 bodies = [(NULL_ID if d is None else d).to_bytes(8, "little", signed=True) + head + b for d, b in zip(piece.column("doc_id").to_pylist(), ids)]
