@@ -135,8 +135,12 @@ def _rows(rows: list[tuple]) -> "object":
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
 
-def word_counts(docs: DataFrame, parts: int) -> DataFrame:
-    """(part, words, counts, total): a row per hash partition, words ascending; START counts documents and not in total."""
+def word_counts(docs: DataFrame, parts: int, hot: int) -> DataFrame:
+    """(part, words, counts, total, top): a row per hash partition, words ascending; START counts documents and not in total.
+
+    `top` has the words that make up 1/`hot` of the partition's words or more, with their counts: every word that makes up as
+    much of the whole corpus is among them.
+    """
     ship(docs.sparkSession)
 
     def explode(batches):
@@ -153,9 +157,13 @@ def word_counts(docs: DataFrame, parts: int) -> DataFrame:
         c = np.concatenate([unplaned(x, np.uint32) for x in pdf["b"]])
         u, at = np.unique(h, return_inverse=True)
         n = np.bincount(at, weights=c).astype(np.uint64)
-        return pd.DataFrame({"part": [pdf["part"].iloc[0]], "words": [ascending(u)], "counts": [planes(n)], "total": [int(n[u != START].sum())]})
+        total = int(n[u != START].sum())
+        top = (n >= total / hot) | (u == START)
+        return pd.DataFrame({"part": [pdf["part"].iloc[0]], "words": [ascending(u)], "counts": [planes(n)], "total": [total],
+                             "top": [[{"w": int(x), "c": int(y)} for x, y in zip(u[top], n[top])]]})
 
-    return docs.mapInArrow(explode, _ROW).groupBy("part").applyInPandas(add, "part long, words binary, counts binary, total long")
+    return docs.mapInArrow(explode, _ROW).groupBy("part").applyInPandas(
+        add, "part long, words binary, counts binary, total long, top array<struct<w: long, c: long>>")
 
 
 def _look(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -168,16 +176,7 @@ def _look(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarra
 
 def _hot_words(counts: DataFrame, least: float) -> tuple[np.ndarray, np.ndarray]:
     """Words with that count or more, ascending, and their counts."""
-    def run(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            for a, b in zip(batch.column("words").to_pylist(), batch.column("counts").to_pylist()):
-                u, c = ascended(a), unplaned(b, np.uint64)
-                keep = (c >= least) | (u == START)
-                yield pa.RecordBatch.from_arrays([pa.array(u[keep].astype(np.int64)), pa.array(c[keep].astype(np.int64))], names=["w", "c"])
-
-    rows = sorted(counts.select("words", "counts").mapInArrow(run, "w long, c long").collect())
+    rows = sorted(counts.select(F.inline("top")).where((F.col("c") >= least) | (F.col("w") == START)).collect())
     return np.array([r["w"] for r in rows], np.uint64), np.array([r["c"] for r in rows], np.uint64)
 
 
@@ -204,7 +203,7 @@ def score(docs: DataFrame, alpha: float = 0.4, min_count: int = 2, hot: int = 20
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     parts = 4 * partitions(spark)
-    counts = stored(word_counts(docs, parts), "words")
+    counts = stored(word_counts(docs, parts, hot), "words")
     total = counts.agg(F.sum("total")).first()[0] or 0
     least = max(1.0, total / hot)
     hot_w, hot_n = _hot_words(counts, least)
@@ -318,7 +317,7 @@ def score(docs: DataFrame, alpha: float = 0.4, min_count: int = 2, hot: int = 20
 
     ship(spark)
     scored = (docs.mapInArrow(explode, _ROW).groupBy("part").applyInPandas(grams, _ROW).groupBy("part")
-              .cogroup(counts.withColumnRenamed("part", "words_part").groupBy("words_part")).applyInPandas(settle, _ROW))
+              .cogroup(counts.select(F.col("part").alias("words_part"), "words", "counts").groupBy("words_part")).applyInPandas(settle, _ROW))
     return scored.groupBy("block").applyInPandas(finish, "doc_id long, n_words long, log10_score double, mean_log10 double")
 
 
