@@ -130,6 +130,7 @@ def signatures(docs: DataFrame, threshold: float, size: int = 5) -> DataFrame:
                 [batch.column("doc_id"), batch.column("h"), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(bands) if bands else [], pa.int64()))],
                 names=["doc_id", "h", "n", "key", "bands"])
+        _words.clear()  # nothing stays between tasks
 
     return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("h"), "text").mapInArrow(
         run, "doc_id long, h long, n long, key binary, bands array<long>")

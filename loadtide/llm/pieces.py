@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -29,6 +30,11 @@ SPACE = "▁"
 NEVER = float("-inf")
 
 
+def _oldest(table: dict, n: int) -> dict:
+    """The first entries of a table: frequent strings come early."""
+    return dict(islice(table.items(), n))
+
+
 class PrefixTable:
     """Encoder for one model. `keep` bounds the table of strings encoded before."""
 
@@ -81,7 +87,7 @@ class PrefixTable:
         found = self.pairs.get((a, b))
         if found is None:
             if len(self.pairs) >= 400_000:
-                self.pairs.clear()
+                self.pairs = _oldest(self.pairs, 100_000)
             found = self.pairs[a, b] = self._follows(a, b)
         return found
 
@@ -132,13 +138,17 @@ class PrefixTable:
             return self.lookup(s[:-1]) + self.lookup(s[-1])
         found = np.array(self.encode_string(s), self.kind).tobytes()
         if len(s) <= 64:
-            if len(self.known) >= self.keep:
-                self.known.clear()
             self.known[s] = found
         return found
 
+    def trim(self, keep: int) -> None:
+        """Cut the tables down if they hold more than `keep` strings."""
+        if len(self.known) > keep:
+            self.known = _oldest(self.known, keep // 4)
+
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text."""
+        self.trim(self.keep)
         return np.frombuffer(b"".join(self.parts(text)), self.kind).tolist()
 
     def parts(self, text: str) -> Iterator[bytes]:
@@ -205,6 +215,7 @@ def encode(docs: DataFrame, model_file: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(sums, pa.string()), pa.array(texts, pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        coder.trim(400_000)  # what stays between tasks, which may be other jobs'
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -20,6 +20,7 @@ import hashlib
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -173,8 +174,8 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text as little-endian numbers of `width` bytes."""
-        if len(self.known) > self.keep:
-            self.known.clear()
+        if len(self.known) > self.keep:  # frequent words come early
+            self.known = dict(islice(self.known.items(), self.keep // 4))
         self.stops = {c: self._bytes(self.library.encode(c, add_special_tokens=False).ids) for c in ".,"}
         get, out, late = self.known.get, [None] * len(texts), []
         whole, heads, missing = [], [], set()
