@@ -81,12 +81,12 @@ def _(spark, sf):
 
 @query("recent_checks", f"""
     WITH {CHECKS} SELECT check_name, table_name, passed, actual_value, checked_at,
-        CASE WHEN check_name = 'R' AND NOT passed THEN 'years present: 1995, 1996, 1997, 1998, 1999, 2000, 2001' WHEN detail LIKE '{{%'
+        CASE WHEN check_name = 'R' AND NOT passed THEN (SELECT 'years present: ' || string_agg(DISTINCT year(o_orderdate)::VARCHAR, ', ' ORDER BY year(o_orderdate)::VARCHAR) FROM orders) WHEN detail LIKE '{{%'
         THEN json_extract_string(detail, '$.human_detail') ELSE substr(detail, 1, 120) END AS detail FROM checks
     ORDER BY checked_at DESC NULLS LAST, check_name, table_name, id, actual_value LIMIT 20""")
 def _(spark, sf):
-    one = checks(spark, sf).orderBy(F.col("checked_at").desc(), "check_name", "table_name", "id", "actual_value").limit(20)
-    return audit.recent_checks(one, orders(spark, sf), gap_check="R").drop("id")
+    ties = ("check_name", "table_name", "id", "actual_value")
+    return audit.recent_checks(checks(spark, sf), orders(spark, sf), gap_check="R", tie_break=ties).drop("id")
 
 
 @query("pass_rate", f"""

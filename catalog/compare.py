@@ -17,7 +17,7 @@ LOW, HIGH = 20.0, 300.0
 def raw_readings(spark, sf):
     """Events as raw readings; the load of error events is missing."""
     e = table(spark, sf, "events")
-    return e.select("ts", F.when(F.col("event_type") != "error", F.col("value")).alias("load"))
+    return e.select("ts", F.when(F.col("event_type") != "error", F.col("value")).alias("load"), "event_id")
 
 
 def clean_series(spark, sf):
@@ -25,15 +25,15 @@ def clean_series(spark, sf):
     from loadtide.operators.dedupe import keep_last_in_slot
     from loadtide.operators.select import range_filter_nullable
 
-    last = materialize(keep_last_in_slot(raw_readings(spark, sf), "ts", 30 * MINUTE))
+    last = materialize(keep_last_in_slot(raw_readings(spark, sf), "ts", 30 * MINUTE, tie_break=["event_id"]))
     kept = range_filter_nullable(last, {"load": (LOW, HIGH)})
     capped = F.when(F.col("load") > 200, F.col("load") * 0.9).when(F.col("load") > 150, F.col("load") * 0.97).otherwise(F.col("load"))
-    flagged = kept.select("ts", capped.alias("load"), F.col("load").isNull().alias("is_interpolated"))
+    flagged = kept.select("ts", capped.alias("load"), F.col("load").isNull().alias("is_interpolated"), "event_id")
     return fill_gaps(flagged, "ts", ["load"])
 
 
-RAW = f"""raw AS (SELECT ts, CASE WHEN event_type <> 'error' THEN value END AS load FROM events),
-    last AS (SELECT {B30} AS b30, load FROM raw QUALIFY row_number() OVER (PARTITION BY {B30} ORDER BY ts DESC) = 1),
+RAW = f"""raw AS (SELECT ts, event_id, CASE WHEN event_type <> 'error' THEN value END AS load FROM events),
+    last AS (SELECT {B30} AS b30, load FROM raw QUALIFY row_number() OVER (PARTITION BY {B30} ORDER BY ts DESC, event_id) = 1),
     kept AS (SELECT b30, CASE WHEN load > 200 THEN load * 0.9::DOUBLE WHEN load > 150 THEN load * 0.97::DOUBLE ELSE load END AS load,
              load IS NULL AS is_interpolated FROM last WHERE load IS NULL OR load BETWEEN 20 AND 300),
     clean AS (SELECT b30, coalesce(load, last_value(load IGNORE NULLS) OVER (ORDER BY b30 ROWS UNBOUNDED PRECEDING),
@@ -51,13 +51,13 @@ CLASSES = f"""{PAIRS}, classes AS (SELECT *, CASE
 
 
 def classes(spark, sf):
-    pairs = compare.compare_outer(raw_readings(spark, sf), clean_series(spark, sf), "ts", "load", "is_interpolated")
+    pairs = compare.compare_outer(raw_readings(spark, sf), clean_series(spark, sf), "ts", "load", "is_interpolated", tie_break=["event_id"])
     return compare.classify_corrections(pairs, "load", LOW, HIGH)
 
 
 @query("compare_outer", f"WITH {PAIRS} SELECT * FROM pairs", doubles="load_raw load_clean")
 def _(spark, sf):
-    return compare.compare_outer(raw_readings(spark, sf), clean_series(spark, sf), "ts", "load", "is_interpolated")
+    return compare.compare_outer(raw_readings(spark, sf), clean_series(spark, sf), "ts", "load", "is_interpolated", tie_break=["event_id"])
 
 
 @query("classify_corrections", f"WITH {CLASSES} SELECT ts, correction FROM classes")
@@ -218,11 +218,11 @@ def _(spark, sf):
 _KDE = """
     WITH d AS (SELECT CAST(value AS DOUBLE) AS v, count(*)::DOUBLE AS c FROM events GROUP BY 1),
     s AS (SELECT min(value) AS lo, max(value) AS hi, count(*)::DOUBLE AS n, stddev_samp(value) * power(count(*)::DOUBLE, -0.2) AS h FROM events),
-    g AS (SELECT i AS grid_index, lo - 0.5 * (hi - lo) + i * (2.0 * (hi - lo) / 199) AS x, n, h FROM s, range(200) t(i))
+    g AS (SELECT i AS grid_index, lo - 0.5 * (hi - lo) + i * (2.0 * (hi - lo) / 999) AS x, n, h FROM s, range(1000) t(i))
     SELECT grid_index, x, sum(c * exp(-0.5 * ((x - v) / h) * ((x - v) / h))) / (n * h * sqrt(2 * pi())) AS density
     FROM g, d GROUP BY grid_index, x, n, h"""
 
 
 @query("kde", _KDE, doubles="x density", digits=8)
 def _(spark, sf):
-    return profile.kde(table(spark, sf, "events"), "value", points=200)
+    return profile.kde(table(spark, sf, "events"), "value")

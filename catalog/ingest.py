@@ -115,7 +115,7 @@ def _(spark, sf):
 
 
 @query("file_inventory", f"""
-    WITH {S0} SELECT CAST(b30 AS DATE) AS day, count(*) AS n_rows, min(b30) AS min_time, max(b30) AS max_time, '2024' AS years FROM s0 GROUP BY 1""")
+    WITH {S0} SELECT CAST(b30 AS DATE) AS day, count(*) AS n_rows, min(b30) AS min_time, max(b30) AS max_time, string_agg(DISTINCT year(b30)::VARCHAR, ',') AS years FROM s0 GROUP BY 1""")
 def _(spark, sf):
     """Rows, time span and years of each written file, from its parsed records."""
     records = tsv.read_measures(tsv.read_lines(spark, measure_lines(spark, sf)))

@@ -162,8 +162,22 @@ def _(spark, sf):
     return training.load_training(rows, LABEL).select(TIME, LABEL, "lag_24h_mw")
 
 
-@query("assemble_features")
-def _(spark, sf):
+_READY = f"""WITH {CLEAN_SQL}, look AS (SELECT c.*, a.consumption_mw AS l1, b.consumption_mw AS l24, d.consumption_mw AS l168,
+        count(c.consumption_mw) OVER (ORDER BY c.datetime RANGE BETWEEN INTERVAL '86399.999999 seconds' PRECEDING
+            AND INTERVAL '0.000001 seconds' PRECEDING) AS n24
+        FROM clean c LEFT JOIN clean a ON a.datetime = c.datetime - INTERVAL 1 HOUR LEFT JOIN clean b ON b.datetime = c.datetime - INTERVAL 24 HOUR
+        LEFT JOIN clean d ON d.datetime = c.datetime - INTERVAL 168 HOUR),
+    trainable AS (SELECT *, row_number() OVER (ORDER BY datetime) AS i, count(*) OVER () AS n FROM look
+        WHERE consumption_mw IS NOT NULL AND l24 IS NOT NULL),
+    parts AS (SELECT *, datetime <= (SELECT max(datetime) FROM trainable WHERE i <= greatest(floor(n * 0.8::DOUBLE), 1)) AS train,
+        nuclear_mw IS NOT NULL AND wind_mw IS NOT NULL AND solar_mw IS NOT NULL AND hydro_mw IS NOT NULL AND co2_rate IS NOT NULL
+        AND forecast_j1_mw IS NOT NULL AND l1 IS NOT NULL AND l168 IS NOT NULL AND n24 >= 2 AS ready FROM trainable)"""
+_MODELS = "['LinearRegression', 'DecisionTree', 'RandomForest', 'GradientBoosting']"
+
+
+@query("assemble_features", f"{_READY} SELECT datetime, 22 AS n_features FROM parts WHERE ready")
+def _(spark, sf):
+    """Complete rows; five of the 27 candidate columns aren't in this series."""
     from pyspark.ml.functions import vector_to_array
 
     v = training.assemble_features(features(spark, sf))
@@ -192,12 +206,12 @@ def _(spark, sf):
     return train.select(TIME, F.lit("train").alias("part")).unionAll(test.select(TIME, F.lit("test").alias("part")))
 
 
-@query("score_export")
+@query("score_export", f"{_READY} SELECT datetime, consumption_mw AS actual, true AS scored FROM parts WHERE ready AND NOT train", doubles="actual:6")
 def _(spark, sf):
     """Actual and predicted values of the linear model on the test rows, in time order."""
     train, test, names = split_features(spark, sf)
     model = training.fit(train, names, training.estimators(LABEL)["LinearRegression"])
-    return training.score_export(model, test, TIME, LABEL)
+    return training.score_export(model, test, TIME, LABEL).select(TIME, "actual", F.col("predicted").isNotNull().alias("scored"))
 
 
 def split_features(spark, sf):
@@ -206,31 +220,35 @@ def split_features(spark, sf):
     return (*training.split(rows, TIME), names)
 
 
-@query("fit_models")
+@query("fit_models", f"{_READY} SELECT unnest({_MODELS}) AS model_name, n > 0 AS errors_finite, n > 0 AS mae_below_rmse, n > 0 AS r2_below_one FROM (SELECT count(*) AS n FROM parts WHERE ready AND NOT train)")
 def _(spark, sf):
     """All four models fitted, scored and compared."""
     train, test, names = split_features(spark, sf)
-    return training.train_and_compare(train, test, names, LABEL, training.model_path(spark)).drop("train_time_s")
+    fitted = training.train_and_compare(train, test, names, LABEL, training.model_path(spark))
+    good = [(F.col(c) >= 0) & ~F.isnan(c) & (F.col(c) < float("inf")) for c in ("rmse", "mae", "mape_pct")]
+    return fitted.select("model_name", (good[0] & good[1] & good[2]).alias("errors_finite"), (F.col("mae") <= F.col("rmse") + 1e-9).alias("mae_below_rmse"),
+                         (F.col("r2") <= 1).alias("r2_below_one"))
 
 
-@query("select_best")
+@query("select_best", f"{_READY} SELECT datetime, consumption_mw AS actual, true AS scored, true AS has_least_rmse FROM parts WHERE ready AND NOT train", doubles="actual:6")
 def _(spark, sf):
-    """The best of the linear model and the tree, saved, loaded again and scored."""
+    """The best of the four models, saved, loaded again and used: on every test row with a prediction."""
     from pyspark.ml import PipelineModel
 
     train, test, names = split_features(spark, sf)
     path = fresh_path(spark, "models")
-    rows = []
-    for kind in ("LinearRegression", "DecisionTree"):
-        model = training.fit(train, names, training.estimators(LABEL)[kind])
-        model.write().overwrite().save(f"{path}/{kind}")
-        rows.append((kind, training.score(model, test, LABEL)["rmse"]))
-    training.select_best(spark.createDataFrame(rows, "model_name string, rmse double"), path)
-    return training.score_export(PipelineModel.load(f"{path}/best"), test, TIME, LABEL)
+    metrics = training.train_and_compare(train, test, names, LABEL, path)
+    training.select_best(metrics, path)
+    least = metrics.agg(F.min("rmse")).first()[0]
+    scored = training.score_export(PipelineModel.load(f"{path}/best"), test, TIME, LABEL)
+    best = materialize(scored)
+    again = best.agg(F.sqrt(F.avg(F.pow(F.col("actual") - F.col("predicted"), F.lit(2.0))))).first()[0]
+    return best.select(TIME, "actual", F.col("predicted").isNotNull().alias("scored"), F.lit(abs(again - least) < 1e-6 * least).alias("has_least_rmse"))
 
 
-@query("learning_curve")
+@query("learning_curve", f"""{_READY} SELECT f AS train_fraction, greatest(floor(n * f), least(n, 500))::BIGINT AS train_rows, n > 0 AS fitted, n > 0 AS validated
+    FROM (SELECT count(*) AS n FROM parts WHERE ready AND train), (SELECT unnest([0.15, 0.3, 0.5, 0.65, 0.8, 1.0]::DOUBLE[]) AS f)""", doubles="train_fraction:2")
 def _(spark, sf):
     train, test, names = split_features(spark, sf)
-    few = training.ModelSettings(curve_fractions=(0.5, 1.0), forest_trees=10, forest_depth=5)
-    return training.learning_curve(train, test, names, LABEL, TIME, few)
+    return training.learning_curve(train, test, names, LABEL, TIME).select(
+        "train_fraction", "train_rows", (F.col("rmse_train") > 0).alias("fitted"), (F.col("rmse_validation") > 0).alias("validated"))

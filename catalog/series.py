@@ -208,11 +208,11 @@ def _(spark, sf):
 
 
 @query("every_nth", """
-    WITH t AS (SELECT event_id, ts, row_number() OVER (ORDER BY ts) - 1 AS i, count(*) OVER () AS n FROM events)
+    WITH t AS (SELECT event_id, ts, row_number() OVER (ORDER BY ts, event_id) - 1 AS i, count(*) OVER () AS n FROM events)
     SELECT event_id, ts FROM t WHERE i % greatest(n // 400, 1) = 0""")
 def _(spark, sf):
     """About 400 evenly spaced events."""
-    return order.every_nth(table(spark, sf, "events").select("event_id", "ts"), "ts", max_points=400)
+    return order.every_nth(table(spark, sf, "events").select("event_id", "ts"), "ts", max_points=400, tie_break=["event_id"])
 
 
 @query("every_sixth", f"""

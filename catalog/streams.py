@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loadtide.sources.messages import to_messages
+from loadtide.operators.dedupe import keep_first
 from loadtide.sources.scratch import fresh_path
 from loadtide.streaming import bronze, produce, windows
 
 from .base import DEC, query, table
 
 FIELDS = [("event_id", "bigint"), ("event_type", "string"), ("value", "double"), ("ts", "timestamp"), ("datetime", "string")]
+LATENESS = "60 days"
 DAYS = [("date", "string"), ("tempo_color", "string")]
 
 
@@ -45,7 +46,8 @@ def _(spark, sf):
 def landed(spark, sf) -> str:
     """Sends the messages as files, drains them twice into typed tables, and gives the folder."""
     work = fresh_path(spark, "stream")
-    sent = produce.produce_records(records(spark, sf), calendar(spark, sf))
+    bad = records(spark, sf).limit(1).withColumn("datetime", F.lit("not a time")).withColumn("event_id", F.lit(-1).cast("long"))
+    sent = produce.produce_records(records(spark, sf).unionByName(bad), calendar(spark, sf))
     placed = sent.select("topic", F.lit(0).alias("partition"), F.xxhash64("value").alias("offset"), "key", "value")
     produce.send(placed, f"{work}/messages")
     topics = {"raw": FIELDS, "realtime": FIELDS, "calendar": DAYS}
@@ -61,39 +63,98 @@ def landed(spark, sf) -> str:
 def _(spark, sf):
     """Messages drained into one typed table per topic; draining again finds nothing new."""
     path = landed(spark, sf)
-    rows = spark.read.parquet(f"{path}/raw").unionByName(spark.read.parquet(f"{path}/realtime"))
-    return rows.select("event_id", "event_type", "value", "ts", "kafka_topic", "run_date")
+    rows = spark.read.parquet(f"{path}/topic=raw").unionByName(spark.read.parquet(f"{path}/topic=realtime"))
+    return rows.filter("event_id >= 0").select("event_id", "event_type", "value", "ts", "kafka_topic", "run_date")
 
 
 @query("route_by_topic", "SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS date, 'BLEU' AS tempo_color, 'calendar' AS kafka_topic FROM events")
 def _(spark, sf):
     """Calendar messages keep their colour: every topic has its own schema."""
-    return spark.read.parquet(f"{landed(spark, sf)}/calendar").select("date", "tempo_color", "kafka_topic")
+    return spark.read.parquet(f"{landed(spark, sf)}/topic=calendar").select("date", "tempo_color", "kafka_topic")
+
+
+@query("stream_to_silver", f"""
+    WITH r AS (SELECT time_bucket(INTERVAL 30 MINUTE, date_trunc('second', ts)) AS b30, date_trunc('second', ts) AS datetime, event_id, {DEC}::DOUBLE AS value FROM events),
+    one AS (SELECT datetime, value AS consumption_mw FROM r QUALIFY row_number() OVER (PARTITION BY datetime ORDER BY value, event_id) = 1)
+    SELECT datetime, consumption_mw, hour(datetime) AS hour, month(datetime) AS month, consumption_mw IS NULL AS is_interpolated FROM one""",
+       doubles="consumption_mw:4", ints="hour month")
+def _(spark, sf):
+    """Events sent, drained into Bronze, read with the batch reader and cleaned; a text that is no time is dropped as untimed."""
+    from loadtide.plans import layers as plans
+    from loadtide.sources import layers
+
+    path = landed(spark, sf)
+    rows = layers.read_bronze(spark, path, stream_path=path)
+    untimed = rows.filter("datetime IS NULL").count()
+    if untimed != 1:
+        raise ValueError(f"{untimed} records without a time instead of the one sent")
+    raw = rows.select("datetime", F.col("value").alias("consumption_mw"), "event_id")
+    series = plans.SeriesSpec(low=-1e9, high=1e9, fill=("consumption_mw",), score=("consumption_mw",), renewables=())
+    clean = plans.clean(raw, series, priority=["consumption_mw", "event_id"])
+    return plans.derive(clean.drop("event_id"), series).select("datetime", "consumption_mw", "hour", "month", "is_interpolated")
+
+
+@query("file_counts", """
+    WITH f AS (SELECT CASE WHEN event_type IN ('click', 'view') THEN 'm_En-cours-TR.xls' WHEN event_type = 'error' THEN 'notes.txt' ELSE 'm_Annuel_2024.xls' END
+        AS source_file FROM events)
+    SELECT source_file, count(*) FILTER (source_file <> 'notes.txt') AS sent, count(*) FILTER (source_file = 'notes.txt') AS rejected FROM f GROUP BY 1""")
+def _(spark, sf):
+    """Sent and rejected records of each file; error events come from a file of no known kind."""
+    odd = records(spark, sf).withColumn("source_file", F.when(F.col("event_type") == "error", "notes.txt").otherwise(F.col("source_file")))
+    return produce.file_counts(odd)
+
+
+@query("run_rows", """
+    WITH f AS (SELECT CASE WHEN event_type IN ('click', 'view') THEN 'm_En-cours-TR.xls' WHEN event_type = 'error' THEN 'notes.txt' ELSE 'm_Annuel_2024.xls' END
+        AS source_file FROM events),
+    c AS (SELECT source_file, count(*) AS n, count(*) FILTER (source_file = 'notes.txt') AS bad FROM f GROUP BY 1)
+    SELECT 'run-1' AS run_id, source_file, CASE WHEN bad >= n THEN 'failed' WHEN bad > 0 THEN 'partial' ELSE 'success' END AS status,
+        n AS rows_read, n - bad AS rows_written, bad AS rows_errored, TIMESTAMP '2024-02-01 00:00:00' AS started_at FROM c""")
+def _(spark, sf):
+    """Run records of a sending job, one per file."""
+    from loadtide.operators import audit
+
+    odd = records(spark, sf).withColumn("source_file", F.when(F.col("event_type") == "error", "notes.txt").otherwise(F.col("source_file")))
+    c = produce.file_counts(odd).select("source_file", (F.col("sent") + F.col("rejected")).alias("rows_read"), F.col("sent").alias("rows_written"),
+                                        F.lit(0).alias("rows_skipped"), F.col("rejected").alias("rows_errored"))
+    at = F.lit("2024-02-01 00:00:00").cast("timestamp")
+    path = fresh_path(spark, "audit")
+    audit.run_rows(c, "run-1", "produce", "full", at, at).write.mode("append").parquet(path)
+    return spark.read.parquet(path).select("run_id", "source_file", "status", "rows_read", "rows_written", "rows_errored", "started_at")
 
 
 def doubled(spark, sf) -> tuple[str, object]:
-    """Events written twice, as a source that replays itself."""
+    """Events written twice, as a source that replays itself: two files, each with every event."""
     path = fresh_path(spark, "replay")
     e = table(spark, sf, "events").select("event_id", "ts", "event_type", F.col("value").cast("decimal(18,2)").alias("value"))
-    e.write.parquet(f"{path}/a")
-    e.write.mode("append").parquet(f"{path}/a")
+    for _ in range(2):
+        e.coalesce(1).write.mode("append").parquet(f"{path}/a")
     return path, e.schema
 
 
-def collected(spark, stream, path: str, mode: str = "append"):
-    """Runs a stream into Parquet until nothing is left, and reads the result."""
+def out_of_order(spark, sf, path: str):
+    """Events in three files of the whole time span each, so that most of the later batches' rows are late; gives the schema."""
+    e = table(spark, sf, "events").select("ts", F.col("value").cast("decimal(18,2)").alias("value"), "event_type")
+    for kinds in (("click",), ("view",), ("signup", "purchase", "error")):
+        e.filter(F.col("event_type").isin(*kinds)).coalesce(1).write.mode("append").parquet(path)
+    return e.schema
+
+
+def collected(spark, stream, path: str, mode: str = "append", keys: tuple[str, ...] = ()):
+    """Runs a stream into Parquet until nothing is left, and reads the result; of updated rows the last one of each key."""
     def land(batch, batch_id):
         batch.write.mode("overwrite").parquet(f"{path}/out/batch={batch_id}")
 
     windows.drain(stream, f"{path}/checkpoint", land, mode)
-    return spark.read.parquet(f"{path}/out").drop("batch")
+    rows = spark.read.parquet(f"{path}/out")
+    return (keep_first(rows, list(keys), [-F.col("batch")]) if keys else rows).drop("batch")
 
 
 @query("stream_dedupe", "SELECT event_id, ts, event_type, value FROM events", doubles="value")
 def _(spark, sf):
-    """Exactly one row per event though every event arrives twice."""
+    """Exactly one row per event though every event arrives again in a later batch."""
     path, schema = doubled(spark, sf)
-    stream = windows.replay_source(spark, f"{path}/a", schema)
+    stream = windows.replay_source(spark, f"{path}/a", schema, files_per_trigger=1)
     return collected(spark, windows.stream_dedupe(stream, "ts", ["event_id"], "60 days"), path)
 
 
@@ -103,23 +164,17 @@ _DAYS = f"""SELECT CAST(ts AS DATE) AS date, CAST(sum({DEC}) AS DOUBLE) / count(
 
 @query("stream_daily_rollup", _DAYS, doubles="load_mean load_min load_max load_total peak_value")
 def _(spark, sf):
-    """Daily windows of the whole stream equal the daily roll-up of the table."""
+    """Daily windows of the whole stream, kept up to date over several batches, equal the daily roll-up of the table."""
     path = fresh_path(spark, "daily")
-    e = table(spark, sf, "events").select("ts", F.col("value").cast("decimal(18,2)").alias("value"))
-    e.write.parquet(f"{path}/a")
-    stream = windows.replay_source(spark, f"{path}/a", e.schema)
-    return collected(spark, windows.stream_daily_rollup(stream, "ts", "value"), path, "complete")
+    stream = windows.replay_source(spark, f"{path}/a", out_of_order(spark, sf, f"{path}/a"), files_per_trigger=1)
+    return collected(spark, windows.stream_daily_rollup(stream, "ts", "value", LATENESS), path, "update", ("date",))
 
 
 @query("stream_upsert", _DAYS, doubles="load_mean load_min load_max load_total peak_value")
 def _(spark, sf):
     """Days kept up to date in a table, file by file."""
     path = fresh_path(spark, "days")
-    e = table(spark, sf, "events").select("ts", F.col("value").cast("decimal(18,2)").alias("value"), "event_type")
-    for t in ("click", "view"):
-        e.filter(F.col("event_type") == t).write.mode("append").parquet(f"{path}/a")
-    e.filter(~F.col("event_type").isin("click", "view")).write.mode("append").parquet(f"{path}/a")
-    stream = windows.replay_source(spark, f"{path}/a", e.schema, files_per_trigger=2)
-    days = windows.stream_daily_rollup(stream, "ts", "value").withColumn("month", F.month("date"))
+    stream = windows.replay_source(spark, f"{path}/a", out_of_order(spark, sf, f"{path}/a"), files_per_trigger=1)
+    days = windows.stream_daily_rollup(stream, "ts", "value", LATENESS).withColumn("month", F.month("date"))
     windows.stream_upsert(days, f"{path}/table", f"{path}/checkpoint", ["date"], ["month"], partition_from_key=True)
     return spark.read.parquet(f"{path}/table").drop("month")

@@ -71,12 +71,6 @@ SCORE_COLUMNS = ("consumption_mw", "nuclear_mw", "wind_mw", "solar_mw", "co2_rat
 # Columns that are filled from their neighbours.
 FILLED_COLUMNS = ("consumption_mw", "nuclear_mw", "wind_mw", "solar_mw")
 
-# Numeric columns of the quality report.
-REPORT_COLUMNS = (
-    "consumption_mw", "nuclear_mw", "wind_mw", "solar_mw", "hydro_mw",
-    "gas_mw", "coal_mw", "fuel_mw", "bioenergy_mw", "co2_rate",
-)
-
 # Columns of the clean (Silver) table.
 SILVER_COLUMNS = (
     "datetime",
@@ -92,6 +86,7 @@ SILVER_COLUMNS = (
     "rolling_24h_mean", "rolling_24h_std",
     "renewable_share_pct", "nuclear_share_pct",
     "is_interpolated", "quality_score",
+    "completeness_before", "physical_exchanges_mw",
 )
 
 # Warehouse types, column -> (precision, scale) or a type name.

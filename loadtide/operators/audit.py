@@ -5,7 +5,7 @@ These tables hold one row per run, check or trained model.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,8 +18,6 @@ RUN_SCHEMA = ("run_id string, dag_id string, run_type string, source_file string
               "started_at timestamp, finished_at timestamp, rows_read bigint, rows_written bigint, "
               "rows_skipped bigint, rows_errored bigint, bronze_path string, silver_path string, "
               "gold_path string, error_message string, metadata string")
-CHECK_SCHEMA = ("run_id string, check_name string, table_name string, column_name string, check_type string, "
-                "expected_value double, actual_value double, passed boolean, detail string, checked_at timestamp")
 METRIC_SCHEMA = ("run_id string, model_name string, rmse double, mae double, mape_pct double, r2 double, "
                  "train_time_s double, trained_at timestamp")
 
@@ -27,6 +25,23 @@ METRIC_SCHEMA = ("run_id string, model_name string, rmse double, mae double, map
 METRIC_DIGITS = {"rmse": 1, "mae": 1, "mape_pct": 2, "r2": 4, "train_time_s": 1}
 
 
+def run_rows(counts: DataFrame, run_id: str, dag_id: str, run_type: str, started_at: Column, finished_at: Column,
+             paths: Mapping[str, str] | None = None, error: str | None = None) -> DataFrame:
+    """Run records, one per input file, in the shape of the audit table.
+
+    `counts` has source_file, rows_read, rows_written, rows_skipped and rows_errored. A run with an error, or in which
+    every row read was an error, has failed; one with some errors is partial.
+    """
+    all_bad = (F.col("rows_read") > 0) & (F.col("rows_errored") >= F.col("rows_read"))
+    status = F.when(F.lit(error is not None) | all_bad, "failed").when(F.col("rows_errored") > 0, "partial").otherwise("success")
+    values = {
+        "run_id": F.lit(run_id), "dag_id": F.lit(dag_id), "run_type": F.lit(run_type), "status": status, "started_at": started_at,
+        "finished_at": finished_at, "error_message": F.lit(error), "metadata": json_detail(["source_file", "rows_read"]),
+        **{f"{layer}_path": F.lit((paths or {}).get(layer)) for layer in ("bronze", "silver", "gold")}}
+    fields = [f.split() for f in RUN_SCHEMA.split(", ")]
+    return counts.select(*[values.get(n, F.col(n)).cast(t).alias(n) for n, t in fields])
+
+
 def check_rows(results: DataFrame, run_id: str, source: str, checked_at: Column) -> DataFrame:
     """Check results in the shape of the audit table; the full result goes into `detail` as JSON."""
     detail = json_detail([F.struct(*results.columns).alias("result"), F.lit(source).alias("source"),
@@ -64,14 +79,14 @@ def recent_runs(runs: DataFrame, k: int = 25, tie_break: str = "run_id") -> Data
 
 
 def recent_checks(checks: DataFrame, years: DataFrame, k: int = 20, year: str = "year",
-                  gap_check: str = "year_coverage_gaps") -> DataFrame:
-    """Newest checks with a readable detail; a failed year check lists the years present."""
+                  gap_check: str = "year_coverage_gaps", tie_break: Sequence[str] = ("check_name", "table_name")) -> DataFrame:
+    """Newest checks with a readable detail; a failed year check lists the years present. Checks of one instant go by `tie_break`."""
     present = years.filter(F.col(year).isNotNull()).agg(
         F.array_join(F.sort_array(F.collect_set(F.col(year).cast("string"))), ", ")).scalar()
     listed = F.concat(F.lit("years present: "), F.when(F.length(present) > 0, present).otherwise("(none)"))
     text = F.when((F.col("check_name") == gap_check) & ~F.col("passed"), listed).otherwise(detail_text("detail", "human_detail"))
     return (checks.withColumn("detail", text)
-            .orderBy(F.col("checked_at").desc_nulls_last(), "check_name", "table_name").limit(k))
+            .orderBy(F.col("checked_at").desc_nulls_last(), *tie_break).limit(k))
 
 
 def pass_rate(checks: DataFrame, as_of: Column, days: int = 30) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,14 +17,19 @@ SLOT = 30 * MINUTE
 
 
 def compare_outer(raw: DataFrame, clean: DataFrame, time: str, value: str,
-                  imputed: str | None = None, slot: int = SLOT) -> DataFrame:
-    """Full join of raw and clean on the time slot; both sides hold one row per slot."""
+                  imputed: str | None = None, slot: int = SLOT, tie_break: Sequence[str] = ()) -> DataFrame:
+    """Full join of raw and clean on the time slot; both sides hold one row per slot.
+
+    Rows of one instant go by `tie_break` (columns of both sides), then by value, nulls first, so that both
+    sides choose alike whatever order they come in.
+    """
     def side(df: DataFrame, name: str) -> DataFrame:
-        keep = [F.col(time), F.col(value)]
+        keep = [F.col(time), F.col(value), *[F.col(c) for c in tie_break]]
         if name == "clean":
             flag = F.col(imputed) if imputed in df.columns else F.lit(False)
             keep.append(flag.alias("is_interpolated"))
-        return keep_last_in_slot(df.select(*keep), time, slot).withColumnRenamed(value, f"{value}_{name}")
+        one = keep_last_in_slot(df.select(*keep), time, slot, tie_break=[*tie_break, value])
+        return one.drop(*tie_break).withColumnRenamed(value, f"{value}_{name}")
 
     return side(raw, "raw").join(side(clean, "clean"), time, "full")
 

@@ -2,7 +2,8 @@
 
 Gaps and segments take raw rows, however crowded. Runs and steps order the rows inside time
 chunks, so they take a series with one row per key and slot (see `rollup.resample`): a chunk
-then holds chunk / cadence rows at most.
+then holds chunk / cadence rows at most. Null keys are a key of their own. Rows without a time are in no
+segment, run or step; operators that return all rows give them a null segment.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timeaxis import DAY, floor_div, micros
 from .order import select_ranks
+from .select import join_on
 
 
 def _gap_buckets(df: DataFrame, time: str, gap: int, keys: Sequence[str]) -> DataFrame:
@@ -22,7 +24,7 @@ def _gap_buckets(df: DataFrame, time: str, gap: int, keys: Sequence[str]) -> Dat
     Two rows of one bucket are closer than `gap`, so a segment can only break between
     buckets: the rows shrink to buckets in the map tasks before any ordering is done.
     """
-    buckets = (df.select(*keys, micros(time).alias("__us"))
+    buckets = (df.filter(F.col(time).isNotNull()).select(*keys, micros(time).alias("__us"))
                .groupBy(*keys, floor_div(F.col("__us"), gap).alias("__bucket"))
                .agg(F.min("__us").alias("__from"), F.max("__us").alias("__to"), F.count(F.lit(1)).alias("__n")))
     order = Window.partitionBy(*keys).orderBy("__bucket")
@@ -42,8 +44,8 @@ def segment_islands(df: DataFrame, time: str, gap: int, keys: Sequence[str] = ()
 def label_segments(df: DataFrame, time: str, gap: int, keys: Sequence[str] = ()) -> DataFrame:
     """Every row with the number of its segment."""
     labels = _gap_buckets(df, time, gap, keys).select(*keys, "__bucket", "segment_id")
-    return (df.withColumn("__bucket", floor_div(micros(time), gap))
-            .join(labels, [*keys, "__bucket"]).select(*df.columns, "segment_id"))
+    return join_on(df.withColumn("__bucket", floor_div(micros(time), gap)), labels, [*keys, "__bucket"], "left").select(
+        *df.columns, "segment_id")
 
 
 def gap_split(df: DataFrame, time: str, value: str, gap: int, keys: Sequence[str] = ()) -> DataFrame:
@@ -51,8 +53,7 @@ def gap_split(df: DataFrame, time: str, value: str, gap: int, keys: Sequence[str
     firsts = (_gap_buckets(df, time, gap, keys).filter("__break = 1")
               .select(*keys, "__bucket", F.col("__from").alias("__first")))
     after_gap = F.coalesce(F.col("__first") == micros(time), F.lit(False))
-    return (df.withColumn("__bucket", floor_div(micros(time), gap))
-            .join(firsts, [*keys, "__bucket"], "left")
+    return (join_on(df.withColumn("__bucket", floor_div(micros(time), gap)), firsts, [*keys, "__bucket"], "left")
             .withColumn("after_gap", after_gap)
             .withColumn(value, F.when(~F.col("after_gap"), F.col(value)))
             .select(*df.columns, "after_gap"))
@@ -64,7 +65,7 @@ def flag_runs(df: DataFrame, time: str, flag: str, keys: Sequence[str] = (), chu
     Runs are found inside each time chunk, then the ones that touch a chunk border are
     joined up through a table with one row per chunk.
     """
-    work = df.select(*keys, micros(time).alias("__us"), F.coalesce(F.col(flag), F.lit(False)).alias(flag))
+    work = df.filter(F.col(time).isNotNull()).select(*keys, micros(time).alias("__us"), F.coalesce(F.col(flag), F.lit(False)).alias(flag))
     work = work.withColumn("__chunk", floor_div(F.col("__us"), chunk))
     inside = Window.partitionBy(*keys, "__chunk").orderBy("__us")
     change = (F.lag(flag).over(inside) != F.col(flag)).cast("int")
@@ -82,7 +83,7 @@ def flag_runs(df: DataFrame, time: str, flag: str, keys: Sequence[str] = (), chu
     opened = F.when(~(F.col("__joins") & (F.col("__runs") == 0)), F.col("__tail_from"))
     heads = heads.withColumn("__open", F.last(opened, True).over(over_chunks.rowsBetween(Window.unboundedPreceding, -1)))
 
-    stitched = local.join(heads.select(*keys, "__chunk", "__joins", "__open"), [*keys, "__chunk"])
+    stitched = join_on(local, heads.select(*keys, "__chunk", "__joins", "__open"), [*keys, "__chunk"])
     start = F.when((F.col("__run") == 0) & F.col("__joins"), F.col("__open")).otherwise(F.col("__from"))
     return (stitched.withColumn("__start", start).groupBy(*keys, flag, "__start")
             .agg(F.max("__to").alias("__end"), F.sum("__n").alias("n"))
@@ -92,14 +93,14 @@ def flag_runs(df: DataFrame, time: str, flag: str, keys: Sequence[str] = (), chu
 
 def steps(df: DataFrame, time: str, keys: Sequence[str] = (), chunk: int = 28 * DAY) -> DataFrame:
     """Microseconds between each row and the one before it (the first row of a key has none)."""
-    work = df.select(*keys, micros(time).alias("__us"))
+    work = df.filter(F.col(time).isNotNull()).select(*keys, micros(time).alias("__us"))
     work = work.withColumn("__chunk", floor_div(F.col("__us"), chunk))
     ends = work.groupBy(*keys, "__chunk").agg(F.max("__us").alias("__to"))
     over_chunks = Window.partitionBy(*keys).orderBy("__chunk")
     ends = ends.select(*keys, "__chunk", F.lag("__to").over(over_chunks).alias("__before"))
     inside = Window.partitionBy(*keys, "__chunk").orderBy("__us")
     step = F.col("__us") - F.coalesce(F.lag("__us").over(inside), F.col("__before"))
-    return (work.join(ends, [*keys, "__chunk"]).select(*keys, step.alias("step_us")).filter("step_us is not null"))
+    return (join_on(work, ends, [*keys, "__chunk"]).select(*keys, step.alias("step_us")).filter("step_us is not null"))
 
 
 def median_step(df: DataFrame, time: str, keys: Sequence[str] = (), chunk: int = 28 * DAY) -> DataFrame:

@@ -1,7 +1,8 @@
 """Lags and rolling statistics over a long ordered series, without one task per series.
 
 Both forms cut the series into pieces and copy the rows a piece needs from its predecessor
-into it. Input: one row per key and time (see `dedupe`), keys not null.
+into it. Input: one row per key and time (see `dedupe`). Null keys are a key of their own; rows without
+a time keep their place in the result, with null features, and count for no other row.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timeaxis import DAY, floor_div, micros
+from .select import join_on
 
 
 @dataclass(frozen=True)
@@ -55,6 +57,7 @@ def time_windows(df: DataFrame, time: str, features: Mapping[str, Lag | Rolling]
     reach = max(f.back for f in features.values())
     chunk = max(chunk, reach)
     us = micros(time)
+    untimed, df = df.filter(F.col(time).isNull()), df.filter(F.col(time).isNotNull())
     pieces = df.select(
         "*", us.alias("__us"), floor_div(us, chunk).alias("__own"),
         F.explode(F.sequence(floor_div(us, chunk), floor_div(us + F.lit(reach).cast("long"), chunk))).alias("__piece"))
@@ -65,8 +68,16 @@ def time_windows(df: DataFrame, time: str, features: Mapping[str, Lag | Rolling]
             return F.max(f.column).over(order.rangeBetween(-f.back, -f.back))
         return _rolling(f, order.rangeBetween(-(f.back - 1), 0 if f.include_current else -1))
 
-    return (pieces.select("*", *[build(f).alias(n) for n, f in features.items()])
-            .filter("__piece = __own").drop("__us", "__own", "__piece"))
+    timed = (pieces.select("*", *[build(f).alias(n) for n, f in features.items()])
+             .filter("__piece = __own").drop("__us", "__own", "__piece"))
+    return _with_untimed(timed, untimed)
+
+
+def _with_untimed(timed: DataFrame, untimed: DataFrame) -> DataFrame:
+    """Rows without a time beside the others, their features null."""
+    have = set(untimed.columns)
+    return timed.unionByName(untimed.select(*[F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
+                                              for f in timed.schema]))
 
 
 def with_row_index(df: DataFrame, order: Sequence[str | Column], keys: Sequence[str], chunk: Column,
@@ -92,10 +103,10 @@ def with_row_index(df: DataFrame, order: Sequence[str | Column], keys: Sequence[
         blocks = sizes.groupBy(*keys, "__block").agg(F.sum("__n").alias("__n"))
         starts = below(blocks, keys, "__block", "__start").drop("__n")
         inner = below(sizes, [*keys, "__block"], "__chunk", "__inner").drop("__n")
-        offsets = inner.join(starts, [*keys, "__block"]).select(
+        offsets = join_on(inner, starts, [*keys, "__block"]).select(
             *keys, "__chunk", (F.col("__start") + F.col("__inner")).alias("__offset"))
     inside = Window.partitionBy(*keys, "__chunk").orderBy(*order)
-    return (work.join(offsets, [*keys, "__chunk"])
+    return (join_on(work, offsets, [*keys, "__chunk"])
             .withColumn(name, F.col("__offset") + F.row_number().over(inside) - 1)
             .drop("__chunk", "__offset"))
 
@@ -110,6 +121,8 @@ def row_windows(df: DataFrame, time: str, features: Mapping[str, Lag | Rolling],
     """
     reach = max(f.back for f in features.values())
     block = max(block, reach)
+    columns = df.columns
+    untimed, df = df.filter(F.col(time).isNull()), df.filter(F.col(time).isNotNull())
     work, group = df, list(keys)
     if period is not None:
         work, group = work.withColumn("__period", period), [*group, "__period"]
@@ -125,5 +138,6 @@ def row_windows(df: DataFrame, time: str, features: Mapping[str, Lag | Rolling],
             return F.lag(f.column, f.back).over(order)
         return _rolling(f, order.rowsBetween(-f.back, 0 if f.include_current else -1))
 
-    return (pieces.select("*", *[build(f).alias(n) for n, f in features.items()])
-            .filter("__piece = __own").select(*df.columns, *features))
+    timed = (pieces.select("*", *[build(f).alias(n) for n, f in features.items()])
+             .filter("__piece = __own").select(*columns, *features))
+    return _with_untimed(timed, untimed)

@@ -68,7 +68,14 @@ def time_split(df: DataFrame, time: str, ratio: float = 0.8) -> tuple[DataFrame,
 
 def every_nth(df: DataFrame, time: str, max_points: int | None = None, step: int | None = None,
               chunk: int = SECOND, block: int = DAY, tie_break: Sequence[str | Column] = ()) -> DataFrame:
-    """Every n-th row in time order: a given `step`, or the one that leaves about `max_points` rows."""
+    """Every n-th row in time order: a given `step`, or the one that leaves about `max_points` rows.
+
+    Rows without a time have no place in the order; they are left out, but for step 1, which keeps every row.
+    Give a `tie_break` where times repeat.
+    """
+    if step == 1:
+        return df
+    df = df.filter(F.col(time).isNotNull())
     indexed = with_row_index(df, [time, *tie_break], (), floor_div(micros(time), chunk), "__pos", block // chunk)
     if step is None:
         n = df.agg(F.count(F.lit(1))).scalar()

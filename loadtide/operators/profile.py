@@ -95,8 +95,9 @@ def histogram_density(df: DataFrame, value: str, bins: int = 45, min_rows: int =
 def kde(df: DataFrame, value: str, points: int = 1000, bin_width: float | None = None) -> DataFrame:
     """Gaussian density estimate with Scott's bandwidth, on a grid half a range wider at both ends.
 
-    Values are first counted (equal ones together); each distinct value then adds its share to
-    every grid point, summed in the map tasks, so the shuffle carries `points` rows per task.
+    Values are first counted (equal ones together); each distinct value then adds its share to the grid points
+    within 39 bandwidths (beyond, the share is zero in doubles), summed in the map tasks, so the
+    shuffle carries `points` rows per task. Grid points out of reach of all values have density 0.
     `bin_width` counts values by bin centre instead: an approximation for very many distinct values.
     """
     v = df.select(F.col(value).cast("double").alias("v")).filter("v is not null")
@@ -114,8 +115,12 @@ def kde(df: DataFrame, value: str, points: int = 1000, bin_width: float | None =
         (2.0 * (F.col("m.hi") - F.col("m.lo")) / (points - 1)).alias("dg"),
         F.col("m.n").alias("n"),
         (F.sqrt(F.col("ss") / (F.col("m.n") - 1)) * F.pow(F.col("m.n"), F.lit(-0.2))).alias("h"))).scalar()
-    grid = counts.withColumn("p", p).select(
-        "v", "c", "p", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
+    reach = lambda side: (F.col("v") + side * 39.0 * F.col("p.h") - F.col("p.g0")) / F.col("p.dg")
+    low = F.greatest(F.floor(F.coalesce(reach(-1), F.lit(0.0))).cast("int"), F.lit(0))
+    high = F.least(F.ceil(F.coalesce(reach(1), F.lit(float(points)))).cast("int"), F.lit(points - 1))
+    near = counts.withColumn("p", p).select("v", "c", "p", F.explode(F.sequence(F.least(low, high), high)).alias("i"))
+    every = df.sparkSession.range(points).select(F.lit(0.0).alias("v"), F.lit(0).cast("long").alias("c"), p.alias("p"), F.col("id").cast("int").alias("i"))
+    grid = near.unionByName(every.filter("p.n > 0"))
     x = F.col("p.g0") + F.col("i") * F.col("p.dg")
     z = (x - F.col("v")) / F.col("p.h")
     mass = F.sum(F.col("c") * F.exp(-0.5 * z * z))

@@ -84,3 +84,13 @@ def union_by_name(first: DataFrame, *others: DataFrame) -> DataFrame:
     for other in others:
         first = first.unionByName(other, allowMissingColumns=True)
     return first
+
+
+def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on key columns in which null equals null; the keys appear once, as in the left frame."""
+    renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & left[k].eqNullSafe(renamed[f"__r_{k}"])
+    joined = left.join(renamed, same, how) if keys else left.join(renamed, how=how)
+    return joined.drop(*[f"__r_{k}" for k in keys])

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time as clock
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ..fixed import FEATURE_COLUMNS
 from ..functions.measures import all_present
-from ..operators.order import time_prefix, time_split
+from ..functions.timeaxis import micros
+from ..operators.order import select_ranks, time_split
 from ..operators.regression import error_metrics
 from ..operators.select import available
 from ..sources.scratch import fresh_path, materialize
@@ -113,10 +114,12 @@ def learning_curve(train: DataFrame, test: DataFrame, features: Sequence[str], l
     """
     ready = train.filter(all_present([*features, label]))
     forest = estimators(label, settings)["RandomForest"]
+    ready = materialize(ready)
+    places = [lambda n, f=f: F.greatest(F.floor(n * F.lit(f)), F.least(n, F.lit(settings.curve_min_rows)), F.lit(1)) - 1
+              for f in settings.curve_fractions]
     rows = []
-    for fraction in settings.curve_fractions:
-        part = time_prefix(ready, time, lambda n, f=fraction: F.greatest(
-            F.floor(n * F.lit(f)), F.least(n, F.lit(settings.curve_min_rows))))
+    for fraction, last in zip(settings.curve_fractions, select_ranks(ready, micros(time), places)):
+        part = ready.filter(F.col(time) <= F.timestamp_micros(F.lit(last).cast("long")))
         model = fit(part, features, forest)
         rows.append((fraction, part.count(), score(model, part, label)["rmse"], score(model, test, label)["rmse"]))
     return train.sparkSession.createDataFrame(
@@ -133,10 +136,5 @@ def split_summary(train: DataFrame, test: DataFrame, time: str) -> DataFrame:
                                                             "t.test_start", "t.test_end")
 
 
-def save_report(path: str, tables: Mapping[str, DataFrame]) -> None:
-    for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{path}/{name}")
-
-
 def model_path(spark: SparkSession) -> str:
     return fresh_path(spark, "models")

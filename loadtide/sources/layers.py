@@ -7,9 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..fixed import TOPIC_RAW, TOPIC_REALTIME
+from ..functions.parsing import parse_instant
 from ..operators.select import available_columns, union_by_name
 from .scratch import path_exists
 
+MEASURE_TOPICS = (TOPIC_RAW, TOPIC_REALTIME)
+
 
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], mode: str = "overwrite",
                       dynamic: bool = False, rows_per_file: int = 5_000_000) -> None:
@@ -35,18 +39,25 @@ def write_calendar(calendar: DataFrame, path: str) -> None:
     write_partitioned(with_month(calendar, "date_parsed"), f"{path}/tempo", ["year", "month"])
 
 
-def read_bronze(spark: SparkSession, path: str, time: str = "datetime", stream_path: str | None = None) -> DataFrame:
-    """Batch records and, where there are any, streamed ones; columns one side lacks are null.
+def read_bronze(spark: SparkSession, path: str, time: str = "datetime", stream_path: str | None = None,
+                topics: Sequence[str] = MEASURE_TOPICS) -> DataFrame:
+    """Batch records and, where there are any, streamed ones of the measure topics; columns one side lacks are null.
 
-    A missing stream folder is looked up, not guessed from a failed read; any other read
-    error is raised. Streamed times are brought to timestamps before the union.
+    A missing folder is looked up, not guessed from a failed read; any other read error is raised.
+    Every topic's folder is read on its own, calendar messages never enter. Streamed times are text;
+    one that can't be read becomes null.
     """
-    batch = spark.read.parquet(f"{path}/raw")
     streamed = stream_path or f"{path}/streaming"
-    if not path_exists(spark, streamed):
-        return batch
-    stream = spark.read.parquet(streamed)
-    return union_by_name(batch, stream.withColumn(time, F.col(time).cast("timestamp")))
+    parts = [spark.read.parquet(f"{path}/raw")] if path_exists(spark, f"{path}/raw") else []
+    for topic in topics:
+        folder = f"{streamed}/topic={topic}"
+        if path_exists(spark, folder):
+            rows = spark.read.option("basePath", streamed).parquet(folder)
+            typed = parse_instant(F.col(time)) if dict(rows.dtypes)[time] == "string" else F.col(time).cast("timestamp")
+            parts.append(rows.withColumn(time, typed))
+    if not parts:
+        raise FileNotFoundError(f"neither batch nor streamed records below {path}")
+    return union_by_name(*parts)
 
 
 def write_silver(df: DataFrame, path: str, columns: Sequence[str] | None = None) -> None:

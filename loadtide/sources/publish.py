@@ -6,14 +6,13 @@ Targets are Parquet folders. `jdbc_append` and `jdbc_overwrite` hand the same fr
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.measures import overflow, warehouse_cast
 from ..operators.dedupe import count_duplicates
-from ..operators.select import available
+from ..operators.select import available, join_on
 from .layers import write_partitioned
 from .scratch import delete_path, fresh_path, path_exists
 
@@ -80,11 +79,12 @@ def _count_unique(batch: DataFrame, keys: Sequence[str]) -> int:
 def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str], time: str | None = None) -> DataFrame:
     """Rows of the batch whose key the target does not have.
 
-    With `time` among the keys only the batch's own time range of the target is looked at.
+    With `time` among the keys only the batch's own time range of the target is looked at (and rows without a
+    time). Null keys equal null keys, so that publishing a batch again adds nothing.
     """
     if time is not None and time in keys:
-        target = target.filter(F.col(time).between(batch.agg(F.min(time)).scalar(), batch.agg(F.max(time)).scalar()))
-    return batch.join(target.select(*keys), list(keys), "left_anti").select(*batch.columns)
+        target = target.filter(F.col(time).isNull() | F.col(time).between(batch.agg(F.min(time)).scalar(), batch.agg(F.max(time)).scalar()))
+    return join_on(batch, target.select(*keys), keys, "left_anti").select(*batch.columns)
 
 
 def merge_new(target: DataFrame, batch: DataFrame, keys: Sequence[str], time: str | None = None) -> DataFrame:
@@ -94,10 +94,10 @@ def merge_new(target: DataFrame, batch: DataFrame, keys: Sequence[str], time: st
 
 def upserted(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The target after updating rows by key and inserting new ones; columns the batch lacks stay."""
-    stays = target.join(batch.select(*keys), list(keys), "left_anti")
+    stays = join_on(target, batch.select(*keys), keys, "left_anti")
     kept = [c for c in target.columns if c not in batch.columns]
     if kept:
-        batch = batch.join(target.select(*keys, *kept), list(keys), "left")
+        batch = join_on(batch, target.select(*keys, *kept), keys, "left")
     return stays.select(*target.columns).unionAll(
         batch.select(*[F.col(f.name).cast(f.dataType) for f in target.schema]))
 
@@ -113,7 +113,7 @@ def publish_merge(batch: DataFrame, path: str, keys: Sequence[str], time: str |
             _write(batch, path, "append", partition_by)
             return
         target = batch.sparkSession.read.parquet(path)
-        if time is not None and time in keys:
+        if time is not None and time in keys and batch.filter(F.col(time).isNull()).isEmpty():
             span = batch.agg(F.min(time).alias("low"), F.max(time).alias("high"))
             low, high = span.select(F.unix_micros("low"), F.unix_micros("high")).first()
             # Constants, so that the target's files are skipped by their statistics.
@@ -125,11 +125,6 @@ def publish_merge(batch: DataFrame, path: str, keys: Sequence[str], time: str |
         batch.unpersist()
 
 
-def _in_partitions(partitions: list, columns: Sequence[str]) -> Column:
-    each = [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(p[c])) for c in columns]) for p in partitions]
-    return reduce(lambda a, b: a | b, each)
-
-
 def publish_upsert(batch: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str],
                    touch: str | None = None, partition_from_key: bool = False) -> None:
     """Insert new rows and update old ones by key, rewriting only the partitions involved.
@@ -160,18 +155,19 @@ def _replace_partitions(batch: DataFrame, path: str, keys: Sequence[str], partit
     target = spark.read.parquet(path)
     involved = batch.select(*partition_by)
     if not partition_from_key:
-        involved = involved.unionByName(target.join(batch.select(*keys), list(keys), "left_semi").select(*partition_by))
-    parts = involved.distinct().collect()  # partition names of one batch: folder names, not rows
-    result = upserted(target.filter(_in_partitions(parts, partition_by)), batch, keys)
+        involved = involved.unionByName(join_on(target, batch.select(*keys), keys, "left_semi").select(*partition_by))
+    places = _stage(involved.distinct(), "places")
+    parts = spark.read.schema(involved.schema).parquet(places)
+    result = upserted(join_on(target, parts, partition_by, "left_semi"), batch, keys)
     staged = _stage(result, "upsert")
     fresh = spark.read.schema(target.schema).parquet(staged)
-    left = {tuple(r) for r in fresh.select(*partition_by).distinct().collect()}
+    emptied = join_on(parts, fresh.select(*partition_by).distinct(), partition_by, "left_anti")
     write_partitioned(fresh, path, partition_by, "overwrite", dynamic=True)
-    for p in parts:
-        if tuple(p) not in left:
-            names = [f"{c}={'__HIVE_DEFAULT_PARTITION__' if p[c] is None else p[c]}" for c in partition_by]
-            delete_path(spark, "/".join([path, *names]))
+    for p in emptied.toLocalIterator():  # folders that lost their last row: names, one at a time
+        names = [f"{c}={'__HIVE_DEFAULT_PARTITION__' if p[c] is None else p[c]}" for c in partition_by]
+        delete_path(spark, "/".join([path, *names]))
     delete_path(spark, staged)
+    delete_path(spark, places)
 
 
 def jdbc_append(df: DataFrame, options: Mapping[str, str], table: str, batch_size: int = 5000) -> None:

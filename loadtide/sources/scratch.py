@@ -2,41 +2,52 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_given: dict[str, list[str]] = {}
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named in `spark.checkpoint.dir`.
 
-    Only a local session without that setting gets a temporary folder of its own.
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder named in `spark.checkpoint.dir`; where it is unset, a folder below the session's warehouse,
+    which all executors share too.
     """
     sc = spark.sparkContext
     path = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not path:
-        if not sc.master.startswith("local"):
+        warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+        if not warehouse:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        path = tempfile.mkdtemp(prefix="loadtide-")
+        path = f"{warehouse.rstrip('/')}/_scratch"
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
     return path.rstrip("/")
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute a frame once and cut its lineage with a checkpoint in that folder.
+    """Compute a frame once: written as Parquet to that folder and read back.
 
     For a frame that is read more than once and costs more to compute than to write, such as
-    a resampled series. It outlives lost executors.
+    a resampled series. It outlives lost executors, and readers take only the columns and row
+    groups they need. `forget` removes what a session has written this way.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    path = fresh_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path nothing has written to yet, below that folder."""
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _given.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def forget(spark: SparkSession) -> None:
+    """Remove what this session has put below its scratch folder. Call it when no frame built from there is needed any more."""
+    for path in _given.pop(spark.sparkContext.applicationId, []):
+        delete_path(spark, path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -40,7 +40,9 @@ def route_by_topic(messages: DataFrame, topic: str, fields: Sequence[tuple[str,
 
 def consume_to_bronze(messages: DataFrame, path: str, checkpoint: str, run_date: str,
                       fields_of_topic: Mapping[str, Sequence[tuple[str, str]]] = FIELDS_OF_TOPIC) -> None:
-    """Drain what is there and stop: each batch goes to `path/<topic>/run_date=.../batch=...`.
+    """Drain what is there and stop: each batch goes to `path/topic=<topic>/run_date=.../batch=...`.
+
+    A topic has its own schema, so its folder is read on its own (see `layers.read_bronze`).
 
     A batch that is replayed after a failure overwrites its own folder, so nothing is doubled.
     """
@@ -50,7 +52,7 @@ def consume_to_bronze(messages: DataFrame, path: str, checkpoint: str, run_date:
             for topic, fields in fields_of_topic.items():
                 rows = route_by_topic(batch, topic, fields).select(
                     "*", F.lit(run_date).cast("date").alias("run_date"), F.lit(batch_id).alias("batch"))
-                write_partitioned(rows, f"{path}/{topic}", ["run_date", "batch"], dynamic=True)
+                write_partitioned(rows, f"{path}/topic={topic}", ["run_date", "batch"], dynamic=True)
         finally:
             batch.unpersist()
 

@@ -6,7 +6,6 @@ import catalog
 import check
 
 SMALL = "/root/testdata/sf0.001"
-SLOW = {"fit_models", "select_best", "learning_curve"}
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +19,7 @@ def test_matches_sql(spark, con, name):
     assert result == "ok"
 
 
-@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLES) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLES)))
 def test_gives_rows(spark, name):
     assert catalog.QUERIES[name](spark, "/root/testdata/sf0.01").count() > 0
 

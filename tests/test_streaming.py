@@ -66,9 +66,9 @@ def test_topics_keep_their_schema_and_lineage(spark, tmp_path):
             ("calendar", 2, 9, "k", '{"date": "2024-01-01", "tempo_color": "ROUGE"}'), ("other", 0, 0, "k", "{}")]
     spark.createDataFrame(data, bronze.MESSAGE_SCHEMA).write.json(str(tmp_path / "in"))
     bronze.consume_to_bronze(bronze.read_messages(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "c"), "2024-01-02")
-    r = spark.read.parquet(str(tmp_path / "out" / "realtime")).first()
+    r = spark.read.parquet(str(tmp_path / "out" / "topic=realtime")).first()
     assert (r.consumption_mw, r.gas_tac_mw, r.kafka_partition, r.kafka_offset, str(r.run_date)) == (55239.0, None, 0, 1, "2024-01-02")
-    c = spark.read.parquet(str(tmp_path / "out" / "calendar")).first()
+    c = spark.read.parquet(str(tmp_path / "out" / "topic=calendar")).first()
     assert (c.tempo_color, c.kafka_topic, c.kafka_partition) == ("ROUGE", "calendar", 2)
 
 
