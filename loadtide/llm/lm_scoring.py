@@ -34,7 +34,9 @@ from .registry import partitions, query, ship, stored, table
 START = 0  # the context of first words
 BITS = 48
 BLOCK_WORDS = 700_000
-_ROW = "part long, kind int, block long, a binary, b binary, c binary, d binary, e binary"
+_ROW = "part long, kind int, block long, a binary, b binary, c binary, d binary, e binary, f binary"
+_NAMES = ["part", "kind", "block", *"abcdef"]
+_UNIT = 2.0 ** 36  # partial sums are sent in these parts of one
 
 
 class Words(dict):
@@ -129,10 +131,24 @@ class Hot:
 def _rows(rows: list[tuple]) -> "object":
     import pyarrow as pa
 
-    kinds = [pa.int64(), pa.int32(), pa.int64()] + [pa.binary()] * 5
-    names = ["part", "kind", "block", "a", "b", "c", "d", "e"]
-    columns = list(zip(*rows)) if rows else [[]] * 8
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+    kinds = [pa.int64(), pa.int32(), pa.int64()] + [pa.binary()] * 6
+    columns = list(zip(*[r + (None,) * (9 - len(r)) for r in rows])) if rows else [[]] * 9
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=_NAMES)
+
+
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame([r + (None,) * (9 - len(r)) for r in rows], columns=_NAMES)
+
+
+def _partial(docs: np.ndarray, sums: np.ndarray) -> tuple[bytes, bytes]:
+    """Places of documents, ascending, and their sums as whole numbers of units, the sign in the lowest bit."""
+    units = np.rint(sums * _UNIT).astype(np.int64)
+    return planes(np.diff(docs.astype(np.uint16), prepend=np.uint16(0))), planes((units << 1) ^ (units >> 63))
+
+
+def _partials(docs: bytes, sums: bytes) -> tuple[np.ndarray, np.ndarray]:
+    units = unplaned(sums, np.int64)
+    return np.cumsum(unplaned(docs, np.uint16), dtype=np.int64), ((units >> 1) ^ -(units & 1)) / _UNIT
 
 
 def word_counts(docs: DataFrame, parts: int, hot: int) -> DataFrame:
@@ -149,7 +165,7 @@ def word_counts(docs: DataFrame, parts: int, hot: int) -> DataFrame:
             started = int((lengths > 0).sum())
             if started:
                 u, c = np.append(np.uint64(START), u), np.append(started, c)
-            yield _rows([(k, 0, number, ascending(u[i:j]), planes(c[i:j].astype(np.uint32)), None, None, None)
+            yield _rows([(k, 0, number, ascending(u[i:j]), planes(c[i:j].astype(np.uint32)))
                          for k, i, j in _slices(_part(u, parts), parts)])
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -202,7 +218,7 @@ def score(docs: DataFrame, alpha: float = 0.4, min_count: int = 2, hot: int = 20
     """(doc_id, n_words, log10_score, mean_log10) for every row of docs (doc_id, text)."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    parts = 4 * partitions(spark)
+    parts = 2 * partitions(spark)
     counts = stored(word_counts(docs, parts, hot), "words")
     total = counts.agg(F.sum("total")).first()[0] or 0
     least = max(1.0, total / hot)
@@ -229,7 +245,7 @@ def score(docs: DataFrame, alpha: float = 0.4, min_count: int = 2, hot: int = 20
                 sums = np.bincount(doc[done].astype(np.int64), weights=s, minlength=len(lengths))
             null = np.array([i is None for i in ids])
             yield _rows([(number % parts, 0, number, np.array([i or 0 for i in ids], np.int64).tobytes(), np.packbits(null).tobytes(),
-                          planes(lengths.astype(np.uint32)), sums.tobytes(), None)])
+                          planes(lengths.astype(np.uint32)), sums.tobytes())])
             if not len(v) or done.all():
                 continue
             names, code = np.unique(np.append(v, np.uint64(START)), return_inverse=True)
@@ -247,19 +263,19 @@ def score(docs: DataFrame, alpha: float = 0.4, min_count: int = 2, hot: int = 20
             rows = []
             for p, i, j in _slices(part[order], parts):
                 o, (s, t) = order[i:j], (stops[i], stops[j])
-                rows.append((p, 1, number, ascending(pv[o]), planes(pu[o]), planes(n_docs[o].astype(np.uint32)), planes(docs_of[s:t]), planes(times_of[s:t])))
+                before, place = np.unique(pu[o], return_inverse=True)
+                rows.append((p, 1, number, ascending(pv[o]), planes(place.astype(np.uint32)), planes(n_docs[o].astype(np.uint32)), planes(docs_of[s:t]),
+                             planes(times_of[s:t]), ascending(before)))
             yield _rows(rows)
 
-    names = ["part", "kind", "block", "a", "b", "c", "d", "e"]
-
     def grams(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Scores of pairs. kind 0 passes; kind 2: partial sums (documents, sums); kind 3: log10 c(u) due (u, documents, times)."""
-        out = [tuple(r) for r in pdf[pdf["kind"] == 0][names].itertuples(index=False)]
+        """Scores of pairs. kind 0 passes; kind 2: partial sums (documents, sums) of a block; kind 3: log10 c(u) due (u, blocks, documents, times) in any block."""
+        out = [tuple(r) for r in pdf[pdf["kind"] == 0][_NAMES].itertuples(index=False)]
         rows = pdf[pdf["kind"] == 1]
         if len(rows):
             v = [ascended(x) for x in rows["a"]]
             ends = np.cumsum([len(x) for x in v])
-            v, u = np.concatenate(v), np.concatenate([unplaned(x, np.uint64) for x in rows["b"]])
+            v, u = np.concatenate(v), np.concatenate([ascended(y)[unplaned(x, np.uint32)] for x, y in zip(rows["b"], rows["f"])])
             n_docs = [unplaned(x, np.uint32).astype(np.int64) for x in rows["c"]]
             doc = [unplaned(x, np.uint16) for x in rows["d"]]
             times = [unplaned(x, np.uint32) for x in rows["e"]]
@@ -273,36 +289,41 @@ def score(docs: DataFrame, alpha: float = 0.4, min_count: int = 2, hot: int = 20
             before = _look(hot_w, hot_n, u).astype(float)
             hit = pair_count >= min_count
             s = np.where(hit, np.log10(pair_count) - np.log10(np.maximum(before, 1)), log_alpha + np.log10(word_count) - log_total)
-            due = hit & (before == 0)
+            due, owing = hit & (before == 0), []
             for k, (i, j) in enumerate(zip(np.append(0, ends[:-1]), ends)):
                 block = int(rows["block"].iloc[k])
                 each = np.repeat(np.arange(i, j), n_docs[k])
                 d = doc[k].astype(np.int64)
-                sums = np.bincount(d, weights=s[each] * times[k])
                 some = np.flatnonzero(np.bincount(d))
-                out.append((block % parts, 2, block, planes(some.astype(np.uint16)), sums[some].tobytes(), None, None, None))
-                owed = due[each]
-                if owed.any():
-                    ou, od, ot = u[each][owed], doc[k][owed], times[k][owed]
-                    order = np.lexsort((od, ou))
-                    ou, od, ot = ou[order], od[order], ot[order]
-                    for p, a, b in _slices(_part(ou, parts), parts):
-                        out.append((p, 3, block, ascending(ou[a:b]), planes(od[a:b]), planes(ot[a:b]), None, None))
-        return pd.DataFrame(out, columns=names)
+                out.append((block % parts, 2, block, *_partial(some, np.bincount(d, weights=s[each] * times[k])[some])))
+                owed = np.flatnonzero(due[each])
+                if len(owed):
+                    owing.append((u[each[owed]], np.full(len(owed), block, np.int64), doc[k][owed], times[k][owed]))
+            if owing:
+                ou, ob, od, ot = (np.concatenate(x) for x in zip(*owing))
+                order = np.lexsort((od, ob, ou))
+                ou, ob, od, ot = ou[order], ob[order], od[order], ot[order]
+                for p, a, b in _slices(_part(ou, parts), parts):
+                    numbers, place = np.unique(ob[a:b], return_inverse=True)
+                    out.append((p, 3, -1, ascending(ou[a:b]), planes(place.astype(np.uint32)), planes(od[a:b]), planes(ot[a:b]), numbers.tobytes()))
+        return _frame(out)
 
     def settle(pdf: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
         """What is due becomes partial sums."""
-        out = [tuple(r) for r in pdf[pdf["kind"] != 3][names].itertuples(index=False)]
+        out = [tuple(r) for r in pdf[pdf["kind"] != 3][_NAMES].itertuples(index=False)]
         rows = pdf[pdf["kind"] == 3]
         if len(rows):
             u, c = ascended(words["words"].iloc[0]), unplaned(words["counts"].iloc[0], np.uint64)
-            for block, some in rows.groupby("block"):
-                d = np.concatenate([unplaned(x, np.uint16) for x in some["b"]]).astype(np.int64)
-                n = np.concatenate([_look(u, c, ascended(x)) for x in some["a"]]).astype(float)
-                sums = np.bincount(d, weights=-np.log10(n) * np.concatenate([unplaned(x, np.uint32) for x in some["c"]]))
-                present = np.flatnonzero(np.bincount(d))
-                out.append((int(block) % parts, 2, int(block), planes(present.astype(np.uint16)), sums[present].tobytes(), None, None, None))
-        return pd.DataFrame(out, columns=names)
+            block = np.concatenate([np.frombuffer(y, np.int64)[unplaned(x, np.uint32)] for x, y in zip(rows["b"], rows["e"])])
+            d = np.concatenate([unplaned(x, np.uint16) for x in rows["c"]]).astype(np.int64)
+            n = np.concatenate([_look(u, c, ascended(x)) for x in rows["a"]]).astype(float)
+            owed = -np.log10(n) * np.concatenate([unplaned(x, np.uint32) for x in rows["d"]])
+            numbers, place = np.unique(block, return_inverse=True)
+            key, at = np.unique(place * (1 << 16) + d, return_inverse=True)
+            sums = np.bincount(at, weights=owed)
+            for k, a, b in _slices(key >> 16, len(numbers)):
+                out.append((int(numbers[k]) % parts, 2, int(numbers[k]), *_partial(key[a:b] & 0xFFFF, sums[a:b])))
+        return _frame(out)
 
     def finish(pdf: pd.DataFrame) -> pd.DataFrame:
         head = pdf[pdf["kind"] == 0].iloc[0]
@@ -310,7 +331,8 @@ def score(docs: DataFrame, alpha: float = 0.4, min_count: int = 2, hot: int = 20
         null = np.unpackbits(np.frombuffer(head["b"], np.uint8))[:len(ids)].astype(bool)
         sums = np.frombuffer(head["d"], float).copy()
         for r in pdf[pdf["kind"] == 2].sort_values(["a", "b"]).itertuples():
-            sums[unplaned(r.a, np.uint16).astype(np.int64)] += np.frombuffer(r.b, float)
+            some, values = _partials(r.a, r.b)
+            sums[some] += values
         return pd.DataFrame({"doc_id": pd.array([None if x else int(i) for x, i in zip(null, ids)], "Int64"),
                              "n_words": lengths, "log10_score": sums,
                              "mean_log10": pd.array([s / n if n else None for s, n in zip(sums, lengths)], "Float64")})
