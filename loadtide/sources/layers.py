@@ -49,12 +49,13 @@ def read_bronze(spark: SparkSession, path: str, time: str = "datetime", stream_p
     """
     streamed = stream_path or f"{path}/streaming"
     parts = [spark.read.parquet(f"{path}/raw")] if path_exists(spark, f"{path}/raw") else []
-    for topic in topics:
-        folder = f"{streamed}/topic={topic}"
-        if path_exists(spark, folder):
-            rows = spark.read.option("basePath", streamed).parquet(folder)
-            typed = parse_instant(F.col(time)) if dict(rows.dtypes)[time] == "string" else F.col(time).cast("timestamp")
-            parts.append(rows.withColumn(time, typed))
+    folders = [f for f in (f"{streamed}/topic={t}" for t in topics) if path_exists(spark, f)]
+    if not folders and stream_path and path_exists(spark, stream_path):
+        folders = [stream_path]  # one topic's folder was named
+    for folder in folders:
+        rows = spark.read.option("basePath", streamed).parquet(folder)
+        typed = parse_instant(F.col(time)) if dict(rows.dtypes)[time] == "string" else F.col(time).cast("timestamp")
+        parts.append(rows.withColumn(time, typed))
     if not parts:
         raise FileNotFoundError(f"neither batch nor streamed records below {path}")
     return union_by_name(*parts)
