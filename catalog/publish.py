@@ -4,15 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loadtide.fixed import WAREHOUSE_FACT_TYPES
+from loadtide.fixed import WAREHOUSE_DAILY_TYPES, WAREHOUSE_FACT_TYPES, WAREHOUSE_MONTHLY_TYPES
 from loadtide.plans import layers as plans
 from loadtide.sources import layers, publish
-from loadtide.sources.scratch import fresh_path
+from loadtide.sources.scratch import fresh_path, materialize
 
 from .base import O0, S0, events, mix, orders, query, table
-from .rollups import FEATURE_SQL, SERIES, national
+from .rollups import _GOLD_SQL, FEATURE_SQL, SERIES, national
 
 CUT = "2000-01-01"
+_FEAT = f"WITH {FEATURE_SQL} SELECT * FROM feat"
+
+
+def _money(value: str, digits: int) -> str:
+    """SQL for a value rounded half up, as into a warehouse type."""
+    return f"CAST(round(CAST({value} AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
+
 
 
 def old_orders(spark, sf):
@@ -132,6 +139,27 @@ def _(spark, sf):
     return publish.typed(s, WAREHOUSE_FACT_TYPES)
 
 
+@query("publish_gold_typed", f"""
+    WITH g AS ({_GOLD_SQL}), c AS (SELECT *, {_money('consumption_mean_mw', 2)} AS a, {_money('consumption_total_gwh', 3)} AS b,
+        {_money('wind_mean_mw', 2)} AS w FROM g)
+    SELECT 'daily' AS layer, date::VARCHAR AS period, a AS mean_mw, b AS total, peak_hour::BIGINT AS peak_hour, records_count::BIGINT AS rows, w AS wind FROM c
+    UNION ALL SELECT 'monthly', year || '-' || month, {_money('avg(consumption_mean_mw)', 2)}, {_money('sum(consumption_total_gwh) / 1000', 4)}, NULL, count(*),
+        {_money('(SELECT sum(wind_mw) * 0.5 / 1000 FROM (' + _FEAT + ') f WHERE year(f.datetime) = c.year AND month(f.datetime) = c.month)', 3)}
+    FROM c GROUP BY year, month""", doubles="mean_mw:2 total:4 wind:3")
+def _(spark, sf):
+    """Daily and monthly tables in warehouse types, the monthly one with the energy of each source."""
+    silver = materialize(plans.silver(national(spark, sf), SERIES))
+    daily, monthly = plans.gold(silver)
+    monthly = plans.with_source_energy(monthly, silver)
+    d, m = publish.typed(daily, WAREHOUSE_DAILY_TYPES), publish.typed(monthly, WAREHOUSE_MONTHLY_TYPES)
+    return d.select(F.lit("daily").alias("layer"), F.col("date").cast("string").alias("period"), F.col("consumption_mean_mw").alias("mean_mw"),
+                    F.col("consumption_total_gwh").alias("total"), F.col("peak_hour").cast("long").alias("peak_hour"),
+                    F.col("records_count").cast("long").alias("rows"), F.col("wind_mean_mw").alias("wind")).unionByName(
+        m.select(F.lit("monthly").alias("layer"), F.concat_ws("-", "year", "month").alias("period"), F.col("consumption_mean_mw").alias("mean_mw"),
+                 F.col("consumption_total_twh").alias("total"), F.lit(None).cast("long").alias("peak_hour"), F.col("trading_days").cast("long").alias("rows"),
+                 F.col("wind_total_gwh").alias("wind")))
+
+
 @query("write_bronze", """
     SELECT year(o_orderdate) AS year, month(o_orderdate) AS month, count(*) AS n FROM orders GROUP BY 1, 2""")
 def _(spark, sf):

@@ -14,6 +14,8 @@ from .islands import label_segments
 from .lookback import with_row_index
 
 
+COPIES = 1 << 16  # equal values that are numbered together
+
 def error_metrics(actual: str, predicted: str, positive_only: bool = True) -> dict[str, Column]:
     """RMSE, MAE, MAPE and R2 as plain aggregates, so one pass gives all of them.
 
@@ -128,7 +130,10 @@ def loess(df: DataFrame, x: str, y: str, frac: float = 0.08, points: int = 300,
     # Positions of the sorted values. Equal ones are counted together first, then unrolled.
     counted = data.groupBy("x").agg(F.count(F.lit(1)).alias("c"), F.sum("y").alias("sy"))
     cell = F.when(hi > lo, F.floor((F.col("x") - lo) / (hi - lo) * (1 << 20))).otherwise(F.lit(0)).cast("long")
-    unrolled = counted.select("x", F.explode(F.sequence(F.lit(1), F.col("c").cast("int"))).alias("copy"))
+    # Piece by piece, so that a value with very many copies makes no long array, and no task has all of them.
+    piece = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("c") - 1) / COPIES))).alias("piece")
+    unrolled = (counted.select("x", "c", piece).repartition("x", "piece").select("x", F.explode(F.sequence(
+        F.col("piece") * COPIES + 1, F.least(F.col("c"), (F.col("piece") + 1) * COPIES))).alias("copy")))
     placed = with_row_index(unrolled, ["x", "copy"], (), cell, "pos", 1 << 10)
     starts = placed.select((F.col("pos") + k).alias("pos"), F.col("x").alias("a"))
     runs = starts.join(placed.select("pos", F.col("x").alias("b")), "pos")
@@ -138,9 +143,17 @@ def loess(df: DataFrame, x: str, y: str, frac: float = 0.08, points: int = 300,
              .agg(F.greatest(F.min(F.greatest(F.abs(F.col("x0") - F.col("a")), F.abs(F.col("x0") - F.col("b")))),
                              F.lit(1e-9)).alias("h")))
 
-    # The bandwidths are `points` rows: as one array they reach every row without a join.
+    # The bandwidths are `points` rows: as one array they reach every row without a join. A value only meets the grid points
+    # within the widest bandwidth, and counts where it lies in the point's own; beyond, the weight is 0.
     widths = reach.agg(F.sort_array(F.collect_list(F.struct("grid_index", "x0", "h")))).scalar()
-    pairs = counted.select("x", "c", "sy", F.explode(widths).alias("g")).select(
+    widest = reach.agg(F.max("h")).scalar()
+    if s.hi > s.lo:
+        low = F.greatest(F.floor((F.col("x") - widest - lo) / step).cast("int"), F.lit(0))
+        high = F.least(F.ceil((F.col("x") + widest - lo) / step).cast("int"), F.lit(points - 1))
+        near = F.slice(widths, low + 1, F.greatest(high - low + 1, F.lit(0)))
+    else:
+        near = widths
+    pairs = counted.select("x", "c", "sy", F.explode(near).alias("g")).filter("abs(x - g.x0) <= g.h").select(
         "x", "c", "sy", "g.grid_index", "g.x0", "g.h", (F.col("x") - F.col("g.x0")).alias("u"))
     closeness = 1.0 - F.pow(F.abs("u") / F.col("h"), F.lit(3.0))
     w = F.pow(F.greatest(closeness, F.lit(0.0)), F.lit(3.0))

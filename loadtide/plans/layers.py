@@ -15,7 +15,7 @@ from ..functions.timeaxis import HOUR
 from ..operators.dedupe import keep_first
 from ..operators.impute import fill_gaps
 from ..operators.lookback import Lag, Rolling, row_windows, time_windows
-from ..operators.rollup import DailySpec, daily_rollup, monthly_rollup
+from ..operators.rollup import DailySpec, daily_rollup, monthly_rollup, source_energy_by_month
 from ..operators.select import available, available_columns, cast_numeric, range_filter_nullable, require_not_null
 from ..sources.scratch import materialize
 
@@ -123,3 +123,12 @@ def silver(raw: DataFrame, spec: SeriesSpec = SeriesSpec(), by_time: bool = True
 def gold(clean_rows: DataFrame, spec: DailySpec = DailySpec(), adjacent_only: bool = True) -> tuple[DataFrame, DataFrame]:
     daily = daily_rollup(clean_rows, spec)
     return daily, monthly_rollup(daily, adjacent_only)
+
+
+def with_source_energy(monthly: DataFrame, clean_rows: DataFrame, spec: SeriesSpec = SeriesSpec(),
+                       cadence_hours: float = 0.5) -> DataFrame:
+    """The monthly table with the energy of each source in GWh."""
+    sources = available(clean_rows, [spec.base_source, *spec.renewables])
+    names = {f"{c.removesuffix('_mw')}_total_gwh": c for c in sources}
+    energy = source_energy_by_month(clean_rows, spec.time, names, cadence_hours)
+    return monthly.join(energy, ["year", "month"], "left")

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..fixed import DATE_LENGTH, FOOTER_TEXT, HEADER_LABELS, MEASURE_COLUMNS, MIN_CELLS, TEXT_COLUMNS
 from ..functions.parsing import event_time, parse_number, parse_text
-from .scratch import checkpoint_dir
 
 
 def read_lines(spark: SparkSession, path: str | Sequence[str], encoding: str = "ISO-8859-1",
@@ -17,17 +16,17 @@ def read_lines(spark: SparkSession, path: str | Sequence[str], encoding: str = "
     """Lines with their file and place in it: (source_file, block, seq, line).
 
     Files are split like any text input, so one huge file is read by many tasks. The place is
-    the offset of the split and a number that grows inside it; a checkpoint pins these
-    numbers, because heading and footer are looked up by place in a second pass.
+    the offset of the split and a number that grows inside it. Both follow from how the files are split,
+    so every scan of this frame gives a line the same place: heading and footer are looked up in a first scan of
+    few columns and rows, the lines are parsed in a second one, and nothing is copied.
     """
-    checkpoint_dir(spark)
     reader = spark.read.option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return (reader.text(path if isinstance(path, str) else list(path)).select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("source_file"),
         F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"),
-        F.rtrim(F.decode(F.col("value").cast("binary"), encoding), F.lit("\r\n")).alias("line")).checkpoint())
+        F.rtrim(F.decode(F.col("value").cast("binary"), encoding), F.lit("\r\n")).alias("line")))
 
 
 def canonical_name(label: Column, labels: Mapping[str, str]) -> Column:
@@ -41,8 +40,9 @@ def canonical_name(label: Column, labels: Mapping[str, str]) -> Column:
 def file_layout(lines: DataFrame, labels: Mapping[str, str], footer: str) -> DataFrame:
     """One row per file: place of the heading, place of the footer, and cell number of each column."""
     place = F.struct("block", "seq")
-    first = F.min(F.struct("block", "seq", "line"))
-    per_file = lines.groupBy("path").agg(
+    first = F.min(F.when(F.col("block") == 0, F.struct("block", "seq", "line")))
+    found = lines.filter((F.col("block") == 0) | F.col("line").contains(footer))
+    per_file = found.groupBy("path").agg(
         first.alias("h"), F.min(F.when(F.col("line").contains(footer), place)).alias("footer"))
     names = F.transform(F.split("h.line", "\t"), lambda x: canonical_name(x, labels))
     cells = F.map_from_entries(F.array_distinct(F.transform(
