@@ -128,66 +128,87 @@ def unframed(data: bytes, offsets: list[int]) -> list[bytes]:
 class Encoder:
     """Ids of texts by the tokenizers library, as bytes.
 
-    Byte-level models split a text before every space that a non-space follows, whatever comes
-    before it; so words are encoded by the library once and kept in a bounded table. Texts with other white space
-    beside a space, or with a special token's string, go to the library whole.
+    Byte-level models split a text before every space that a non-space follows, whatever comes before it, and around a newline
+    between two non-spaces; so words are encoded by the library once and kept in a bounded table. Texts with other white space, with
+    white space side by side, or with a special token's string, go to the library whole.
     """
 
-    def __init__(self, model: str, keep: int = 550_000):
+    def __init__(self, model: str, keep: int = 900_000):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(model)
         self.known: dict[str, bytes] = {}  # ids of a space and the word
+        self.starts: dict[str, bytes] = {}  # ids of a word that starts a line
         self.keep = keep
         self.width = 2 if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         plain = re.sub(r"\s", "", model)
         by_words = '"pre_tokenizer":{"type":"ByteLevel","add_prefix_space":false' in plain and '"normalizer":null' in plain
-        self.whole = re.compile("|".join([r" \s|\s | $", *map(re.escape, special)]) if by_words else "")
+        self.special = special
+        # white space but for the space and the newline; any text if words can't be told apart this way
+        self.odd = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]" if by_words else "")
         # in a byte-level vocabulary a token has a character for each of its bytes
         self.lengths = np.array([len(self.library.id_to_token(i) or "") for i in range(self.library.get_vocab_size(with_added_tokens=True))])
 
+    def whole(self, t: str) -> bool:
+        """Whether a text goes to the library whole."""
+        return ("  " in t or "\n " in t or " \n" in t or "\n\n" in t or t.endswith((" ", "\n")) or any(s in t for s in self.special)
+                or self.odd.search(t) is not None)
+
     def _bytes(self, ids) -> bytes:
         return np.asarray(ids, f"<u{self.width}").tobytes()
 
-    def _encode_words(self, words: list[str]) -> None:
-        """Ids of many words from one call: each word's ids end where their bytes do."""
+    def _encode_words(self, words: list[str], table: dict[str, bytes], between: str) -> None:
+        """Ids of many words from one call, each with a space before it or, between newlines, without: a word's ids end where their bytes do."""
         for s in range(0, len(words), 20_000):
             some = words[s:s + 20_000]
-            line = " " + " ".join(some)
+            line = between + between.join(some)
             ids = np.array(self.library.encode_batch_fast([line], add_special_tokens=False)[0].ids)
             line = np.frombuffer(line.encode(), np.uint8)
-            ends = np.append(np.flatnonzero(line == 32)[1:], len(line))  # no word has a space in it
+            ends = np.append(np.flatnonzero(line == ord(between))[1:], len(line))  # no word has one in it
             stops = ((np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1) * self.width).tolist()
             data, start = self._bytes(ids), 0
             for w, stop in zip(some, stops):
-                self.known[w] = data[start:stop]
+                table[w] = data[start + (self.width if between == "\n" else 0):stop]  # a newline is one token
                 start = stop
 
     def _fill(self, missing: set[str]) -> None:
-        """Encode words not seen before; a full stop or comma after a letter is encoded apart."""
-        known = self.known
-        ends = {w: w[:-1] for w in missing if len(w) > 1 and w[-1] in ".," and w[-2].isalpha()}
-        self._encode_words([w for w in {*missing.difference(ends), *ends.values()} if w not in known])
-        for w, base in ends.items():
-            known[w] = known[base] + self.stops[w[-1]]
+        """Encode words not seen before. A full stop or comma after a letter is encoded apart; so is what follows a newline."""
+        known, starts, stops = self.known, self.starts, self.stops
+        broken = {w: w.split("\n") for w in missing if "\n" in w}
+        heads = {p for parts in broken.values() for p in parts[1:]}
+        missing = missing.difference(broken) | {parts[0] for parts in broken.values()}
+        new, first = [], []
+        for table, wanted, plain in ((known, missing, new), (starts, heads, first)):
+            wanted = {w for w in wanted if w not in table}
+            ends = {w: w[:-1] for w in wanted if len(w) > 1 and w[-1] in ".," and w[-2].isalpha()}
+            plain.extend(w for w in {*wanted.difference(ends), *ends.values()} if w not in table)
+            self._encode_words(plain, table, " " if table is known else "\n")
+            for w, base in ends.items():
+                table[w] = table[base] + stops[w[-1]]
+        for w, parts in broken.items():
+            known[w] = known[parts[0]] + b"".join([stops["\n"] + starts[p] for p in parts[1:]])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text as little-endian numbers of `width` bytes."""
         if len(self.known) > self.keep:  # frequent words come early
             self.known = dict(islice(self.known.items(), self.keep // 4))
-        self.stops = {c: self._bytes(self.library.encode(c, add_special_tokens=False).ids) for c in ".,"}
+            self.starts = dict(islice(self.starts.items(), self.keep // 8))
+        self.stops = {c: self._bytes(self.library.encode(c, add_special_tokens=False).ids) for c in ".,\n"}
         get, out, late = self.known.get, [None] * len(texts), []
         whole, heads, missing = [], [], set()
         for i, t in enumerate(texts):
-            if self.whole.search(t):
+            if self.whole(t):
                 whole.append(i)
                 continue
             words = t.split(" ")
             heads.append((i, words.pop(0)))
             found = list(map(get, words))
             if None in found:
-                gaps = [k for k, f in enumerate(found) if f is None]
+                gaps, k = [], -1
+                for _ in range(found.count(None)):
+                    k = found.index(None, k + 1)
+                    gaps.append(k)
                 names = [words[k] for k in gaps]
                 late.append((i, found, gaps, names))
                 missing.update(names)
