@@ -199,17 +199,21 @@ def test_normalised_lines(spark):
 def test_line_rule(spark):
     """A line of 30 documents of one host is boilerplate there, not elsewhere, and not for copies of one text."""
     prose = lambda i, n: " ".join(f"w{i}x{j}" for j in range(n))
-    menu = "home about contact imprint privacy terms jobs press " * 8
+    menu = " ".join(f"entry{j}" for j in range(60))
     rows = [(i, menu + "\n" + prose(i, 60), "a") for i in range(30)]
-    rows += [(100 + i, menu + "\n" + prose(i + 100, 5), "a") for i in range(2)]
+    rows += [(100 + i, menu + "\n" + prose(i + 100, 8), "a") for i in range(2)]
     rows += [(200, menu + "\n" + prose(500, 5), "b")]
     rows += [(300 + i, "\n".join(prose(900 + k, 20) for k in range(5)) + f"\nlast {i}", "c") for i in range(40)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = {r.doc_id: r for r in line_rules.judge(docs).collect()}
-    assert all(got[i].kept and got[i].n_boiler == 64 for i in range(30))
+    assert all(got[i].kept and got[i].n_boiler == 60 for i in range(30))
     assert not got[100].base_failed and not got[100].kept and not got[101].kept
     assert got[200].kept and all(got[300 + i].kept for i in range(40))
     assert sorted(r.doc_id for r in line_rules.passing(docs).collect()) == sorted(i for i, r in got.items() if r.kept)
+    texts = {r[0]: r[1] for r in rows}
+    clean = {r.doc_id: r for r in line_rules.passing(docs.withColumn("n_chars", F.length("text")), remove_lines=True).collect()}
+    assert set(clean) == {i for i, r in got.items() if r.kept}
+    assert all(r.text == (prose(i, 60) if i < 30 else texts[i]) and r.n_chars == len(r.text) for i, r in clean.items())
 
 
 # mixing
