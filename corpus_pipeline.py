@@ -13,8 +13,8 @@ from loadtide.llm.registry import stored, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that fail the base rule or are nearly all boilerplate of their host."""
-    return line_rules.passing(docs)
+    """Takes boilerplate lines out; drops documents that fail the base rule or are nearly all boilerplate of their host."""
+    return line_rules.passing(docs, remove_lines=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
