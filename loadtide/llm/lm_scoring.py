@@ -90,8 +90,8 @@ def _blocks(batches, limit: int = BLOCK_WORDS):
 
     number = TaskContext.get().partitionId() << 32
     ids, lengths, hashes, n = [], [], [], 0
-    for batch in batches:
-        for i, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+    for piece in (batch.slice(s, 500) for batch in batches for s in range(0, batch.num_rows, 500)):
+        for i, text in zip(piece.column("doc_id").to_pylist(), piece.column("text").to_pylist()):
             w = (text or "").encode().lower().split()
             ids.append(i)
             lengths.append(len(w))
@@ -218,7 +218,7 @@ def score(docs: DataFrame, alpha: float = 0.4, min_count: int = 2, hot: int = 20
     """(doc_id, n_words, log10_score, mean_log10) for every row of docs (doc_id, text)."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    parts = 2 * partitions(spark)
+    parts = 3 * partitions(spark)
     counts = stored(word_counts(docs, parts, hot), "words")
     total = counts.agg(F.sum("total")).first()[0] or 0
     least = max(1.0, total / hot)
@@ -280,16 +280,17 @@ def score(docs: DataFrame, alpha: float = 0.4, min_count: int = 2, hot: int = 20
             doc = [unplaned(x, np.uint16) for x in rows["d"]]
             times = [unplaned(x, np.uint32) for x in rows["e"]]
             held = np.concatenate([np.add.reduceat(t, np.append(0, np.cumsum(n)[:-1])) for t, n in zip(times, n_docs)]).astype(float)
-            _, at = np.unique(v * np.uint64(0x9E3779B97F4A7C15) + u * np.uint64(0xC2B2AE3D27D4EB4F), return_inverse=True)  # a 64-bit hash
-            pair_count = np.bincount(at, weights=held)[at]
-            _, at = np.unique(v, return_inverse=True)
+            at = np.unique(v, return_inverse=True)[1]
             word_count = np.bincount(at, weights=held)[at]
-            known = _look(hot_w, hot_n, v).astype(float)
-            word_count = np.where(known > 0, known, word_count)
-            before = _look(hot_w, hot_n, u).astype(float)
-            hit = pair_count >= min_count
-            s = np.where(hit, np.log10(pair_count) - np.log10(np.maximum(before, 1)), log_alpha + np.log10(word_count) - log_total)
+            known = _look(hot_w, hot_n, v)
+            s = log_alpha + np.log10(np.where(known > 0, known, word_count)) - log_total
+            at = np.unique(v * np.uint64(0x9E3779B97F4A7C15) + u * np.uint64(0xC2B2AE3D27D4EB4F), return_inverse=True)[1]  # of a 64-bit hash
+            del v, known, word_count
+            pair_count = np.bincount(at, weights=held)[at]
+            hit, before = pair_count >= min_count, _look(hot_w, hot_n, u)
+            s[hit] = np.log10(pair_count[hit]) - np.log10(np.maximum(before[hit], 1).astype(float))
             due, owing = hit & (before == 0), []
+            del at, held, pair_count, hit, before
             for k, (i, j) in enumerate(zip(np.append(0, ends[:-1]), ends)):
                 block = int(rows["block"].iloc[k])
                 each = np.repeat(np.arange(i, j), n_docs[k])
