@@ -110,7 +110,7 @@ def framed(bodies: list[bytes]) -> list[bytes]:
     heads = [len(b).to_bytes(8, "little") for b in bodies]
     sums = masked(crc32c(heads + bodies)).astype("<u4").view("V4")
     n = len(bodies)
-    return [h + sums[i].tobytes() + b + sums[n + i].tobytes() for i, (h, b) in enumerate(zip(heads, bodies))]
+    return [b"".join((h, sums[i].tobytes(), b, sums[n + i].tobytes())) for i, (h, b) in enumerate(zip(heads, bodies))]
 
 
 def unframed(data: bytes, offsets: list[int]) -> list[bytes]:
@@ -180,7 +180,7 @@ class Encoder:
         missing = missing.difference(broken) | {parts[0] for parts in broken.values()}
         new, first = [], []
         for table, wanted, plain in ((known, missing, new), (starts, heads, first)):
-            wanted = {w for w in wanted if w not in table}
+            wanted = wanted.difference(table.keys() & wanted)
             ends = {w: w[:-1] for w in wanted if len(w) > 1 and w[-1] in ".," and w[-2].isalpha()}
             plain.extend(w for w in {*wanted.difference(ends), *ends.values()} if w not in table)
             self._encode_words(plain, table, " " if table is known else "\n")
@@ -283,15 +283,16 @@ def write_records(docs: DataFrame, path: str, tokenizer_file: str, end_id: int =
             tail = np.asarray([end_id], f"<u{coder.width}").tobytes()
             for s in range(0, batch.num_rows, 400):
                 piece = batch.slice(s, 400)
-                ids = [b + tail for b in coder.encode([t or "" for t in piece.column("text").to_pylist()])]
+                ids = coder.encode([t or "" for t in piece.column("text").to_pylist()])
                 head = bytes([coder.width])
-                bodies = [(NULL_ID if d is None else d).to_bytes(8, "little", signed=True) + head + b for d, b in zip(piece.column("doc_id").to_pylist(), ids)]
+                bodies = [b"".join(((NULL_ID if d is None else d).to_bytes(8, "little", signed=True), head, b, tail))
+                          for d, b in zip(piece.column("doc_id").to_pylist(), ids)]
                 for record, b in zip(framed(bodies), ids):
                     if now is None or now.size > max_file_bytes:
                         if now is not None:
                             now.close()
                         now = File(0 if now is None else now.seq + 1)
-                    now.add(record, len(b) // coder.width)
+                    now.add(record, len(b) // coder.width + 1)
         if now is not None:
             now.close()
         yield pa.RecordBatch.from_pylist([dict(zip(("name", "part", "seq", "n_records", "n_ids"), f)) for f in files],
@@ -325,8 +326,8 @@ def _read_file(place: str, name: str, shuffle: int | None, block: int = 32 << 20
                 yield who.tolist(), unframed(data, [int(offsets[i] - offsets[a]) for i in who])
 
 
-def read_records(spark: SparkSession, path: str, seed: int | None = None) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32, ids) of every record; every checksum is tested.
+def read_records(spark: SparkSession, path: str, seed: int | None = None, with_ids: bool = True) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32, ids) of every record, the last column on request; every checksum is tested.
 
     `start` is the number of ids in all records before. With a seed each file's records come in a random order, by
     way of the index. Files are read by their own tasks; of the manifest only a running sum over parts is sorted in one task.
@@ -354,14 +355,15 @@ def read_records(spark: SparkSession, path: str, seed: int | None = None) -> Dat
                     ids = [int.from_bytes(b[:8], "little", signed=True) for b in bodies]
                     for s in range(0, len(arrays), 2000):
                         some = arrays[s:s + 2000]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([None if i == NULL_ID else i for i in ids[s:s + 2000]], pa.int64()), pa.array(begins[s:s + 2000], pa.int64()),
-                             pa.array([len(a) for a in some], pa.int64()), pa.array([zlib.crc32(a) for a in some], pa.int64()),
-                             pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum([len(a) for a in some])), pa.int32()),
-                                                      pa.array(np.concatenate(some).view("<i4")))],
-                            names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"])
+                        columns = [pa.array([None if i == NULL_ID else i for i in ids[s:s + 2000]], pa.int64()), pa.array(begins[s:s + 2000], pa.int64()),
+                                   pa.array([len(a) for a in some], pa.int64()), pa.array([zlib.crc32(a) for a in some], pa.int64())]
+                        if with_ids:
+                            columns.append(pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum([len(a) for a in some])), pa.int32()),
+                                                                    pa.array(np.concatenate(some).view("<i4"))))
+                        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"][:len(columns)])
 
-    return listed.repartition(partitions(spark), "name").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long, ids array<int>")
+    return listed.repartition(partitions(spark), "name").mapInArrow(
+        run, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids)
 
 
 @query("op7_token_records")
@@ -371,4 +373,4 @@ def op7_token_records(spark, sf_dir):
 
     path = fresh_path(spark, "records")
     write_records(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
-    return read_records(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return read_records(spark, path, with_ids=False)
