@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .registry import partitions, query, ship, stored, table
+from .registry import claim, partitions, query, ship, stored, table
 
 START = 0  # the context of first words
 BITS = 48
@@ -88,6 +88,7 @@ def _blocks(batches, limit: int = BLOCK_WORDS):
     """(number, ids, lengths, word hashes) of blocks of documents."""
     from pyspark import TaskContext
 
+    claim("lm_scoring")
     number = TaskContext.get().partitionId() << 32
     ids, lengths, hashes, n = [], [], [], 0
     for piece in (batch.slice(s, 500) for batch in batches for s in range(0, batch.num_rows, 500)):

@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .registry import query, ship, stored, table
+from .registry import claim, query, ship, stored, table
 from .text import text_of
 
 NULL_ID = -(1 << 63)
@@ -110,6 +110,7 @@ def signatures(docs: DataFrame, threshold: float, size: int = 5) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
+        claim("near_dedup")
         for batch in batches:
             counts, keys, bands = [], [], []
             for text in batch.column("text").to_pylist():

@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .registry import query, ship, table
+from .registry import claim, held, query, ship, table
 
 SPACE = "▁"
 NEVER = float("-inf")
@@ -183,11 +183,12 @@ class PrefixTable:
                 yield get(s) or lookup(s)
 
 
-_loaded: dict[bytes, PrefixTable] = {}
+_loaded: dict[bytes, PrefixTable] = held("pieces", {})
 
 
 def _table(model: bytes) -> PrefixTable:
     """The worker's table for a model."""
+    claim("pieces")
     key = hashlib.sha256(model).digest()
     if key not in _loaded:
         _loaded[key] = PrefixTable(model)

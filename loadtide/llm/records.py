@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from loadtide.sources.scratch import fresh_path
 
-from .registry import file_system, partitions, query, ship, table
+from .registry import claim, file_system, held, partitions, query, ship, table
 
 NULL_ID = -(1 << 63)
 CHUNK = 512  # bytes of a body that are summed side by side with others
@@ -227,13 +227,14 @@ class Encoder:
         return out
 
 
-_loaded: dict[bytes, Encoder] = {}
+_loaded: dict[bytes, Encoder] = held("records", {})
 
 
 def _encoder(model: str) -> Encoder:
     import os
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    claim("records")
     key = hashlib.sha256(model.encode()).digest()
     if key not in _loaded:
         _loaded[key] = Encoder(model)
@@ -281,9 +282,10 @@ def write_records(docs: DataFrame, path: str, tokenizer_file: str, end_id: int =
         now = None
         for batch in batches:
             tail = np.asarray([end_id], f"<u{coder.width}").tobytes()
-            for s in range(0, batch.num_rows, 400):
-                piece = batch.slice(s, 400)
-                ids = coder.encode([t or "" for t in piece.column("text").to_pylist()])
+            for s in range(0, batch.num_rows, 800):
+                piece = batch.slice(s, 800)
+                texts = [t or "" for t in piece.column("text").to_pylist()]
+                ids = [x for k in range(0, len(texts), 200) for x in coder.encode(texts[k:k + 200])]  # few texts' words stay in the cache
                 head = bytes([coder.width])
                 bodies = [b"".join(((NULL_ID if d is None else d).to_bytes(8, "little", signed=True), head, b, tail))
                           for d, b in zip(piece.column("doc_id").to_pylist(), ids)]

@@ -74,3 +74,19 @@ def ship(spark: SparkSession) -> None:
         f.write(out.getvalue())
     sc.addPyFile(target if re.match(r"[a-z0-9]+:/", target) else f"file://{path}")
     _shipped.add(sc.applicationId)
+
+
+_held: dict[str, dict] = {}
+
+
+def held(owner: str, table: dict) -> dict:
+    """A table that a Python worker keeps between tasks for an operator."""
+    _held[owner] = table
+    return table
+
+
+def claim(owner: str) -> None:
+    """Called in a worker at the start of a task: other operators' tables go, so that a worker holds one operator's at a time."""
+    for name, table in _held.items():
+        if name != owner:
+            table.clear()
