@@ -45,7 +45,7 @@ class Words(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) >= 400_000:
+        if len(self) >= 250_000:
             self.clear()
         h = self[word] = (xxhash.xxh64_intdigest(word) >> (64 - BITS)) or 1
         return h
