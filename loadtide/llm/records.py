@@ -133,7 +133,7 @@ class Encoder:
     white space side by side, or with a special token's string, go to the library whole.
     """
 
-    def __init__(self, model: str, keep: int = 1_400_000):
+    def __init__(self, model: str, keep: int = 1_900_000):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(model)
