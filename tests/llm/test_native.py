@@ -216,6 +216,20 @@ def test_line_rule(spark):
     assert all(r.text == (prose(i, 60) if i < 30 else texts[i]) and r.n_chars == len(r.text) for i, r in clean.items())
 
 
+def test_line_rule_counts_documents_that_share_a_word(spark):
+    """Unrelated texts with the same few common words count each; near copies of one count once, for the line and the host."""
+    word = lambda i, j: f"w{(i * 7919 + j * j * 31 + i * j) % 997}"
+    prose = lambda i: " ".join("the of and".split() + [word(i, j) for j in range(60)])
+    rows = [(i, "a line of the host\n" + prose(i), "a") for i in range(300)]
+    rows += [(1000 + i, "a line of copies\n" + prose(5000) + f" last{i}", "a") for i in range(200)]
+    rows += [(2000 + i, prose(9000 + i), "a") for i in range(100)]
+    lines = line_rules.line_table(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    counts = lines.select("label", F.explode("lines.line").alias("line")).groupBy("line").agg(F.countDistinct("label").alias("n"))
+    assert sorted(r.n for r in counts.collect())[-2:] == [1, 300]
+    assert [(r.host, r.n_docs) for r in line_rules.boilerplate(lines).collect()] == [("a", 300)]
+    assert [r.n_docs for r in line_rules.boilerplate(lines, max_share=0.74).collect()] == [300]  # of 401 documents, not of 600 rows
+
+
 # mixing
 
 def test_targets():
