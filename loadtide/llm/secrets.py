@@ -6,7 +6,8 @@ chi-squared of the symbol counts, runs above and below the middle of the alphabe
 correlation of neighbours. Strings of words fail at least one of them. The smallest, times three, is
 the string's p-value. Which strings are *not* random is decided for the whole corpus at once, with
 the step-up procedure of Benjamini and Hochberg in every stratum of encoding and length (lengths by
-powers of two), so that of the strings set aside at most the share `rate` are random after all.
+powers of two), so that of the strings set aside at most the share `rate` are random after all. No string
+is set aside above the p-value `LEVEL`, however many others are: a random one is lost with about that chance at most.
 What remains and holds `min_bits` or more is a secret.
 
 The strata and p-value bins are a fixed number of cells; only their counts reach the driver.
@@ -45,6 +46,7 @@ ENCODINGS = (
 )
 KINDS = ("assign", "access", "hex") + tuple(e[0] for e in ENCODINGS)
 BIN, BINS = 0.25, 80  # p-values by steps of a quarter of a power of ten, down to 1e-20
+LEVEL = 1e-4
 
 SPAN = "struct<start:bigint,rank:int,kind:string,stop:bigint>"
 
@@ -121,10 +123,11 @@ def not_random(docs: DataFrame, rate: float = 0.2) -> dict[tuple[int, int], int]
     """For every stratum (encoding, octave of length) the p-value bin from which strings are set aside."""
     cells = (docs.select(F.inline(candidates(text_of("text")))).groupBy("enc", "octave", "bin").agg(F.count(F.lit(1)).alias("n"))).collect()
     out: dict[tuple[int, int], int] = {}
+    first = math.ceil(-math.log10(LEVEL) / BIN - 1e-9)
     for stratum in {(c["enc"], c["octave"]) for c in cells}:
         counts = {c["bin"]: c["n"] for c in cells if (c["enc"], c["octave"]) == stratum}
         total, below = sum(counts.values()), 0
-        for b in sorted(counts, reverse=True):
+        for b in sorted((b for b in counts if b >= first), reverse=True):
             below += counts[b]
             if 10 ** (-b * BIN) * total <= rate * below:  # the bin's largest p-value
                 out[stratum] = b

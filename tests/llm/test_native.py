@@ -170,6 +170,17 @@ def test_random_strings_are_found_and_masked(spark):
     assert clean[2].text == rows[1][1] and clean[3].text is None
 
 
+def test_ordinary_strings_do_not_hide_random_ones(spark):
+    """Among very many strings of words no more random ones are set aside than the level lets through."""
+    import random
+    rnd = random.Random(11)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = ["a1" + "".join(rnd.choice(letters) for _ in range(38)) for _ in range(200)]
+    rows = [(i, k) for i, k in enumerate(keys)] + [(1000 + i, f"Thename{i}ofathingthatisnotasecret{i}inanyway") for i in range(4000)]
+    got = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).where("doc_id < 1000")
+    assert got.where(F.size("random_spans") == 1).count() >= 199
+
+
 # quality rules
 
 def _measures(t):
