@@ -4,10 +4,14 @@ The standard library's parser streams events; they become blocks (the "lines" of
 block-level tags, with the number of tags around and inside it. A block's text-to-tag ratio is its length by its tags.
 The ratios are smoothed with a Gaussian and clustered by a threshold into content and the rest.
 
-Blocks inside navigation, headers and footers of the page, sidebars, notices, adverts, forms, comments, scripts and styles,
-told by element, role, class or id, never count. Where the page marks its article (one or several `article` or `main` elements,
-or `itemprop=articleBody`) all remaining blocks in there are its content, also short ones. Where it marks none, content reaches from the first to the last block
-above the threshold, and on over neighbouring paragraphs, headings and items; blocks of which links make up half the text or more are left out.
+This is done for every page. What the page says about its parts is evidence beside it. Blocks inside navigation, headers and
+footers of the page, forms, comments, scripts and styles, told by element, role, class or id, never count; nor do those in elements
+named like sidebars, notices or adverts, unless such an element has several blocks above the threshold
+and half of the page's text there or more: then it is a wrapper.
+A marked article (`article`, `main` or `itemprop=articleBody`) is content, also its short blocks, where articles hold as much of the
+text above the threshold as all else; of several, those without any such text (teasers) go. Elsewhere marks don't count, and content
+reaches from the first to the last block above the threshold, and on over neighbouring paragraphs, headings and items; blocks of
+which links make up half the text or more, and teasers, are left out.
 
 Null and empty pages, and pages without content, give an empty text. Unclosed and crossed tags are closed as browsers would, roughly:
 a block-level tag ends an open paragraph. Rows that repeat get equal results. Other columns are ignored. Empty tables give
@@ -18,6 +22,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import defaultdict
 from html.parser import HTMLParser
 
 from pyspark.sql import DataFrame
@@ -36,6 +41,7 @@ NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|notification|popup|modal|newsletter|subscribe|signup|alert|"
     r"nav\w*|menu|breadcrumbs?|sidebar|side|aside|footer|header|masthead|topbar|toolbar|pagination|pager|share|sharing|social|related|recommended|"
     r"comments?|disqus|replies|respond|form|login|search|widget|skip)(?:$|[\s_-])", re.I)
+LAYOUT = re.compile(r"(?:^|(?<=\s))(?:has|no|with|without)[_-]\S+", re.I)  # says what an element has, not what it is
 CONTENT = re.compile(r"(?:^|[\s_-])(?:content|article|main|post|entry|story|text|body)(?:$|[\s_-])", re.I)
 HEADING = re.compile(r"(?:^|[\s_-])(?:header|masthead|footer)(?:$|[\s_-])", re.I)
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre dd dt td figcaption".split())
@@ -43,21 +49,23 @@ ENDS_P = BLOCK - {"html", "body"}
 
 
 class Blocks(HTMLParser):
-    """blocks: (text, letters in links, tags, inside an article, inside something that never counts, in an element of prose)."""
+    """blocks: (text, letters in links, tags, numbers of the articles around it, inside something that never counts, in an
+    element of prose, numbers of the elements around it that are named like an aside)."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.blocks: list[tuple[str, int, int, bool, bool, bool]] = []
-        self.open: list[tuple[str, bool, bool, bool]] = []  # element, silent, aside, article
+        self.blocks: list[tuple[str, int, int, tuple[int, ...], bool, bool, tuple[int, ...]]] = []
+        self.open: list[tuple[str, bool, bool, bool, bool]] = []  # element, silent, aside, article, named like an aside
         self.text: list[str] = []
         self.tags = self.linked = self.links = 0
-        self.silent = self.aside = self.article = 0
-        self.articles = 0
+        self.silent = self.aside = self.count = 0
+        self.article: list[int] = []
+        self.named: list[int] = []
 
     def flush(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            self.blocks.append((text, self.linked, self.tags, self.article > 0, self.aside > 0, self._prose()))
+            self.blocks.append((text, self.linked, self.tags, tuple(self.article), self.aside > 0, self._prose(), tuple(self.named)))
         self.text, self.tags, self.linked = [], 0, 0
 
     def _prose(self) -> bool:
@@ -79,17 +87,21 @@ class Blocks(HTMLParser):
         silent = tag in SILENT or "hidden" in given or given.get("aria-hidden") == "true"
         article = tag in ("article", "main") or given.get("role") in ("main", "article") or given.get("itemprop") == "articleBody"
         if tag in ("html", "body"):
-            aside = False
+            aside = told = False
         else:
-            named = [given.get("class", ""), given.get("id", "")]
+            named = [LAYOUT.sub("", given.get(c, "")) for c in ("class", "id")]
             told = any(NAMES.search(n) and not CONTENT.search(n) and not (self.article and HEADING.search(n)) for n in named)
             remark = any(re.search(r"(?:^|[\s_-])(?:comments?|replies|respond|disqus)(?:$|[\s_-])", n, re.I) for n in named)
-            aside = (tag in ASIDE or (tag == "header" and not self.article) or given.get("role") in ROLES or remark or (told and not article))
-        self.open.append((tag, silent, aside, article))
+            aside = (tag in ASIDE or (tag == "header" and not self.article) or given.get("role") in ROLES or remark)
+            told = told and not article and not aside
+        self.open.append((tag, silent, aside, article, told))
         self.silent += silent
         self.aside += aside
-        self.article += article
-        self.articles += article and not self.aside
+        self.count += 1
+        if article:
+            self.article.append(self.count)
+        if told:
+            self.named.append(self.count)
         self.links += tag == "a"
 
     def handle_startendtag(self, tag, attrs) -> None:
@@ -98,10 +110,13 @@ class Blocks(HTMLParser):
             self.handle_endtag(tag)
 
     def _pop(self) -> None:
-        tag, silent, aside, article = self.open.pop()
+        tag, silent, aside, article, told = self.open.pop()
         self.silent -= silent
         self.aside -= aside
-        self.article -= article
+        if article:
+            self.article.pop()
+        if told:
+            self.named.pop()
         self.links -= tag == "a"
 
     def _end_paragraph(self) -> None:
@@ -178,12 +193,23 @@ def main_text(html: str | None, sigma: float = 1.0) -> str:
     if not parser.blocks:
         return ""
     blocks = parser.blocks
-    if parser.articles:
-        return "\n".join(b[0] for b in blocks if b[3] and not b[4])
     smooth = smoothed([len(b[0]) / max(1, b[2]) for b in blocks], sigma)
     cut = threshold(smooth)
-    usable = [not b[4] and 2 * b[1] < len(b[0]) for b in blocks]
-    chosen = [i for i, s in enumerate(smooth) if usable[i] and s >= cut]
+    mass = [len(b[0]) if s >= cut and not b[4] and 2 * b[1] < len(b[0]) else 0 for b, s in zip(blocks, smooth)]
+    inside: dict[int, list[int]] = defaultdict(list)
+    for b, m in zip(blocks, mass):
+        for element in b[6] if m else ():
+            inside[element].append(m)
+    wrappers = {element for element, m in inside.items() if len(m) > 1 and 2 * sum(m) >= sum(mass)}
+    counts = [not b[4] and wrappers.issuperset(b[6]) for b in blocks]
+    usable = [c and 2 * b[1] < len(b[0]) for b, c in zip(blocks, counts)]
+    mass = [m if u else 0 for m, u in zip(mass, usable)]
+    held = {element for b, m in zip(blocks, mass) if m for element in b[3]}
+    marked = [c and bool(b[3]) for b, c in zip(blocks, counts)]
+    if any(marked) and 2 * sum(m for b, m in zip(blocks, mass) if b[3]) >= sum(mass):
+        return "\n".join(b[0] for b, m in zip(blocks, marked) if m and (not held or b[3][-1] in held))
+    usable = [u and (not b[3] or b[3][-1] in held) for b, u in zip(blocks, usable)]
+    chosen = [i for i, m in enumerate(mass) if m]
     if not chosen:
         return ""
     low, high = chosen[0], chosen[-1]

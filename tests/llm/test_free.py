@@ -73,6 +73,19 @@ def test_pages_with_parts_inside_the_article():
     assert html_main.main_text(page) == "T\nx y\nz w"
 
 
+def test_marks_and_names_are_evidence():
+    """Teaser articles don't replace a text in plain divs, nor do names of a wrapper empty the page."""
+    long = "a sentence of some length that goes on and on, " * 8
+    want = long.strip()
+    cards = "".join(f"<article class=teaser><h3><a href={i}>title {i}</a></h3><p>short {i}</p></article>" for i in range(4))
+    body = f"<div><h1>Title</h1><div>{long}</div><div>{long}</div></div>"
+    assert html_main.main_text(f"<body>{body}<div>{cards}</div></body>") == f"Title\n{want}\n{want}"
+    assert html_main.main_text(f"<body><div class='has-sidebar'>{body}</div></body>") == f"Title\n{want}\n{want}"
+    assert html_main.main_text(f"<body><div class='layout-sidebar'>{body}</div></body>") == f"Title\n{want}\n{want}"
+    marked = f"<article><h1>T</h1><p>{long}</p><p>end</p></article>"
+    assert html_main.main_text(f"<body><main>{marked}<div>{cards}</div></main></body>") == f"T\n{want}\nend"
+
+
 def test_odd_pages(spark):
     rows = [(1, "u", None), (1, "u", ""), (None, None, "<p a=1 <x> <<p>> </ p> <!-- c <![CDATA[ x"), (2, "u", "<p>" * 3000 + "deep" + "</div>" * 50)]
     got = html_main.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
