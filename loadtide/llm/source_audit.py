@@ -9,7 +9,7 @@
    probabilities. Count 0 has no column; its share follows from the diagonal, as the difference to a pair in which both
    sources lack the term. So a product costs what occurs, not all terms times all sources.
 
-Rows of the matrix are dealt out by a hash of the term, columns by a hash of the source into blocks of about `width`
+Rows of the matrix are dealt out by a hash of the term, about `ROWS` to a block, columns by a hash of the source into blocks of about `width`
 sources; each task works on one row block of one pair of column blocks and hands on sums per pair of sources. Nothing is
 broadcast: the sizes of the sources travel to each task as rows before its terms. A language or source that holds most
 of the corpus, or a word in every text, is spread over all row blocks like others.
@@ -36,6 +36,7 @@ from .registry import claim, partitions, query, ship, stored, table
 SCALE = 1_000_000_000
 WIDTH = 256
 COLUMNS = 384  # indicator columns in one product
+ROWS = 32_768  # terms in a row block, about
 HELD = 400_000  # counts that a counting task holds before it hands them on
 SLICE = 1 << 20
 # bytes of terms stay, A-Z as lower case, all others separate
@@ -253,10 +254,9 @@ def audit(docs: DataFrame, min_docs: int = 3, best: int = 200, width: int = WIDT
     groups = (kept.select("lang", F.explode("entries").alias("e")).groupBy("lang", F.col("e.source").alias("source"))
               .agg(F.sum("e.n").alias("n")))
     sizes = stored(groups.join(langs, "lang"), "groups")
-    shape = sizes.groupBy("lang").count().agg(F.count(F.lit(1)).alias("langs"), F.max("count").alias("most")).first()
+    shape = sizes.groupBy("lang").agg(F.count(F.lit(1)).alias("sources"), F.first("v").alias("v")).agg(F.max("sources").alias("most"), F.max("v").alias("v")).first()
     halves = max(1, -(-(shape.most or 1) // width))
-    tiles = max(1, shape.langs) * halves * (halves + 1) // 2
-    blocks = max(1, -(-2 * partitions(spark) // tiles))
+    blocks = max(1, -(-(shape.v or 1) // ROWS))
 
     def half(source) -> F.Column:
         return F.pmod(F.xxhash64(source), F.lit(halves)).cast("int")
