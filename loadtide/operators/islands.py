@@ -1,8 +1,7 @@
 """Gaps, contiguous segments and runs in an ordered series.
 
-Gaps and segments take raw rows, however crowded. Runs and steps order the rows inside time
-chunks, so they take a series with one row per key and slot (see `rollup.resample`): a chunk
-then holds chunk / cadence rows at most. Null keys are a key of their own. Rows without a time are in no
+Gaps and segments take raw rows, however crowded. Runs and steps order the rows inside pieces of time that
+are cut by counted rows (see `cuts`), so they take crowded rows too, if few share an instant. Null keys are a key of their own. Rows without a time are in no
 segment, run or step; operators that return all rows give them a null segment.
 """
 
@@ -14,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timeaxis import DAY, floor_div, micros
+from .cuts import ROWS, cuts
 from .order import select_ranks
 from .select import join_on
 
@@ -59,14 +59,14 @@ def gap_split(df: DataFrame, time: str, value: str, gap: int, keys: Sequence[str
             .select(*df.columns, "after_gap"))
 
 
-def flag_runs(df: DataFrame, time: str, flag: str, keys: Sequence[str] = (), chunk: int = 28 * DAY) -> DataFrame:
+def flag_runs(df: DataFrame, time: str, flag: str, keys: Sequence[str] = (), chunk: int = 28 * DAY, rows: int | None = ROWS) -> DataFrame:
     """Maximal runs of equal `flag` in time order: start, end, row count.
 
-    Runs are found inside each time chunk, then the ones that touch a chunk border are
-    joined up through a table with one row per chunk.
+    Runs are found inside each piece of time, then the ones that touch a border are
+    joined up through a table with one row per piece.
     """
     work = df.filter(F.col(time).isNotNull()).select(*keys, micros(time).alias("__us"), F.coalesce(F.col(flag), F.lit(False)).alias(flag))
-    work = work.withColumn("__chunk", floor_div(F.col("__us"), chunk))
+    work = cuts(df, time, keys, chunk, rows).place(work, F.col("__us"), "__chunk")
     inside = Window.partitionBy(*keys, "__chunk").orderBy("__us")
     change = (F.lag(flag).over(inside) != F.col(flag)).cast("int")
     marked = work.withColumn("__change", F.coalesce(change, F.lit(0)))
@@ -91,10 +91,10 @@ def flag_runs(df: DataFrame, time: str, flag: str, keys: Sequence[str] = (), chu
                     F.timestamp_micros("__end").alias("run_end"), "n"))
 
 
-def steps(df: DataFrame, time: str, keys: Sequence[str] = (), chunk: int = 28 * DAY) -> DataFrame:
+def steps(df: DataFrame, time: str, keys: Sequence[str] = (), chunk: int = 28 * DAY, rows: int | None = ROWS) -> DataFrame:
     """Microseconds between each row and the one before it (the first row of a key has none)."""
     work = df.filter(F.col(time).isNotNull()).select(*keys, micros(time).alias("__us"))
-    work = work.withColumn("__chunk", floor_div(F.col("__us"), chunk))
+    work = cuts(df, time, keys, chunk, rows).place(work, F.col("__us"), "__chunk")
     ends = work.groupBy(*keys, "__chunk").agg(F.max("__us").alias("__to"))
     over_chunks = Window.partitionBy(*keys).orderBy("__chunk")
     ends = ends.select(*keys, "__chunk", F.lag("__to").over(over_chunks).alias("__before"))
@@ -103,9 +103,9 @@ def steps(df: DataFrame, time: str, keys: Sequence[str] = (), chunk: int = 28 *
     return (join_on(work, ends, [*keys, "__chunk"]).select(*keys, step.alias("step_us")).filter("step_us is not null"))
 
 
-def median_step(df: DataFrame, time: str, keys: Sequence[str] = (), chunk: int = 28 * DAY) -> DataFrame:
+def median_step(df: DataFrame, time: str, keys: Sequence[str] = (), chunk: int = 28 * DAY, rows: int | None = ROWS) -> DataFrame:
     """Median time between neighbouring rows, in seconds, exact at any size."""
-    gaps = steps(df, time, keys, chunk)
+    gaps = steps(df, time, keys, chunk, rows)
     low, high = select_ranks(gaps, F.col("step_us"), [lambda n: F.floor((n - 1) / 2), lambda n: F.floor(n / 2)])
     middle = None if low is None else (low + high) / 2 / 1_000_000
     return df.sparkSession.range(1).select(F.lit(middle).cast("double").alias("median_step_s"))

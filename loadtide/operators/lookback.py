@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timeaxis import DAY, floor_div, micros
+from .cuts import ROWS, cuts
+from .running import Frame, with_frames
 from .select import join_on
 
 
@@ -39,38 +41,52 @@ class Rolling:
     include_current: bool = True
 
 
-_STATS = {"mean": F.avg, "std": F.stddev_samp, "sum": F.sum, "min": F.min, "max": F.max, "count": F.count}
-
-
-def _rolling(r: Rolling, frame) -> Column:
-    value = _STATS[r.stat](r.column).over(frame)
-    return value if r.min_count <= 1 else F.when(F.count(r.column).over(frame) >= r.min_count, value)
+def _frames(features: Mapping[str, Lag | Rolling], more: int) -> dict[str, Frame]:
+    """The rolling features; a row frame covers `more` = 1 rows than it looks back."""
+    return {n: Frame(f.column, f.back + more, f.stat, f.include_current, f.min_count) for n, f in features.items() if isinstance(f, Rolling)}
 
 
 def time_windows(df: DataFrame, time: str, features: Mapping[str, Lag | Rolling],
-                 keys: Sequence[str] = (), chunk: int = 28 * DAY) -> DataFrame:
+                 keys: Sequence[str] = (), chunk: int = 28 * DAY, rows: int | None = ROWS) -> DataFrame:
     """Time-based features: a lag is the value at exactly that instant, null if there is none.
 
-    One shuffle and one sort for all features. A (key, chunk) group holds at most
-    (chunk + longest look-back) / cadence rows.
+    One shuffle and one sort for all features. A (key, piece) group holds about `rows` rows and the look-back before them; pieces
+    are cut by counted rows (see `cuts`), down to the longest look-back. Where still more rows crowd within one look-back, lags are fetched by an
+    equi-join on the instant instead, which no crowd can skew; rolling statistics pass such a piece in order, in time and
+    memory that don't grow with the frame.
     """
     reach = max(f.back for f in features.values())
-    chunk = max(chunk, reach)
-    us = micros(time)
     untimed, df = df.filter(F.col(time).isNull()), df.filter(F.col(time).isNotNull())
-    pieces = df.select(
-        "*", us.alias("__us"), floor_div(us, chunk).alias("__own"),
-        F.explode(F.sequence(floor_div(us, chunk), floor_div(us + F.lit(reach).cast("long"), chunk))).alias("__piece"))
+    where = cuts(df, time, keys, max(chunk, reach), rows, reach)
+    if where.full and any(isinstance(f, Lag) for f in features.values()):
+        rest = {n: f for n, f in features.items() if isinstance(f, Rolling)}
+        found = _lags_at(df, time, {n: f for n, f in features.items() if isinstance(f, Lag)}, keys)
+        timed = time_windows(found, time, rest, keys, chunk, rows) if rest else found
+        return _with_untimed(timed.select(*df.columns, *features), untimed)
+    pieces = where.place(df.withColumn("__us", micros(time)), F.col("__us"), "__own")
+    if where.crowded:  # pieces are no shorter than the look-back: a row is in its own and at most one more
+        pieces = where.place(pieces, F.col("__us") + F.lit(reach).cast("long"), "__then").select(
+            "*", F.explode(F.array_distinct(F.array("__own", "__then"))).alias("__piece"))
+    else:
+        width = F.lit(where.widths[0]).cast("long")
+        pieces = pieces.select("*", F.explode(F.sequence(F.col("__own"), F.col("__own") + floor_div(
+            F.col("__us") - F.col("__own") + F.lit(reach).cast("long"), where.widths[0]) * width, width)).alias("__piece"))
     order = Window.partitionBy(*keys, "__piece").orderBy("__us")
 
-    def build(f: Lag | Rolling) -> Column:
-        if isinstance(f, Lag):
-            return F.max(f.column).over(order.rangeBetween(-f.back, -f.back))
-        return _rolling(f, order.rangeBetween(-(f.back - 1), 0 if f.include_current else -1))
+    lags = [F.max(f.column).over(order.rangeBetween(-f.back, -f.back)).alias(n) for n, f in features.items() if isinstance(f, Lag)]
+    rolled = with_frames(pieces.select("*", *lags), [*keys, "__piece"], "__us", _frames(features, 0))
+    return _with_untimed(rolled.filter("__piece = __own").select(*df.columns, *features), untimed)
 
-    timed = (pieces.select("*", *[build(f).alias(n) for n, f in features.items()])
-             .filter("__piece = __own").drop("__us", "__own", "__piece"))
-    return _with_untimed(timed, untimed)
+
+def _lags_at(df: DataFrame, time: str, lags: Mapping[str, Lag], keys: Sequence[str]) -> DataFrame:
+    """`df` (rows with a time) with its lags, each row's values sent to the instants that look back on it."""
+    kinds = {f.name: f.dataType for f in df.schema}
+    sent = df.select(*keys, micros(time).alias("__us"), F.explode(F.array(*[
+        F.struct(F.lit(f.back).cast("long").alias("back"), *[(F.col(f.column) if m == n else F.lit(None).cast(kinds[g.column])).alias(m)
+                                                             for m, g in lags.items()])
+        for n, f in lags.items()])).alias("__sent"))
+    sent = sent.groupBy(*keys, (F.col("__us") + F.col("__sent.back")).alias("__us")).agg(*[F.max(f"__sent.{n}").alias(n) for n in lags])
+    return join_on(df.withColumn("__us", micros(time)), sent, [*keys, "__us"], "left").select(*df.columns, *lags)
 
 
 def _with_untimed(timed: DataFrame, untimed: DataFrame) -> DataFrame:
@@ -113,11 +129,11 @@ def with_row_index(df: DataFrame, order: Sequence[str | Column], keys: Sequence[
 
 def row_windows(df: DataFrame, time: str, features: Mapping[str, Lag | Rolling],
                 keys: Sequence[str] = (), period: Column | None = None,
-                chunk: int = 28 * DAY, block: int = 8192) -> DataFrame:
+                chunk: int = 28 * DAY, block: int = 8192, rows: int | None = ROWS) -> DataFrame:
     """Row-based features, restarting in each key and period (such as the year).
 
-    Rows are numbered, cut into equal blocks, and the last rows of a block are copied into the
-    next one; every window group has at most block + longest look-back rows.
+    Rows are numbered (inside pieces of time cut by counted rows, see `cuts`), cut into equal blocks, and the last rows of a block
+    are copied into the next one; every window group has at most block + longest look-back rows.
     """
     reach = max(f.back for f in features.values())
     block = max(block, reach)
@@ -126,18 +142,14 @@ def row_windows(df: DataFrame, time: str, features: Mapping[str, Lag | Rolling],
     work, group = df, list(keys)
     if period is not None:
         work, group = work.withColumn("__period", period), [*group, "__period"]
-    numbered = with_row_index(work, [time], group, floor_div(micros(time), chunk), "__pos")
+    cut = cuts(df, time, keys, chunk, rows).place(work, micros(time), "__cut")
+    numbered = with_row_index(cut, [time], group, F.col("__cut"), "__pos")
     pos = F.col("__pos")
     pieces = numbered.select(
         "*", floor_div(pos, block).alias("__own"),
         F.explode(F.sequence(floor_div(pos, block), floor_div(pos + reach, block))).alias("__piece"))
     order = Window.partitionBy(*group, "__piece").orderBy("__pos")
 
-    def build(f: Lag | Rolling) -> Column:
-        if isinstance(f, Lag):
-            return F.lag(f.column, f.back).over(order)
-        return _rolling(f, order.rowsBetween(-f.back, 0 if f.include_current else -1))
-
-    timed = (pieces.select("*", *[build(f).alias(n) for n, f in features.items()])
-             .filter("__piece = __own").select(*columns, *features))
-    return _with_untimed(timed, untimed)
+    lags = [F.lag(f.column, f.back).over(order).alias(n) for n, f in features.items() if isinstance(f, Lag)]
+    rolled = with_frames(pieces.select("*", *lags), [*group, "__piece"], "__pos", _frames(features, 1))
+    return _with_untimed(rolled.filter("__piece = __own").select(*columns, *features), untimed)
