@@ -12,7 +12,7 @@ Expressions: text and whole-number literals, lists, names, `a.key`, `a[key]`, `a
 
 Sandbox: values are texts, whole numbers, booleans, None, lists and dictionaries; a key is looked up in dictionaries only, never as an
 attribute; there are no calls but filters of a given table, no multiplication of texts or lists, and loops only over lists that were handed in
-or written out. A missing name or key is None, which prints as nothing. Errors of a template are `TemplateError`.
+or written out; nesting and the length of an expression are bounded. A missing name or key is None, which prints as nothing. Errors of a template are `TemplateError`.
 """
 
 from __future__ import annotations
@@ -25,7 +25,8 @@ from dataclasses import dataclass, field
 MARK = re.compile(r"\{\{(-?)(.*?)(-?)\}\}|\{%(-?)(.*?)(-?)%\}|\{#(-?)(.*?)(-?)#\}", re.S)
 TOKEN = re.compile(r"\s*(?:(?P<number>\d+)|(?P<text>'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\")|(?P<name>[A-Za-z_]\w*)|(?P<sign>==|!=|<=|>=|//|[-+*%~<>|()\[\],.=]))", re.S)
 ESCAPES = {"n": "\n", "t": "\t", "r": "\r"}
-MAX_DEPTH = 60
+MAX_DEPTH = 60  # nesting of statements and expressions
+MAX_TOKENS = 400  # of one expression
 
 
 class TemplateError(ValueError):
@@ -105,6 +106,8 @@ class Expression:
             self.tokens.append((m.lastgroup, m[m.lastgroup]))
             at = m.end()
         self.tokens.append(("end", ""))
+        if len(self.tokens) > MAX_TOKENS:
+            raise TemplateError("too long an expression")
         self.at = 0
 
     def next(self, kind: str | None = None, value: str | None = None) -> str:

@@ -2,6 +2,7 @@
 
 import check
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from loadtide.llm import line_rules, near_dedup
@@ -16,13 +17,21 @@ def test_matches_sql(spark, name):
 
 
 def test_there_is_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_every_row_has_a_result(spark, name):
-    source = "pages" if name.startswith("op6") else "documents"
-    assert QUERIES[name](spark, SMALL).count() == spark.read.parquet(f"{SMALL}/{source}.parquet").count()
+    number = int(name[2:].split("_")[0])
+    source = {6: "pages", 12: "embeddings", 13: "conversations"}.get(number, "documents")
+    rows, found = spark.read.parquet(f"{SMALL}/{source}.parquet"), QUERIES[name](spark, SMALL)
+    if number == 11:  # pairs of the sources of a language
+        sources = rows.groupBy("lang").agg(F.countDistinct("source").alias("s")).agg(F.sum(F.expr("s * (s - 1)"))).first()[0]
+        assert found.filter("part = 'pair'").count() == sources
+    elif number == 13:
+        assert found.count() == rows.select("conv_id").distinct().count() + 1
+    else:
+        assert found.count() == rows.count() * (8 if number == 12 else 1)
 
 
 def test_no_python_in_native_plans(spark):
