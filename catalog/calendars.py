@@ -11,7 +11,7 @@ from loadtide.functions import measures as m
 from loadtide.functions import parsing
 from loadtide.operators import rollup
 
-from .base import O0, S0, TYPES, events, mix, orders, query, table
+from .base import O0, S0, SLOT, TYPES, events, mix, orders, query, table
 
 
 @query("parse_cells", """
@@ -140,7 +140,7 @@ def _(spark, sf):
     from loadtide.operators.impute import fill_gaps
 
     s = mix(spark, sf).withColumn("completeness_before", m.completeness(TYPES))
-    filled = fill_gaps(s, "b30", ["view"])
+    filled = fill_gaps(s, "b30", ["view"], cadence=SLOT)
     return filled.select("b30", "completeness_before", m.completeness(TYPES).alias("completeness_after"),
                          m.plain_share_pct("purchase", "load").alias("share"), m.forecast_error("load", "view").alias("err"))
 

@@ -29,7 +29,7 @@ def clean_series(spark, sf):
     kept = range_filter_nullable(last, {"load": (LOW, HIGH)})
     capped = F.when(F.col("load") > 200, F.col("load") * 0.9).when(F.col("load") > 150, F.col("load") * 0.97).otherwise(F.col("load"))
     flagged = kept.select("ts", capped.alias("load"), F.col("load").isNull().alias("is_interpolated"), "event_id")
-    return fill_gaps(flagged, "ts", ["load"])
+    return fill_gaps(flagged, "ts", ["load"], cadence=30 * MINUTE)
 
 
 RAW = f"""raw AS (SELECT ts, event_id, CASE WHEN event_type <> 'error' THEN value END AS load FROM events),

@@ -12,7 +12,7 @@ from loadtide.operators.select import available
 from loadtide.plans import layers, training
 from loadtide.sources.scratch import fresh_path, materialize
 
-from .base import S0, U0, mix, query, user_series
+from .base import S0, SLOT, U0, mix, query, user_series
 from .rollups import CLEAN_SQL, SERIES, national
 
 LABEL, TIME = "consumption_mw", "datetime"
@@ -20,7 +20,7 @@ LABEL, TIME = "consumption_mw", "datetime"
 
 def naive(spark, sf):
     """Half-hour load with the value of a day before as its prediction."""
-    return time_windows(mix(spark, sf).select("b30", "load"), "b30", {"predicted": Lag("load", 24 * HOUR)})
+    return time_windows(mix(spark, sf).select("b30", "load"), "b30", {"predicted": Lag("load", 24 * HOUR)}, cadence=SLOT)
 
 
 NAIVE = f"{S0}, p AS (SELECT s0.b30, s0.load, q.load AS predicted FROM s0 LEFT JOIN s0 q ON q.b30 = s0.b30 - INTERVAL 24 HOUR)"
@@ -47,7 +47,7 @@ def _(spark, sf):
 def _(spark, sf):
     """Errors of every user's day-before prediction."""
     pairs = time_windows(user_series(spark, sf).select("user_id", "b30", "load"), "b30",
-                         {"predicted": Lag("load", 24 * HOUR)}, ["user_id"], chunk=240 * HOUR).filter("predicted IS NOT NULL")
+                         {"predicted": Lag("load", 24 * HOUR)}, ["user_id"], chunk=240 * HOUR, cadence=SLOT).filter("predicted IS NOT NULL")
     return regression.evaluate(pairs, "load", "predicted", ["user_id"]).select("user_id", "rmse", "mae")
 
 
@@ -91,7 +91,7 @@ _MODELS = f"""{S0}, metrics AS (""" + " UNION ALL ".join(
 
 def lag_models(spark, sf):
     """Errors of predictors with several lags, in one pass."""
-    wide = time_windows(mix(spark, sf).select("b30", "load"), "b30", {n: Lag("load", h * HOUR) for n, h in LAGS.items()})
+    wide = time_windows(mix(spark, sf).select("b30", "load"), "b30", {n: Lag("load", h * HOUR) for n, h in LAGS.items()}, cadence=SLOT)
     tall = wide.select("load", F.inline(F.array(*[
         F.struct(F.lit(n).alias("model_name"), F.lit(float(h)).alias("train_time_s"), F.col(n).alias("predicted"))
         for n, h in LAGS.items()])))

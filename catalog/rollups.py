@@ -13,7 +13,7 @@ from loadtide.plans import layers
 from loadtide.plans.layers import SeriesSpec
 from loadtide.sources.scratch import materialize
 
-from .base import DEC, O0, S0, U0, events, mix, orders, query, table, user_series
+from .base import DEC, O0, S0, SLOT, U0, events, mix, orders, query, table, user_series
 
 PROFILE = DailySpec(time="b30", load="load", sources={"error_filled": "error"}, exchanges=None, imputed="error_was_null")
 
@@ -28,7 +28,7 @@ PROFILE = DailySpec(time="b30", load="load", sources={"error_filled": "error"},
 def _(spark, sf):
     """Flagship: raw events to half-hour mix, flagged and filled, then one row per day with its peak."""
     s = impute.flag_missing(mix(spark, sf), ["error"])
-    filled = impute.fill_gaps(s, "b30", ["error"], period=F.year("b30"))
+    filled = impute.fill_gaps(s, "b30", ["error"], period=F.year("b30"), cadence=SLOT)
     return rollup.daily_rollup(filled, PROFILE).select(
         F.col("date").alias("day"), F.col("consumption_mean_mw").alias("mean"), F.col("consumption_min_mw").alias("min"),
         F.col("consumption_max_mw").alias("max"), F.col("consumption_std_mw").alias("std"),

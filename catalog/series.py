@@ -9,7 +9,7 @@ from loadtide.operators import dedupe, impute, islands, lookback, order, select
 from loadtide.operators.lookback import Lag, Rolling
 from loadtide.sources.scratch import materialize
 
-from .base import B30, DEC, S0, TYPES, U0, events, mix, query, table, user_series
+from .base import B30, DEC, S0, SLOT, TYPES, U0, events, mix, query, table, user_series
 
 
 @query("mix_resample", f"WITH {S0} SELECT * FROM s0", doubles="load " + " ".join(TYPES))
@@ -79,14 +79,14 @@ def _filled(c, part):
        doubles=" ".join(TYPES))
 def _(spark, sf):
     """Missing mix values from before, else from after, inside the year."""
-    return impute.fill_gaps(mix(spark, sf), "b30", TYPES, period=F.year("b30")).select("b30", *TYPES)
+    return impute.fill_gaps(mix(spark, sf), "b30", TYPES, period=F.year("b30"), cadence=SLOT).select("b30", *TYPES)
 
 
 @query("impute_mix", f"WITH {S0} SELECT b30, " + ", ".join(f"{t} IS NULL AS {t}_was_null" for t in TYPES) + ", "
        + ", ".join(_filled(t, "year(b30)") for t in TYPES) + " FROM s0", doubles=" ".join(TYPES))
 def _(spark, sf):
     flagged = impute.flag_missing(mix(spark, sf), TYPES)
-    return impute.fill_gaps(flagged, "b30", TYPES, period=F.year("b30"), chunk=3 * DAY).select(
+    return impute.fill_gaps(flagged, "b30", TYPES, period=F.year("b30"), chunk=3 * DAY, cadence=SLOT).select(
         "b30", *[f"{t}_was_null" for t in TYPES], *TYPES)
 
 
@@ -96,7 +96,7 @@ def _(spark, sf):
 def _(spark, sf):
     """Every user's series, with high readings taken out and filled again."""
     low = user_series(spark, sf).withColumn("load", F.when(F.col("load") < 100, F.col("load")))
-    return impute.fill_gaps(low, "b30", ["load"], ["user_id"], chunk=4 * DAY).select("user_id", "b30", "load")
+    return impute.fill_gaps(low, "b30", ["load"], ["user_id"], chunk=4 * DAY, cadence=SLOT).select("user_id", "b30", "load")
 
 
 @query("lag_rows", f"""
@@ -105,7 +105,7 @@ def _(spark, sf):
 def _(spark, sf):
     return lookback.row_windows(mix(spark, sf).select("b30", "load"), "b30", {
         "lag_1h": Lag("load", 2), "lag_24h": Lag("load", 48), "lag_168h": Lag("load", 336)},
-        period=F.year("b30")).drop("load")
+        period=F.year("b30"), cadence=SLOT).drop("load")
 
 
 @query("lag_time", f"""
@@ -114,7 +114,7 @@ def _(spark, sf):
     LEFT JOIN s0 c ON c.b30 = s0.b30 - INTERVAL 168 HOUR""", doubles="lag_1h lag_24h lag_168h")
 def _(spark, sf):
     return lookback.time_windows(mix(spark, sf).select("b30", "load"), "b30", {
-        "lag_1h": Lag("load", HOUR), "lag_24h": Lag("load", 24 * HOUR), "lag_168h": Lag("load", 168 * HOUR)}).drop("load")
+        "lag_1h": Lag("load", HOUR), "lag_24h": Lag("load", 24 * HOUR), "lag_168h": Lag("load", 168 * HOUR)}, cadence=SLOT).drop("load")
 
 
 @query("rolling_rows", f"""
@@ -123,7 +123,7 @@ def _(spark, sf):
        doubles="mean std", digits=7)
 def _(spark, sf):
     return lookback.row_windows(mix(spark, sf).select("b30", "load"), "b30", {
-        "mean": Rolling("load", 48, "mean"), "std": Rolling("load", 48, "std")}, period=F.year("b30")).drop("load")
+        "mean": Rolling("load", 48, "mean"), "std": Rolling("load", 48, "std")}, period=F.year("b30"), cadence=SLOT).drop("load")
 
 
 @query("rolling_time", f"""
@@ -133,7 +133,7 @@ def _(spark, sf):
        doubles="mean_6h mean_7d", digits=7)
 def _(spark, sf):
     return lookback.time_windows(mix(spark, sf).select("b30", "load"), "b30", {
-        "mean_6h": Rolling("load", 6 * HOUR), "mean_7d": Rolling("load", 7 * DAY, min_count=72)}).drop("load")
+        "mean_6h": Rolling("load", 6 * HOUR), "mean_7d": Rolling("load", 7 * DAY, min_count=72)}, cadence=SLOT).drop("load")
 
 
 @query("rolling_time_by_user", f"""
@@ -146,7 +146,7 @@ def _(spark, sf):
     """Last-day mean and day-before value of every user, in one shuffle."""
     return lookback.time_windows(user_series(spark, sf).select("user_id", "b30", "load"), "b30", {
         "mean_24h": Rolling("load", 24 * HOUR), "n_24h": Rolling("load", 24 * HOUR, "count"),
-        "lag_24h": Lag("load", 24 * HOUR)}, ["user_id"], chunk=5 * DAY).drop("load")
+        "lag_24h": Lag("load", 24 * HOUR)}, ["user_id"], chunk=5 * DAY, cadence=SLOT).drop("load")
 
 
 @query("rolling_exclude_current", f"""
@@ -157,7 +157,7 @@ def _(spark, sf):
     """Last-day statistics without the current value, as a model may use them."""
     return lookback.time_windows(mix(spark, sf).select("b30", "load"), "b30", {
         "mean": Rolling("load", 24 * HOUR, include_current=False),
-        "std": Rolling("load", 24 * HOUR, "std", include_current=False)}).drop("load")
+        "std": Rolling("load", 24 * HOUR, "std", include_current=False)}, cadence=SLOT).drop("load")
 
 
 @query("gap_split", """
@@ -196,7 +196,7 @@ def _(spark, sf):
 def _(spark, sf):
     """Runs of half hours with and without error events."""
     flagged = mix(spark, sf).select("b30", F.col("error").isNull().alias("imputed"))
-    return islands.flag_runs(flagged, "b30", "imputed", chunk=5 * DAY)
+    return islands.flag_runs(flagged, "b30", "imputed", chunk=5 * DAY, cadence=SLOT)
 
 
 @query("median_step", f"""
@@ -204,7 +204,7 @@ def _(spark, sf):
     SELECT quantile_cont(s, 0.5) / 1000000 AS median_step_s FROM d WHERE s IS NOT NULL""", doubles="median_step_s", digits=5)
 def _(spark, sf):
     """Median time between neighbouring half hours of the users' series."""
-    return islands.median_step(user_series(spark, sf), "b30", ["user_id"])
+    return islands.median_step(user_series(spark, sf), "b30", ["user_id"], cadence=SLOT)
 
 
 @query("every_nth", """

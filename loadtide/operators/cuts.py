@@ -2,7 +2,9 @@
 
 Operators work on pieces of a series so that no task holds one key's rows. A piece is a slot of time; where a slot holds more than `rows`
 rows, it is cut into 64, and so on down to a least width. Rows are counted per key and slot in the map tasks; only crowded slots are counted
-again, and only they are named in a table, which rows are joined to. A series without crowded slots costs one count and no join.
+again, and only they are named in a table, which rows are joined to. A series without crowded slots costs one count and no join, and one
+whose `cadence` is known (at least so long between the rows of a key, as after `rollup.resample`) not even the count, if a slot of
+`chunk` can't hold more than `rows` rows then. A cadence that isn't true costs balance, never rows.
 """
 
 from __future__ import annotations
@@ -52,9 +54,12 @@ class Cuts:
         return df.withColumn(name, us - F.pmod(us, width)).drop(*[f"__deep_{k}" for k in range(len(self.crowded))])
 
 
-def cuts(df: DataFrame, time: str | Column, keys: Sequence[str], chunk: int, rows: int | None = ROWS, least: int = 1) -> Cuts:
+def cuts(df: DataFrame, time: str | Column, keys: Sequence[str], chunk: int, rows: int | None = ROWS, least: int = 1,
+         cadence: int | None = None) -> Cuts:
     """Where to cut; reads times and keys once, and crowded slots again. With `rows` None all pieces have the width `chunk`."""
     widths = nested(chunk, least)
+    if rows and cadence and widths[0] <= cadence * rows:
+        rows = None
     crowded: list[DataFrame] = []
     left = df.select(*keys, micros(time).alias("__us")).filter("__us is not null")
     while rows is not None:

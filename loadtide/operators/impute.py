@@ -16,7 +16,7 @@ def flag_missing(df: DataFrame, columns: Sequence[str], suffix: str = "_was_null
 
 
 def fill_gaps(df: DataFrame, time: str, columns: Sequence[str], keys: Sequence[str] = (),
-              period: Column | None = None, chunk: int = 32 * DAY, rows: int | None = ROWS) -> DataFrame:
+              period: Column | None = None, chunk: int = 32 * DAY, rows: int | None = ROWS, cadence: int | None = None) -> DataFrame:
     """Own value, else the last one before, else the first one after, inside each key and period.
 
     The series is cut into pieces of time with about `rows` rows at most (see `cuts`). Each piece is filled by itself; what it needs
@@ -24,7 +24,7 @@ def fill_gaps(df: DataFrame, time: str, columns: Sequence[str], keys: Sequence[s
     the same shuffled rows, so the input is scanned once, besides the count of rows by time. So a long series spreads over
     many tasks, however its rows crowd. Null keys are a key of their own; rows without a time stay as they are.
     """
-    where = cuts(df, time, keys, chunk, rows)
+    where = cuts(df, time, keys, chunk, rows, cadence=cadence)
     group = F.struct(*keys, (F.lit(0) if period is None else period).alias("__period"))  # a struct with nulls equals its like
     work = where.place(df.withColumn("__us", micros(time)), F.col("__us"), "__chunk").withColumn("__group", group).repartition("__group", "__chunk")
 

@@ -59,14 +59,15 @@ def gap_split(df: DataFrame, time: str, value: str, gap: int, keys: Sequence[str
             .select(*df.columns, "after_gap"))
 
 
-def flag_runs(df: DataFrame, time: str, flag: str, keys: Sequence[str] = (), chunk: int = 28 * DAY, rows: int | None = ROWS) -> DataFrame:
+def flag_runs(df: DataFrame, time: str, flag: str, keys: Sequence[str] = (), chunk: int = 28 * DAY, rows: int | None = ROWS,
+              cadence: int | None = None) -> DataFrame:
     """Maximal runs of equal `flag` in time order: start, end, row count.
 
     Runs are found inside each piece of time, then the ones that touch a border are
     joined up through a table with one row per piece.
     """
     work = df.filter(F.col(time).isNotNull()).select(*keys, micros(time).alias("__us"), F.coalesce(F.col(flag), F.lit(False)).alias(flag))
-    work = cuts(df, time, keys, chunk, rows).place(work, F.col("__us"), "__chunk")
+    work = cuts(df, time, keys, chunk, rows, cadence=cadence).place(work, F.col("__us"), "__chunk")
     inside = Window.partitionBy(*keys, "__chunk").orderBy("__us")
     change = (F.lag(flag).over(inside) != F.col(flag)).cast("int")
     marked = work.withColumn("__change", F.coalesce(change, F.lit(0)))
@@ -91,10 +92,11 @@ def flag_runs(df: DataFrame, time: str, flag: str, keys: Sequence[str] = (), chu
                     F.timestamp_micros("__end").alias("run_end"), "n"))
 
 
-def steps(df: DataFrame, time: str, keys: Sequence[str] = (), chunk: int = 28 * DAY, rows: int | None = ROWS) -> DataFrame:
+def steps(df: DataFrame, time: str, keys: Sequence[str] = (), chunk: int = 28 * DAY, rows: int | None = ROWS,
+          cadence: int | None = None) -> DataFrame:
     """Microseconds between each row and the one before it (the first row of a key has none)."""
     work = df.filter(F.col(time).isNotNull()).select(*keys, micros(time).alias("__us"))
-    work = cuts(df, time, keys, chunk, rows).place(work, F.col("__us"), "__chunk")
+    work = cuts(df, time, keys, chunk, rows, cadence=cadence).place(work, F.col("__us"), "__chunk")
     ends = work.groupBy(*keys, "__chunk").agg(F.max("__us").alias("__to"))
     over_chunks = Window.partitionBy(*keys).orderBy("__chunk")
     ends = ends.select(*keys, "__chunk", F.lag("__to").over(over_chunks).alias("__before"))
@@ -103,9 +105,10 @@ def steps(df: DataFrame, time: str, keys: Sequence[str] = (), chunk: int = 28 *
     return (join_on(work, ends, [*keys, "__chunk"]).select(*keys, step.alias("step_us")).filter("step_us is not null"))
 
 
-def median_step(df: DataFrame, time: str, keys: Sequence[str] = (), chunk: int = 28 * DAY, rows: int | None = ROWS) -> DataFrame:
+def median_step(df: DataFrame, time: str, keys: Sequence[str] = (), chunk: int = 28 * DAY, rows: int | None = ROWS,
+                cadence: int | None = None) -> DataFrame:
     """Median time between neighbouring rows, in seconds, exact at any size."""
-    gaps = steps(df, time, keys, chunk, rows)
+    gaps = steps(df, time, keys, chunk, rows, cadence)
     low, high = select_ranks(gaps, F.col("step_us"), [lambda n: F.floor((n - 1) / 2), lambda n: F.floor(n / 2)])
     middle = None if low is None else (low + high) / 2 / 1_000_000
     return df.sparkSession.range(1).select(F.lit(middle).cast("double").alias("median_step_s"))

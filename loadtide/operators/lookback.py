@@ -47,7 +47,7 @@ def _frames(features: Mapping[str, Lag | Rolling], more: int) -> dict[str, Frame
 
 
 def time_windows(df: DataFrame, time: str, features: Mapping[str, Lag | Rolling],
-                 keys: Sequence[str] = (), chunk: int = 28 * DAY, rows: int | None = ROWS) -> DataFrame:
+                 keys: Sequence[str] = (), chunk: int = 28 * DAY, rows: int | None = ROWS, cadence: int | None = None) -> DataFrame:
     """Time-based features: a lag is the value at exactly that instant, null if there is none.
 
     One shuffle and one sort for all features. A (key, piece) group holds about `rows` rows and the look-back before them; pieces
@@ -57,7 +57,7 @@ def time_windows(df: DataFrame, time: str, features: Mapping[str, Lag | Rolling]
     """
     reach = max(f.back for f in features.values())
     untimed, df = df.filter(F.col(time).isNull()), df.filter(F.col(time).isNotNull())
-    where = cuts(df, time, keys, max(chunk, reach), rows, reach)
+    where = cuts(df, time, keys, max(chunk, reach), rows, reach, cadence)
     if where.full and any(isinstance(f, Lag) for f in features.values()):
         rest = {n: f for n, f in features.items() if isinstance(f, Rolling)}
         found = _lags_at(df, time, {n: f for n, f in features.items() if isinstance(f, Lag)}, keys)
@@ -129,7 +129,7 @@ def with_row_index(df: DataFrame, order: Sequence[str | Column], keys: Sequence[
 
 def row_windows(df: DataFrame, time: str, features: Mapping[str, Lag | Rolling],
                 keys: Sequence[str] = (), period: Column | None = None,
-                chunk: int = 28 * DAY, block: int = 8192, rows: int | None = ROWS) -> DataFrame:
+                chunk: int = 28 * DAY, block: int = 8192, rows: int | None = ROWS, cadence: int | None = None) -> DataFrame:
     """Row-based features, restarting in each key and period (such as the year).
 
     Rows are numbered (inside pieces of time cut by counted rows, see `cuts`), cut into equal blocks, and the last rows of a block
@@ -142,7 +142,7 @@ def row_windows(df: DataFrame, time: str, features: Mapping[str, Lag | Rolling],
     work, group = df, list(keys)
     if period is not None:
         work, group = work.withColumn("__period", period), [*group, "__period"]
-    cut = cuts(df, time, keys, chunk, rows).place(work, micros(time), "__cut")
+    cut = cuts(df, time, keys, chunk, rows, cadence=cadence).place(work, micros(time), "__cut")
     numbered = with_row_index(cut, [time], group, F.col("__cut"), "__pos")
     pos = F.col("__pos")
     pieces = numbered.select(

@@ -53,11 +53,16 @@ def with_frames(df: DataFrame, group: Sequence[str], axis: str, frames: dict[str
     kinds = {f.name: f.dataType for f in df.schema}
     columns = df.columns
 
-    def seen(value: Column, f: Frame) -> Column:
-        upto = 0 if f.include_current else -1
-        zero = F.lit(0)
-        return (F.coalesce(value.over(up.rangeBetween(Window.unboundedPreceding, upto)), zero)
-                - F.coalesce(value.over(up.rangeBetween(Window.unboundedPreceding, -f.width)), zero))
+    made: dict[tuple, Column] = {}
+
+    def upto(what: str, value: Column, bound: int) -> Column:
+        """The running value of all up to `bound` from the row, one window expression for all that need it."""
+        made.setdefault((what, bound), value.over(up.rangeBetween(Window.unboundedPreceding, bound)))
+        return F.coalesce(F.col(f"__{what}@{bound}"), F.lit(0))
+
+    def seen(what: str, value: Column, f: Frame) -> Column:
+        what = f"{what}_{f.column}"
+        return upto(what, value, 0 if f.include_current else -1) - upto(what, value, -f.width)
 
     # what the group's values need: their scale, their middle
     def named(stats: tuple[str, ...], *types: type) -> list[str]:
@@ -93,20 +98,20 @@ def with_frames(df: DataFrame, group: Sequence[str], axis: str, frames: dict[str
     def odd(f: Frame, value: Column) -> Column:
         """`value`, unless the frame has infinities or NaN."""
         x = F.col(f.column).cast("double")
-        n = seen(F.count(F.when(~_finite(x), 1)), f)
-        signed = seen(F.sum(F.when(x == float("inf"), 1).when(x == float("-inf"), -1).otherwise(0)), f)
+        n = seen("odd", F.count(F.when(~_finite(x), 1)), f)
+        signed = seen("signed", F.sum(F.when(x == float("inf"), 1).when(x == float("-inf"), -1).otherwise(0)), f)
         return F.when(n == 0, value).when(n == signed, float("inf")).when(n == -signed, float("-inf")).otherwise(float("nan"))
 
     def result(name: str, f: Frame) -> Column:
         c, kind = F.col(f.column), kinds[f.column]
-        n = seen(F.count(c), f)
+        n = seen("n", F.count(c), f)
         if f.stat == "count":
             out = n
         elif f.stat in ("min", "max"):
             out = ends[name]
         elif f.stat == "std":
             y = F.col(f"__y_{f.column}")
-            total, squares = seen(F.sum(y), f).cast("decimal(30,0)"), seen(F.sum((y * y).cast("decimal(31,0)")), f).cast("decimal(38,0)")
+            total, squares = seen("y", F.sum(y), f).cast("decimal(30,0)"), seen("yy", F.sum((y * y).cast("decimal(31,0)")), f).cast("decimal(38,0)")
             # around the whole part m of the mean: S = sum (y - m)^2 = squares - m (total + rest), and n times (mean - m)^2 off
             m = F.call_function("div", total, n.cast("decimal(19,0)"))
             rest = total - (m.cast("decimal(16,0)") * n.cast("decimal(13,0)"))
@@ -114,14 +119,14 @@ def with_frames(df: DataFrame, group: Sequence[str], axis: str, frames: dict[str
             part = rest.cast("double")
             variance = F.greatest(around - part * part / n, F.lit(0.0)) / (n - 1)
             finite = F.when(n > 1, F.sqrt(variance) / F.col(f"__t_{f.column}"))
-            out = F.when(n == 1, F.lit(None).cast("double")).when(seen(F.count(F.when(~_finite(c.cast("double")), 1)), f) == 0, finite).otherwise(float("nan"))
+            out = F.when(n == 1, F.lit(None).cast("double")).when(seen("odd", F.count(F.when(~_finite(c.cast("double")), 1)), f) == 0, finite).otherwise(float("nan"))
         elif isinstance(kind, T.DecimalType):
-            total = seen(F.sum(c), f)
+            total = seen("sum", F.sum(c), f)
             out = total.cast(T.DecimalType(min(38, kind.precision + 10), kind.scale)) if f.stat == "sum" else (total / n).cast(
                 T.DecimalType(min(38, kind.precision + 4), min(37, kind.scale + 4)))
         else:
             q = F.col(f"__q_{f.column}")
-            high, low = seen(F.sum(F.shiftright(q, _LIMB)), f), seen(F.sum(q.bitwiseAND(F.lit((1 << _LIMB) - 1))), f)
+            high, low = seen("high", F.sum(F.shiftright(q, _LIMB)), f), seen("low", F.sum(q.bitwiseAND(F.lit((1 << _LIMB) - 1))), f)
             if isinstance(kind, T.IntegralType):
                 out = high * F.lit(1 << _LIMB) + low if f.stat == "sum" else (high * float(1 << _LIMB) + low) / n
             else:
@@ -131,7 +136,9 @@ def with_frames(df: DataFrame, group: Sequence[str], axis: str, frames: dict[str
             return out if f.min_count <= 1 else F.when(n >= f.min_count, out)
         return F.when(n >= max(1, f.min_count), out)
 
-    return work.select(*columns, *[result(n, f).alias(n) for n, f in frames.items()])
+    results = [result(n, f).alias(n) for n, f in frames.items()]
+    work = work.select("*", *[e.alias(f"__{what}@{bound}") for (what, bound), e in made.items()])
+    return work.select(*columns, *results)
 
 
 def _ends(df: DataFrame, group: Sequence[str], axis: str, frames: dict[str, Frame]) -> tuple[dict[str, Column], DataFrame]:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..fixed import FILLED_COLUMNS, LOAD_MAX, LOAD_MIN, MEASURE_COLUMNS, SCORE_COLUMNS, SILVER_COLUMNS
 from ..functions.calendar import calendar_parts, cyclic, is_peak_hour, is_weekend, season
 from ..functions.measures import completeness, forecast_error, forecast_error_pct, plain_share_pct, share_pct
-from ..functions.timeaxis import HOUR
+from ..functions.timeaxis import HOUR, MINUTE
 from ..operators.dedupe import keep_first
 from ..operators.impute import fill_gaps
 from ..operators.lookback import Lag, Rolling, row_windows, time_windows
@@ -34,6 +34,7 @@ class SeriesSpec:
     fill: tuple[str, ...] = FILLED_COLUMNS
     score: tuple[str, ...] = SCORE_COLUMNS
     keys: tuple[str, ...] = ()
+    cadence: int | None = 30 * MINUTE  # the least step between rows of a key, None where unknown: rows are counted then
 
 
 def source_priority(df: DataFrame) -> list[str | Column]:
@@ -65,7 +66,7 @@ def clean(df: DataFrame, spec: SeriesSpec = SeriesSpec(), priority: Sequence[str
     scored = available(ranged, spec.score)
     flagged = ranged.select("*", F.col(spec.load).isNull().alias("is_interpolated"),
                             completeness(scored).alias("completeness_before"))
-    return fill_gaps(flagged, spec.time, available(flagged, spec.fill), spec.keys, F.year(spec.time))
+    return fill_gaps(flagged, spec.time, available(flagged, spec.fill), spec.keys, F.year(spec.time), cadence=spec.cadence)
 
 
 def derive(df: DataFrame, spec: SeriesSpec = SeriesSpec()) -> DataFrame:
@@ -101,11 +102,11 @@ def look_back(df: DataFrame, spec: SeriesSpec = SeriesSpec(), by_time: bool = Tr
             "lag_1h_mw": Lag(spec.load, HOUR), "lag_24h_mw": Lag(spec.load, 24 * HOUR),
             "lag_168h_mw": Lag(spec.load, 168 * HOUR),
             "rolling_24h_mean": Rolling(spec.load, 24 * HOUR, "mean", include_current=keep),
-            "rolling_24h_std": Rolling(spec.load, 24 * HOUR, "std", include_current=keep)}, spec.keys)
+            "rolling_24h_std": Rolling(spec.load, 24 * HOUR, "std", include_current=keep)}, spec.keys, cadence=spec.cadence)
     return row_windows(df, spec.time, {
         "lag_1h_mw": Lag(spec.load, 2), "lag_24h_mw": Lag(spec.load, 48), "lag_168h_mw": Lag(spec.load, 336),
         "rolling_24h_mean": Rolling(spec.load, 48, "mean", include_current=keep),
-        "rolling_24h_std": Rolling(spec.load, 48, "std", include_current=keep)}, spec.keys, F.year(spec.time))
+        "rolling_24h_std": Rolling(spec.load, 48, "std", include_current=keep)}, spec.keys, F.year(spec.time), cadence=spec.cadence)
 
 
 def engineer(df: DataFrame, spec: SeriesSpec = SeriesSpec(), by_time: bool = True,
