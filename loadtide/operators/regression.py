@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,11 +12,8 @@ from ..fixed import MODEL_LABELS
 from ..functions.measures import label_map, mean_of
 from ..functions.timeaxis import HOUR
 from .islands import label_segments
-from .lookback import with_row_index
 
 
-COPIES = 1 << 16  # equal values that are numbered together
-
 def error_metrics(actual: str, predicted: str, positive_only: bool = True) -> dict[str, Column]:
     """RMSE, MAE, MAPE and R2 as plain aggregates, so one pass gives all of them.
 
@@ -106,16 +104,52 @@ def curve_optimum(curve: DataFrame) -> DataFrame:
         (F.col("b.rmse_validation") - F.col("b.rmse_train")).alias("gap"))
 
 
+def nearest_distances(df: DataFrame, x: str, places: Sequence[float], rank: int, low: float, high: float, cells: int = 1024) -> list[float]:
+    """For each place the distance of its `rank`-th nearest value, counted from 0, exactly.
+
+    Rank search by counting. The values between `low` and `high` are counted in cells, of which only number, least and greatest
+    value are kept; from each place the cells near and far ends bound the wanted distance from both sides. Cells that lie
+    between these bounds and hold different values are cut into 256 and counted again, until the bounds meet. Every job
+    aggregates in the map tasks, reads only values in cells still open, and hands the driver rows for these cells, a number that depends on
+    the places and not on the data; each cut makes them 256 times narrower, so a handful of jobs does.
+    """
+    def cell(width: Column, start: Column, n: int) -> Column:
+        return F.when(width > 0, F.least(F.floor((F.col("x") - start) / width * n), F.lit(n - 1))).otherwise(F.lit(0)).cast("long")
+
+    rows = df.select(F.col(x).cast("double").alias("x")).filter("x is not null")
+    rows = rows.withColumn("cell", cell(F.lit(high) - F.lit(low), F.lit(low), cells))
+    at = np.asarray(places, float)
+    known: dict[int, tuple] = {}
+    ids = cells
+    while True:
+        for r in rows.groupBy("cell").agg(F.min("x").alias("a"), F.max("x").alias("b"), F.count(F.lit(1)).alias("n")).collect():
+            known[r.cell] = (r.a, r.b, r.n)
+        names = np.array(list(known))
+        a, b, n = (np.array(c) for c in zip(*known.values()))
+        found, left = [], set()
+        for x0 in at:
+            near = np.where(x0 < a, a - x0, np.where(x0 > b, x0 - b, 0.0))
+            far = np.maximum(np.abs(a - x0), np.abs(b - x0))
+            least, most = (d[o][np.searchsorted(np.cumsum(n[o]), rank + 1)] for d in (near, far) for o in (np.argsort(d, kind="stable"),))
+            found.append(float(most))
+            if least < most:
+                left.update(names[(near <= most) & (far >= least) & (a < b)].tolist())
+        if not left:
+            return found
+        cut = sorted(left)
+        small = df.sparkSession.createDataFrame([(c, known[c][0], known[c][1], ids + 256 * i) for i, c in enumerate(cut)], "cell long, a double, b double, base long")
+        rows = rows.join(small, "cell").select("x", (F.col("base") + cell(F.col("b") - F.col("a"), F.col("a"), 256)).alias("cell"))
+        ids += 256 * len(cut)
+        for c in cut:
+            del known[c]
+
+
 def loess(df: DataFrame, x: str, y: str, frac: float = 0.08, points: int = 300, tiny: float = 1e-12) -> DataFrame:
     """Local linear fit with tricube weights on an even grid between the extremes of `x`.
 
-    The bandwidth at a grid point is its k-th nearest distance. Neighbours are consecutive in
-    sorted order, so that distance is the least, over all runs of k+1 consecutive values, of the
-    larger distance to the run's two ends. Runs come from an equi-join of the sorted values with
-    themselves k places on; their least distances and the weighted sums are aggregates over the
-    grid, combined in the map tasks. No task or group holds the data. One job reads the
-    extremes and the count; the input is read three more times. Fewer than four rows are
-    returned as they are (grid_index counts them).
+    The bandwidth at a grid point is its k-th nearest distance (see `nearest_distances`). A value then meets only the
+    grid points whose bandwidth reaches it; the weighted sums are aggregates over the grid, combined in the map tasks. No task or
+    group holds the data. Fewer than four rows are returned as they are (grid_index counts them).
     """
     data = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).filter(
         "x is not null and y is not null")
@@ -125,28 +159,15 @@ def loess(df: DataFrame, x: str, y: str, frac: float = 0.08, points: int = 300,
     lo, hi = F.lit(s.lo), F.lit(s.hi)
     k = min(max(int(frac * s.n), 3), s.n - 1)
     step = (hi - lo) / (points - 1)
-    grid = F.sequence(F.lit(0), F.lit(points - 1))
-
-    # Positions of the sorted values. Equal ones are counted together first, then unrolled.
     counted = data.groupBy("x").agg(F.count(F.lit(1)).alias("c"), F.sum("y").alias("sy"))
-    cell = F.when(hi > lo, F.floor((F.col("x") - lo) / (hi - lo) * (1 << 20))).otherwise(F.lit(0)).cast("long")
-    # Piece by piece, so that a value with very many copies makes no long array, and no task has all of them.
-    piece = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("c") - 1) / COPIES))).alias("piece")
-    unrolled = (counted.select("x", "c", piece).repartition("x", "piece").select("x", F.explode(F.sequence(
-        F.col("piece") * COPIES + 1, F.least(F.col("c"), (F.col("piece") + 1) * COPIES))).alias("copy")))
-    placed = with_row_index(unrolled, ["x", "copy"], (), cell, "pos", 1 << 10)
-    starts = placed.select((F.col("pos") + k).alias("pos"), F.col("x").alias("a"))
-    runs = starts.join(placed.select("pos", F.col("x").alias("b")), "pos")
-    reach = (runs.select("a", "b", F.explode(grid).alias("grid_index"))
-             .withColumn("x0", lo + F.col("grid_index") * step)
-             .groupBy("grid_index", "x0")
-             .agg(F.greatest(F.min(F.greatest(F.abs(F.col("x0") - F.col("a")), F.abs(F.col("x0") - F.col("b")))),
-                             F.lit(1e-9)).alias("h")))
+    grid = [s.lo + i * ((s.hi - s.lo) / (points - 1)) for i in range(points)]
+    bandwidths = [max(h, 1e-9) for h in nearest_distances(data.select("x"), "x", grid, k, s.lo, s.hi)]
+    reach = df.sparkSession.createDataFrame([(i, x0, h) for i, (x0, h) in enumerate(zip(grid, bandwidths))], "grid_index int, x0 double, h double")
 
     # The bandwidths are `points` rows: as one array they reach every row without a join. A value only meets the grid points
     # within the widest bandwidth, and counts where it lies in the point's own; beyond, the weight is 0.
     widths = reach.agg(F.sort_array(F.collect_list(F.struct("grid_index", "x0", "h")))).scalar()
-    widest = reach.agg(F.max("h")).scalar()
+    widest = F.lit(max(bandwidths))
     if s.hi > s.lo:
         low = F.greatest(F.floor((F.col("x") - widest - lo) / step).cast("int"), F.lit(0))
         high = F.least(F.ceil((F.col("x") + widest - lo) / step).cast("int"), F.lit(points - 1))
