@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from loadtide.functions.timeaxis import DAY, HOUR
 from loadtide.operators.dedupe import keep_first
 from loadtide.sources.scratch import fresh_path
-from loadtide.streaming import bronze, produce, windows
+from loadtide.streaming import bronze, late, produce, windows
 
 from .base import DEC, query, table
 
@@ -150,12 +151,39 @@ def collected(spark, stream, path: str, mode: str = "append", keys: tuple[str, .
     return (keep_first(rows, list(keys), [-F.col("batch")]) if keys else rows).drop("batch")
 
 
-@query("stream_dedupe", "SELECT event_id, ts, event_type, value FROM events", doubles="value")
+def delivered(spark, sf) -> tuple[str, object]:
+    """Events in files by arrival: every tenth comes six days late, the others within two. Gives what the gate made of them, and the schema."""
+    path = fresh_path(spark, "delivered")
+    e = table(spark, sf, "events").select("event_id", "user_id", "ts", F.col("value").cast("decimal(18,2)").alias("value"))
+    e = e.withColumn("ts", F.col("ts").cast("timestamp")).withColumn("arrival", F.expr(ARRIVAL))
+    first, last = e.agg(F.min("arrival"), F.max("arrival")).first()
+    for k in range(first, last + 1):
+        e.filter(F.col("arrival") == k).drop("arrival").coalesce(1).write.mode("append").parquet(f"{path}/a")
+    schema = e.drop("arrival").schema
+    late.gate(windows.replay_source(spark, f"{path}/a", schema, files_per_trigger=1), "ts", 2 * DAY, path)
+    late.close(spark, schema, "ts", path)
+    return path, schema
+
+
+# Number of the file an event comes in: days of its time, later for some, in steps of eight days.
+ARRIVAL = "(unix_date(to_date(ts)) + CASE WHEN event_id % 10 = 0 THEN 6 ELSE event_id % 3 END) div 8"
+_DELIVERED = f"""
+    a AS (SELECT *, (epoch_us(ts) // 86400000000 + CASE WHEN event_id % 10 = 0 THEN 6 ELSE event_id % 3 END) // 8 AS arrival FROM events),
+    m AS (SELECT arrival, max(max(ts)) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 2 DAY AS mark FROM a GROUP BY arrival),
+    d AS (SELECT a.*, coalesce(date_trunc('day', ts) + INTERVAL 1 DAY <= mark, false) AS late FROM a JOIN m USING (arrival))"""
+
+
+@query("stream_dedupe", "SELECT event_id, user_id, ts, value FROM events", doubles="value")
 def _(spark, sf):
-    """Exactly one row per event though every event arrives again in a later batch."""
-    path, schema = doubled(spark, sf)
-    stream = windows.replay_source(spark, f"{path}/a", schema, files_per_trigger=1)
-    return collected(spark, windows.stream_dedupe(stream, "ts", ["event_id"], "60 days"), path)
+    """Exactly one row per event though every event comes again, most of them beyond the two days that state remembers."""
+    path = fresh_path(spark, "replay")
+    e = table(spark, sf, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), F.col("value").cast("decimal(18,2)").alias("value"))
+    late_half = e.filter("event_id % 2 = 0")
+    for rows in (late_half, e, e):
+        rows.coalesce(1).write.mode("append").parquet(f"{path}/a")
+    late.gate(windows.replay_source(spark, f"{path}/a", e.schema, files_per_trigger=1), "ts", 2 * DAY, path)
+    late.close(spark, e.schema, "ts", path)
+    return late.stream_dedupe_all(spark, e.schema, "ts", ["event_id"], 2 * DAY, path).select("event_id", "user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "value")
 
 
 _DAYS = f"""SELECT CAST(ts AS DATE) AS date, CAST(sum({DEC}) AS DOUBLE) / count(*) AS load_mean, min(value) AS load_min, max(value) AS load_max,
@@ -170,11 +198,38 @@ def _(spark, sf):
     return collected(spark, windows.stream_daily_rollup(stream, "ts", "value", LATENESS), path, "update", ("date",))
 
 
+@query("stream_daily_append", f"""
+    WITH {_DELIVERED}, v AS (SELECT *, {DEC} AS x FROM d WHERE NOT late),
+    g AS (SELECT CAST(ts AS DATE) AS date, CAST(sum(x) AS DOUBLE) / count(*) AS load_mean, min(value) AS load_min, max(value) AS load_max,
+        sum(x)::DOUBLE AS load_total, count(*) AS n, hour(arg_min(ts, (-value, ts))) AS peak_hour, max(value) AS peak_value FROM v GROUP BY 1),
+    l AS (SELECT CAST(ts AS DATE) AS date, count(*) AS late FROM d WHERE late GROUP BY 1)
+    SELECT date, load_mean, load_min, load_max, load_total, coalesce(n, 0) AS n, peak_hour, peak_value, coalesce(late, 0) AS late
+    FROM g FULL JOIN l USING (date)""", doubles="load_mean load_min load_max load_total peak_value")
+def _(spark, sf):
+    """Days written once each when the watermark (two days) has passed them, and how many rows came too late for them."""
+    path, schema = delivered(spark, sf)
+    return late.stream_daily_append(spark, schema, "ts", "value", 2 * DAY, path)
+
+
+@query("stream_sessions", """
+    WITH t AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w > INTERVAL 24 HOUR THEN 1 ELSE 0 END AS b FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+    s AS (SELECT *, sum(b) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM t)
+    SELECT user_id, min(ts) AS segment_start, max(ts) AS segment_end, count(*) AS n FROM s GROUP BY user_id, k""")
+def _(spark, sf):
+    """The users' segments, closed over several batches in time order."""
+    path = fresh_path(spark, "sessions")
+    e = table(spark, sf, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts")).withColumn("k", F.expr("unix_date(to_date(ts)) div 6"))
+    first, last = e.agg(F.min("k"), F.max("k")).first()
+    for k in range(first, last + 1):
+        e.filter(F.col("k") == k).drop("k").coalesce(1).write.mode("append").parquet(f"{path}/a")
+    late.gate(windows.replay_source(spark, f"{path}/a", e.drop("k").schema, files_per_trigger=1), "ts", DAY, path)
+    late.close(spark, e.drop("k").schema, "ts", path)
+    return late.stream_sessions(spark, e.drop("k").schema, "ts", 24 * HOUR, ["user_id"], DAY, path)
+
+
 @query("stream_upsert", _DAYS, doubles="load_mean load_min load_max load_total peak_value")
 def _(spark, sf):
-    """Days kept up to date in a table, file by file."""
-    path = fresh_path(spark, "days")
-    stream = windows.replay_source(spark, f"{path}/a", out_of_order(spark, sf, f"{path}/a"), files_per_trigger=1)
-    days = windows.stream_daily_rollup(stream, "ts", "value", LATENESS).withColumn("month", F.month("date"))
-    windows.stream_upsert(days, f"{path}/table", f"{path}/checkpoint", ["date"], ["month"], partition_from_key=True)
+    """Days in a table, file by file; state is evicted after two days, and days that get later rows are computed again."""
+    path, schema = delivered(spark, sf)
+    late.stream_upsert_all(spark, schema, "ts", "value", 2 * DAY, path, f"{path}/table", F.month("date"), "month")
     return spark.read.parquet(f"{path}/table").drop("month")

@@ -32,11 +32,12 @@ def stream_daily_rollup(stream: DataFrame, time: str, load: str, lateness: str |
                       F.col("peak.hour").alias("peak_hour"), F.col(f"peak.{load}").alias("peak_value"))
 
 
-def drain(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], mode: str = "update") -> None:
-    """Process everything that is there, batch by batch, and stop."""
+def drain(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], mode: str = "update") -> list:
+    """Process everything that is there, batch by batch, and stop; gives the progress of the last batches."""
     query = (stream.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
+    return query.recentProgress
 
 
 def stream_upsert(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str],
