@@ -102,25 +102,64 @@ def _(spark, sf):
     return tsv.invalid_colours(days, ("BLEU", "BLANC", "ROUGE"), "colour")
 
 
-@query("select_files", """
-    SELECT CASE o_orderstatus WHEN 'F' THEN 'annual' WHEN 'O' THEN 'current' ELSE 'calendar' END AS route, count(*) AS n FROM orders GROUP BY 1
-    UNION ALL SELECT NULL, count(*) FROM customer""")
+def name_files(spark, path: str, name) -> str:
+    """Gives the single part file of each folder `g=<group>` below `path` the name `name(group)`, all in one folder; gives that folder."""
+    jvm = spark.sparkContext._jvm
+    root, target = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}/named")
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(target)
+    for folder in [s.getPath() for s in fs.listStatus(root) if s.isDirectory() and s.getPath().getName().startswith("g=")]:
+        parts = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-")]
+        for part in parts:
+            fs.rename(part, jvm.org.apache.hadoop.fs.Path(target, name(folder.getName().removeprefix("g="))))
+    return f"{path}/named"
+
+
+# Kind and year of an order, as file names; the years of one kind go into files that no route knows.
+_ORDER_FILE = "CASE o_orderstatus WHEN 'F' THEN 'x_Annuel-Definitif_' WHEN 'O' THEN 'x_En-cours-TR_' ELSE CASE WHEN year(o_orderdate) % 2 = 0 THEN 'x_tempo_' ELSE 'notes_' END END"
+
+
+def order_files(spark, sf) -> str:
+    group = F.concat(F.expr(_ORDER_FILE), F.year("o_orderdate").cast("string"))
+    lines = table(spark, sf, "orders").select(F.concat_ws("\t", "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd")).alias("line"), F.lit(1).alias("rank"),
+                                              group.alias("file"))
+    path = fresh_path(spark, "orders")
+    write_lines(lines, "Clé\tDate", path, F.col("file"))
+    # the files of one year end in .txt: the reader's pattern leaves them out
+    return name_files(spark, path, lambda g: f"{g}.txt" if g.endswith("1997") else f"{g}.xls")
+
+
+_FILES = f"""f AS (SELECT {_ORDER_FILE} || year(o_orderdate) || '.xls' AS file_name, o_orderkey FROM orders WHERE year(o_orderdate) <> 1997),
+    r AS (SELECT file_name, CASE WHEN file_name LIKE '%tempo%' THEN 'calendar' WHEN file_name LIKE '%Annuel%' THEN 'annual' WHEN file_name LIKE '%En-cours%' THEN 'current' END
+        AS route, o_orderkey FROM f)"""
+
+
+@query("select_files", f"WITH {_FILES} SELECT file_name, route, true AS has_bytes FROM r GROUP BY 1, 2")
+def _(spark, sf):
+    """The listing of a folder of written files, with routes; a name of no known kind has none, other endings are left out."""
+    return files.select_files(spark, order_files(spark, sf)).select("file_name", "route", (F.col("length") > 0).alias("has_bytes"))
+
+
+@query("read_selected_files", f"""
+    WITH {_FILES} SELECT file_name, count(*) + 1 AS n_lines, sum(o_orderkey)::BIGINT AS keys FROM r WHERE route = 'annual' GROUP BY 1""")
 def _(spark, sf):
-    """Routes of file names made from the tables; a name of no known kind has none."""
-    s = F.col("o_orderstatus")
-    kind = F.when(s == "F", "x_Annuel-Definitif_").when(s == "O", "x_En-cours-TR_").otherwise("x_tempo_")
-    names = table(spark, sf, "orders").select(F.concat(kind, F.col("o_orderkey").cast("string"), F.lit(".xls")).alias("name"))
-    other = table(spark, sf, "customer").select(F.concat("c_name", F.lit(".xls")).alias("name"))
-    return names.unionAll(other).groupBy(files.route("name").alias("route")).agg(F.count(F.lit(1)).alias("n"))
+    """Lines of the annual files; the others aren't opened."""
+    lines = tsv.read_lines(spark, order_files(spark, sf), glob="*.xls", where=files.is_kind("annual"))
+    key = F.split("line", "\t")[0].try_cast("long")
+    return lines.groupBy(F.col("source_file").alias("file_name")).agg(F.count(F.lit(1)).alias("n_lines"), F.sum(key).alias("keys"))
+
+
+_NAMED = "CASE WHEN dayofmonth(b30) = 13 THEN 'copie_' ELSE 'mesures_Annuel_' END"
 
 
 @query("file_inventory", f"""
-    WITH {S0} SELECT CAST(b30 AS DATE) AS day, count(*) AS n_rows, min(b30) AS min_time, max(b30) AS max_time, string_agg(DISTINCT year(b30)::VARCHAR, ',') AS years FROM s0 GROUP BY 1""")
+    WITH {S0} SELECT {_NAMED} || strftime(b30, '%Y-%m-%d') || '.xls' AS source_file, CASE WHEN any_value(dayofmonth(b30)) <> 13 THEN 'annual' END AS route,
+        count(*) AS n_rows, min(b30) AS min_time, max(b30) AS max_time, string_agg(DISTINCT year(b30)::VARCHAR, ',') AS years FROM s0 GROUP BY 1""")
 def _(spark, sf):
-    """Rows, time span and years of each written file, from its parsed records."""
-    records = tsv.read_measures(tsv.read_lines(spark, measure_lines(spark, sf)))
-    by_file = quality.source_inventory(records.withColumn("source_file", F.to_date("datetime")))
-    return by_file.withColumnRenamed("source_file", "day")
+    """Rows, time span and years of each file, by its own name; the files of one day of the month are misnamed."""
+    folder = name_files(spark, measure_lines(spark, sf), lambda day: f"{'copie_' if day.endswith('-13') else 'mesures_Annuel_'}{day}.xls")
+    inventory = quality.source_inventory(tsv.read_measures(tsv.read_lines(spark, folder, glob="*.xls")))
+    return inventory.select("source_file", files.route("source_file").alias("route"), "n_rows", "min_time", "max_time", "years")
 
 
 FIELDS = [("event_id", "bigint"), ("event_type", "string"), ("value", "double"), ("ts", "timestamp"), ("k", "int")]

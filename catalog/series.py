@@ -160,6 +160,60 @@ def _(spark, sf):
         "std": Rolling("load", 24 * HOUR, "std", include_current=False)}, cadence=SLOT).drop("load")
 
 
+@query("rolling_extremes", f"""
+    WITH {S0} SELECT b30, min(load) OVER w AS least, max(load) OVER w AS greatest, sum(load) OVER w AS total, stddev_samp(view) OVER w AS view_std
+    FROM s0 WINDOW w AS (ORDER BY b30 RANGE BETWEEN INTERVAL 86399999999 MICROSECOND PRECEDING AND CURRENT ROW)""", doubles="least greatest total view_std")
+def _(spark, sf):
+    """Least, greatest and sum of the last day."""
+    return lookback.time_windows(mix(spark, sf).select("b30", "load", "view"), "b30", {
+        "least": Rolling("load", 24 * HOUR, "min"), "greatest": Rolling("load", 24 * HOUR, "max"), "total": Rolling("load", 24 * HOUR, "sum"),
+        "view_std": Rolling("view", 24 * HOUR, "std")}, cadence=SLOT).drop("load", "view")
+
+
+@query("rolling_events", """
+    SELECT event_id, min(value) OVER w AS least, max(value) OVER w AS greatest, avg(value) OVER w AS mean, count(value) OVER w AS n
+    FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 172799999999 MICROSECOND PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING)""",
+       doubles="least greatest mean")
+def _(spark, sf):
+    """What each event had before it in two days of its user's raw, uneven events; pieces are cut by counted rows."""
+    e = table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
+    back = lambda stat: Rolling("value", 48 * HOUR, stat, include_current=False)
+    return lookback.time_windows(e, "ts", {"least": back("min"), "greatest": back("max"), "mean": back("mean"), "n": back("count")}, ["user_id"],
+                                 chunk=4 * DAY).drop("user_id", "ts", "value")
+
+
+_ORDER_DAYS = """days AS (SELECT CAST(o_orderdate AS DATE)::TIMESTAMP AS day, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total, count(*) AS n
+    FROM orders GROUP BY 1)"""
+
+
+def order_days(spark, sf):
+    """Daily order totals, over seven years."""
+    day = F.to_timestamp(F.to_date("o_orderdate")).alias("day")
+    return table(spark, sf, "orders").groupBy(day).agg(
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total"), F.count(F.lit(1)).alias("n"))
+
+
+@query("row_features_over_years", f"""
+    WITH {_ORDER_DAYS} SELECT day, lag(total, 7) OVER y AS lag_7, avg(n) OVER r AS mean_31, stddev_samp(n) OVER r AS std_31, min(total) OVER r AS least_31
+    FROM days WINDOW y AS (PARTITION BY year(day) ORDER BY day), r AS (PARTITION BY year(day) ORDER BY day ROWS BETWEEN 30 PRECEDING AND CURRENT ROW)""",
+       doubles="lag_7 mean_31 std_31 least_31")
+def _(spark, sf):
+    """Row lags and rolling columns that start anew each year."""
+    return lookback.row_windows(order_days(spark, sf), "day", {
+        "lag_7": Lag("total", 7), "mean_31": Rolling("n", 30), "std_31": Rolling("n", 30, "std"), "least_31": Rolling("total", 30, "min")},
+        period=F.year("day"), block=100).drop("total", "n")
+
+
+@query("ffill_over_years", f"""
+    WITH {_ORDER_DAYS}, h AS (SELECT day AS b30, n, CASE WHEN dayofyear(day) % 4 > 1 AND dayofyear(day) > 9 THEN total END AS total FROM days)
+    SELECT b30 AS day, n, {_filled('total', 'year(b30)')} FROM h""", doubles="total:2")
+def _(spark, sf):
+    """Gaps filled inside each of seven years, the first days of a year from behind; cut by counted rows into pieces of about forty."""
+    turn = F.dayofyear("day")
+    holes = order_days(spark, sf).withColumn("total", F.when((turn % 4 > 1) & (turn > 9), F.col("total")))
+    return impute.fill_gaps(materialize(holes), "day", ["total"], period=F.year("day"), rows=40).select("day", "n", "total")
+
+
 @query("gap_split", """
     WITH t AS (SELECT user_id, ts, event_id, value, ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) > INTERVAL 48 HOUR AS g
                FROM events)

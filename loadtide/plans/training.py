@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time as clock
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -77,13 +77,19 @@ def score(model: PipelineModel, rows: DataFrame, label: str) -> dict[str, float]
     return row.asDict()
 
 
+def plain_estimators(label: str) -> dict[str, object]:
+    """Models with one right answer: least squares without a penalty, and a tree of one split."""
+    common = {"featuresCol": "features", "labelCol": label}
+    return {"LeastSquares": LinearRegression(solver="normal", regParam=0.0, **common), "Stump": DecisionTreeRegressor(maxDepth=1, **common)}
+
+
 def train_and_compare(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, path: str,
-                      settings: ModelSettings = ModelSettings()) -> DataFrame:
-    """Fit, time, score and save every model; one row per model."""
+                      settings: ModelSettings = ModelSettings(), models: Mapping[str, tuple[object, Sequence[str]]] | None = None) -> DataFrame:
+    """Fit, time, score and save every model; one row per model. `models` gives other estimators, each with its own features."""
     rows = []
-    for name, estimator in estimators(label, settings).items():
+    for name, (estimator, used) in (models or {n: (e, features) for n, e in estimators(label, settings).items()}).items():
         started = clock.monotonic()
-        model = fit(train, features, estimator)
+        model = fit(train, used, estimator)
         seconds = clock.monotonic() - started
         rows.append({"model_name": name, **score(model, test, label), "train_time_s": round(seconds, 2)})
         model.write().overwrite().save(f"{path}/{name}")
@@ -107,20 +113,20 @@ def score_export(model: PipelineModel, rows: DataFrame, time: str, label: str) -
 
 
 def learning_curve(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, time: str,
-                   settings: ModelSettings = ModelSettings()) -> DataFrame:
-    """Forest error on growing time prefixes of the training rows and on the test rows.
+                   settings: ModelSettings = ModelSettings(), estimator=None) -> DataFrame:
+    """Error of the forest, or of another `estimator`, on growing time prefixes of the training rows and on the test rows.
 
     `train_rows` is the number of rows really used.
     """
     ready = train.filter(all_present([*features, label]))
-    forest = estimators(label, settings)["RandomForest"]
+    estimator = estimator or estimators(label, settings)["RandomForest"]
     ready = materialize(ready)
     places = [lambda n, f=f: F.greatest(F.floor(n * F.lit(f)), F.least(n, F.lit(settings.curve_min_rows)), F.lit(1)) - 1
               for f in settings.curve_fractions]
     rows = []
     for fraction, last in zip(settings.curve_fractions, select_ranks(ready, micros(time), places)):
         part = ready.filter(F.col(time) <= F.timestamp_micros(F.lit(last).cast("long")))
-        model = fit(part, features, forest)
+        model = fit(part, features, estimator)
         rows.append((fraction, part.count(), score(model, part, label)["rmse"], score(model, test, label)["rmse"]))
     return train.sparkSession.createDataFrame(
         rows, "train_fraction double, train_rows bigint, rmse_train double, rmse_validation double")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,3 +30,8 @@ def select_files(spark: SparkSession, folder: str, glob: str = "*.xls", routes:
     named = files.withColumn("file_name", F.element_at(F.split("path", "/"), -1))
     out = named.select("path", "file_name", route("file_name", routes).alias("route"), "length")
     return out if kind is None else out.filter(F.col("route") == kind)
+
+
+def is_kind(kind: str, routes: Mapping[str, str] = ROUTES) -> Callable[[Column], Column]:
+    """A test of file names for `tsv.read_lines`, which leaves files of other kinds unread."""
+    return lambda name: route(name, routes) == kind

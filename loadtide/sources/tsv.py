@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +12,11 @@ from ..functions.parsing import event_time, parse_number, parse_text
 
 
 def read_lines(spark: SparkSession, path: str | Sequence[str], encoding: str = "ISO-8859-1",
-               glob: str | None = None) -> DataFrame:
+               glob: str | None = None, where: Callable[[Column], Column] | None = None) -> DataFrame:
     """Lines with their file and place in it: (source_file, block, seq, line).
 
+    `where` is a test of file names; other files are pruned from the scan.
+
     Files are split like any text input, so one huge file is read by many tasks. The place is
     the offset of the split and a number that grows inside it. Both follow from how the files are split,
     so every scan of this frame gives a line the same place: heading and footer are looked up in a first scan of
@@ -23,7 +25,10 @@ def read_lines(spark: SparkSession, path: str | Sequence[str], encoding: str = "
     reader = spark.read.option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return (reader.text(path if isinstance(path, str) else list(path)).select(
+    text = reader.text(path if isinstance(path, str) else list(path))
+    if where is not None:
+        text = text.filter(where(F.col("_metadata.file_name")))
+    return (text.select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("source_file"),
         F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"),
         F.rtrim(F.decode(F.col("value").cast("binary"), encoding), F.lit("\r\n")).alias("line")))

@@ -7,7 +7,7 @@ import check
 
 SMALL = "/root/testdata/sf0.001"
 MORE = "/root/testdata/sf0.01"
-TRAINED = {"fit_models", "select_best", "learning_curve", "score_export"}  # the smallest tables have no complete training row
+TRAINED = {"fit_models", "select_best", "learning_curve", "score_export", "model_coefficients", "curve_optimum"}  # the smallest tables have no complete training row
 
 
 @pytest.fixture(scope="module")
