@@ -35,6 +35,9 @@ def _oldest(table: dict, n: int) -> dict:
     return dict(islice(table.items(), n))
 
 
+MARKS = ".,;:!?"
+
+
 class PrefixTable:
     """Encoder for one model. `keep` bounds the table of strings encoded before."""
 
@@ -134,8 +137,11 @@ class PrefixTable:
         found = self.known.get(s)
         if found is not None:
             return found
-        if len(s) > 2 and s[-1] in ".,;:!?" and s[-2:] not in self.side_by_side:  # no entry for each form of a word
-            return self.lookup(s[:-1]) + self.lookup(s[-1])
+        end = len(s)
+        while end > 2 and s[end - 1] in MARKS and s[end - 2:end] not in self.side_by_side:  # no entry for each form of a word
+            end -= 1
+        if end < len(s):
+            return self.lookup(s[:end]) + b"".join(map(self.lookup, s[end:]))
         found = np.array(self.encode_string(s), self.kind).tobytes()
         if len(s) <= 64:
             self.known[s] = found
