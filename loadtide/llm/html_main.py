@@ -7,14 +7,17 @@ The ratios are smoothed with a Gaussian and clustered by a threshold into conten
 This is done for every page. What the page says about its parts is evidence beside it. Blocks inside navigation, headers and
 footers of the page, forms, comments, scripts and styles, told by element, role, class or id, never count; nor do those in elements
 named like sidebars, notices or adverts, unless such an element has several blocks above the threshold
-and half of the page's text there or more: then it is a wrapper.
+and half of the page's text there or more: then it is a wrapper. A form, or an element with a form's role or named after comments, is a wrapper
+only where it holds an article or first heading and nine tenths of the page's text above the threshold: a page inside one form, or a
+page's frame that says whether comments are open.
 A marked article (`article`, `main` or `itemprop=articleBody`) is content, also its short blocks, where articles hold as much of the
 text above the threshold as all else; of several, those without any such text (teasers) go. Elsewhere marks don't count, and content
 reaches from the first to the last block above the threshold, and on over neighbouring paragraphs, headings and items; blocks of
 which links make up half the text or more, and teasers, are left out.
 
 Null and empty pages, and pages without content, give an empty text. Unclosed and crossed tags are closed as browsers would, roughly:
-a block-level tag ends an open paragraph. Rows that repeat get equal results. Other columns are ignored. Empty tables give
+a block-level tag ends an open paragraph, and one that can't stand in the head ends the head. Very long pages and many unclosed tags cost time in
+proportion. Ties between clusters go to content. Rows that repeat get equal results. Other columns are ignored. Empty tables give
 empty results.
 """
 
@@ -22,7 +25,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from html.parser import HTMLParser
 
 from pyspark.sql import DataFrame
@@ -46,58 +49,72 @@ CONTENT = re.compile(r"(?:^|[\s_-])(?:content|article|main|post|entry|story|text
 HEADING = re.compile(r"(?:^|[\s_-])(?:header|masthead|footer)(?:$|[\s_-])", re.I)
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre dd dt td figcaption".split())
 ENDS_P = BLOCK - {"html", "body"}
+IN_HEAD = frozenset("base link meta noscript script style template title head html".split())
+REMARKS = re.compile(r"(?:^|[\s_-])(?:comments?|replies|respond|disqus)(?:$|[\s_-])", re.I)
 
 
 class Blocks(HTMLParser):
-    """blocks: (text, letters in links, tags, numbers of the articles around it, inside something that never counts, in an
-    element of prose, numbers of the elements around it that are named like an aside)."""
+    """blocks: (text, letters in links, tags, numbers of the articles around it, numbers of the elements around it that don't count (0: never
+    one), in an element of prose, numbers of the elements around it that are named like an aside). `holds` has the numbers of elements around
+    an article or a first heading."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.blocks: list[tuple[str, int, int, tuple[int, ...], bool, bool, tuple[int, ...]]] = []
-        self.open: list[tuple[str, bool, bool, bool, bool]] = []  # element, silent, aside, article, named like an aside
+        self.open: list[tuple[str, bool, int | None, bool, bool]] = []  # element, silent, number as an aside, article, named like an aside
+        self.names: Counter = Counter()  # of the open elements
+        self.frames: list[str] = []  # open block-level elements
+        self.holds: set[int] = set()
         self.text: list[str] = []
         self.tags = self.linked = self.links = 0
-        self.silent = self.aside = self.count = 0
+        self.silent = self.count = 0
+        self.aside: list[int] = []
         self.article: list[int] = []
         self.named: list[int] = []
 
     def flush(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            self.blocks.append((text, self.linked, self.tags, tuple(self.article), self.aside > 0, self._prose(), tuple(self.named)))
+            self.blocks.append((text, self.linked, self.tags, tuple(self.article), tuple(self.aside), bool(self.frames) and self.frames[-1] in PROSE, tuple(self.named)))
         self.text, self.tags, self.linked = [], 0, 0
 
-    def _prose(self) -> bool:
-        return next((tag in PROSE for tag, *_ in reversed(self.open) if tag in BLOCK), False)
-
     def handle_starttag(self, tag, attrs) -> None:
+        if self.open and self.open[-1][0] == "head" and tag not in IN_HEAD:
+            self._pop()
         if tag in BLOCK:
             self.flush()
-            if tag in ENDS_P:
+            if tag in ENDS_P and self.names["p"]:
                 self._end_paragraph()
         self.tags += 1
         if tag in VOID:
             if tag in ("br", "hr"):
                 self.text.append(" ")
             return
-        if tag == "p" or tag == "li":
+        if (tag == "p" or tag == "li") and self.names[tag]:
             self._close_same(tag)
         given = {k: v or "" for k, v in attrs if k in ("class", "id", "role", "itemprop", "aria-hidden", "hidden")} if attrs else {}
         silent = tag in SILENT or "hidden" in given or given.get("aria-hidden") == "true"
         article = tag in ("article", "main") or given.get("role") in ("main", "article") or given.get("itemprop") == "articleBody"
         if tag in ("html", "body"):
-            aside = told = False
+            aside = told = frame = False
         else:
             named = [LAYOUT.sub("", given.get(c, "")) for c in ("class", "id")]
             told = any(NAMES.search(n) and not CONTENT.search(n) and not (self.article and HEADING.search(n)) for n in named)
-            remark = any(re.search(r"(?:^|[\s_-])(?:comments?|replies|respond|disqus)(?:$|[\s_-])", n, re.I) for n in named)
+            remark = any(REMARKS.search(n) for n in named)
             aside = (tag in ASIDE or (tag == "header" and not self.article) or given.get("role") in ROLES or remark)
+            frame = tag in ("form", "fieldset") or tag not in ASIDE and (given.get("role") == "form" or remark and given.get("role") not in ROLES)
             told = told and not article and not aside
-        self.open.append((tag, silent, aside, article, told))
-        self.silent += silent
-        self.aside += aside
         self.count += 1
+        number = (self.count if frame else 0) if aside else None
+        self.open.append((tag, silent, number, article, told))
+        self.names[tag] += 1
+        if tag in BLOCK:
+            self.frames.append(tag)
+        self.silent += silent
+        if number is not None:
+            self.aside.append(number)
+        if article or tag == "h1":
+            self.holds.update(self.aside)
         if article:
             self.article.append(self.count)
         if told:
@@ -111,8 +128,12 @@ class Blocks(HTMLParser):
 
     def _pop(self) -> None:
         tag, silent, aside, article, told = self.open.pop()
+        self.names[tag] -= 1
+        if tag in BLOCK:
+            self.frames.pop()
         self.silent -= silent
-        self.aside -= aside
+        if aside is not None:
+            self.aside.pop()
         if article:
             self.article.pop()
         if told:
@@ -143,7 +164,7 @@ class Blocks(HTMLParser):
         if tag in BLOCK:
             self.flush()
         self.tags += 1
-        for i in range(len(self.open) - 1, -1, -1):
+        for i in range(len(self.open) - 1 if self.names[tag] else -1, -1, -1):
             if self.open[i][0] == tag:
                 while len(self.open) > i:
                     self._pop()
@@ -195,13 +216,21 @@ def main_text(html: str | None, sigma: float = 1.0) -> str:
     blocks = parser.blocks
     smooth = smoothed([len(b[0]) / max(1, b[2]) for b in blocks], sigma)
     cut = threshold(smooth)
-    mass = [len(b[0]) if s >= cut and not b[4] and 2 * b[1] < len(b[0]) else 0 for b, s in zip(blocks, smooth)]
+    mass = [len(b[0]) if s >= cut and 2 * b[1] < len(b[0]) else 0 for b, s in zip(blocks, smooth)]
+    frames: Counter = Counter()
+    for b, m in zip(blocks, mass):
+        for element in b[4] if m and 0 not in b[4] else ():
+            frames[element] += m
+    total = sum(m for b, m in zip(blocks, mass) if 0 not in b[4])
+    around = {element for element, m in frames.items() if element in parser.holds and 10 * m >= 9 * total}
+    never = [not around.issuperset(b[4]) for b in blocks]
+    mass = [0 if n else m for m, n in zip(mass, never)]
     inside: dict[int, list[int]] = defaultdict(list)
     for b, m in zip(blocks, mass):
         for element in b[6] if m else ():
             inside[element].append(m)
     wrappers = {element for element, m in inside.items() if len(m) > 1 and 2 * sum(m) >= sum(mass)}
-    counts = [not b[4] and wrappers.issuperset(b[6]) for b in blocks]
+    counts = [not n and wrappers.issuperset(b[6]) for b, n in zip(blocks, never)]
     usable = [c and 2 * b[1] < len(b[0]) for b, c in zip(blocks, counts)]
     mass = [m if u else 0 for m, u in zip(mass, usable)]
     held = {element for b, m in zip(blocks, mass) if m for element in b[3]}
