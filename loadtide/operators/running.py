@@ -2,7 +2,7 @@
 
 A frame (axis - width, axis] is never walked. Sums and counts are what had been seen up to the row less what had been seen up to the
 frame's start: two running values, each moved on once for each row. Running sums of doubles would leave the rounding of everything
-before the frame in it, so doubles are first put on one binary scale per group (as whole numbers of 53 bits, relative to the group's largest
+before the frame in it, so doubles are first put on one binary scale per group (as whole numbers of 61 bits, relative to the group's largest
 value), which makes differences exact. Squares, for the deviation, are summed as decimals around the middle of the group's values, in
 steps of 2^-50 of their range; groups of up to 70 million rows can't overflow them.
 
@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from ..functions.timeaxis import floor_div
 
 _LIMB = 32
+_SUM_BITS = 61  # a double down to 2^-8 of the greatest is a whole number then, without rounding
 _SQUARE_BITS = 50
 
 
@@ -82,8 +83,8 @@ def with_frames(df: DataFrame, group: Sequence[str], axis: str, frames: dict[str
     added: dict[str, Column] = {}
     for c in floats:
         x = F.col(c).cast("double")
-        added[f"__s_{c}"] = _scale(F.col(f"__top_{c}"), 53)
-        added[f"__q_{c}"] = F.when(_finite(x), F.rint(x * _scale(F.col(f"__top_{c}"), 53)).cast("long"))
+        added[f"__s_{c}"] = _scale(F.col(f"__top_{c}"), _SUM_BITS)
+        added[f"__q_{c}"] = F.when(_finite(x), F.rint(x * _scale(F.col(f"__top_{c}"), _SUM_BITS)).cast("long"))
     for c in named(("sum", "mean"), T.IntegralType):
         added[f"__q_{c}"] = F.col(c).cast("long")
     for c in spread:
