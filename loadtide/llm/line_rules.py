@@ -24,7 +24,7 @@ from .registry import query, stored, table
 from .text import WS_CHARS, let, text_of, words
 
 SYMBOLS = "#*$%&|<>"
-SKETCH, KEYS = 128, 8
+SKETCH = 128
 
 
 def _repeat_words(ws: Column) -> Column:
@@ -123,19 +123,73 @@ def similar(a: Column, b: Column) -> Column:
     return let(F.struct(a.alias("a"), b.alias("b")), compare)
 
 
+def _prefix(n: Column, alike: float) -> Column:
+    """How many first hashes of a sketch of n, in any common order, hold one of those it shares with a sketch alike.
+
+    Whether whole or cut, one of two sketches lies in the compared part whole. So at least `alike` times the larger size is shared.
+    """
+    return (n - F.ceil(alike * n - 1e-9) + 1).cast("int")
+
+
+def _by_rare_hashes(nodes: DataFrame, alike: float) -> DataFrame:
+    """Pairs (a, b) of nodes (node, label, sketch) of different labels whose sketches meet in one of their rarest hashes.
+
+    Hashes are ordered by the number of nodes that have them. Those of one label only come first and meet nothing, so only their
+    number counts.
+    """
+    held = stored(nodes.select("node", F.xxhash64("label").alias("label"), F.size("sketch").alias("n"), F.explode("sketch").alias("s")), "hashes")
+    common = held.groupBy("s").agg(F.count(F.lit(1)).alias("df"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    ranked = held.join(common.select("s", "df"), "s").selectExpr(
+        "s", "node", "label", "n", "row_number() OVER (PARTITION BY node ORDER BY df, s) AS place", "count(*) OVER (PARTITION BY node) AS n_common")
+    left = stored(ranked.withColumn("place", F.col("n") - F.col("n_common") + F.col("place")).where(
+        F.col("place") <= _prefix(F.col("n"), alike)).drop("n_common"), "prefixes")
+    right = left.withColumnsRenamed({"node": "node2", "label": "label2", "n": "n2", "place": "place2"})
+    possible = 1 + F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2"))  # if this is the first hash they share
+    return left.join(right, "s").where((F.col("node") < F.col("node2")) & (F.col("label") != F.col("label2"))
+                                       & (possible >= alike * F.greatest("n", "n2") - 1e-9)).selectExpr("node AS a", "node2 AS b")
+
+
+def _few_differences(s: Column, t: Column, alike: float) -> Column:
+    """Whether two sketches with these first hashes (n, head) can be alike: where both are known, few enough hashes are in one only."""
+    def compare(x: Column) -> Column:
+        limit = F.least(F.element_at(x["s"]["head"], -1), F.element_at(x["t"]["head"], -1))
+        known = lambda c: F.filter(x[c]["head"], lambda v: v < limit)
+        return let(F.struct(known("s").alias("s"), known("t").alias("t")), lambda k: (
+            F.size(k["s"]) + F.size(k["t"]) - 2 * F.size(F.array_intersect(k["s"], k["t"]))
+            <= (1 - alike) / (1 + alike) * (x["s"]["n"] + x["t"]["n"]) + 1e-9))
+
+    return let(F.struct(s.alias("s"), t.alias("t")), compare)
+
+
+def _linked(pairs: DataFrame, heads: DataFrame, rows: DataFrame, alike: float) -> DataFrame:
+    """The pairs (a, b) whose sketches are alike. Whole sketches are fetched for pairs only that their first hashes leave possible."""
+    head = F.array_distinct(F.transform("keys", lambda x: F.shiftright(x, 32).cast("int")))  # upper halves, in the same order
+    heads = heads.select("node", F.struct("n", head.alias("head")).alias("h"))
+    left = stored(pairs.distinct().join(heads.withColumnsRenamed({"node": "a", "h": "s"}), "a").join(heads.withColumnsRenamed({"node": "b", "h": "t"}), "b")
+                  .where(_few_differences(F.col("s"), F.col("t"), alike)).select("a", "b"), "possible")
+    nodes = _sketches(rows, left.selectExpr("explode(array(a, b)) AS node").distinct())
+    return stored(left.join(nodes.withColumnsRenamed({"node": "a", "sketch": "s"}), "a").join(nodes.withColumnsRenamed({"node": "b", "sketch": "t"}), "b")
+                  .where(similar(F.col("s"), F.col("t")) >= alike).select("a", "b"), "alike")
+
+
+def _sketches(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    return rows.select("node", "sketch").join(wanted, "node", "left_semi").groupBy("node").agg(F.first("sketch").alias("sketch"))
+
+
 def copies(rows: DataFrame, alike: float = 0.8, hub_rounds: int = 3, small: int = 16) -> DataFrame:
     """(node, label) for the nodes of `rows` (node, sketch) that are alike to others; the label is that of the class.
 
-    Candidates share one of their `KEYS` smallest hashes; a pair with similarity 0.8 misses that with a chance of 3e-6.
-    Every node of a bucket is compared with one hub, in several rounds with another hub each, and buckets of up to `small`
-    nodes that still hold several classes are paired whole, so that no bucket costs the square of its size.
+    Candidates share one of the smallest hashes of their sketches, so many (26 of 128 at 0.8) that no pair alike is missed.
+    Every node of a bucket is compared with one hub, in several rounds with another hub each. Buckets that still hold several
+    classes are paired whole up to `small` nodes; the nodes of larger ones are paired where their rarest hashes meet. So every
+    pair alike is found or lies in one class already, and no bucket costs the square of its size.
     """
-    entries = (rows.where(F.size("sketch") > 0).select("node", F.explode(F.slice("sketch", 1, KEYS)).alias("bucket"))
-               .groupBy("bucket", "node").agg(F.lit(1).alias("one")).drop("one"))
+    keys = F.slice("sketch", F.lit(1), _prefix(F.size("sketch"), alike))
+    heads = stored(rows.where(F.size("sketch") > 0).select("node", F.struct(F.size("sketch").alias("n"), keys.alias("keys")).alias("h"))
+                   .groupBy("node").agg(F.first("h").alias("h")).select("node", "h.*"), "heads")
+    entries = heads.select("node", F.explode("keys").alias("key")).select(F.hash("key").alias("bucket"), "node")
     shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("bucket")
     buckets = stored(entries.join(shared, "bucket", "left_semi"), "buckets")
-    partnered = buckets.select("node").distinct()  # the others have no candidate
-    nodes = stored(rows.select("node", "sketch").join(partnered, "node", "left_semi").groupBy("node").agg(F.first("sketch").alias("sketch")), "sketches")
     links, label = None, None
     for step in range(hub_rounds + 1):
         now = buckets.withColumn("label", F.col("node")) if label is None else (
@@ -145,13 +199,13 @@ def copies(rows: DataFrame, alike: float = 0.8, hub_rounds: int = 3, small: int
         if step < hub_rounds:
             other = per.select("bucket", F.col("hub.node").alias("node2"), F.col("hub.label").alias("label2"))
         else:
+            many = now.join(per.where(F.col("c") > small).select("bucket"), "bucket", "left_semi").select("node", "label").distinct()
+            rare = _by_rare_hashes(_sketches(rows, many.select("node")).join(many, "node"), alike)
             now = now.join(per.where(F.col("c") <= small).select("bucket"), "bucket", "left_semi")
             other = now.select("bucket", F.col("node").alias("node2"), F.col("label").alias("label2"))
         pairs = now.join(other, "bucket").where("label <> label2").select(
-            F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
-        found = (pairs.join(nodes.withColumnsRenamed({"node": "a", "sketch": "s"}), "a").join(nodes.withColumnsRenamed({"node": "b", "sketch": "t"}), "b")
-                 .where(similar(F.col("s"), F.col("t")) >= alike).select("a", "b"))
-        found = stored(found, "alike")
+            F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b"))
+        found = _linked(pairs if step < hub_rounds else pairs.unionByName(rare), heads, rows, alike)
         if step and found.isEmpty():
             continue
         links = found if links is None else links.unionByName(found)

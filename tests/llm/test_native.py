@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -241,6 +242,53 @@ def test_line_rule_counts_documents_that_share_a_word(spark):
     assert [r.n_docs for r in line_rules.boilerplate(lines, max_share=0.74).collect()] == [300]  # of 401 documents, not of 600 rows
 
 
+def _alike(s, t, most=128):
+    limit = min([x[-1] for x in (s, t) if len(x) == most], default=float("inf"))
+    a, b = ({v for v in x if v <= limit} for x in (s, t))
+    return len(a & b) >= 0.8 * len(a | b)
+
+
+def test_copies_lose_no_link(spark):
+    """Pairs of near copies that share a long passage with many others, and short texts that differ in a line: classes as by brute force."""
+    rnd = random.Random(5)
+    prose = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    shared, texts = prose(400), []
+    for _ in range(150):
+        own = prose(110)
+        texts.append(own + shared)
+        for i in rnd.sample(range(110), 4):
+            own = own[:i] + prose(1) + own[i + 1:]
+        texts.append(own + shared)
+    short = [prose(6) for _ in range(30)]
+    texts += [sum(rnd.sample(short, k), []) for k in (9, 10, 11, 12) for _ in range(30)]
+    docs = spark.createDataFrame([(i, " ".join(t), "a") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    rows = line_rules.document_table(docs)
+    sketch = {bytes(r.node): list(r.sketch) for r in rows.collect()}
+    up = {k: k for k in sketch}
+
+    def top(k):
+        while up[k] != k:
+            k = up[k]
+        return k
+
+    keys = sorted(sketch)
+    for i, a in enumerate(keys):
+        for b in keys[:i]:
+            if top(a) != top(b) and _alike(sketch[a], sketch[b]):
+                up[top(a)] = top(b)
+    label = {bytes(r.node): bytes(r.label) for r in line_rules.copies(rows).collect()}
+    classes = lambda name: Counter(frozenset(g) for g in _grouped(keys, name))
+    assert classes(lambda k: label.get(k, k)) == classes(top)
+    assert len({top(k) for k in keys}) < len(keys) - 100
+
+
+def _grouped(keys, name):
+    groups = {}
+    for k in keys:
+        groups.setdefault(name(k), []).append(k)
+    return groups.values()
+
+
 # mixing
 
 def test_targets():
