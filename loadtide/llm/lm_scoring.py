@@ -10,8 +10,8 @@ n-grams of each block, and give partial sums per document:
 1. Word counts. Words that make up 1/`hot` of the corpus or more (at most `hot` of them) go to all tasks.
 2. Counts of pairs of such words; the pairs that make up 1/`hot` or more (at most `hot`) too. Such pairs are scored where
    the document is read, so that no partition gets a list as long as the corpus.
-3. All other pairs, partitioned by the hash of the predicted word (of the context where the predicted word is hot): here both
-   c(u v) and c(v) are known. Where c(u) isn't, -log10 c(u) is still due.
+3. All other pairs, partitioned by the hash of the predicted word (of the context where the predicted word is hot, of the pair
+   where both are): here both c(u v) and c(v) are known. Where c(u) isn't, -log10 c(u) is still due.
 4. What is due, partitioned by the hash of the context and joined to the word counts.
 5. Sums per document.
 
@@ -191,6 +191,13 @@ def _look(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarra
     return np.where(keys[at] == wanted, values[at], 0)
 
 
+def _pair_part(v: np.ndarray, u: np.ndarray, hot: np.ndarray, n: int) -> np.ndarray:
+    """Hash partition of pairs u v: of v, of u where v is hot, of the pair where both are, whose counts all tasks know."""
+    both = (v * np.uint64(0x9E3779B97F4A7C15) + u * np.uint64(0xC2B2AE3D27D4EB4F)) * np.uint64(0xFF51AFD7ED558CCD) >> np.uint64(64 - BITS)
+    hot_v, hot_u = (_look(hot, np.ones(len(hot), bool), x).astype(bool) for x in (v, u))
+    return _part(np.where(hot_v, np.where(hot_u, both, u), v), n)
+
+
 def _hot_words(counts: DataFrame, least: float) -> tuple[np.ndarray, np.ndarray]:
     """Words with that count or more, ascending, and their counts."""
     rows = sorted(counts.select(F.inline("top")).where((F.col("c") >= least) | (F.col("w") == START)).collect())
@@ -256,7 +263,7 @@ def score(docs: DataFrame, alpha: float = 0.4, min_count: int = 2, hot: int = 20
             entry, times = np.unique((cv * k + cu) * d + doc, return_counts=True)
             pair, first, n_docs = np.unique(entry // d, return_index=True, return_counts=True)
             pv, pu = names[(pair // k).astype(np.int64)], names[(pair % k).astype(np.int64)]
-            part = np.where(_look(hot_w, hot_n, pv) > 0, _part(pu, parts), _part(pv, parts))
+            part = _pair_part(pv, pu, hot_w, parts)
             order = np.argsort(part, kind="stable")
             inner = np.repeat(first[order] - np.append(0, np.cumsum(n_docs[order])[:-1]), n_docs[order]) + np.arange(len(entry))
             docs_of, times_of = (entry % d)[inner].astype(np.uint16), np.minimum(times[inner], 0xFFFFFFFF).astype(np.uint32)

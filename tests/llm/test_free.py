@@ -44,6 +44,19 @@ def test_scores(documents, odd, empty, hot):
     assert lm_scoring.score(empty).count() == 0
 
 
+def test_no_partition_gets_all_pairs_of_a_hot_context():
+    """Pairs of two hot words are dealt by the pair; others by the word that is not hot, the predicted one first."""
+    hot = np.sort(np.array([i * 0x9E3779B97F % (1 << 48) for i in range(1, 1301)], np.uint64))
+    v, u = np.tile(hot, 2), np.repeat(hot[[7, 8]], len(hot))
+    sizes = np.bincount(lm_scoring._pair_part(v, u, hot, 20), minlength=20)
+    assert sizes.min() > 80 and sizes.max() < 200
+    rare = np.array([5 << 40, 9 << 40, 200 << 40], np.uint64)
+    assert list(lm_scoring._pair_part(rare, hot[:3], hot, 20)) == list(lm_scoring._part(rare, 20))
+    assert list(lm_scoring._pair_part(hot[:3], rare, hot, 20)) == list(lm_scoring._part(rare, 20))
+    assert list(lm_scoring._pair_part(rare, rare[::-1], hot, 20)) == list(lm_scoring._part(rare, 20))
+    assert list(lm_scoring._pair_part(rare, rare, hot[:0], 20)) == list(lm_scoring._part(rare, 20))
+
+
 # pages
 
 def _article(page):
