@@ -99,8 +99,10 @@ def _blocks(batches, limit: int = BLOCK_WORDS):
             hashes.append(np.fromiter(map(_words.__getitem__, w), np.uint64, len(w)))
             n += len(w)
             if n >= limit or len(ids) >= 60_000:
-                yield number, ids, np.array(lengths), np.concatenate(hashes)
+                block = number, ids, np.array(lengths), np.concatenate(hashes)
                 number, ids, lengths, hashes, n = number + 1, [], [], [], 0
+                yield block
+                del block
     if ids:
         yield number, ids, np.array(lengths), np.concatenate(hashes)
     _words.clear()
@@ -235,46 +237,47 @@ def score(docs: DataFrame, alpha: float = 0.4, min_count: int = 2, hot: int = 20
     size, known = max(1, len(hot_w)), Hot(hot_w)
     log_total, log_alpha = math.log10(max(1, total)), math.log10(alpha)
 
-    def explode(batches):
-        """kind 0: documents (ids, which are null, lengths, sums so far); kind 1: pairs."""
-        import pyarrow as pa
+    def one_block(number, ids, lengths, v):
+        """kind 0: documents (ids, which are null, lengths, sums so far); kind 1: pairs. What it holds goes when it ends."""
+        doc = np.repeat(np.arange(len(lengths), dtype=np.uint64), lengths)
+        y = known.places(v)
+        x = _before(lengths, y, known.places(np.array([START], np.uint64))[0])
+        n = np.zeros(len(v), np.uint64)
+        both = np.flatnonzero((x > 0) & (y > 0))
+        n[both] = _look(pair_codes, pair_n, (x[both].astype(np.uint64) - np.uint64(1)) * np.uint64(size) + y[both] - np.uint64(1))
+        done = n > 0
+        sums = np.zeros(len(lengths))
+        if done.any():
+            s = np.log10(n[done].astype(float)) - np.log10(hot_n[x[done].astype(np.int64) - 1].astype(float))
+            sums = np.bincount(doc[done].astype(np.int64), weights=s, minlength=len(lengths))
+        null = np.array([i is None for i in ids])
+        yield _rows([(number % parts, 0, number, np.array([i or 0 for i in ids], np.int64).tobytes(), np.packbits(null).tobytes(),
+                      planes(lengths.astype(np.uint32)), sums.tobytes())])
+        if not len(v) or done.all():
+            return
+        names, code = np.unique(np.append(v, np.uint64(START)), return_inverse=True)
+        code = code.astype(np.uint64)
+        cv, cu, doc = code[:-1][~done], _before(lengths, code[:-1], code[-1])[~done], doc[~done]
+        d, k = np.uint64(len(lengths)), np.uint64(len(names))
+        entry, times = np.unique((cv * k + cu) * d + doc, return_counts=True)
+        pair, first, n_docs = np.unique(entry // d, return_index=True, return_counts=True)
+        pv, pu = names[(pair // k).astype(np.int64)], names[(pair % k).astype(np.int64)]
+        part = _pair_part(pv, pu, hot_w, parts)
+        order = np.argsort(part, kind="stable")
+        inner = np.repeat(first[order] - np.append(0, np.cumsum(n_docs[order])[:-1]), n_docs[order]) + np.arange(len(entry))
+        docs_of, times_of = (entry % d)[inner].astype(np.uint16), np.minimum(times[inner], 0xFFFFFFFF).astype(np.uint32)
+        stops = np.append(0, np.cumsum(n_docs[order]))
+        rows = []
+        for p, i, j in _slices(part[order], parts):
+            o, (s, t) = order[i:j], (stops[i], stops[j])
+            before, place = np.unique(pu[o], return_inverse=True)
+            rows.append((p, 1, number, ascending(pv[o]), planes(place.astype(np.uint32)), planes(n_docs[o].astype(np.uint32)), planes(docs_of[s:t]),
+                         planes(times_of[s:t]), ascending(before)))
+        yield _rows(rows)
 
-        for number, ids, lengths, v in _blocks(batches):
-            doc = np.repeat(np.arange(len(lengths), dtype=np.uint64), lengths)
-            y = known.places(v)
-            x = _before(lengths, y, known.places(np.array([START], np.uint64))[0])
-            n = np.zeros(len(v), np.uint64)
-            both = np.flatnonzero((x > 0) & (y > 0))
-            n[both] = _look(pair_codes, pair_n, (x[both].astype(np.uint64) - np.uint64(1)) * np.uint64(size) + y[both] - np.uint64(1))
-            done = n > 0
-            sums = np.zeros(len(lengths))
-            if done.any():
-                s = np.log10(n[done].astype(float)) - np.log10(hot_n[x[done].astype(np.int64) - 1].astype(float))
-                sums = np.bincount(doc[done].astype(np.int64), weights=s, minlength=len(lengths))
-            null = np.array([i is None for i in ids])
-            yield _rows([(number % parts, 0, number, np.array([i or 0 for i in ids], np.int64).tobytes(), np.packbits(null).tobytes(),
-                          planes(lengths.astype(np.uint32)), sums.tobytes())])
-            if not len(v) or done.all():
-                continue
-            names, code = np.unique(np.append(v, np.uint64(START)), return_inverse=True)
-            code = code.astype(np.uint64)
-            cv, cu, doc = code[:-1][~done], _before(lengths, code[:-1], code[-1])[~done], doc[~done]
-            d, k = np.uint64(len(lengths)), np.uint64(len(names))
-            entry, times = np.unique((cv * k + cu) * d + doc, return_counts=True)
-            pair, first, n_docs = np.unique(entry // d, return_index=True, return_counts=True)
-            pv, pu = names[(pair // k).astype(np.int64)], names[(pair % k).astype(np.int64)]
-            part = _pair_part(pv, pu, hot_w, parts)
-            order = np.argsort(part, kind="stable")
-            inner = np.repeat(first[order] - np.append(0, np.cumsum(n_docs[order])[:-1]), n_docs[order]) + np.arange(len(entry))
-            docs_of, times_of = (entry % d)[inner].astype(np.uint16), np.minimum(times[inner], 0xFFFFFFFF).astype(np.uint32)
-            stops = np.append(0, np.cumsum(n_docs[order]))
-            rows = []
-            for p, i, j in _slices(part[order], parts):
-                o, (s, t) = order[i:j], (stops[i], stops[j])
-                before, place = np.unique(pu[o], return_inverse=True)
-                rows.append((p, 1, number, ascending(pv[o]), planes(place.astype(np.uint32)), planes(n_docs[o].astype(np.uint32)), planes(docs_of[s:t]),
-                             planes(times_of[s:t]), ascending(before)))
-            yield _rows(rows)
+    def explode(batches):
+        for at in _blocks(batches):
+            yield from one_block(*at)
 
     def grams(pdf: pd.DataFrame) -> pd.DataFrame:
         """Scores of pairs. kind 0 passes; kind 2: partial sums (documents, sums) of a block; kind 3: log10 c(u) due (u, blocks, documents, times) in any block."""
