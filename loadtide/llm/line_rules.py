@@ -182,7 +182,7 @@ def copies(rows: DataFrame, alike: float = 0.8, hub_rounds: int = 3, small: int
     Candidates share one of the smallest hashes of their sketches, so many (26 of 128 at 0.8) that no pair alike is missed.
     Every node of a bucket is compared with one hub, in several rounds with another hub each. Buckets that still hold several
     classes are paired whole up to `small` nodes; the nodes of larger ones are paired where their rarest hashes meet. So every
-    pair alike is found or lies in one class already, and no bucket costs the square of its size.
+    pair alike is found or lies in one class already. Many texts that are all just below `alike` still cost the square of their number.
     """
     keys = F.slice("sketch", F.lit(1), _prefix(F.size("sketch"), alike))
     heads = stored(rows.where(F.size("sketch") > 0).select("node", F.struct(F.size("sketch").alias("n"), keys.alias("keys")).alias("h"))
