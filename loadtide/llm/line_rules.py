@@ -16,6 +16,10 @@ ignored elsewhere.
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +29,7 @@ from .text import WS_CHARS, let, text_of, words
 
 SYMBOLS = "#*$%&|<>"
 SKETCH = 128
+LEVEL = 1.1
 
 
 def _repeat_words(ws: Column) -> Column:
@@ -77,8 +82,9 @@ def base_failed(n_words: Column, n_repeat_words: Column, min_words: int = 50, ma
 def distinct_lines(text: Column) -> Column:
     """The text's normalised lines that have a word, each once."""
     def cut(t: Column) -> Column:
-        plain = F.when(F.regexp_like(t, F.lit("[\\x09\\x0B-\\x0D]|\\x20\\x20")), F.regexp_replace(t, "[\\x20\\x09\\x0B-\\x0D]+", " ")).otherwise(t)
-        return F.array_distinct(F.filter(F.split(plain, "\\x20?\\n\\x20?"), lambda x: x != ""))
+        odd = reduce(or_, [F.contains(t, F.lit(c)) for c in ("  ", "\t", "\x0b", "\x0c", "\r")])
+        plain = F.when(odd, F.regexp_replace(t, "[\\x20\\x09\\x0B-\\x0D]+", " ")).otherwise(t)
+        return F.array_distinct(F.filter(F.transform(F.split(plain, "\n"), lambda x: F.btrim(x)), lambda x: x != ""))
 
     return let(F.lower(F.btrim(text, F.lit(WS_CHARS))), cut)
 
@@ -88,15 +94,18 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", "source", F.coalesce(F.col("doc_id"), F.lit(-1)).alias("_k"), F.xxhash64("doc_id", "text", "source").alias("_h"))
 
 
-def _sketch(lines: Column) -> Column:
-    """The `SKETCH` smallest distinct hashes of five-word shingles over an array of lines; of fewer words, their one hash."""
+def _sketch(hashes: Column) -> Column:
+    """The `SKETCH` smallest distinct hashes of five-word shingles over an array of the words' hashes; of fewer words, their one hash.
+
+    Of the hashes the upper halves are kept, in the same order.
+    """
     def cut(w: Column) -> Column:
         whole = F.when(F.size(w) == 0, F.array().cast("array<bigint>")).otherwise(F.array(F.xxhash64(w)))
         return F.when(F.size(w) < 5, whole).otherwise(F.transform(
             F.slice(w, F.lit(1), F.size(w) - 4), lambda h, i: F.xxhash64(h, *[F.get(w, i + j) for j in range(1, 5)])))
 
-    hashes = F.flatten(F.transform(lines, lambda x: F.transform(F.split(x, " "), lambda y: F.xxhash64(y))))
-    return F.slice(F.sort_array(F.array_distinct(let(hashes, cut))), 1, SKETCH)
+    least = F.slice(F.sort_array(F.array_distinct(let(hashes, cut))), 1, SKETCH + 32)  # some more, should upper halves agree
+    return F.slice(F.array_distinct(F.transform(least, lambda x: F.shiftright(x, 32).cast("int"))), 1, SKETCH)
 
 
 def document_table(docs: DataFrame) -> DataFrame:
@@ -105,8 +114,12 @@ def document_table(docs: DataFrame) -> DataFrame:
     `node` names the sketch. Written to the scratch folder: it is narrow and read several times.
     """
     def row(x: Column) -> Column:
-        return let(_sketch(x), lambda s: F.struct(F.unhex(F.hex(F.xxhash64(s))).alias("node"), s.alias("sketch"), F.transform(
-            x, lambda y: F.struct(F.xxhash64(y).alias("line"), F.size(F.split(y, " ")).alias("n_words"))).alias("lines")))
+        def named(s: Column, words_of: Column) -> Column:
+            return F.struct(F.unhex(F.hex(F.xxhash64(s))).alias("node"), s.alias("sketch"), F.transform(
+                x, lambda y, i: F.struct(F.xxhash64(y).alias("line"), F.size(F.get(words_of, i)).alias("n_words"))).alias("lines"))
+
+        hashes = F.transform(x, lambda y: F.transform(F.split(y, " "), lambda z: F.xxhash64(z)))
+        return let(hashes, lambda h: let(_sketch(F.flatten(h)), lambda s: named(s, h)))
 
     return stored(_keyed(docs).select("_k", "_h", F.col("source").alias("host"), let(distinct_lines(text_of("text")), row).alias("r")).select(
         "_k", "_h", "host", "r.*"), "lines")
@@ -131,22 +144,81 @@ def _prefix(n: Column, alike: float) -> Column:
     return (n - F.ceil(alike * n - 1e-9) + 1).cast("int")
 
 
-def _by_rare_hashes(nodes: DataFrame, alike: float) -> DataFrame:
-    """Pairs (a, b) of nodes (node, label, sketch) of different labels whose sketches meet in one of their rarest hashes.
+def _most_apart(n: Column, n2: Column, alike: float) -> Column:
+    """How many hashes of two sketches alike of n and n2 can be in one only, counted where both sketches are known."""
+    return F.floor((1 - alike) / (1 + alike) * (n + n2) + 1e-9)
 
-    Hashes are ordered by the number of nodes that have them. Those of one label only come first and meet nothing, so only their
-    number counts.
+
+def _families(nodes: DataFrame, alike: float) -> DataFrame:
+    """(node, family): nodes (node, label, sketch) that can be alike to one of another label are in one family with it.
+
+    Sketches alike share one of their rarest hashes. Hashes are ordered by the number of nodes that have them; those of one
+    label only come first and meet nothing, so only their number counts.
     """
-    held = stored(nodes.select("node", F.xxhash64("label").alias("label"), F.size("sketch").alias("n"), F.explode("sketch").alias("s")), "hashes")
+    held = stored(nodes.select("node", "label", F.size("sketch").alias("n"), F.explode("sketch").alias("s")), "hashes")
     common = held.groupBy("s").agg(F.count(F.lit(1)).alias("df"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
     ranked = held.join(common.select("s", "df"), "s").selectExpr(
         "s", "node", "label", "n", "row_number() OVER (PARTITION BY node ORDER BY df, s) AS place", "count(*) OVER (PARTITION BY node) AS n_common")
-    left = stored(ranked.withColumn("place", F.col("n") - F.col("n_common") + F.col("place")).where(
-        F.col("place") <= _prefix(F.col("n"), alike)).drop("n_common"), "prefixes")
-    right = left.withColumnsRenamed({"node": "node2", "label": "label2", "n": "n2", "place": "place2"})
-    possible = 1 + F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2"))  # if this is the first hash they share
-    return left.join(right, "s").where((F.col("node") < F.col("node2")) & (F.col("label") != F.col("label2"))
-                                       & (possible >= alike * F.greatest("n", "n2") - 1e-9)).selectExpr("node AS a", "node2 AS b")
+    first = stored(ranked.where(F.col("n") - F.col("n_common") + F.col("place") <= _prefix(F.col("n"), alike)).select("s", "node", "label"), "prefixes")
+    meeting = first.groupBy("s").agg(F.min("node").alias("one"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    return components(first.join(meeting, "s").selectExpr("node AS a", "one AS b")).withColumnRenamed("label", "family")
+
+
+def _level(x: Column) -> Column:
+    """The highest of the levels that lie at or below a hash; level 0 holds all hashes, each lower one a tenth fewer."""
+    return F.floor(F.log((x + 2.0 ** 31 + 1) / 2.0 ** 32) / math.log(LEVEL)).cast("int")
+
+
+def _by_differences(nodes: DataFrame, alike: float) -> DataFrame:
+    """Pairs (a, b) of nodes (node, label, sketch) of different labels that their differences from what their family has in common leave possible.
+
+    Variants of one text share nearly all their hashes, so that these tell few pairs apart. What tells them apart is where each
+    departs from the family's core, the hashes that over half of it have: hashes a node has beyond the core or lacks. A hash is in
+    one of two sketches only just if it is in one of their departures only. So two nodes that depart in m and m2 hashes and are
+    alike have at least (m + m2 - most apart) / 2 departures in common, and share one among their rarest (prefix and place filter);
+    where that is none, both are close to the core and are paired for that.
+
+    All this holds up to any hash that both sketches reach. Nodes are compared at the highest level below the ends of
+    both; sketches alike share so many hashes that a node needs only the levels from the end of such a part to its own end.
+    """
+    least = math.ceil(alike * SKETCH - 1e-9)
+    nodes = nodes.withColumn("label", F.xxhash64("label"))
+    family = _families(nodes, alike)
+    members = stored(nodes.join(family, "node").select("family", "node", "label", "sketch"), "members")
+    families = members.groupBy("family", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("family").agg(
+        F.sum("c").alias("of"), F.max_by("label", F.struct("c", "label")).alias("main"))
+    core = (members.select("family", F.explode("sketch").alias("s")).groupBy("family", "s").agg(F.count(F.lit(1)).alias("c")).join(families, "family")
+            .where(2 * F.col("c") > F.col("of")).groupBy("family").agg(F.collect_list("s").alias("core")))
+    n, none = F.size("sketch"), F.array().cast("array<int>")
+    top = F.when(n < SKETCH, F.lit(0)).otherwise(_level(F.element_at("sketch", -1)))
+    low = F.when(n < least, top).otherwise(F.least(top, _level(F.get("sketch", F.lit(least - 1)))))
+    apart = members.join(families.join(core, "family", "left"), "family").withColumn("core", F.coalesce("core", none)).select(
+        "family", "node", "label", (F.col("label") == F.col("main")).alias("main"), n.alias("n"), top.alias("top"), F.explode(F.sequence(low, top)).alias("level"),
+        F.concat(F.array_except("sketch", "core"), F.array_except("core", "sketch")).alias("d"))
+    apart = stored(apart.withColumn("d", F.filter("d", lambda x: (x + 2.0 ** 31 + 1) / 2.0 ** 32 <= F.pow(F.lit(LEVEL), F.col("level"))))
+                   .withColumn("m", F.size("d")), "apart")
+    most = _most_apart(F.col("n"), F.least(F.lit(SKETCH), F.floor(F.col("n") / alike + 1e-9)), alike)  # with the largest partner
+    own = ["family", "level", "node", "label", "main", "n", "top", "m"]
+    held = apart.select(*own, F.explode("d").alias("s"))
+    common = held.groupBy("family", "level", "s").agg(F.count(F.lit(1)).alias("df"), F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h")
+    ranked = held.join(common.select("family", "level", "s", "df"), ["family", "level", "s"]).select(
+        *own, "s", F.expr("row_number() OVER (PARTITION BY node, level ORDER BY df, s)").alias("place"),
+        F.expr("count(*) OVER (PARTITION BY node, level)").alias("n_common"))
+    share = F.greatest(F.lit(1), F.ceil((F.col("m") + F.greatest(F.lit(0), F.col("m") - most) - most) / 2))
+    left = ranked.withColumn("place", F.col("m") - F.col("n_common") + F.col("place")).where(F.col("place") <= F.col("m") - share + 1).drop("n_common")
+    close = apart.where(F.col("m") <= most).select(*own, F.lit(None).cast("int").alias("s"), F.lit(0).cast("long").alias("place"))
+    left = stored(left.unionByName(close), "departures")
+    meeting = left.groupBy("family", "level", "s").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h").select(
+        F.col("family").alias("f2"), F.col("level").alias("l2"), F.col("s").alias("s2"))
+    left = left.join(meeting, (F.col("family") == F.col("f2")) & (F.col("level") == F.col("l2")) & F.col("s").eqNullSafe(F.col("s2")), "left_semi")
+    right = left.withColumnsRenamed({c: f"{c}2" for c in left.columns})
+    both = F.ceil((F.col("m") + F.col("m2") - _most_apart(F.col("n"), F.col("n2"), alike)) / 2)  # departures in common, if alike
+    possible = 1 + F.least(F.col("m") - F.col("place"), F.col("m2") - F.col("place2"))  # if this is the first they share
+    once = F.col("main2") | (F.col("node") < F.col("node2"))  # the nodes of the family's main label are not paired among themselves
+    return left.where("not main").join(right, (F.col("family") == F.col("family2")) & (F.col("level") == F.col("level2")) & F.col("s").eqNullSafe(F.col("s2"))
+                     & once & (F.col("label") != F.col("label2")) & (F.col("level") == F.least("top", "top2"))
+                     & F.when(F.col("s").isNull(), both <= 0).otherwise((both > 0) & (possible >= both))).select(
+                         F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b"))
 
 
 def _few_differences(s: Column, t: Column, alike: float) -> Column:
@@ -155,41 +227,34 @@ def _few_differences(s: Column, t: Column, alike: float) -> Column:
         limit = F.least(F.element_at(x["s"]["head"], -1), F.element_at(x["t"]["head"], -1))
         known = lambda c: F.filter(x[c]["head"], lambda v: v < limit)
         return let(F.struct(known("s").alias("s"), known("t").alias("t")), lambda k: (
-            F.size(k["s"]) + F.size(k["t"]) - 2 * F.size(F.array_intersect(k["s"], k["t"]))
-            <= (1 - alike) / (1 + alike) * (x["s"]["n"] + x["t"]["n"]) + 1e-9))
+            F.size(k["s"]) + F.size(k["t"]) - 2 * F.size(F.array_intersect(k["s"], k["t"])) <= _most_apart(x["s"]["n"], x["t"]["n"], alike)))
 
     return let(F.struct(s.alias("s"), t.alias("t")), compare)
 
 
-def _linked(pairs: DataFrame, heads: DataFrame, rows: DataFrame, alike: float) -> DataFrame:
+def _linked(pairs: DataFrame, nodes: DataFrame, alike: float) -> DataFrame:
     """The pairs (a, b) whose sketches are alike. Whole sketches are fetched for pairs only that their first hashes leave possible."""
-    head = F.array_distinct(F.transform("keys", lambda x: F.shiftright(x, 32).cast("int")))  # upper halves, in the same order
-    heads = heads.select("node", F.struct("n", head.alias("head")).alias("h"))
+    heads = nodes.select("node", F.struct(F.size("sketch").alias("n"), F.slice("sketch", F.lit(1), _prefix(F.size("sketch"), alike)).alias("head")).alias("h"))
     left = stored(pairs.distinct().join(heads.withColumnsRenamed({"node": "a", "h": "s"}), "a").join(heads.withColumnsRenamed({"node": "b", "h": "t"}), "b")
                   .where(_few_differences(F.col("s"), F.col("t"), alike)).select("a", "b"), "possible")
-    nodes = _sketches(rows, left.selectExpr("explode(array(a, b)) AS node").distinct())
+    nodes = nodes.join(left.selectExpr("explode(array(a, b)) AS node").distinct(), "node", "left_semi")
     return stored(left.join(nodes.withColumnsRenamed({"node": "a", "sketch": "s"}), "a").join(nodes.withColumnsRenamed({"node": "b", "sketch": "t"}), "b")
                   .where(similar(F.col("s"), F.col("t")) >= alike).select("a", "b"), "alike")
 
 
-def _sketches(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    return rows.select("node", "sketch").join(wanted, "node", "left_semi").groupBy("node").agg(F.first("sketch").alias("sketch"))
-
-
-def copies(rows: DataFrame, alike: float = 0.8, hub_rounds: int = 3, small: int = 16) -> DataFrame:
+def copies(rows: DataFrame, alike: float = 0.8, hub_rounds: int = 1, small: int = 16) -> DataFrame:
     """(node, label) for the nodes of `rows` (node, sketch) that are alike to others; the label is that of the class.
 
     Candidates share one of the smallest hashes of their sketches, so many (26 of 128 at 0.8) that no pair alike is missed.
-    Every node of a bucket is compared with one hub, in several rounds with another hub each. Buckets that still hold several
-    classes are paired whole up to `small` nodes; the nodes of larger ones are paired where their rarest hashes meet. So every
-    pair alike is found or lies in one class already. Many texts that are all just below `alike` still cost the square of their number.
+    Every node of a bucket is compared with one hub (in several rounds with another hub each, if `hub_rounds` says so). Buckets that
+    still hold several classes are paired whole up to `small` nodes; the nodes of larger ones are paired where they depart alike
+    from what their family has in common. So every pair alike is found or lies in one class already.
     """
-    keys = F.slice("sketch", F.lit(1), _prefix(F.size("sketch"), alike))
-    heads = stored(rows.where(F.size("sketch") > 0).select("node", F.struct(F.size("sketch").alias("n"), keys.alias("keys")).alias("h"))
-                   .groupBy("node").agg(F.first("h").alias("h")).select("node", "h.*"), "heads")
-    entries = heads.select("node", F.explode("keys").alias("key")).select(F.hash("key").alias("bucket"), "node")
-    shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("bucket")
-    buckets = stored(entries.join(shared, "bucket", "left_semi"), "buckets")
+    entries = rows.select("node", F.explode(F.slice("sketch", F.lit(1), _prefix(F.size("sketch"), alike))).alias("bucket")).repartition("bucket")
+    shared = entries.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("bucket")
+    buckets = stored(entries.join(shared, "bucket", "left_semi").distinct(), "buckets")
+    nodes = stored(rows.select("node", "sketch").join(buckets.select("node").distinct(), "node", "left_semi").groupBy("node").agg(
+        F.first("sketch").alias("sketch")), "sketches")
     links, label = None, None
     for step in range(hub_rounds + 1):
         now = buckets.withColumn("label", F.col("node")) if label is None else (
@@ -200,12 +265,12 @@ def copies(rows: DataFrame, alike: float = 0.8, hub_rounds: int = 3, small: int
             other = per.select("bucket", F.col("hub.node").alias("node2"), F.col("hub.label").alias("label2"))
         else:
             many = now.join(per.where(F.col("c") > small).select("bucket"), "bucket", "left_semi").select("node", "label").distinct()
-            rare = _by_rare_hashes(_sketches(rows, many.select("node")).join(many, "node"), alike)
+            departing = _by_differences(nodes.join(many, "node"), alike)
             now = now.join(per.where(F.col("c") <= small).select("bucket"), "bucket", "left_semi")
             other = now.select("bucket", F.col("node").alias("node2"), F.col("label").alias("label2"))
         pairs = now.join(other, "bucket").where("label <> label2").select(
             F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b"))
-        found = _linked(pairs if step < hub_rounds else pairs.unionByName(rare), heads, rows, alike)
+        found = _linked(pairs if step < hub_rounds else pairs.unionByName(departing), nodes, alike)
         if step and found.isEmpty():
             continue
         links = found if links is None else links.unionByName(found)

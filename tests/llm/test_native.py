@@ -282,6 +282,32 @@ def test_copies_lose_no_link(spark):
     assert len({top(k) for k in keys}) < len(keys) - 100
 
 
+def test_variants_of_a_text_are_not_all_paired(spark, monkeypatch):
+    """Of a text's many variants, some of them cut or drawn out, few pairs are compared, and the classes are those of all pairs."""
+    rnd = random.Random(11)
+    prose = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    base, texts, tried, linked = prose(220), [], [], line_rules._linked
+    for i in range(260):
+        own = list(base)
+        for at in rnd.sample(range(220), rnd.randrange(1, 14)):
+            own[at] = prose(1)[0]
+        texts.append(own[:rnd.randrange(60, 140)] if i % 13 == 0 else own + prose(rnd.randrange(40)) if i % 7 == 0 else own)
+    docs = spark.createDataFrame([(i, " ".join(t), "a") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    rows = line_rules.document_table(docs)
+    sketch = {bytes(r.node): list(r.sketch) for r in rows.collect()}
+    monkeypatch.setattr(line_rules, "_linked", lambda pairs, *rest: (tried.append(pairs.distinct().count()), linked(pairs, *rest))[1])
+    label = {bytes(r.node): bytes(r.label) for r in line_rules.copies(rows).collect()}
+    groups = {k: {k} for k in sketch}
+    for a in sketch:
+        for b in sketch:
+            if a < b and groups[a] is not groups[b] and _alike(sketch[a], sketch[b]):
+                groups[a] |= groups[b]
+                for k in groups[b]:
+                    groups[k] = groups[a]
+    assert {frozenset(g) for g in _grouped(sketch, lambda k: label.get(k, k))} == {frozenset(g) for g in groups.values()}
+    assert len({id(g) for g in groups.values()}) > 60 and tried[-1] < len(sketch) ** 2 / 2 / 10
+
+
 def _grouped(keys, name):
     groups = {}
     for k in keys:
