@@ -30,6 +30,7 @@ from .text import WS_CHARS, let, text_of, words
 SYMBOLS = "#*$%&|<>"
 SKETCH = 128
 LEVEL = 1.1
+OWN_MORE = 13
 
 
 def _repeat_words(ws: Column) -> Column:
@@ -149,12 +150,24 @@ def _most_apart(n: Column, n2: Column, alike: float) -> Column:
     return F.floor((1 - alike) / (1 + alike) * (n + n2) + 1e-9)
 
 
+def _largest_partner(n: Column, alike: float) -> Column:
+    return F.least(F.lit(SKETCH), F.floor(n / alike + 1e-9))
+
+
 def _families(nodes: DataFrame, alike: float) -> DataFrame:
     """(node, family): nodes (node, label, sketch) that can be alike to one of another label are in one family with it.
 
-    Sketches alike share one of their rarest hashes. Hashes are ordered by the number of nodes that have them; those of one
-    label only come first and meet nothing, so only their number counts.
+    Of a sketch's first hashes one alike to it lacks a certain number at most, so the others have to occur under another label, and
+    not much further on. Most nodes that share a mere passage fall out by that. Sketches alike share one of their rarest hashes. Hashes are ordered by the number of nodes
+    that have them; those of one label only come first and meet nothing, so only their number counts.
     """
+    n = F.size("sketch")
+    own = _prefix(n, alike) - 1  # hashes that one alike may lack
+    before = own + _prefix(_largest_partner(n, alike), alike) - 1 + OWN_MORE  # so far on lie what a partner has among its first ones
+    begun = nodes.select("node", "label", own.alias("own"), F.posexplode(F.slice("sketch", F.lit(1), before)).alias("at", "s")).repartition("s")
+    met = begun.groupBy("s").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("s")
+    enough = begun.where(F.col("at") < F.col("own") + OWN_MORE).join(met, "s", "left_semi").groupBy("node").agg(F.count(F.lit(1)).alias("c"))
+    nodes = nodes.join(enough, "node").where(F.col("c") >= F.least(n, own + OWN_MORE) - own).drop("c")
     held = stored(nodes.select("node", "label", F.size("sketch").alias("n"), F.explode("sketch").alias("s")), "hashes")
     common = held.groupBy("s").agg(F.count(F.lit(1)).alias("df"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
     ranked = held.join(common.select("s", "df"), "s").selectExpr(
@@ -197,7 +210,7 @@ def _by_differences(nodes: DataFrame, alike: float) -> DataFrame:
         F.concat(F.array_except("sketch", "core"), F.array_except("core", "sketch")).alias("d"))
     apart = stored(apart.withColumn("d", F.filter("d", lambda x: (x + 2.0 ** 31 + 1) / 2.0 ** 32 <= F.pow(F.lit(LEVEL), F.col("level"))))
                    .withColumn("m", F.size("d")), "apart")
-    most = _most_apart(F.col("n"), F.least(F.lit(SKETCH), F.floor(F.col("n") / alike + 1e-9)), alike)  # with the largest partner
+    most = _most_apart(F.col("n"), _largest_partner(F.col("n"), alike), alike)  # with the largest partner
     own = ["family", "level", "node", "label", "main", "n", "top", "m"]
     held = apart.select(*own, F.explode("d").alias("s"))
     common = held.groupBy("family", "level", "s").agg(F.count(F.lit(1)).alias("df"), F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h")
@@ -253,7 +266,8 @@ def copies(rows: DataFrame, alike: float = 0.8, hub_rounds: int = 1, small: int
     entries = rows.select("node", F.explode(F.slice("sketch", F.lit(1), _prefix(F.size("sketch"), alike))).alias("bucket")).repartition("bucket")
     shared = entries.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("bucket")
     buckets = stored(entries.join(shared, "bucket", "left_semi").distinct(), "buckets")
-    nodes = stored(rows.select("node", "sketch").join(buckets.select("node").distinct(), "node", "left_semi").groupBy("node").agg(
+    wanted = buckets.select("node").distinct().hint("merge")  # one plan for all sizes, as the list grows with the rows
+    nodes = stored(rows.select("node", "sketch").join(wanted, "node", "left_semi").groupBy("node").agg(
         F.first("sketch").alias("sketch")), "sketches")
     links, label = None, None
     for step in range(hub_rounds + 1):
